@@ -90,3 +90,35 @@ SELECT result_id AS source_result_id, runner_id, race_id, date, year, distance,
        speed_z_race AS target_z
 FROM hist WHERE prior_race_count >= 2 AND speed_z_race IS NOT NULL
 """, RESULTS_CTE, RACE_STATS_CTE, HISTORY_CTE)
+
+
+RAW_CTE = """
+_raw0 AS (
+  SELECT f.*, p.p_name, p.p_type, c.c_mktsegment, concat_ws(' ', p.p_name, p.p_type) AS base,
+         f.time_sec // 3600 AS th, (f.time_sec % 3600) // 60 AS tm, f.time_sec % 60 AS ts
+  FROM results f LEFT JOIN part p ON p.p_partkey = f.runner_id LEFT JOIN customer c ON c.c_custkey = f.runner_id),
+raw_results AS (
+  SELECT CASE WHEN result_id % 127 = 0 THEN 'DNF' ELSE CAST(position AS VARCHAR) END AS "Position",
+    CASE WHEN result_id % 101 = 0 THEN '#N/A'
+         WHEN result_id % 103 = 0 THEN CAST(result_id % 10 AS VARCHAR) || ' ' || base
+         WHEN result_id % 107 = 0 THEN '(Cid:10)' || base
+         WHEN result_id % 109 = 0 THEN NULL
+         WHEN result_id % 5 = 1 THEN base || '  '
+         ELSE base END AS "Nom",
+    CASE WHEN result_id % 2 = 0 THEN c_mktsegment WHEN result_id % 3 = 0 THEN '*' ELSE '-' END AS "Club",
+    CASE WHEN result_id % 113 = 0 THEN NULL WHEN runner_id % 2 = 0 THEN 'H' ELSE 'F' END AS "Sexe",
+    ['', '#N/A', '#REF!', 'xxx', 'XXX', '0', 'A1', 'AI1', 'V1F', 'A2', 'AI2', 'V2F', 'A3', 'AI3', 'V3F', 'A4', 'AI4', 'V4F', 'A5', 'AI5', 'V45', 'SH', 'H', 'SEH', 'SEN', 'DISH', 'SE', 'JUH', 'JH', 'EH', 'ESH', 'ESP', 'GAR', 'DA', 'DAM', 'SD', 'F', 'SEF', 'DISF', 'JUF', 'JF', 'EF', 'ESF', 'FIL', 'ED', 'V1', 'VE1', 'V1H', 'V2', 'VE2', 'V2H', 'V3', 'VE3', 'V3H', 'V4', 'VE4', 'V4H', 'V5', 'VE5', 'V5H', 'ZZZ', NULL][CAST(result_id % 62 AS INTEGER) + 1] AS "Categorie",
+    CAST(position_category AS VARCHAR) AS "Position Catégorie",
+    CASE WHEN result_id % 89 = 0 THEN '#VALEUR!' WHEN result_id % 83 = 0 THEN NULL
+         WHEN result_id % 79 = 0 THEN printf('%d: %02d:%02d', th, tm, ts)
+         WHEN result_id % 73 = 0 THEN '1:2:3:4' WHEN result_id % 71 = 0 THEN 'ab:cd'
+         WHEN th > 0 THEN printf('%d:%02d:%02d', th, tm, ts) ELSE printf('%02d:%02d', tm, ts) END AS "Temps",
+    CASE WHEN race_id % 40 = 0 THEN 'Sef : ' || CAST(race_id AS VARCHAR) || ' Seh : 0'
+         ELSE 'Course ' || CAST(race_id AS VARCHAR) END AS "NomCourse",
+    date AS "Date", distance AS "Distance",
+    strftime(date, '%Y%m%d') || '-race-' || CAST(race_id AS VARCHAR) || '.pdf' AS source_file
+  FROM _raw0),
+raw_keyed AS (
+  SELECT *, lower(trim("NomCourse")) || '_' || coalesce(strftime("Date", '%Y-%m-%d'), 'NaT') || '_' || CAST("Distance" AS VARCHAR) AS racekey
+  FROM raw_results)
+"""

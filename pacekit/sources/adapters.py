@@ -83,3 +83,62 @@ def dim_runner(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("name_origin"),
         F.upper(F.col("c_name")).alias("name_clean"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("sex"))
+
+
+# ---------------------------------------------------------------------------
+# Raw (uncleaned) results, shaped like rows extracted from ranking documents.
+# Every messy variant is derived from the row's key, so the table is
+# deterministic and grows with the driver's data.
+# ---------------------------------------------------------------------------
+
+def _raw_categories():
+    from ..operators.cleaning import CATEGORY_MAP
+    return list(CATEGORY_MAP) + ["ZZZ"]
+
+
+GARBLED_RACE_EVERY = 40  # races whose header gives a garbled course name
+
+
+def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_results(Position, Nom, Club, Sexe, Categorie, `Position Catégorie`, Temps,
+    NomCourse, Date, Distance, source_file, racekey) -- all text except Date/Distance."""
+    r = results(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("runner_id"), "p_name", "p_type")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("runner_id"), "c_mktsegment")
+    j = r.join(p, "runner_id", "left").join(c, "runner_id", "left")
+    rid = F.col("result_id")
+    base = F.concat_ws(" ", "p_name", "p_type")
+    nom = (F.when(rid % 101 == 0, F.lit("#N/A"))
+            .when(rid % 103 == 0, F.concat((rid % 10).cast("string"), F.lit(" "), base))
+            .when(rid % 107 == 0, F.concat(F.lit("(Cid:10)"), base))
+            .when(rid % 109 == 0, F.lit(None).cast("string"))
+            .when(rid % 5 == 1, F.concat(base, F.lit("  ")))
+            .otherwise(base))
+    sexe = (F.when(rid % 113 == 0, F.lit(None).cast("string"))
+             .when(F.col("runner_id") % 2 == 0, F.lit("H")).otherwise(F.lit("F")))
+    club = F.when(rid % 2 == 0, F.col("c_mktsegment")).when(rid % 3 == 0, F.lit("*")).otherwise(F.lit("-"))
+    cats = _raw_categories()
+    cat = F.element_at(F.array(*[F.lit(x) for x in cats], F.lit(None).cast("string")),
+                       (rid % (len(cats) + 1)).cast("int") + 1)
+    t = F.col("time_sec")
+    h, m, s = F.floor(t / 3600), F.floor((t % 3600) / 60), t % 60
+    std = F.when(h > 0, F.format_string("%d:%02d:%02d", h, m, s)).otherwise(F.format_string("%02d:%02d", m, s))
+    temps = (F.when(rid % 89 == 0, F.lit("#VALEUR!"))
+              .when(rid % 83 == 0, F.lit(None).cast("string"))
+              .when(rid % 79 == 0, F.format_string("%d: %02d:%02d", h, m, s))
+              .when(rid % 73 == 0, F.lit("1:2:3:4"))
+              .when(rid % 71 == 0, F.lit("ab:cd"))
+              .otherwise(std))
+    course = F.when(F.col("race_id") % GARBLED_RACE_EVERY == 0,
+                    F.concat(F.lit("Sef : "), F.col("race_id").cast("string"), F.lit(" Seh : 0"))) \
+              .otherwise(F.concat(F.lit("Course "), F.col("race_id").cast("string")))
+    position = F.when(rid % 127 == 0, F.lit("DNF")).otherwise(F.col("position").cast("string"))
+    out = j.select(
+        position.alias("Position"), nom.alias("Nom"), club.alias("Club"), sexe.alias("Sexe"),
+        cat.alias("Categorie"), F.col("position_category").cast("string").alias("Position Catégorie"),
+        temps.alias("Temps"), course.alias("NomCourse"), F.col("date").alias("Date"),
+        F.col("distance").alias("Distance"),
+        F.concat(F.date_format("date", "yyyyMMdd"), F.lit("-race-"), F.col("race_id").cast("string"),
+                 F.lit(".pdf")).alias("source_file"))
+    from ..operators.cleaning import race_key
+    return out.withColumn("racekey", race_key("NomCourse", "Date", "Distance"))
