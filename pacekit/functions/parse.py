@@ -120,6 +120,19 @@ def parse_duration_parts(text):
             F.when(ok, ss.try_cast("decimal(20,9)")))
 
 
+def duration_parts_staged(parts_col: str = "_tparts"):
+    """(h, m, s) from an already split ``_tparts`` array column (see ``parse_times``)."""
+    parts = F.col("_tparts")
+    n = F.size(parts)
+    hh = F.when(n == 3, parts[0]).when(n == 2, F.lit("0"))
+    mm = F.when(n == 3, parts[1]).when(n == 2, parts[0])
+    ss = F.when(n == 3, parts[2]).when(n == 2, parts[1])
+    hh, mm, ss = [F.when(x == "", F.lit("0")).otherwise(x) for x in (hh, mm, ss)]
+    ok = hh.rlike(r"^\d+$") & mm.rlike(r"^\d+$") & ss.rlike(r"^\d+(\.\d+)?$")
+    return (F.when(ok, hh.try_cast("long")), F.when(ok, mm.try_cast("long")),
+            F.when(ok, ss.try_cast("decimal(20,9)")))
+
+
 def duration_seconds(text) -> Column:
     """whole seconds (truncated) of a duration text, NULL when unparseable."""
     h, m, s = parse_duration_parts(text)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import duration_interval, duration_seconds
+from ..functions.parse import INVALID_TIMES, duration_parts_staged
 from .dedup import keep_first
 
 # Raw category -> harmonised code (anything else, null included, -> 'XXX').
@@ -71,10 +71,21 @@ def cast_ints(df: DataFrame, cols=("Position", POS_CAT), strict: bool = False) -
 
 
 def parse_times(df: DataFrame, col: str = "Temps") -> DataFrame:
-    """F11 + P9: temps_clean (interval), temps_sec (int); rows without a valid time are dropped."""
-    return (df.withColumn("temps_clean", duration_interval(col))
-              .where(F.col("temps_clean").isNotNull())
-              .withColumn("temps_sec", duration_seconds(col)))
+    """F11 + P9: temps_clean (interval), temps_sec (int); rows without a valid time are dropped.
+
+    The text is split once into staged columns so the projection stays small
+    enough for whole-stage code generation.
+    """
+    h, m, s = duration_parts_staged(col)
+    staged = df.withColumn("_tparts", F.split(F.when(~F.trim(F.col(col)).isin(*INVALID_TIMES),
+                                                      F.regexp_replace(F.trim(F.col(col)), " ", "")), ":"))
+    staged = staged.withColumn("_h", h).withColumn("_m", m).withColumn("_s", s)
+    whole = (F.col("_h") * 3600 + F.col("_m") * 60).cast("decimal(20,9)") + F.col("_s")
+    return (staged.where(F.col("_s").isNotNull())
+                  .withColumn("temps_clean", F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                                whole.cast("decimal(18,6)")))
+                  .withColumn("temps_sec", F.floor(whole).cast("int"))
+                  .drop("_tparts", "_h", "_m", "_s"))
 
 
 @dataclass(frozen=True)

@@ -142,3 +142,24 @@ def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(".pdf")).alias("source_file"))
     from ..operators.cleaning import race_key
     return out.withColumn("racekey", race_key("NomCourse", "Date", "Distance"))
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names adapter (from ``part``): one result row per part with a person-like name.
+
+    base = upper(p_name || ' ' || p_type); tokens reversed when p_partkey % 7 = 0,
+    else the last-but-one character dropped when p_partkey % 13 = 0;
+    Sexe = H/F by parity of length(p_name); speed = 8 + length(base) % 5 + p_size / 100;
+    racekey = event p_partkey % 997.
+    """
+    p = table(spark, sf_dir, "part")
+    base = F.upper(F.concat_ws(" ", "p_name", "p_type"))
+    n = F.length(base)
+    nom = (F.when(F.col("p_partkey") % 7 == 0, F.array_join(F.reverse(F.split(base, " ")), " "))
+            .when(F.col("p_partkey") % 13 == 0, F.concat(F.substring(base, 1, n - 2), F.substring(base, n, 1)))
+            .otherwise(base))
+    return p.select(
+        F.col("p_partkey").alias("row_id"), nom.alias("Nom"),
+        F.when(F.length("p_name") % 2 == 0, F.lit("H")).otherwise(F.lit("F")).alias("Sexe"),
+        (F.lit(8.0) + (n % 5) + F.col("p_size") / 100.0).alias("speed_kmh"),
+        F.concat(F.lit("e"), (F.col("p_partkey") % 997).cast("string")).alias("racekey"))
