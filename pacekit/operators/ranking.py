@@ -70,3 +70,33 @@ def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "m
                      .withColumn("_gpos", F.col("_gpos").cast("long")))
     picked = join_checked(s.select("_gpos", "_v"), targets, "_gpos")
     return picked.groupBy(*group_cols).agg(F.avg("_v").alias(out))
+
+
+def group_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: list[float],
+                    prefix: str = "q") -> DataFrame:
+    """Exact quantiles per group with linear interpolation (pandas ``quantile`` / ``percentile_cont``).
+
+    Output: one row per group with columns ``{prefix}{int(p*100)}``.
+    """
+    base = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    s = _positions(base, group_cols, ["_v"])
+    bounds = s.groupBy(*group_cols).agg(F.min("_gpos").alias("_gfirst"), F.count(F.lit(1)).alias("_cnt"))
+    rows = []
+    for p in probs:
+        pos = (F.col("_cnt") - 1) * F.lit(p)
+        rows.append(F.struct(F.lit(p).alias("_p"), F.floor(pos).cast("long").alias("_lo"),
+                             F.ceil(pos).cast("long").alias("_hi"), (pos - F.floor(pos)).alias("_fr")))
+    want = bounds.select(*group_cols, "_gfirst", F.explode(F.array(*rows)).alias("_w")).select(
+        *group_cols, "_gfirst", "_w.*")
+    targets = (want.select(*group_cols, (F.col("_gfirst") + F.col("_lo")).alias("_gpos"))
+                   .unionByName(want.select(*group_cols, (F.col("_gfirst") + F.col("_hi")).alias("_gpos")))
+                   .distinct())
+    picked = join_checked(s.select("_gpos", "_v"), targets, "_gpos").select("_gpos", "_v")
+    lo = picked.select(F.col("_gpos").alias("_lpos"), F.col("_v").alias("_lv"))
+    hi = picked.select(F.col("_gpos").alias("_hpos"), F.col("_v").alias("_hv"))
+    w = (want.withColumn("_lpos", F.col("_gfirst") + F.col("_lo"))
+             .withColumn("_hpos", F.col("_gfirst") + F.col("_hi"))
+             .join(lo, "_lpos").join(hi, "_hpos"))
+    w = w.withColumn("_q", F.col("_lv") + (F.col("_hv") - F.col("_lv")) * F.col("_fr"))
+    return (w.groupBy(*group_cols).pivot("_p", probs).agg(F.first("_q"))
+             .select(*group_cols, *[F.col(f"`{p}`").alias(f"{prefix}{int(round(p * 100))}") for p in probs]))
