@@ -100,3 +100,8 @@ def group_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: lis
     w = w.withColumn("_q", F.col("_lv") + (F.col("_hv") - F.col("_lv")) * F.col("_fr"))
     return (w.groupBy(*group_cols).pivot("_p", probs).agg(F.first("_q"))
              .select(*group_cols, *[F.col(f"`{p}`").alias(f"{prefix}{int(round(p * 100))}") for p in probs]))
+
+
+def global_index(df: DataFrame, order_cols: list, out: str = "idx") -> DataFrame:
+    """0-based position of every row in ``order_cols`` order (a distributed zipWithIndex)."""
+    return _positions(df, [], order_cols).withColumnRenamed("_gpos", out)
