@@ -19,11 +19,13 @@ _DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "pacekit") -> SparkSession:
+                  app_name: str = "pacekit", driver_memory: str = "16g") -> SparkSession:
     """Local/test session; on a cluster use the session the platform hands you."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", driver_memory)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
@@ -60,3 +62,22 @@ def cut_lineage(df):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_STAGES: dict[tuple[str, str], str] = {}
+
+
+def stage_table(spark: SparkSession, key: str, build) -> "DataFrame":
+    """Materialise a pipeline stage once per application as Parquet in the shared folder.
+
+    Later jobs read the written table (a lineage cut that survives executor
+    loss), just as the pipeline's stages hand Parquet files to each other.
+    """
+    import hashlib
+    app = spark.sparkContext.applicationId
+    k = (app, key)
+    if k not in _STAGES:
+        path = scratch_path(spark, "stages/" + hashlib.sha1(f"{app}:{key}".encode()).hexdigest()[:16])
+        build().write.mode("overwrite").parquet(path)
+        _STAGES[k] = path
+    return spark.read.parquet(_STAGES[k])

@@ -26,11 +26,16 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_first
 from ..operators.ranking import group_row_number
+from ..session import stage_table
 from .tables import table
 
 
 def base_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results before ranking: one row per (runner, race), first order wins."""
+    return stage_table(spark, f"base_results:{sf_dir}", lambda: _base_results(spark, sf_dir))
+
+
+def _base_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     month = F.to_date(F.date_trunc("month", "o_orderdate"))
     raw = o.select(
@@ -58,9 +63,11 @@ def results(spark: SparkSession, sf_dir: str, with_positions: bool = True) -> Da
     r = base_results(spark, sf_dir)
     if not with_positions:
         return r
-    r = group_row_number(r, ["race_id"], ["time_sec", "result_id"], "position")
-    r = group_row_number(r, ["race_id", "category"], ["time_sec", "result_id"], "position_category")
-    return r
+
+    def build():
+        x = group_row_number(r, ["race_id"], ["time_sec", "result_id"], "position")
+        return group_row_number(x, ["race_id", "category"], ["time_sec", "result_id"], "position_category")
+    return stage_table(spark, f"results:{sf_dir}", build)
 
 
 def dim_race(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +109,10 @@ GARBLED_RACE_EVERY = 40  # races whose header gives a garbled course name
 def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_results(Position, Nom, Club, Sexe, Categorie, `Position Catégorie`, Temps,
     NomCourse, Date, Distance, source_file, racekey) -- all text except Date/Distance."""
+    return stage_table(spark, f"raw_results:{sf_dir}", lambda: _raw_results(spark, sf_dir))
+
+
+def _raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = results(spark, sf_dir)
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("runner_id"), "p_name", "p_type")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("runner_id"), "c_mktsegment")
