@@ -19,7 +19,8 @@ _DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "pacekit", driver_memory: str = "16g") -> SparkSession:
+                  app_name: str = "pacekit", driver_memory: str = "16g",
+                  checkpoint: str | None = None) -> SparkSession:
     """Local/test session; on a cluster use the session the platform hands you."""
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -31,6 +32,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint:
+        b = b.config("spark.checkpoint.dir", checkpoint)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -43,14 +46,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder).  Only when it is unset -- local runs and tests -- a scratch folder
     is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:  # unset (local runs, tests): a scratch folder of our own
         d = tempfile.mkdtemp(prefix="pacekit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def cut_lineage(df):
