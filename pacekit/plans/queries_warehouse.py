@@ -29,7 +29,7 @@ def _loaded(spark, sf, times=2):
 @register("dim_get_or_create", with_ctes(f"""
 SELECT CAST(row_number() OVER (ORDER BY "Nom_clean") AS BIGINT) AS runner_id, "Nom_clean" AS name_clean,
        name_origin, sex
-FROM (SELECT "Nom_clean", arg_min("Nom", ({_ORDER})) AS name_origin, arg_min("Sexe", ({_ORDER})) AS sex
+FROM (SELECT "Nom_clean", arg_min_null("Nom", ({_ORDER})) AS name_origin, arg_min_null("Sexe", ({_ORDER})) AS sex
       FROM dv GROUP BY "Nom_clean") q""", *CLEANED_CTES))
 def dim_get_or_create(spark, sf):
     return _loaded(spark, sf)["dim_runner"]
@@ -37,8 +37,8 @@ def dim_get_or_create(spark, sf):
 
 @register("race_dim_load", with_ctes(f"""
 SELECT CAST(row_number() OVER (ORDER BY racekey) AS BIGINT) AS race_id, racekey, name, distance, date, year
-FROM (SELECT racekey, arg_min("NomCourse", ({_ORDER})) AS name, arg_min("Distance", ({_ORDER})) AS distance,
-             arg_min("Date", ({_ORDER})) AS date, arg_min(year, ({_ORDER})) AS year
+FROM (SELECT racekey, arg_min_null("NomCourse", ({_ORDER})) AS name, arg_min_null("Distance", ({_ORDER})) AS distance,
+             arg_min_null("Date", ({_ORDER})) AS date, arg_min_null(year, ({_ORDER})) AS year
       FROM dv GROUP BY racekey) q""", *CLEANED_CTES), doubles=("distance",))
 def race_dim_load(spark, sf):
     return _loaded(spark, sf)["dim_race"]
