@@ -136,7 +136,14 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
         # strictly shorter right side only: equal lengths are produced by the other orientation
         return j.where(F.length("_xs") < F.length("_ys")).select(
             *equi, F.col("_ys").alias("l_key"), F.col("_xs").alias("r_key"))
-    cand = oriented(L, R, True).unionByName(oriented(R, L, False)).distinct()
+    if left is right:  # self-similarity: one orientation, then both orders of each pair
+        one = oriented(L, R, True)
+        cand = one.select(*equi, F.explode(F.array(F.struct(F.col("l_key").alias("a"), F.col("r_key").alias("b")),
+                                                    F.struct(F.col("r_key").alias("a"), F.col("l_key").alias("b"))))
+                          .alias("_p")).select(*equi, F.col("_p.a").alias("l_key"), F.col("_p.b").alias("r_key"))
+        cand = cand.distinct()
+    else:
+        cand = oriented(L, R, True).unionByName(oriented(R, L, False)).distinct()
     shorter = F.length("l_key") <= F.length("r_key")
     cand = (cand.withColumn("_xstr", F.when(shorter, F.col("l_key")).otherwise(F.col("r_key")))
                 .withColumn("_ystr", F.when(shorter, F.col("r_key")).otherwise(F.col("l_key"))))
@@ -155,7 +162,7 @@ def frequent_pairs(prof: DataFrame, events: DataFrame, name: str = "Nom_clean")
     """Accepted pass-1 pairs (name_1 < name_2) with scores and the canonical name."""
     p = prof.withColumn("_ts", token_sort(name)).withColumn("_sx", F.coalesce(F.col("sexe"), F.lit("\u0000")))
     keyed = p.select("_ts", "_sx")
-    sim = similar_pairs(keyed, keyed, "_ts", ["_sx"])
+    sim = similar_pairs(keyed, keyed, "_ts", ["_sx"])  # same object: self-similarity mode
     a = p.select(F.col(name).alias("name_1"), F.col("_ts").alias("l_key"), "_sx",
                  F.col("n_races").alias("races_1"), F.col("mean_speed").alias("speed_1"))
     b = p.select(F.col(name).alias("name_2"), F.col("_ts").alias("r_key"), "_sx",
