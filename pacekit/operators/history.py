@@ -47,7 +47,21 @@ def entity_window(entity: str = "runner_id", time: str = "date", event: str = "r
 
 
 def add_history(df: DataFrame, entity: str = "runner_id", time: str = "date", event: str = "race_id",
-                tiebreak: str = "result_id", speed: str = "speed_kmh", z: str = "speed_z_race") -> DataFrame:
+                tiebreak: str = "result_id", speed: str = "speed_kmh", z: str = "speed_z_race",
+                segmented: bool = True) -> DataFrame:
+    """W5-W11 (see :func:`add_history_windows`).
+
+    Default: the segmented prefix scan (``operators.prefix``), which spreads a
+    hot entity over many tasks; ``segmented=False`` uses one window per entity.
+    """
+    if segmented:
+        from .prefix import add_history_segmented
+        return add_history_segmented(df, entity, time, event, tiebreak, speed, z)
+    return add_history_windows(df, entity, time, event, tiebreak, speed, z)
+
+
+def add_history_windows(df: DataFrame, entity: str = "runner_id", time: str = "date", event: str = "race_id",
+                        tiebreak: str = "result_id", speed: str = "speed_kmh", z: str = "speed_z_race") -> DataFrame:
     """Features from strictly earlier rows of the same entity.
 
     prior_race_count   rows before (0-based cumcount, null z rows included)

@@ -17,9 +17,9 @@ def test_feature_job_stays_in_the_jvm(spark):
 
 
 def test_runner_windows_share_one_window_spec(spark):
-    from pacekit.operators.history import add_history, add_group_zscore
+    from pacekit.operators.history import add_history_windows, add_group_zscore
     r = adapters.results(spark, SF_SMALL, with_positions=False)
-    p = add_history(add_group_zscore(r, median=False))._jdf.queryExecution().optimizedPlan().toString()
+    p = add_history_windows(add_group_zscore(r, median=False))._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Window [") <= 2  # one ordered spec (+ whole-partition min on the same spec)
 
 

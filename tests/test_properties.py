@@ -128,3 +128,22 @@ def test_results_independent_of_partitioning(spark):
                                                                               "race_median_speed")
     norm = lambda rows: sorted((x[0], round(x[1] or 0, 9), x[2]) for x in rows)
     assert norm(a.collect()) == norm(b.collect())
+
+
+def test_segmented_history_equals_windows_with_hot_entity(spark):
+    from pacekit.operators.history import add_history_windows
+    from pacekit.operators.prefix import add_history_segmented
+    r = add_group_zscore(adapters.results(spark, SF_SMALL, with_positions=False), median=False)
+    hot = (r.withColumn("runner_id", F.when(F.col("result_id") % 3 == 0, F.lit(-1)).otherwise(F.col("runner_id")))
+            .withColumn("date", F.when(F.col("result_id") % 11 == 0, F.lit(None)).otherwise(F.col("date"))))
+    cols = ["result_id", "prior_race_count", "prior_avg_speed", "prior_std_speed", "prior_best_speed", "prior_avg_z",
+            "prior_std_z", "prior_best_z", "recent_speed_roll3", "recent_z_roll3", "days_since_last_race",
+            "runner_history_years"]
+    a = {x[0]: x[1:] for x in add_history_windows(hot).select(*cols).collect()}
+    b = {x[0]: x[1:] for x in add_history_segmented(hot, n_parts=16).select(*cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None) == (y is None)
+            if x is not None:
+                assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
