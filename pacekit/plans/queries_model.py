@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import functions as F
 
 from ..sources import adapters
@@ -50,9 +48,15 @@ def baseline_quality(spark, sf):
     return M.regression_metrics(pred)
 
 
-@functools.lru_cache(maxsize=4)
+_TRAINED: dict = {}
+
+
 def _trained(spark, sf):
-    return M.train(_features(spark, sf))
+    """One training run per application and scale factor."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = M.train(_features(spark, sf))
+    return _TRAINED[key]
 
 
 @register("regression_quality")

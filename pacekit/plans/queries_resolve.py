@@ -113,8 +113,15 @@ nm2 AS (SELECT nm1.* REPLACE (coalesce(m.freq_name, nm1.nom_clean) AS nom_clean)
 ALL = (NAMES_CTE, PASS1_CTE, PASS2_CTE)
 
 
+_RESOLVED: dict = {}
+
+
 def _resolved(spark, sf):
-    return RV.resolve_names(adapters.names(spark, sf))
+    """One resolution run per application and scale factor (its pass outputs are checkpointed)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RESOLVED:
+        _RESOLVED[key] = RV.resolve_names(adapters.names(spark, sf))
+    return _RESOLVED[key]
 
 
 @register("entity_profiles", with_ctes("SELECT nom_clean AS \"Nom_clean\", n_races, sexe, mean_speed FROM prof0",
