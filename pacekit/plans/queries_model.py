@@ -157,3 +157,16 @@ def expected_series(spark, sf):
                  .select("runner_id", "date", F.lit("expected").alias("series"),
                          F.col("predicted_performance_index").alias("index_value")))
     return actual.unionByName(expected)
+
+
+@register("ranking_with_expected")
+def ranking_with_expected(spark, sf):
+    """Each race's ranking left-merged with that race's stored predictions, plus the signed
+    time gap (F21/F23); typed NULLs when no predictions are stored (S11)."""
+    from ..functions.format import format_signed_time, format_time
+    ranking = R.race_ranking(adapters.results(spark, sf), adapters.dim_race(spark, sf), adapters.dim_runner(spark, sf))
+    pred = _trained(spark, sf)["predictions"].select("runner_id", "race_id", "predicted_time_sec", "abs_error_time_sec")
+    out = R.with_expected(ranking, pred, cols=("predicted_time_sec", "abs_error_time_sec"))
+    return (out.withColumn("predicted_time", format_time("predicted_time_sec"))
+               .withColumn("time_gap_sec", F.col("time_sec") - F.col("predicted_time_sec"))
+               .withColumn("time_gap", format_signed_time("time_gap_sec")))

@@ -43,3 +43,22 @@ def test_filters_and_columns_reach_the_scan(spark):
     p = plan(df)
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in p
+
+
+def test_missing_table_gives_typed_nulls(spark, tmp_path):
+    from pacekit.plans import reports as R
+    fact = adapters.results(spark, SF_SMALL, with_positions=False)
+    pred = R.predictions_or_nulls(spark, str(tmp_path))
+    assert pred is None
+    out = R.with_expected(fact.select("runner_id", "race_id"), pred)
+    assert dict(out.dtypes)["predicted_z"] == "double" and out.where("predicted_z IS NOT NULL").count() == 0
+
+
+def test_user_filters(spark):
+    from pacekit.plans import reports as R
+    fact = adapters.results(spark, SF_SMALL, with_positions=False)
+    assert R.user_filters(fact).count() == fact.count()
+    assert R.user_filters(fact, category="Toutes").count() == fact.count()
+    y = fact.agg({"year": "max"}).first()[0]
+    assert R.user_filters(fact, years=[y]).where(f"year <> {y}").count() == 0
+    assert R.user_filters(fact, category="1-URGENT").where("category <> '1-URGENT'").count() == 0
