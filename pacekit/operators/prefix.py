@@ -47,27 +47,53 @@ def _fold_moments(arr: Column) -> Column:
     return F.aggregate(arr, zero, step)
 
 
+def _sorted_segments(df: DataFrame, keys: list, n: int) -> DataFrame:
+    """Range-partition + sort on ``keys``; ``_pid`` / ``_lpos`` fixed by a reliable checkpoint."""
+    s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_lpos", F.monotonically_increasing_id()
+                       - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS)))
+    return cut_lineage(s)
+
+
+def fill_last_segmented(df: DataFrame, entity: str, order: list, value: str, out: str,
+                        n_parts: int | None = None) -> DataFrame:
+    """``last(value, ignorenulls) over (partition by entity order by order rows unbounded..current)``
+    without confining an entity to one task: local fill per (partition, entity) segment, plus the
+    last non-null value of the entity's earlier segments (one row per segment)."""
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = _sorted_segments(df, [F.col(entity)] + order, n)
+    seg = Window.partitionBy("_pid", entity).orderBy("_lpos")
+    w = s.withColumn("_loc", F.last(value, ignorenulls=True).over(seg.rowsBetween(Window.unboundedPreceding, 0)))
+    segs = w.groupBy("_pid", entity).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_lpos"))).alias("_seglast"))
+    before = Window.partitionBy(entity).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = segs.select("_pid", entity, F.last("_seglast", ignorenulls=True).over(before).alias("_carry"))
+    j = join_checked(w, carry, ["_pid", entity])
+    return j.withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_pid", "_lpos", "_loc", "_carry")
+
+
 def add_history_segmented(df: DataFrame, entity: str = "runner_id", time: str = "date", event: str = "race_id",
                           tiebreak: str = "result_id", speed: str = "speed_kmh", z: str = "speed_z_race",
-                          n_parts: int | None = None) -> DataFrame:
-    """Same columns and values as ``history.add_history``; no entity is confined to one task."""
+                          n_parts: int | None = None, inclusive: bool = False) -> DataFrame:
+    """Same columns and values as ``history.add_history``; no entity is confined to one task.
+
+    ``inclusive=True`` gives the state *after* each row (its own row included): what a later
+    as-of lookup needs.
+    """
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(entity), F.col(time).asc_nulls_last(), F.col(event), F.col(tiebreak)]
-    s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_lpos", F.monotonically_increasing_id()
-                       - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS)))
-    s = cut_lineage(s)
+    s = _sorted_segments(df, keys, n)
 
     seg = Window.partitionBy("_pid", entity).orderBy("_lpos")
-    prev = seg.rowsBetween(Window.unboundedPreceding, -1)
+    hi = 0 if inclusive else -1
+    prev = seg.rowsBetween(Window.unboundedPreceding, hi)
     upto = seg.rowsBetween(Window.unboundedPreceding, 0)
     row = F.struct(F.col(speed).cast("double").alias("v"), F.col(z).cast("double").alias("z"),
                    F.col(time).alias("d"))
     meas = {"s": speed, "z": z}
-    cols = [(F.row_number().over(seg) - 1).alias("_k"),
-            F.collect_list(row).over(seg.rowsBetween(-3, -1)).alias("_prev3"),
+    cols = [(F.row_number().over(seg) + hi).alias("_k"),
+            F.collect_list(row).over(seg.rowsBetween(hi - 2, hi)).alias("_prev3"),
             F.collect_list(row).over(seg.rowsBetween(-2, 0)).alias("_tail3"),
             F.min(time).over(upto).alias("_dmin")]
     for tag, c in meas.items():
@@ -122,8 +148,12 @@ def add_history_segmented(df: DataFrame, entity: str = "runner_id", time: str =
     last_date = F.try_element_at(F.col("_p3"), F.lit(-1))["d"]
     out = (out.withColumn("recent_speed_roll3", mean_of("v"))
               .withColumn("recent_z_roll3", mean_of("z"))
+              .withColumn("last_date", last_date)
+              .withColumn("first_date", F.least(F.col("c_dmin"), F.col("_dmin")))
               .withColumn("days_since_last_race", F.datediff(F.col(time), last_date).cast("double"))
               .withColumn("runner_history_years",
                           F.datediff(F.col(time), F.least(F.col("c_dmin"), F.col("_dmin"))) / F.lit(365.25)))
     drop = [c for c in out.columns if c.startswith("_") or c.startswith("c_")]
+    if not inclusive:
+        drop += ["last_date", "first_date"]
     return out.drop(*drop)

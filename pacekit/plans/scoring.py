@@ -43,8 +43,14 @@ def history_state(results: DataFrame) -> DataFrame:
     return valid.select("runner_id", "date", "race_id", "result_id", state.alias("state"))
 
 
-def asof_features(results: DataFrame, races: DataFrame, probes: DataFrame) -> DataFrame:
-    """J8 + W16: serving features for probe pairs (runner_id, race_id) as of the race date."""
+def asof_features(results: DataFrame, races: DataFrame, probes: DataFrame, segmented: bool = True) -> DataFrame:
+    """J8 + W16: serving features for probe pairs (runner_id, race_id) as of the race date.
+
+    ``segmented=True`` (default) computes the running state with the segmented prefix scan and
+    the as-of fill with a segmented last-value, so no runner is confined to one task.
+    """
+    if segmented:
+        return _asof_segmented(results, races, probes)
     p = join_checked(probes.select("runner_id", "race_id"), races.select("race_id", "date", "distance"), "race_id")
     hist = history_state(results)
     cols = ["runner_id", "date", "race_id", "result_id"]
@@ -103,3 +109,34 @@ def whatif(results: DataFrame, races: DataFrame, probes: DataFrame, model=None,
               "predicted_pace_sec_km"]:
         rest = rest.withColumn(c, F.lit(None).cast("double"))
     return scored.unionByName(rest)
+
+
+_STATE_FIELDS = ["prior_race_count", "prior_avg_speed", "prior_std_speed", "prior_best_speed", "prior_avg_z",
+                 "prior_std_z", "prior_best_z", "recent_speed_roll3", "recent_z_roll3", "last_date", "first_date"]
+
+
+def _asof_segmented(results: DataFrame, races: DataFrame, probes: DataFrame) -> DataFrame:
+    from ..operators.prefix import add_history_segmented, fill_last_segmented
+    p = join_checked(probes.select("runner_id", "race_id"), races.select("race_id", "date", "distance"), "race_id")
+    rs = race_stats(results)
+    r = join_checked(results, rs, "race_id")
+    r = r.withColumn("speed_z_race", safe_div(F.col("speed_kmh") - F.col("race_mean_speed"), "race_std_speed"))
+    valid = r.where(F.col("speed_z_race").isNotNull() & F.col("date").isNotNull()).select(
+        "runner_id", "date", "race_id", "result_id", "speed_kmh", "speed_z_race")
+    st = add_history_segmented(valid, inclusive=True)   # state after each valid result
+    state = F.struct(*[F.col(c) for c in _STATE_FIELDS])
+    stream = (st.select("runner_id", "date", "race_id", "result_id", F.lit(1).alias("_is_result"), state.alias("state"))
+                .unionByName(p.select("runner_id", "date", "race_id", F.lit(None).cast("long").alias("result_id"),
+                                      F.lit(0).alias("_is_result"),
+                                      F.lit(None).cast(st.select(state.alias("s")).schema["s"].dataType).alias("state"))))
+    order = [F.col("date"), F.col("_is_result"), F.col("race_id"), F.col("result_id")]
+    got = fill_last_segmented(stream, "runner_id", order, "state", "_st").where(F.col("_is_result") == 0)
+    out = got.select("runner_id", "race_id", "date", "_st").join(p.select("runner_id", "race_id", "distance"),
+                                                                ["runner_id", "race_id"])
+    return out.select(
+        "runner_id", "race_id", "distance", F.month("date").alias("race_month"),
+        F.dayofyear("date").alias("race_dayofyear"),
+        F.coalesce(F.col("_st.prior_race_count"), F.lit(0)).cast("int").alias("prior_race_count"),
+        *[F.col(f"_st.{c}").alias(c) for c in _STATE_FIELDS[1:9]],
+        F.datediff("date", F.col("_st.last_date")).cast("double").alias("days_since_last_race"),
+        (F.datediff("date", F.col("_st.first_date")) / F.lit(365.25)).alias("runner_history_years"))

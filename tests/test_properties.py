@@ -151,3 +151,24 @@ def test_segmented_history_equals_windows_with_hot_entity(spark):
             assert (x is None) == (y is None)
             if x is not None:
                 assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
+
+
+def test_segmented_asof_equals_window_asof_with_hot_runner(spark):
+    from pacekit.plans import reports as R
+    from pacekit.plans import scoring as S
+    fact = adapters.results(spark, SF_SMALL, with_positions=False)
+    hot = fact.withColumn("runner_id", F.when(F.col("result_id") % 3 == 0, F.lit(7)).otherwise(F.col("runner_id")))
+    hot = hot.groupBy("runner_id", "race_id").agg(F.min_by(F.struct(*[c for c in hot.columns
+                                                                     if c not in ("runner_id", "race_id")]),
+                                                           "result_id").alias("r")).select("runner_id", "race_id", "r.*")
+    races = adapters.dim_race(spark, SF_SMALL)
+    probes = R.not_run_races(hot, races).select("runner_id", "race_id")
+    key = ["runner_id", "race_id"]
+    a = {tuple(x[:2]): x[2:] for x in S.asof_features(hot, races, probes, segmented=False).orderBy(*key).collect()}
+    b = {tuple(x[:2]): x[2:] for x in S.asof_features(hot, races, probes, segmented=True).orderBy(*key).collect()}
+    assert a.keys() == b.keys() and len(a) > 0
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None) == (y is None)
+            if x is not None:
+                assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
