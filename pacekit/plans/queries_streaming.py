@@ -12,9 +12,17 @@ from ..sources import documents as D
 from ..sources import warehouse as WH
 from ..streaming import ingest as ST
 from .catalog import register
+from .oracle import RESULTS_CTE, with_ctes
+from .queries_shred import DOC_CTE
 
+# Oracle: after both waves (and the no-op re-run) every parsed, deduplicated row is one fact.
+_SQL = with_ctes("""
+SELECT lower(trim("NomCourse")) || '_' || strftime("Date", '%Y-%m-%d') || '_' || CAST("Distance" AS VARCHAR) AS racekey,
+       count(DISTINCT "Nom") AS facts
+FROM expected GROUP BY 1""", RESULTS_CTE, DOC_CTE)
 
-@register("incremental_ingest")
+
+@register("incremental_ingest", _SQL)
 def incremental_ingest(spark, sf):
     """Odd races arrive first, even races later; each run ingests only the new documents.
     Returns facts per race after both runs (no duplicates from the re-run)."""

@@ -31,12 +31,17 @@ CELLS_SCHEMA = StructType([
 def process_documents(spark: SparkSession, cells: DataFrame, pages: DataFrame, root: str) -> DataFrame:
     """Batch pipeline for a set of complete documents; returns their parse report."""
     out = SH.shred(cells, pages)
-    rows = out["rows"]
-    clean = with_derived(C.clean_results(C.dedup_results(rows))).drop("temps_clean")
-    WH.load_star(spark, root, clean, dedup=True)
-    report = SH.reconcile(rows, out["headers"])
-    report.write.mode("append").parquet(os.path.join(root, "parse_report"))
-    return report
+    rows = out["rows"].persist()          # used by the load and by the report of this batch
+    headers = out["headers"].persist()
+    try:
+        clean = with_derived(C.clean_results(C.dedup_results(rows))).drop("temps_clean")
+        WH.load_star(spark, root, clean, dedup=True)
+        report = SH.reconcile(rows, headers)
+        report.write.mode("append").parquet(os.path.join(root, "parse_report"))
+    finally:
+        rows.unpersist()
+        headers.unpersist()
+    return spark.read.parquet(os.path.join(root, "parse_report"))
 
 
 def start_ingest(spark: SparkSession, cells_dir: str, pages_dir: str, root: str, checkpoint: str):
