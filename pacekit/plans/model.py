@@ -176,6 +176,6 @@ def actual_vs_predicted(pred: DataFrame) -> DataFrame:
     t = pred.where(F.col("split") == "test").select(
         "source_result_id", (F.col("target_time_sec") / 60).alias("actual_min"),
         (F.col("predicted_time_sec") / 60).alias("predicted_min"))
-    b = t.agg(F.least(F.min("actual_min"), F.min("predicted_min")).alias("axis_min"),
-              F.greatest(F.max("actual_min"), F.max("predicted_min")).alias("axis_max"))
-    return t.crossJoin(b)  # one-row side
+    lo, hi = t.agg(F.least(F.min("actual_min"), F.min("predicted_min")),
+                   F.greatest(F.max("actual_min"), F.max("predicted_min"))).first()  # two scalars
+    return t.withColumn("axis_min", F.lit(lo).cast("double")).withColumn("axis_max", F.lit(hi).cast("double"))

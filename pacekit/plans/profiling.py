@@ -76,8 +76,8 @@ def inconsistent_attribute(df: DataFrame, entity: str, attr: str, cols: list[str
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width bins between min and max, last bin closed on the right."""
-    mm = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    j = df.select(col).crossJoin(mm)  # one-row side
+    mn, mx = df.agg(F.min(col), F.max(col)).first()  # two scalars
+    j = df.select(col, F.lit(mn).alias("_mn"), F.lit(mx).alias("_mx"))
     width = (F.col("_mx") - F.col("_mn")).cast("double")
     b = F.when(width == 0, 0).otherwise(F.least(F.floor((F.col(col) - F.col("_mn")) * bins / width), F.lit(bins - 1)))
     h = j.withColumn("bin", b.cast("int")).groupBy("bin", "_mn", "_mx").agg(F.count(F.lit(1)).alias("count"))
