@@ -147,7 +147,11 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
     shorter = F.length("l_key") <= F.length("r_key")
     cand = (cand.withColumn("_xstr", F.when(shorter, F.col("l_key")).otherwise(F.col("r_key")))
                 .withColumn("_ystr", F.when(shorter, F.col("r_key")).otherwise(F.col("l_key"))))
+    # materialise the (small) candidate set: keeps the mask map from being rebuilt inside the
+    # per-character LCS lambda and the candidate plan from being re-run
+    cand = cut_lineage(cand)
     cand = cand.withColumn("_xlen", F.length("_xstr")).withColumn("_xmask", char_masks("_xstr"))
+    cand = cut_lineage(cand)
     cand = with_lcs(cand, "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
     T = F.length("l_key") + F.length("r_key")
     return (cand.where(T - 2 * F.col("lcs") <= max_indel(T))
