@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
 
 from ..functions.numeric import speed_kmh
 from ..functions.text import match_key
@@ -105,5 +104,3 @@ def membership_filters(df: DataFrame, col: str, keep: list[str], attr: str, not_
         F.count_if(inside & differs).alias("in_list_not_value"),
         F.count_if(~inside).alias("not_in_list"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("NumericType", "StringType")]

@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..operators import cleaning as C
@@ -71,5 +70,3 @@ def drop_documents(cells: DataFrame, pages: DataFrame, cells_dir: str, pages_dir
     c.repartition("source_file").write.mode("append").parquet(cells_dir)
     p.repartition("source_file").write.mode("append").parquet(pages_dir)
 
-
-__all__ = ["CELLS_SCHEMA", "process_documents", "start_ingest", "run_ingest", "drop_documents", "F"]
