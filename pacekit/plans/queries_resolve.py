@@ -25,7 +25,7 @@ def _lcs_sql(a, b):
     masks = (f"list_transform(string_split({b}, ''), lambda ch: CAST(list_sum(list_transform(range(length({a})), "
              f"lambda i: CASE WHEN substr({a}, (i + 1)::BIGINT, 1) = ch THEN 1::BIGINT << i::INTEGER ELSE 0::BIGINT END)) AS BIGINT))")
     red = f"list_reduce(list_prepend({M}, {masks}), lambda v, m: ((v + (v & m)) | (v - (v & m))) & {M})"
-    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE bit_count((~({red})) & {M}) END"
+    return f"CAST(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE bit_count((~({red})) & {M}) END AS INTEGER)"
 
 
 def _final_x10_sql(lcs2, T, sp):
