@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, sharding, simhash
-from .common import read
+from . import ann, licenses, mixing, packing, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
+from .common import read, stored
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +19,35 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read(spark, sf_dir, "documents"), toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn=~out)
+    return toxicity.add_score(docs, model).select("doc_id", out.alias("held_out"), "score",
+                                                  (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.search(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(mixing.sized(read(spark, sf_dir, "documents")), weights=(3, 1, 2), share=1.5, max_epochs=2)
     return plan.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read_archives(warc.write_archives(spark, read(spark, sf_dir, "pages")), payloads=False)
+    found = stored(found.where("kind = 'record'"), "warc-records")
+    named = found.where("record_type = 'response'").select(F.col("record_id").alias("_id"), F.col("key").alias("_page")).distinct()
+    return (found.join(named, F.col("refers_to") == F.col("_id"), "left")
+                 .select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("_page").alias("refers_to")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -31,5 +59,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op6_mixing, op8_quality_rules, op9_sharding)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("loss_tokens")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_simhash_near_dedup, op3_toxicity, op4_quality_classifier, op5_ann, op6_mixing, op7_warc,
+    op8_quality_rules, op9_sharding, op10_packing)}
 ORACLES: dict[str, str] = {}
