@@ -29,6 +29,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(table: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """A stored, narrow table marked for broadcast if it has ``max_rows`` at most; else as it is,
+    for a shuffle join."""
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def n_words(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` words (null: 0)."""
     t = F.btrim(F.coalesce(text, F.lit("")), F.lit(_WS_CHARS))

@@ -14,15 +14,13 @@ source are ordered. All work is DataFrame operations; only three sums a round re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_index
 from .common import WS, n_words, scratch_columns, stored
 from .sharding import seeded
 
-_BINS = 4096
-
 
 def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame:
     """``sources(source, weight, size)`` with ``target``: capped shares of ``total`` words.
@@ -50,42 +48,53 @@ def cyclic_weights(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     return ranked.withColumn("weight", chosen).drop("_rank")
 
 
-def mix(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2) -> DataFrame:
-    """``rows(doc_id, source, size, draw)`` with ``source_size``, ``target``, ``whole`` (times the
-    row is repeated whole) and ``part`` (words of one more, fractional repetition).
+def _bin(draw: Column) -> Column:
+    return F.shiftrightunsigned(draw, 48).cast("int")      # draws have 60 bits
 
-    The result depends on the rows only, so reruns agree. Rows without words take nothing;
-    a null source is one; rows that are equal in ``draw`` and ``doc_id`` share a fraction in any
-    order; an empty table gives no rows.
-    """
+
+def plan_sources(rows: DataFrame, weights: tuple[int, ...], share: float, max_epochs: int) -> DataFrame:
+    """A row per source of ``rows(source, size, draw)``: its size, target, whole repetitions, and
+    the bin and the words in it (``border``, ``room``) where its fractional repetition ends."""
     sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("size")), "source-sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
-    plan = water_fill(cyclic_weights(sizes, weights), share * total, max_epochs)
-    plan = stored(plan.withColumn("words", F.floor("target"))
-                      .withColumn("whole", F.when(F.col("size") > 0, F.expr("words div size")).otherwise(0).cast("long"))
-                      .withColumn("rest", F.when(F.col("size") > 0, F.expr("words % size")).otherwise(0).cast("long"))
-                      .select(F.col("source").alias("_source"), F.col("size").alias("source_size"), "target", "whole", "rest"),
-                  "mix-plan")
-    bin_of = F.shiftrightunsigned(F.col("draw"), 48).cast("int")      # draw has 60 bits
-    bins = rows.groupBy("source", bin_of.alias("bin")).agg(F.sum("size").alias("words"))
+    plan = water_fill(cyclic_weights(sizes, weights), share * total, max_epochs).withColumn("words", F.floor("target"))
+    plan = stored(plan.select(F.col("source").alias("_source"), F.col("size").alias("source_size"), "target",
+                              F.when(F.col("size") > 0, F.expr("words div size")).otherwise(0).cast("long").alias("whole"),
+                              F.when(F.col("size") > 0, F.expr("words % size")).otherwise(0).cast("long").alias("rest")), "mix-plan")
+    bins = rows.groupBy("source", _bin(F.col("draw")).alias("bin")).agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # 4096 rows at most
     before = bins.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
     # the bin in which a source's remaining words run out
     border = (before.join(plan.select("_source", "rest"), F.col("source").eqNullSafe(F.col("_source")))
                     .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
-                    .select("_source", F.col("bin").alias("border"), (F.col("rest") - F.col("before")).alias("room")))
-    plan = stored(plan.join(border.withColumnRenamed("_source", "_b"), F.col("_source").eqNullSafe(F.col("_b")), "left").drop("_b"),
-                  "mix-border")
-    all_rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("bin", bin_of)
-    clear = (all_rows.where(F.col("border").isNull() | (F.col("bin") != F.col("border")))
-                     .withColumn("part", F.when(F.col("bin") < F.col("border"), F.col("size")).otherwise(0).cast("long")))
+                    .select(F.col("source").alias("_b"), F.col("bin").alias("border"), (F.col("rest") - F.col("before")).alias("room")))
+    return stored(plan.join(border, F.col("_source").eqNullSafe(F.col("_b")), "left").drop("_b", "rest"), "mix-border")
+
+
+def _in_border(rows: DataFrame) -> DataFrame:
+    """The rows of the border bins with their ``part``, in the seeded order."""
     order = (Window.partitionBy("source").orderBy("draw", F.col("doc_id").asc_nulls_last(), "size")
                    .rowsBetween(Window.unboundedPreceding, -1))
-    tight = (all_rows.where(F.col("bin") == F.col("border"))
-                     .withColumn("_before", F.coalesce(F.sum("size").over(order), F.lit(0)))
-                     .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.col("_before"))).cast("long"))
-                     .drop("_before"))
-    return clear.unionByName(tight).select(*rows.columns, "source_size", "target", "whole", "part")
+    return (rows.where(_bin(F.col("draw")) == F.col("border"))
+                .withColumn("_before", F.coalesce(F.sum("size").over(order), F.lit(0)))
+                .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.col("_before"))).cast("long"))
+                .drop("_before"))
+
+
+def mix(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2) -> DataFrame:
+    """``rows(doc_id, source, size, draw)`` with ``source_size``, ``target``, ``whole`` (times the
+    row is repeated whole) and ``part`` (words of one more, fractional repetition).
+
+    The result depends on the rows only, so reruns agree. Rows without words take nothing;
+    a null source is one; rows that are equal in ``draw`` and ``doc_id`` share a fraction in any
+    order; an empty table gives no rows.
+    """
+    plan = plan_sources(rows, weights, share, max_epochs)
+    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    at = _bin(F.col("draw"))
+    clear = (planned.where(F.col("border").isNull() | (at != F.col("border")))
+                    .withColumn("part", F.when(at < F.col("border"), F.col("size")).otherwise(0).cast("long")))
+    return clear.unionByName(_in_border(planned)).select(*rows.columns, "source_size", "target", "whole", "part")
 
 
 def sized(docs: DataFrame, seed: int = 6, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -98,24 +107,38 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed rows themselves, with the columns of ``docs``: every row as often as the mix
     repeats it whole, and one text cut to its first words (joined by single spaces) where a
-    fractional repetition ends. Rows with equal ids are decided one by one but not told apart;
-    rows without an id are mixed by their text's hash.
+    fractional repetition ends. Rows without words are not in the mix; rows without an id are
+    drawn by their text's hash; rows with equal ids are drawn together but counted one by one.
     """
-    c_key, c_n, c_part, c_no, c_rep = scratch_columns(docs, "_key", "_n", "_part", "_no", "_rep")
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
-    keyed = docs.withColumn(c_key, key)
-    rows = stored(keyed.select(F.col(c_key).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
-                               seeded(seed, F.col(c_key)).alias("draw")), "sized")
-    plan = mix(rows, weights, share, max_epochs)
-    # equal keys: as many whole rows as they take together
-    plan = stored(plan.groupBy("doc_id", F.col("source").alias("_s"))
-                      .agg(F.max("whole").alias(c_n), F.sum("part").alias(c_part), F.max("size").alias("_size")), "mix")
-    rep = F.concat(F.array_repeat(F.lit(-1).cast("long"), F.col(c_n).cast("int")),
-                   F.when(F.col(c_part) > 0, F.array(F.col(c_part))).otherwise(F.array().cast("array<bigint>")))
-    plan = plan.withColumn(c_rep, rep).select(F.col("doc_id").alias(c_no), F.col("_s").alias(c_n), c_rep)
-    joined = keyed.join(plan, (F.col(c_key) == F.col(c_no)) & F.col(source_col).eqNullSafe(F.col(c_n)))
-    out = joined.withColumn(c_part, F.explode(c_rep))
-    cut = F.when((F.col(c_part) >= 0) & (F.col(c_part) < n_words(F.col(text_col))),
-                 F.array_join(F.slice(F.split(F.btrim(F.col(text_col), F.lit(" \t\n\x0b\f\r")), WS, -1), 1, F.col(c_part).cast("int")), " ")
-                 ).otherwise(F.col(text_col))
-    return out.select(*[cut.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    names = ("_key", "_draw", "_size", "_part", "_no", "_rep", "_source", "border", "room", "whole", "source_size", "target")
+    c = dict(zip(names, scratch_columns(docs, *names)))
+    key = F.coalesce(F.col(id_col).cast("string"),
+                     F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
+    keyed = docs.withColumn(c["_key"], key).withColumn(c["_draw"], seeded(seed, key)).withColumn(c["_size"], n_words(F.col(text_col)))
+    rows = stored(keyed.select(F.col(c["_key"]).alias("doc_id"), F.col(source_col).alias("source"), F.col(c["_size"]).alias("size"),
+                               F.col(c["_draw"]).alias("draw")), "sized")
+    plan = plan_sources(rows, weights, share, max_epochs)
+    # the few rows in border bins are told apart by a number among those with their key
+    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    number = F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("size", F.desc("part")))
+    tight = stored(_in_border(planned).withColumn("no", number).select(
+        F.col("doc_id").alias("t_key"), F.col("source").alias("t_source"), F.col("no").alias("t_no"), F.col("part").alias("t_part")), "mix-tight")
+    plan = plan.select(*[F.col(n).alias(c[n]) for n in ("_source", "border", "room", "whole", "source_size", "target")])
+    wide = keyed.join(plan, F.col(source_col).eqNullSafe(F.col(c["_source"])))
+    at, border = _bin(F.col(c["_draw"])), F.col(c["border"])
+    clear = (wide.where(border.isNull() | (at != border))
+                 .withColumn(c["_part"], F.when(at < border, F.col(c["_size"])).otherwise(0).cast("long")))
+    again = F.row_number().over(Window.partitionBy(c["_key"], source_col).orderBy(c["_size"]))
+    tight = tight.select(F.col("t_key").alias(c["room"] + "k"), F.col("t_source").alias(c["room"] + "s"), F.col("t_no").alias(c["room"] + "n"),
+                         F.col("t_part").alias(c["_part"]))
+    edge = wide.where(at == border).withColumn(c["_no"], again)
+    edge = edge.join(tight, (F.col(c["_key"]) == F.col(c["room"] + "k")) & F.col(source_col).eqNullSafe(F.col(c["room"] + "s"))
+                     & (F.col(c["_no"]) == F.col(c["room"] + "n")))
+    part, size, whole = F.col(c["_part"]), F.col(c["_size"]), F.col(c["whole"]).cast("int")
+    taken = clear.select(*docs.columns, c["whole"], c["_size"], c["_part"]).unionByName(
+        edge.select(*docs.columns, c["whole"], c["_size"], c["_part"]))
+    times = F.concat(F.array_repeat(size, whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
+    out = taken.where(size > 0).withColumn(c["_rep"], F.explode(times))
+    first = F.array_join(F.slice(F.split(F.btrim(F.col(text_col), F.lit(" \t\n\x0b\f\r")), WS, -1), 1, F.col(c["_rep"]).cast("int")), " ")
+    cut = F.when(F.col(c["_rep"]) < size, first).otherwise(F.col(text_col))
+    return out.select(*[cut.alias(n) if n == text_col else F.col(n) for n in docs.columns])

@@ -1,18 +1,22 @@
 """Toxicity scores from two class-conditional Kneser-Ney bigram models.
 
-One model is counted on the documents labelled toxic, one on those labelled ordinary. Both back
-off, through their own continuation counts (in how many different left neighbours a word
-follows), to one shared distribution: in how many different documents a word occurs, counted
-over all documents, labelled or not. A rare expression, which neither class knows well, so gets
-nearly the same probability from both and does not decide.
-
-A document's evidence is the difference of the two log-likelihoods, normalised by length, over the
-whole text and over its most toxic window of words (an insult in a long text is not diluted). A
-logistic curve fitted on labelled rows that the counts have not seen turns it into a score.
+One model is counted on the documents labelled toxic, one on those labelled ordinary. Each backs
+off from pairs of words to its words' continuation counts (in how many different pairs a word is
+the second), from there to the continuation counts of the words' beginnings, so that inflected or
+compound forms support each other, and at last to one distribution that both share: in how many
+different documents a word, or beginning, occurs, counted over all documents, labelled or not. The
+absolute discount is above two, so an expression that a class has seen once or twice backs off
+completely: rare expressions get nearly the same probability from both classes and do not decide.
+
+Repeats of a pair within a text count once. A document's evidence is the difference of the two
+log-likelihoods of its pairs, normalised by their number: the mean; the excess above a margin over
+the number and over its square root (a few insults in a long text are not diluted by what is
+neutral); and the largest three. A logistic curve, fitted on labelled rows that the counts
+have not seen, turns it into a score.
 
 The counts are Spark aggregations over the whole corpus, which grow with it. Scoring needs them
 in every task: words and pairs are hashed to tables of fixed size (``slots`` and ``pair_slots``), so
-that what is broadcast has a proven bound: 28 bytes a slot and 8 bytes a pair slot.
+that what is broadcast has a proven bound: 44 bytes a slot and 8 bytes a pair slot.
 """
 
 from __future__ import annotations
@@ -26,73 +30,100 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_columns, stored
+from .common import scratch_columns, small, stored
 from .licenses import words
 
-_DISCOUNT = 0.75
-_WINDOW = 12
+_DISCOUNT = 2.5
+_MARGIN = 2.0
+_STEM = 5                               # bytes of a word's beginning
+_BITS = 20                              # of a slot in a pair's key
+_LOW = (1 << _BITS) - 1
+
+
+def slots_of(ws: list[bytes], slots: int) -> np.ndarray:
+    """Slots of words, 1 to slots - 1."""
+    return np.fromiter(map(zlib.crc32, ws), np.int64, len(ws)) % (slots - 1) + 1
+
+
+def pairs_of(text: bytes, slots: int) -> np.ndarray:
+    """The different pairs of a text, in the order of their first places: slots of the left word
+    (0 at the start), the word and its beginning in one number."""
+    ws = words(text)
+    if not ws:
+        return np.zeros(0, np.int64)
+    w = slots_of(ws, slots)
+    left = np.concatenate(([0], w[:-1]))
+    key = (left << 2 * _BITS) | (w << _BITS) | slots_of([x[:_STEM] for x in ws], slots)
+    return key[np.sort(np.unique(key, return_index=True)[1])]
+
+
+def pair_slot(key: np.ndarray, pair_slots: int) -> np.ndarray:
+    mixed = key.astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(24)) % np.uint64(pair_slots)).astype(np.int64)
 
 
 @dataclass
 class Model:
-    """Hashed counts: class arrays are (toxic, ordinary)."""
+    """Tables by slot; those of a class have a first axis (toxic, ordinary)."""
     slots: int
     pair_slots: int
-    seen: np.ndarray                    # documents with the word, of all
-    token: np.ndarray                   # [2, slots] tokens
-    lefts: np.ndarray                   # [2, slots] different left neighbours
-    rights: np.ndarray                  # [2, slots] different right neighbours
-    pair: np.ndarray                    # [2, pair_slots] counts of pairs seen twice or more
-    curve: np.ndarray = field(default_factory=lambda: np.zeros(4))
-
-    def __post_init__(self):
-        total = float(self.seen.sum()) + 0.5 * self.slots
-        shared = (self.seen + 0.5) / total
-        self.low = np.empty((2, self.slots), np.float32)
+    shared: np.ndarray                  # [slots] shared probability of a word
+    word: np.ndarray                    # [2, slots] discounted continuation probability of a word
+    stem: np.ndarray                    # [2, slots] probability of a beginning, over its shared one
+    context: np.ndarray                 # [2, slots] pairs with this left word
+    backoff: np.ndarray                 # [2, slots] mass that a left word leaves to the lower order
+    known: np.ndarray                   # [2, slots] pairs with this word
+    pair: np.ndarray                    # [2, pair_slots] documents with the pair
+    curve: np.ndarray = field(default_factory=lambda: np.zeros(len(EVIDENCE) + 1))
+
+    @classmethod
+    def counted(cls, seen, stems_seen, by_word, by_stem, by_left, pair) -> "Model":
+        """From documents by word and beginning; pair kinds and counts by word, kinds by beginning,
+        counts and their discounts by left word; hashed pair counts."""
+        slots = seen.shape[0]
+        shared = (seen + 0.5) / (float(seen.sum()) + 0.5 * slots)
+        shared_stem = (stems_seen + 0.5) / (float(stems_seen.sum()) + 0.5 * slots)
+        word, stem = np.zeros((2, slots), np.float32), np.zeros((2, slots), np.float32)
         for c in (0, 1):
-            n = self.lefts[c]
-            all_ = max(float(n.sum()), 1.0)
-            gamma = _DISCOUNT * np.count_nonzero(n) / all_ if n.any() else 1.0
-            self.low[c] = np.maximum(n - _DISCOUNT, 0) / all_ + gamma * shared
-
-    def likelihood_ratio(self, text: bytes) -> np.ndarray:
-        """log p(word | toxic) - log p(word | ordinary) of every word of a text."""
-        w = slots_of(words(text), self.slots)
-        if not len(w):
-            return np.zeros(0)
-        u = np.concatenate(([0], w[:-1]))                       # slot 0 stands for the start
-        at = pair_slot(u, w, self.pair_slots)
+            n, m = by_word[c].astype(float), by_stem[c].astype(float)
+            total = max(n.sum(), 1.0)
+            rest_w = np.minimum(n, _DISCOUNT).sum() / total if n.any() else 1.0
+            rest_s = np.minimum(m, _DISCOUNT).sum() / total if m.any() else 1.0
+            word[c] = np.maximum(n - _DISCOUNT, 0) / total
+            stem[c] = rest_w * (np.maximum(m - _DISCOUNT, 0) / total + rest_s * shared_stem) / shared_stem
+        context = by_left[:2]
+        backoff = np.where(context > 0, by_left[2:] / np.maximum(context, 1.0), 1.0).astype(np.float32)
+        return cls(slots, pair.shape[1], shared.astype(np.float32), word, stem, context, backoff, by_word[2:], pair)
+
+    def likelihood_ratios(self, text: bytes) -> np.ndarray:
+        """log p(word | left word, toxic) - log p(word | left word, ordinary) of every different pair."""
+        key = pairs_of(text, self.slots)
+        left, w, s, at = key >> 2 * _BITS, (key >> _BITS) & _LOW, key & _LOW, pair_slot(key, self.pair_slots)
         out = []
         for c in (0, 1):
-            context = self.token[c][u].astype(np.float64)
-            known = np.minimum(np.minimum(self.pair[c][at], context), self.token[c][w])
-            rest = np.where(context > 0, np.minimum(_DISCOUNT * self.rights[c][u] / np.maximum(context, 1.0), 1.0), 1.0)
-            out.append(np.log(np.maximum(known - _DISCOUNT, 0.0) / np.maximum(context, 1.0) + np.maximum(rest, 1e-3) * self.low[c][w]))
-        return out[0] - out[1]
-
-    def evidence(self, text: bytes) -> tuple[float, float, float]:
-        """Mean ratio, the mean ratio of the most toxic window, and the logarithm of the length."""
-        r = self.likelihood_ratio(text)
-        if not len(r):
-            return 0.0, 0.0, 0.0
-        total = np.concatenate(([0.0], np.cumsum(r)))
-        k = min(_WINDOW, len(r))
-        window = float((total[k:] - total[:-k]).max()) / _WINDOW
-        return float(total[-1]) / len(r), window, float(np.log1p(len(r)))
+            context = self.context[c][left]
+            # the hashed count is at most the true count of either word
+            count = np.minimum(np.minimum(self.pair[c][at], context), self.known[c][w])
+            low = self.word[c][w] + self.stem[c][s] * self.shared[w]
+            out.append(np.log(np.maximum(count - _DISCOUNT, 0.0) / np.maximum(context, 1.0)
+                              + np.maximum(self.backoff[c][left], 1e-3) * low + 1e-30))
+        return (out[0] - out[1]).astype(float)
+
+    def evidence(self, text: bytes) -> tuple[float, ...]:
+        r = self.likelihood_ratios(text)
+        n = len(r)
+        if not n:
+            return (0.0,) * len(EVIDENCE)
+        excess = float(np.maximum(r - _MARGIN, 0.0).sum())
+        top = np.partition(r, n - 3)[n - 3:] if n > 3 else r
+        return float(r.mean()), excess / n ** 0.5, excess / n, float(np.log1p(n)), float(top.mean())
 
     def score(self, text: bytes) -> float:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.curve @ np.array([1.0, *self.evidence(text)]), -30, 30))))
 
 
-def slots_of(ws: list[bytes], slots: int) -> np.ndarray:
-    """Slots of words, 1 to slots - 1."""
-    return np.fromiter(map(zlib.crc32, ws), np.int64, len(ws)) % (slots - 1) + 1
-
-
-def pair_slot(u: np.ndarray, w: np.ndarray, pair_slots: int) -> np.ndarray:
-    mixed = (u.astype(np.uint64) << np.uint64(32)) | w.astype(np.uint64)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(24)) % np.uint64(pair_slots)).astype(np.int64)
+EVIDENCE = ("mean", "excess_root", "excess_mean", "size", "top")
 
 
 def fold(id_col: Column) -> Column:
@@ -114,7 +145,7 @@ def _dense(rows: DataFrame, key: str, columns: list[str], size: int) -> np.ndarr
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          learn: Column | None = None, slots: int = 1 << 20, pair_slots: int = 1 << 22, curve_rows: int = 20_000,
+          learn: Column | None = None, slots: int = 1 << _BITS, pair_slots: int = 1 << 21, curve_rows: int = 20_000,
           curve_part: int = 8) -> Model:
     """Count the models over ``docs`` and fit the curve.
 
@@ -122,63 +153,66 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``curve_part`` fits the curve, ``curve_rows`` at most (the ones with the smallest folds, a
     documented bound), and the others are counted. Documents without a label, or with a label
     other than 0 and 1, take part in the shared counts. An id with two labels is counted for both.
+    Tables without rows or labels give a model that scores every text alike.
     """
-    c_id, c_text, c_label, c_use = scratch_columns(docs, "_id", "_text", "_label", "_use")
+    c_id, c_text, c_label, c_use, c_fold = scratch_columns(docs, "_id", "_text", "_label", "_use", "_fold")
     key = F.col(id_col)
-    marks = labels.select(F.col(id_col).alias(c_id), F.col(label_col).cast("int").alias(c_label)).where(f"`{c_label}` in (0, 1)").distinct()
+    marks = (labels.select(F.col(id_col).alias(c_id), F.col(label_col).cast("int").alias(c_label))
+                   .where(F.col(c_label).isin(0, 1)).distinct())
     learnable = key.isNotNull() & (F.lit(True) if learn is None else learn)
-    calibrates = F.floor(fold(key) / 4) % curve_part == 0
     # only ids are joined with the labels; texts are read where they lie
-    marked = stored(docs.select(key.alias(id_col)).where(learnable).distinct().join(marks, F.col(id_col) == F.col(c_id))
-                        .select(c_id, c_label, calibrates.alias(c_use), fold(key).alias("_fold")), "toxic-marks")
+    marked = stored(docs.where(learnable).select(key).distinct().join(marks, F.col(id_col) == F.col(c_id))
+                        .select(c_id, c_label, (F.floor(fold(key) / 4) % curve_part == 0).alias(c_use), fold(key).alias(c_fold)),
+                    "toxic-marks")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
 
     def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(slots, np.int64)
+        seen = np.zeros(2 * slots, np.int64)
         for f in frames:
             for t in f[c_text]:
-                seen[np.unique(slots_of(words(bytes(t)), slots))] += 1
+                k = pairs_of(bytes(t), slots)
+                seen[np.unique((k >> _BITS) & _LOW)] += 1
+                seen[np.unique(k & _LOW) + slots] += 1
         at = np.nonzero(seen)[0]
         yield pd.DataFrame({"slot": at.astype(np.int32), "n": seen[at]})
-    shared = (docs.select(text.alias(c_text)).mapInPandas(document_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("seen")))
-    seen = _dense(shared, "slot", ["seen"], slots)[0]
+    shared = docs.select(text.alias(c_text)).mapInPandas(document_counts, "slot int, n long")
+    seen = _dense(shared.groupBy("slot").agg(F.sum("n").alias("seen")), "slot", ["seen"], 2 * slots)[0]
 
     def pair_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:                                     # a batch at a time bounds the memory
             parts = {0: [], 1: []}
             for t, label in zip(f[c_text], f[c_label]):
-                w = slots_of(words(bytes(t)), slots)
-                if len(w):
-                    parts[int(label)].append((np.concatenate(([0], w[:-1])) << 32) | w)
+                parts[int(label)].append(pairs_of(bytes(t), slots))
             for label, got in parts.items():
                 if got:
                     pair, n = np.unique(np.concatenate(got), return_counts=True)
                     yield pd.DataFrame({"pair": pair, "toxic": n * label, "plain": n * (1 - label)})
-    learned = marked.where(~F.col(c_use)).select(c_id, c_label)
-    texts = docs.select(key.alias(id_col), text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
+    learned = small(marked.where(~F.col(c_use)).select(c_id, c_label))
+    texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
     pairs = stored(texts.mapInPandas(pair_counts, "pair long, toxic long, plain long").groupBy("pair")
                         .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "toxic-pairs")
-    left, right = F.shiftright("pair", 32).cast("int"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int")
-    kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"kinds_{c}") for c in ("toxic", "plain")]
-    tokens = [F.sum(c).alias(c) for c in ("toxic", "plain")]
-    lefts = _dense(pairs.groupBy(right.alias("slot")).agg(*kinds), "slot", ["kinds_toxic", "kinds_plain"], slots)
-    by_left = _dense(pairs.groupBy(left.alias("slot")).agg(*kinds, *tokens), "slot",
-                     ["kinds_toxic", "kinds_plain", "toxic", "plain"], slots)
+
+    def by(slot: Column, **what) -> np.ndarray:
+        rows = pairs.groupBy(slot.cast("int").alias("slot")).agg(*[F.sum(v).alias(k) for k, v in what.items()])
+        return _dense(rows, "slot", list(what), slots)
+    t, p = F.col("toxic"), F.col("plain")
+    kinds = {"kt": (t > 0).cast("long"), "kp": (p > 0).cast("long")}
+    by_word = by(F.shiftright("pair", _BITS).bitwiseAND(F.lit(_LOW)), **kinds, t=t, p=p)
+    by_stem = by(F.col("pair").bitwiseAND(F.lit(_LOW)), **kinds)
+    by_left = by(F.shiftright("pair", 2 * _BITS), t=t, p=p, dt=F.least(t, F.lit(_DISCOUNT)), dp=F.least(p, F.lit(_DISCOUNT)))
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            pair = f["pair"].to_numpy()
-            yield pd.DataFrame({"slot": pair_slot(pair >> 32, pair & 0xFFFFFFFF, pair_slots).astype(np.int32),
-                                "toxic": f["toxic"], "plain": f["plain"]})
-    pair = _dense(pairs.where(F.col("toxic") + F.col("plain") > 1).mapInPandas(hashed, "slot int, toxic long, plain long")
-                       .groupBy("slot").agg(*tokens), "slot", ["toxic", "plain"], pair_slots)
-    # a word's tokens as a left neighbour leave out only those at the end of a text
-    model = Model(slots, pair_slots, seen, by_left[2:], lefts, by_left[:2], pair)
-
-    calibrate = marked.where(F.col(c_use)).orderBy("_fold", c_id).limit(curve_rows).select(c_id, c_label)
-    rows = docs.select(key.alias(id_col), text.alias(c_text)).join(stored(calibrate, "toxic-curve"), F.col(id_col) == F.col(c_id))
-    found = _evidence(rows.select(c_text, c_label), model, c_text, [c_label]).toPandas()
-    model.curve = fit_curve(found[["mean", "window", "size"]].to_numpy(float), found[c_label].to_numpy(float))
+            yield pd.DataFrame({"slot": pair_slot(f["pair"].to_numpy(), pair_slots).astype(np.int32), "toxic": f["toxic"], "plain": f["plain"]})
+    pair = _dense(pairs.where(F.greatest(t, p) > _DISCOUNT).mapInPandas(hashed, "slot int, toxic long, plain long")
+                       .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")),
+                  "slot", ["toxic", "plain"], pair_slots)
+    model = Model.counted(seen[:slots], seen[slots:], by_word, by_stem, by_left, pair)
+
+    calibrate = stored(marked.where(F.col(c_use)).orderBy(c_fold, c_id).limit(curve_rows).select(c_id, c_label), "toxic-curve")
+    rows = docs.select(key, text.alias(c_text)).join(small(calibrate), F.col(id_col) == F.col(c_id))
+    found = _evidence(rows.select(c_text, c_label), model, c_text, c_label).toPandas()
+    model.curve = fit_curve(found[list(EVIDENCE)].to_numpy(float), found[c_label].to_numpy(float))
     return model
 
 
@@ -201,16 +235,15 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return beta
 
 
-def _evidence(rows: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
+def _evidence(rows: DataFrame, model: Model, text_col: str, label_col: str) -> DataFrame:
     shipped = rows.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shipped.value
         for f in frames:
-            got = np.array([m.evidence(bytes(t)) for t in f[text_col]]).reshape(-1, 3)
-            yield f[keep].assign(mean=got[:, 0], window=got[:, 1], size=got[:, 2])
-    return rows.mapInPandas(run, f"{kinds}, mean double, window double, size double")
+            got = np.array([m.evidence(bytes(t)) for t in f[text_col]]).reshape(-1, len(EVIDENCE))
+            yield f[[label_col]].assign(**{c: got[:, k] for k, c in enumerate(EVIDENCE)})
+    return rows.mapInPandas(run, f"`{label_col}` int, " + ", ".join(f"{c} double" for c in EVIDENCE))
 
 
 def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
