@@ -31,6 +31,7 @@ from .common import stored
 VERSION = b"WARC/1.1"
 _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
+_HEADER = re.compile(rb"WARC/1\.\d+(\r\n([!-9;-~]+:|[ \t])[^\r\n]*)*")
 _EPOCH = b"1970-01-01T00:00:00Z"
 MANIFEST = "path string, bytes long, records long"
 RECORDS = ("path string, start long, stop long, kind string, record_type string, record_id string, key long, uri string, "
@@ -129,7 +130,7 @@ class _Window:
     """A stream with look-ahead: bytes from ``at`` on, read in chunks and dropped when passed."""
 
     def __init__(self, stream):
-        self.stream, self.at, self.data, self.ended = stream, 0, b"", False
+        self.stream, self.at, self.data, self.ended = stream, 0, bytearray(), False
 
     def more(self) -> bool:
         got = b"" if self.ended else self.stream.read(_CHUNK)
@@ -137,14 +138,15 @@ class _Window:
         self.data += got
         return bool(got)
 
-    def peek(self, n: int) -> bytes:
+    def peek(self, n: int) -> bytearray:
         while len(self.data) < n and self.more():
             pass
         return self.data[:n]
 
     def skip(self, n: int) -> None:
         self.peek(n)
-        self.data, self.at = self.data[n:], self.at + min(n, len(self.data))
+        self.at += min(n, len(self.data))
+        del self.data[:n]
 
 
 def _headers(head: bytes) -> dict[str, str]:
@@ -152,7 +154,7 @@ def _headers(head: bytes) -> dict[str, str]:
     return {k.strip().lower().decode("utf-8", "replace"): v.strip().decode("utf-8", "replace") for k, _, v in pairs if k.strip()}
 
 
-def parse_record(data: bytes, whole: bool) -> tuple[dict, bytes, int] | str | None:
+def parse_record(data: bytes | bytearray, whole: bool) -> tuple[dict, bytes, int] | str | None:
     """Headers, block and length of the record that ``data`` begins with; the failed check as text;
     None if the data ends before the record does and may go on (``whole`` is false)."""
     if not data.startswith(b"WARC/1."):
@@ -160,13 +162,15 @@ def parse_record(data: bytes, whole: bool) -> tuple[dict, bytes, int] | str | No
     end = data.find(b"\r\n\r\n")
     if end < 0:
         return "header without end" if whole or len(data) > 1 << 20 else None
-    h = _headers(data[:end])
+    if not _HEADER.fullmatch(data, 0, end):
+        return "bad header line"
+    h = _headers(bytes(data[:end]))
     if not re.fullmatch(r"\d{1,15}", h.get("content-length", "")):
         return "no content length"
     stop = end + 4 + int(h["content-length"])
     if len(data) < stop + 4:
         return "record cut off" if whole else None
-    block = data[end + 4:stop]
+    block = bytes(data[end + 4:stop])
     if data[stop:stop + 4] != b"\r\n\r\n":
         return "record without end"
     want = h.get("warc-block-digest", "")
