@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_checked
+from .joins import join_null_safe
 from .ranking import group_median
 
 
@@ -26,7 +26,7 @@ def group_stats(df: DataFrame, group: str = "race_id", value: str = "speed_kmh",
         F.stddev_samp(value).alias("race_std_speed"))
     if median:
         med = group_median(df, [group], value, "race_median_speed")
-        stats = stats.join(med, group, "left")
+        stats = join_null_safe(stats, med, [group], "left")
     return stats
 
 
@@ -34,7 +34,7 @@ def add_group_zscore(df: DataFrame, group: str = "race_id", value: str = "speed_
                      entity: str = "runner_id", median: bool = True) -> DataFrame:
     """Attach group stats, z-score (zero std -> null) and 100 + 10 z."""
     stats = group_stats(df, group, value, entity, median)
-    out = join_checked(df, stats, group)
+    out = join_null_safe(df, stats, [group])
     z = (F.col(value) - F.col("race_mean_speed")) / F.nullif(F.col("race_std_speed"), F.lit(0.0))
     return (out.withColumn("speed_z_race", z)
                .withColumn("performance_index", F.lit(100.0) + F.lit(10.0) * F.col("speed_z_race")))

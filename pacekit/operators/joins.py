@@ -1,24 +1,27 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join helpers: size-checked broadcasts and null-safe keys."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count was checked to be at most this.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join ``big`` with a side that is *expected* to be small.
 
-    The small side is materialised once (``cache`` + ``count``); it is broadcast
-    only when the count is within ``max_rows``.  Beyond that the join stays a
-    shuffle join, where AQE's skew-join handling splits hot keys of ``big``.
+    A plain join: Spark broadcasts a side whose size in bytes, estimated at planning or measured by
+    AQE at run time, is below ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join is a
+    shuffle join, in which AQE splits the hot keys of ``big``. No job runs while the plan is built.
     """
-    small = small.cache()
-    n = small.count()
-    if n <= max_rows and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+def join_null_safe(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``join_checked`` on equal columns where null equals null."""
+    if not on:
+        return big.crossJoin(small)          # one row: the whole table is the group
+    renamed = small.select(*[F.col(c).alias(f"_ns_{c}") if c in on else F.col(c) for c in small.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_ns_{c}")) for c in on])
+    return big.join(renamed, cond, how).drop(*[f"_ns_{c}" for c in on])

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import join_checked
+from .joins import join_null_safe
 
 _POS_BITS = 33
 
@@ -38,13 +38,17 @@ def _moments_merge(a_n, a_mean, a_m2, b_n, b_mean, b_m2):
     return n, mean, m2
 
 
-def _fold_moments(arr: Column) -> Column:
-    """Fold an ordered array of struct(n, mean, m2) into one struct."""
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-    def step(acc, x):
-        n, mean, m2 = _moments_merge(acc["n"], acc["mean"], acc["m2"], x["n"], x["mean"], x["m2"])
-        return F.struct(n.cast("long").alias("n"), mean.alias("mean"), m2.alias("m2"))
-    return F.aggregate(arr, zero, step)
+def _running_moments(tag: str, before) -> Column:
+    """struct(n, mean, m2) of all earlier segments, from running sums around a shift ``k`` of the
+    entity (its first mean, so that the squares stay small): linear in the segments."""
+    k, n = F.col(f"k{tag}"), F.coalesce(F.col(f"n{tag}"), F.lit(0))
+    d = F.when(n > 0, F.col(f"m{tag}") - k).otherwise(0.0)
+    s0 = F.coalesce(F.sum(n).over(before), F.lit(0)).cast("long")
+    s1 = F.coalesce(F.sum(n * d).over(before), F.lit(0.0))
+    s2 = F.coalesce(F.sum(F.coalesce(F.col(f"q{tag}"), F.lit(0.0)) + n * d * d).over(before), F.lit(0.0))
+    some = s0 > 0
+    return F.struct(s0.alias("n"), F.when(some, k + s1 / s0).otherwise(0.0).alias("mean"),
+                    F.when(some, F.greatest(s2 - s1 * s1 / s0, F.lit(0.0))).otherwise(0.0).alias("m2"))
 
 
 def _sorted_segments(df: DataFrame, keys: list, n: int) -> DataFrame:
@@ -68,7 +72,7 @@ def fill_last_segmented(df: DataFrame, entity: str, order: list, value: str, out
     segs = w.groupBy("_pid", entity).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_lpos"))).alias("_seglast"))
     before = Window.partitionBy(entity).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = segs.select("_pid", entity, F.last("_seglast", ignorenulls=True).over(before).alias("_carry"))
-    j = join_checked(w, carry, ["_pid", entity])
+    j = join_null_safe(w, carry, ["_pid", entity])
     return j.withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_pid", "_lpos", "_loc", "_carry")
 
 
@@ -116,17 +120,19 @@ def add_history_segmented(df: DataFrame, entity: str = "runner_id", time: str =
         agg += [F.first(f"_Tn{tag}").alias(f"n{tag}"), F.first(f"_Tm{tag}").alias(f"m{tag}"),
                 F.first(f"_Tq{tag}").alias(f"q{tag}"), F.first(f"_Tx{tag}").alias(f"x{tag}")]
     segs = w.groupBy("_pid", entity).agg(*agg)
-    before = Window.partitionBy(entity).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    by_entity = Window.partitionBy(entity).orderBy("_pid")
+    before = by_entity.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_entity.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry_cols = [F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("c_rows"),
                   F.min("dmin").over(before).alias("c_dmin"),
-                  _last(F.flatten(F.collect_list("tail").over(before)), 3).alias("c_tail")]
+                  # every segment has a row at least: the last three rows lie in the last three segments
+                  _last(F.flatten(F.collect_list("tail").over(by_entity.rowsBetween(-3, -1))), 3).alias("c_tail")]
     for tag in meas:
-        mom = F.struct(F.col(f"n{tag}").cast("long").alias("n"), F.coalesce(F.col(f"m{tag}"), F.lit(0.0)).alias("mean"),
-                       F.coalesce(F.col(f"q{tag}"), F.lit(0.0)).alias("m2"))
-        carry_cols += [_fold_moments(F.collect_list(mom).over(before)).alias(f"c_mom{tag}"),
+        segs = segs.withColumn(f"k{tag}", F.coalesce(F.first(f"m{tag}", ignorenulls=True).over(whole), F.lit(0.0)))
+        carry_cols += [_running_moments(tag, before).alias(f"c_mom{tag}"),
                        F.max(f"x{tag}").over(before).alias(f"c_x{tag}")]
     carry = segs.select("_pid", entity, *carry_cols)   # one row per segment
-    j = join_checked(w, carry, ["_pid", entity])
+    j = join_null_safe(w, carry, ["_pid", entity])
 
     out = j.withColumn("prior_race_count", (F.col("c_rows") + F.col("_k")).cast("int"))
     names = {"s": ("prior_avg_speed", "prior_std_speed", "prior_best_speed"),

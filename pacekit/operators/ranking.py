@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import join_checked
+from .joins import join_checked, join_null_safe
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_partition
 
@@ -51,55 +51,67 @@ def group_row_number(df: DataFrame, group_cols: list[str], order_cols: list, out
     """
     s = _positions(df, group_cols, order_cols)
     first = s.groupBy(*group_cols).agg(F.min("_gpos").alias("_gfirst"))
-    return (join_checked(s, first, group_cols)
+    return (join_null_safe(s, first, group_cols)
             .withColumn(out, (F.col("_gpos") - F.col("_gfirst") + 1).cast("int"))
             .drop("_gpos", "_gfirst"))
 
 
-def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median per group (mean of the two middle values; nulls ignored).
+def _counted_positions(df: DataFrame, group_cols: list[str], value: str) -> DataFrame:
+    """Distinct values with ``_from`` / ``_to``: the 0-based global ranks that their rows take.
 
-    Same result as ``percentile(value, 0.5)`` / pandas ``median``.
+    Equal values are counted first (map-side combined), so a value that a third of all rows
+    share is one row here and a group of few values still uses every task that read it.
     """
     base = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    s = _positions(base, group_cols, ["_v"])
-    bounds = s.groupBy(*group_cols).agg(F.min("_gpos").alias("_gfirst"), F.count(F.lit(1)).alias("_cnt"))
-    lo = F.col("_gfirst") + F.floor((F.col("_cnt") - 1) / 2)
-    hi = F.col("_gfirst") + F.floor(F.col("_cnt") / 2)
-    targets = (bounds.select(*group_cols, F.explode(F.array_distinct(F.array(lo, hi))).alias("_gpos"))
-                     .withColumn("_gpos", F.col("_gpos").cast("long")))
-    picked = join_checked(s.select("_gpos", "_v"), targets, "_gpos")
-    return picked.groupBy(*group_cols).agg(F.avg("_v").alias(out))
+    counted = base.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in [*group_cols, "_v"]]
+    s = cut_lineage(counted.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                           .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    sizes = s.groupBy("_pid").agg(F.sum("_c").alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: a proven size bound, safe to broadcast
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    upto = F.sum("_c").over(Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    return (s.withColumn("_upto", upto).join(F.broadcast(offsets), "_pid")
+             .withColumn("_to", F.col("_off") + F.col("_upto") - 1).withColumn("_from", F.col("_to") - F.col("_c") + 1)
+             .drop("_pid", "_at", "_off", "_upto"))
 
 
 def group_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: list[float],
                     prefix: str = "q") -> DataFrame:
     """Exact quantiles per group with linear interpolation (pandas ``quantile`` / ``percentile_cont``).
 
-    Output: one row per group with columns ``{prefix}{int(p*100)}``.
+    Output: one row per group with columns ``{prefix}{int(p*100)}``. A null group is one.
     """
-    base = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    s = _positions(base, group_cols, ["_v"])
-    bounds = s.groupBy(*group_cols).agg(F.min("_gpos").alias("_gfirst"), F.count(F.lit(1)).alias("_cnt"))
-    rows = []
+    s = _counted_positions(df, group_cols, value)
+    bounds = s.groupBy(*group_cols).agg(F.min("_from").alias("_gfirst"), F.sum("_c").alias("_cnt"))
+    j = join_null_safe(s, bounds, group_cols)
+    out = []
     for p in probs:
+        # ranks and fraction of the two neighbours; each is the value whose rank range holds it
         pos = (F.col("_cnt") - 1) * F.lit(p)
-        rows.append(F.struct(F.lit(p).alias("_p"), F.floor(pos).cast("long").alias("_lo"),
-                             F.ceil(pos).cast("long").alias("_hi"), (pos - F.floor(pos)).alias("_fr")))
-    want = bounds.select(*group_cols, "_gfirst", F.explode(F.array(*rows)).alias("_w")).select(
-        *group_cols, "_gfirst", "_w.*")
-    targets = (want.select(*group_cols, (F.col("_gfirst") + F.col("_lo")).alias("_gpos"))
-                   .unionByName(want.select(*group_cols, (F.col("_gfirst") + F.col("_hi")).alias("_gpos")))
-                   .distinct())
-    picked = join_checked(s.select("_gpos", "_v"), targets, "_gpos").select("_gpos", "_v")
-    lo = picked.select(F.col("_gpos").alias("_lpos"), F.col("_v").alias("_lv"))
-    hi = picked.select(F.col("_gpos").alias("_hpos"), F.col("_v").alias("_hv"))
-    w = (want.withColumn("_lpos", F.col("_gfirst") + F.col("_lo"))
-             .withColumn("_hpos", F.col("_gfirst") + F.col("_hi"))
-             .join(lo, "_lpos").join(hi, "_hpos"))
-    w = w.withColumn("_q", F.col("_lv") + (F.col("_hv") - F.col("_lv")) * F.col("_fr"))
-    return (w.groupBy(*group_cols).pivot("_p", probs).agg(F.first("_q"))
-             .select(*group_cols, *[F.col(f"`{p}`").alias(f"{prefix}{int(round(p * 100))}") for p in probs]))
+        lo, hi = F.col("_gfirst") + F.floor(pos), F.col("_gfirst") + F.ceil(pos)
+        at_lo = F.max(F.when((F.col("_from") <= lo) & (lo <= F.col("_to")), F.col("_v")))
+        at_hi = F.max(F.when((F.col("_from") <= hi) & (hi <= F.col("_to")), F.col("_v")))
+        fraction = F.max(pos - F.floor(pos))
+        out.append((at_lo + (at_hi - at_lo) * fraction).alias(f"{prefix}{int(round(p * 100))}"))
+    return j.groupBy(*group_cols).agg(*out)
+
+
+def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median per group (mean of the two middle values; nulls ignored; a null group is one).
+
+    Same result as ``percentile(value, 0.5)`` / pandas ``median``.
+    """
+    s = _counted_positions(df, group_cols, value)
+    bounds = s.groupBy(*group_cols).agg(F.min("_from").alias("_gfirst"), F.sum("_c").alias("_cnt"))
+    lo = F.col("_gfirst") + F.floor((F.col("_cnt") - 1) / 2)
+    hi = F.col("_gfirst") + F.floor(F.col("_cnt") / 2)
+    held = lambda rank: F.when((F.col("_from") <= rank) & (rank <= F.col("_to")), F.col("_v"))
+    return (join_null_safe(s, bounds, group_cols).groupBy(*group_cols)
+            .agg(((F.max(held(lo)) + F.max(held(hi))) / 2).alias(out)))
 
 
 def global_index(df: DataFrame, order_cols: list, out: str = "idx") -> DataFrame:

@@ -80,7 +80,7 @@ def _segments_expr(s, lx, tau):
 def _tau_col(length_col, max_len):
     tau = _tau(max_len)
     m = F.create_map(*[x for k, v in tau.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.element_at(m, length_col), F.floor(length_col * F.lit(101.0 / 1700.0)).cast("int") + 1)
+    return F.coalesce(F.element_at(m, length_col), F.floor(length_col * 202 / 1699).cast("int"))
 
 
 def _index_side(df: DataFrame, key: str, max_len: int, extra: list[str]) -> DataFrame:
@@ -97,7 +97,8 @@ def _probe_side(df: DataFrame, key: str, max_len: int, extra: list[str]) -> Data
     """Longer-string side: for every admissible shorter length lx, every segment i and every
     shift within tau, the substring that segment i would have to equal."""
     d = df.withColumn("_ly", F.length(key)).where(F.col("_ly") > 0)
-    kmax = F.floor(F.col("_ly") * F.lit(101.0 / 1700.0)).cast("int") + 1
+    # ly - lx <= 101 (lx + ly) / 1800  <=>  ly - lx <= 202 ly / 1901
+    kmax = F.floor(F.col("_ly") * 202 / 1901).cast("int")
     d = d.withColumn("_lx", F.explode(F.sequence(F.greatest(F.col("_ly") - kmax, F.lit(1)), F.col("_ly"))))
     d = d.withColumn("_tau", _tau_col(F.col("_lx"), max_len))
     # only partner lengths that can pass: ly - lx <= max_indel(lx + ly)

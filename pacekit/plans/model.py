@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip_lower, finite_or_null, safe_div
 from ..operators.ranking import group_quantiles
+from ..session import cut_lineage
 
 # The model's input features, in order.
 FEATURE_COLUMNS = [
@@ -35,7 +36,7 @@ def with_target_time(df: DataFrame) -> DataFrame:
         raise ValueError("feature table needs result_id or source_result_id")
     if "distance" not in cols:
         raise ValueError("feature table needs distance")
-    if "source_result_id" not in cols:
+    if "result_id" in cols:                       # the row's own id replaces a stale reference
         df = df.withColumn("source_result_id", F.col("result_id"))
     if "target_time_sec" not in cols:
         src = "time_sec" if "time_sec" in cols else "actual_time_sec"
@@ -54,13 +55,12 @@ def prepare_dataset(df: DataFrame) -> DataFrame:
 
 
 def temporal_split(data: DataFrame, key: str = "source_result_id", seed: int = 42) -> DataFrame:
-    """M2: label rows 'test' for the latest year, 'train' before; with fewer than two years
-    (or an empty side) a deterministic 80/20 split by hash of the key."""
-    st = data.agg(F.countDistinct("year").alias("n"), F.max("year").alias("last")).first()
-    if st["n"] and st["n"] >= 2:
-        out = data.withColumn("split", F.when(F.col("year") == st["last"], "test").otherwise("train"))
-        if out.where(F.col("year") < st["last"]).limit(1).count() > 0:
-            return out
+    """M2: label rows 'test' for the latest year and 'train' for the years before; rows without a
+    year are in neither set (no label). With fewer than two years a deterministic 80/20 split by
+    hash of the key."""
+    st = data.agg(F.min("year").alias("first"), F.max("year").alias("last")).first()
+    if st["last"] is not None and st["first"] < st["last"]:
+        return data.withColumn("split", F.when(F.col("year") == st["last"], "test").when(F.col("year") < st["last"], "train"))
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
     return data.withColumn("split", F.when(bucket < 20, "test").otherwise("train"))
 
@@ -98,13 +98,10 @@ def predict_time(pred: DataFrame) -> DataFrame:
 def regression_metrics(pred: DataFrame, by: str = "split", y: str = "target_z", yhat: str = "predicted_z",
                        t: str = "target_time_sec", that: str = "predicted_time_sec") -> DataFrame:
     """N, MAE / RMSE / R^2 on z and MAE / RMSE on time per split (R^2 = 1 - SSE/SST)."""
-    mean_y = pred.groupBy(by).agg(F.avg(y).alias("_my"))
-    j = pred.join(F.broadcast(mean_y), by)  # one row per split
-    e = F.col(y) - F.col(yhat)
-    et = F.col(t) - F.col(that)
-    return j.groupBy(by).agg(
+    e, et = F.col(y) - F.col(yhat), F.col(t) - F.col(that)
+    return pred.where(F.col(by).isNotNull()).groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae_z"), F.sqrt(F.avg(e * e)).alias("rmse_z"),
-        (F.lit(1.0) - F.sum(e * e) / F.sum((F.col(y) - F.col("_my")) ** 2)).alias("r2_z"),
+        (F.lit(1.0) - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2_z"),
         F.avg(F.abs(et)).alias("mae_time_sec"), F.sqrt(F.avg(et * et)).alias("rmse_time_sec"))
 
 
@@ -118,7 +115,7 @@ def overfitting_gap(metrics: DataFrame) -> DataFrame:
 
 def train(features: DataFrame, features_list: list[str] = FEATURE_COLUMNS) -> dict:
     """M6: the whole training job.  Returns model, predictions (M8), metrics (A24), gap."""
-    data = temporal_split(prepare_dataset(features))
+    data = cut_lineage(temporal_split(prepare_dataset(features)).where(F.col("split").isNotNull()))
     tr = data.where(F.col("split") == "train")
     medians = exact_medians(tr, features_list)
     model = build_pipeline(medians, features_list).fit(tr)
@@ -126,7 +123,7 @@ def train(features: DataFrame, features_list: list[str] = FEATURE_COLUMNS) -> di
     keep = [c for c in ["analysis_id", "source_result_id", "runner_id", "race_id", "target_z", "target_time_sec",
                         "predicted_z", "predicted_performance_index", "predicted_speed_kmh", "predicted_time_sec",
                         "abs_error_time_sec", "split"] if c in pred.columns]
-    pred = pred.select(*keep)
+    pred = cut_lineage(pred.select(*keep))
     metrics = regression_metrics(pred)
     return {"model": model, "predictions": pred, "metrics": metrics, "gap": overfitting_gap(metrics),
             "medians": medians, "features": features_list}

@@ -60,11 +60,10 @@ def distinct_per_group(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
 
 def active_entities(df: DataFrame, entity: str, measure: str, min_rows: int = 3) -> DataFrame:
     """J9 + A21: min / mean / max of a measure for entities with at least ``min_rows`` rows."""
-    active = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
-    rows = df.join(active.select(entity), entity, "left_semi")
-    return rows.groupBy(entity).agg(F.count(F.lit(1)).alias("n"), F.min(measure).alias("min_" + measure.lower()),
-                                    F.avg(measure).alias("mean_" + measure.lower()),
-                                    F.max(measure).alias("max_" + measure.lower()))
+    stats = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n"), F.min(measure).alias("min_" + measure.lower()),
+                                   F.avg(measure).alias("mean_" + measure.lower()),
+                                   F.max(measure).alias("max_" + measure.lower()))
+    return stats.where(F.col("n") >= min_rows)
 
 
 def inconsistent_attribute(df: DataFrame, entity: str, attr: str, cols: list[str]) -> DataFrame:

@@ -163,14 +163,14 @@ def axis_domain(spark, sf):
     return R.axis_domain(_fact(spark, sf), adapters.dim_race(spark, sf))
 
 
-@register("not_run_races", with_ctes(f"""
-SELECT s.runner_id, ra.race_id, ra.name, ra.year, ra.distance
-FROM (SELECT f.runner_id, min(ra.date) AS first_date, max(ra.date) AS last_date FROM {FR} GROUP BY f.runner_id) s
-JOIN dim_race ra ON ra.date BETWEEN s.first_date AND s.last_date
-WHERE NOT EXISTS (SELECT 1 FROM results f WHERE f.runner_id = s.runner_id AND f.race_id = ra.race_id)""",
-                                     RESULTS_CTE), doubles=("distance",))
+@register("not_run_races", with_ctes("""
+SELECT l.runner_id, d.race_id, d.name, d.year, d.distance
+FROM (SELECT runner_id FROM results GROUP BY runner_id ORDER BY count(*) DESC, runner_id LIMIT 20) l CROSS JOIN dim_race d
+ANTI JOIN results ran ON ran.runner_id = l.runner_id AND ran.race_id = d.race_id""", RESULTS_CTE), doubles=("distance",))
 def not_run_races(spark, sf):
-    return R.not_run_races(_fact(spark, sf), adapters.dim_race(spark, sf))
+    """Races that the twenty busiest runners have not run."""
+    fact = _fact(spark, sf)
+    return R.not_run_races(fact, adapters.dim_race(spark, sf), R.top_runner_ids(fact))
 
 
 @register("recent_years", with_ctes("""

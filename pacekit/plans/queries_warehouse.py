@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import adapters, warehouse as WH
-from . import model as M
 from .catalog import register
 from .features import build_features
 from .oracle import with_ctes
 from .queries_cleaning import cleaned
+from .oracle_model import model_sql
+from .queries_model import _PREDICTED, _coarse, _coarse_sql, _trained
 from .queries_profiling import C as CLEANED_CTES
 from . import profiling as PR
 
@@ -56,13 +57,15 @@ def fact_load(spark, sf):
     return _loaded(spark, sf)["fact_results"]
 
 
-@register("prediction_writeback")
+@register("prediction_writeback", _coarse_sql(model_sql("""
+SELECT CAST(row_number() OVER (ORDER BY f.source_result_id) AS BIGINT) AS analysis_id, f.source_result_id, pr.predicted_z,
+       pr.predicted_performance_index, pr.predicted_speed_kmh, pr.predicted_time_sec, pr.abs_error_time_sec, pr.split,
+       count(pr.predicted_z) OVER () AS updated_rows
+FROM f LEFT JOIN pred pr USING (source_result_id)"""), *_PREDICTED))
 def prediction_writeback(spark, sf):
     """Analysis table loaded (truncate-and-load, columns ensured), then predictions written back."""
     root = WH.new_warehouse(spark)
-    feats = build_features(adapters.results(spark, sf))
-    WH.load_analysis(spark, root, feats)
-    from .queries_model import _trained
-    pred = _trained(spark, sf)["predictions"]
-    table, n = WH.write_back_predictions(spark, root, pred)
-    return table.select("analysis_id", "source_result_id", *WH.PREDICTION_COLUMNS).withColumn("updated_rows", F.lit(n))
+    WH.load_analysis(spark, root, build_features(adapters.results(spark, sf)))
+    table, n = WH.write_back_predictions(spark, root, _trained(spark, sf)["predictions"])
+    return _coarse(table.select("analysis_id", "source_result_id", *WH.PREDICTION_COLUMNS)
+                        .withColumn("updated_rows", F.lit(n).cast("long")))

@@ -51,7 +51,7 @@ def asof_features(results: DataFrame, races: DataFrame, probes: DataFrame, segme
     """
     if segmented:
         return _asof_segmented(results, races, probes)
-    p = join_checked(probes.select("runner_id", "race_id"), races.select("race_id", "date", "distance"), "race_id")
+    p = join_checked(probes.select("runner_id", "race_id").distinct(), races.select("race_id", "date", "distance"), "race_id")
     hist = history_state(results)
     cols = ["runner_id", "date", "race_id", "result_id"]
     stream = (hist.select(*cols, F.lit(1).alias("_is_result"), "state")
@@ -82,7 +82,8 @@ def whatif(results: DataFrame, races: DataFrame, probes: DataFrame, model=None,
     rs = results.groupBy("race_id").agg(F.count(F.lit(1)).alias("race_participants"),
                                         F.avg("speed_kmh").alias("race_mean_speed"),
                                         F.stddev_samp("speed_kmh").alias("race_std_speed"))
-    known = probes.select("runner_id", "race_id").join(races.select("race_id"), "race_id", "left_semi")
+    asked = probes.select("runner_id", "race_id").distinct()
+    known = asked.join(races.select("race_id"), "race_id", "left_semi")
     ran = results.select("runner_id", "race_id").distinct()
     base = (probes.select("runner_id", "race_id")
             .join(known.withColumn("_known", F.lit(True)), ["runner_id", "race_id"], "left")
@@ -117,7 +118,7 @@ _STATE_FIELDS = ["prior_race_count", "prior_avg_speed", "prior_std_speed", "prio
 
 def _asof_segmented(results: DataFrame, races: DataFrame, probes: DataFrame) -> DataFrame:
     from ..operators.prefix import add_history_segmented, fill_last_segmented
-    p = join_checked(probes.select("runner_id", "race_id"), races.select("race_id", "date", "distance"), "race_id")
+    p = join_checked(probes.select("runner_id", "race_id").distinct(), races.select("race_id", "date", "distance"), "race_id")
     rs = race_stats(results)
     r = join_checked(results, rs, "race_id")
     r = r.withColumn("speed_z_race", safe_div(F.col("speed_kmh") - F.col("race_mean_speed"), "race_std_speed"))

@@ -15,6 +15,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -51,8 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:  # unset (local runs, tests): a scratch folder of our own
-        d = tempfile.mkdtemp(prefix="pacekit-ckpt-")
+    if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="pacekit-ckpt-")      # one machine: a scratch folder of our own
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

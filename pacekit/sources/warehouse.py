@@ -140,7 +140,9 @@ def write_back_predictions(spark: SparkSession, root: str, predictions: DataFram
     """
     table = spark.read.parquet(os.path.join(root, ANALYSIS))
     key = "analysis_id" if "analysis_id" in predictions.columns else "source_result_id"
-    p = predictions.select(key, *PREDICTION_COLUMNS).dropDuplicates([key])
+    # of several predictions for a key the largest by z, then by the other columns, is stored
+    p = predictions.groupBy(key).agg(F.max(F.struct("predicted_z", *[c for c in PREDICTION_COLUMNS if c != "predicted_z"])).alias("_p"))
+    p = p.select(key, *[F.col(f"_p.{c}").alias(c) for c in PREDICTION_COLUMNS])
     base = table.drop(*PREDICTION_COLUMNS)
     out = base.join(p, key, "left")
     new = truncate_and_load(spark, root, ANALYSIS, out, table.columns)

@@ -27,8 +27,10 @@ CELLS_SCHEMA = StructType([
     StructField("cells", ArrayType(StringType()))])
 
 
-def process_documents(spark: SparkSession, cells: DataFrame, pages: DataFrame, root: str) -> DataFrame:
-    """Batch pipeline for a set of complete documents; returns their parse report."""
+def process_documents(spark: SparkSession, cells: DataFrame, pages: DataFrame, root: str, epoch: int = 0) -> DataFrame:
+    """Batch pipeline for a set of complete documents; returns the whole parse report.
+
+    The batch's part of the report is one folder that a replay of the epoch overwrites."""
     out = SH.shred(cells, pages)
     rows = out["rows"].persist()          # used by the load and by the report of this batch
     headers = out["headers"].persist()
@@ -36,11 +38,11 @@ def process_documents(spark: SparkSession, cells: DataFrame, pages: DataFrame, r
         clean = with_derived(C.clean_results(C.dedup_results(rows))).drop("temps_clean")
         WH.load_star(spark, root, clean, dedup=True)
         report = SH.reconcile(rows, headers)
-        report.write.mode("append").parquet(os.path.join(root, "parse_report"))
+        report.write.mode("overwrite").parquet(os.path.join(root, "parse_report", f"epoch={epoch}"))
     finally:
         rows.unpersist()
         headers.unpersist()
-    return spark.read.parquet(os.path.join(root, "parse_report"))
+    return spark.read.parquet(os.path.join(root, "parse_report")).drop("epoch")
 
 
 def start_ingest(spark: SparkSession, cells_dir: str, pages_dir: str, root: str, checkpoint: str):
@@ -52,7 +54,7 @@ def start_ingest(spark: SparkSession, cells_dir: str, pages_dir: str, root: str,
             return
         files = df.select("source_file").distinct()
         pages = spark.read.parquet(pages_dir).join(files, "source_file", "left_semi")
-        process_documents(spark, df, pages, root)
+        process_documents(spark, df, pages, root, epoch_id)
 
     return (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
                   .trigger(availableNow=True).start())
