@@ -28,37 +28,56 @@ from pyspark.sql import functions as F
 
 from .common import scratch_columns
 
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 600_000
+_MARKS = b".,;:!?|#*$%&"
 _TOKENIZERS: dict[str, "WordTokenizer"] = {}
 
 
+class _Bounded(dict):
+    """A cache that makes what it misses; full, it keeps what it has (the frequent comes early)."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size = make, size
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.make(key)
+        if len(self) < self.size:
+            self[key] = value
+        return value
+
+
 class WordTokenizer:
     """Ids of whole texts as little-endian 32-bit numbers.
 
     The vocabulary's words never span ASCII white space, so a text's ids are those of its
-    white-space separated parts, and parts that were seen before come from a bounded cache. Strings
-    of special tokens in a text are ordinary text.
+    white-space separated parts; nor do they span a letter and the marks behind it, so a part is a
+    stem and its marks. Stems that were seen before, without regard to ASCII case, come from a
+    bounded cache. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+
+        def ids(part: bytes) -> bytes:
+            return np.array(tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+        self.stems = _Bounded(ids, _CACHE_WORDS)
+        self.parts = _Bounded(self._part, _CACHE_WORDS * 2 // 3)
+
+    def _part(self, part: bytes) -> bytes:
+        # a capital with a combining mark may have no composed form where the small letter has one
+        part = part.lower() if part.isascii() else part
+        stem = part.rstrip(_MARKS)
+        if not stem or len(stem) == len(part) or not (stem[-1:].isalnum() or stem[-4:].decode("utf-8", "ignore")[-1:].isalpha()):
+            return self.stems[part]
+        return self.stems[stem] + self.stems[part[len(stem):]]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        parts = self.parts
         for text in texts:
-            words = text.split()
-            known = self.known
-            try:
-                yield b"".join([known[w] for w in words])
-            except KeyError:
-                if len(known) > _CACHE_WORDS:
-                    known.clear()
-                new = [w for w in dict.fromkeys(words) if w not in known]
-                got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, got))
-                yield b"".join([known[w] for w in words])
+            yield b"".join([parts[w] for w in text.split()])
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -72,48 +91,44 @@ def pack_block(sizes: np.ndarray, limits: tuple[int, int, int], fill: bool = Fal
     heuristic. Gives lists of ``(piece, start, length)``; with ``fill`` a piece may be cut, its
     rest stays a piece of its own. Loss tokens of a cut piece are taken to be its last ones.
     """
-    room0 = np.array(limits, float)
     at: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
     for i, (n, loss) in reversed(list(enumerate(sizes.tolist()))):
         at[(n, loss)].append((i, 0))
-    kinds = np.array(sorted(at), dtype=np.int64).reshape(-1, 2)
-    left = np.array([len(at[tuple(k)]) for k in kinds.tolist()], np.int64)
-    need = np.column_stack([kinds[:, 0], np.ones(len(kinds), np.int64), kinds[:, 1]])
-    share = need / room0
+    tokens, bear = np.array(sorted(at), dtype=np.int64).reshape(-1, 2).T.copy()
+    left = np.array([len(at[k]) for k in sorted(at)], np.int64)
     bins, total = [], int(left.sum())
     while total:
-        room, seq = np.array(limits, np.int64), []
-        while total:
-            ok = (left > 0) & (need <= room).all(axis=1)
-            if not ok.any():
+        if 2 * np.count_nonzero(left) < len(left):             # drop the sizes that are used up
+            tokens, bear, left = tokens[left > 0], bear[left > 0], left[left > 0]
+        (room, places, free_loss), seq = limits, []
+        while total and places:
+            # shares of the limits, weighted by the shares of room left; every piece is one segment
+            worth = tokens * (room / limits[0] ** 2) + bear * (free_loss / limits[2] ** 2)
+            worth[(left == 0) | (tokens > room) | (bear > free_loss)] = -1.0
+            k = int(np.argmax(worth))
+            if worth[k] < 0:
                 break
-            k = int(np.argmax(np.where(ok, share @ (room / room0), -1.0)))
-            i, start = at[tuple(kinds[k].tolist())].pop()
-            seq.append((i, start, int(kinds[k, 0])))
+            n, loss = int(tokens[k]), int(bear[k])
+            i, start = at[(n, loss)].pop()
+            seq.append((i, start, n))
             left[k] -= 1
             total -= 1
-            room -= need[k]
-        if fill and total and room[0] >= least_cut and room[1] >= 1:
-            # the head of a piece that does not fit: the longest one, so that few pieces are cut
-            heads = (left > 0) & (kinds[:, 0] > room[0])
-            free = kinds[:, 0] - kinds[:, 1]                       # leading tokens without loss
-            cut = np.minimum(room[0], free + room[2])
-            heads &= cut >= least_cut
-            if heads.any():
-                k = int(np.argmax(np.where(heads, kinds[:, 0], -1)))
-                (n, loss), take = kinds[k].tolist(), int(cut[k])
+            room, places, free_loss = room - n, places - 1, free_loss - loss
+        if fill and total and places and room >= least_cut:
+            # the head of a piece that does not fit: of the longest one, so that few pieces are cut
+            head = np.minimum(room, tokens - bear + free_loss)   # leading tokens may bear no loss
+            k = int(np.argmax(np.where((left > 0) & (tokens > room) & (head >= least_cut), tokens, -1)))
+            if left[k] and tokens[k] > room and head[k] >= least_cut:
+                n, loss, take = int(tokens[k]), int(bear[k]), int(head[k])
                 i, start = at[(n, loss)].pop()
                 left[k] -= 1
                 seq.append((i, start, take))
                 rest = (n - take, min(loss, n - take))
-                j = np.nonzero((kinds == rest).all(axis=1))[0]
-                if len(j):
-                    left[j[0]] += 1
+                same = np.nonzero((tokens == rest[0]) & (bear == rest[1]))[0]
+                if len(same):
+                    left[same[0]] += 1
                 else:
-                    kinds = np.vstack([kinds, [rest]])
-                    left = np.append(left, 1)
-                    need = np.column_stack([kinds[:, 0], np.ones(len(kinds), np.int64), kinds[:, 1]])
-                    share = need / room0
+                    tokens, bear, left = np.append(tokens, rest[0]), np.append(bear, rest[1]), np.append(left, 1)
                 at[rest].append((i, start + take))
         bins.append(seq)
     return bins
@@ -125,7 +140,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = 4096, segments: int = 512, loss: int | None = None,
                    end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None,
-                   fill: bool = True, block: int = 4096) -> DataFrame:
+                   fill: bool = True, block: int = 2048) -> DataFrame:
     """One row per piece: its document's id, where it starts there, its length and the CRC-32 of
     its ids, the document's tokens, the piece's loss tokens, its sequence and its offset there.
 
@@ -140,8 +155,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = 4096, segments
     cols = docs.select(F.col(id_col).cast("long").alias(c_id), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias(c_text),
                        (F.coalesce(F.col(prompt_col), F.lit(0)) if prompt_col else F.lit(0)).cast("long").alias(c_prompt))
     end = np.array([end_id], "<u4").tobytes()
-    # an uncut piece must keep within the loss limit too
-    most = min(length, limits[2])
+    most = min(length, limits[2])                       # an uncut piece keeps within the loss limit too
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, first = _tokenizer(tokenizer), TaskContext.get().partitionId() << 32
