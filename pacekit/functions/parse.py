@@ -52,6 +52,17 @@ def extract_date(text) -> Column:
     return F.when(day != "", F.try_to_timestamp(s, F.lit("y-M-d")).cast("date"))
 
 
+def has_distance(text) -> Column:
+    """Does the text state a distance at all (well-formed or not)?"""
+    return F.coalesce(F.regexp_like(F.lower(_c(text)), F.lit(r"[\d.,]+\s*km")), F.lit(False))
+
+
+def invalid_date(text) -> Column:
+    """the text states a date that does not exist."""
+    stated = F.regexp_like(_c(text), F.lit(r"(?i)\d{1,2}\s+(" + "|".join(MONTHS) + r")\s+\d{4}"))
+    return F.coalesce(stated, F.lit(False)) & extract_date(text).isNull()
+
+
 def filename_date(name) -> Column:
     """V8: first 8 characters as a date; year-day-month when the name contains the two marker words."""
     head = F.substring(_c(name), 1, 8)

@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parse import (cell, cells_between, extract_date, extract_distance, extract_year,
-                               filename_date, header_index, is_time_like, sex_from_category)
+from ..functions.parse import (cell, cells_between, extract_date, extract_distance, extract_year, filename_date,
+                               has_distance, header_index, invalid_date, is_time_like, sex_from_category)
 from ..functions.text import normalize_course_name, normalize_name
+from ..session import cut_lineage
 from .cleaning import POS_CAT, race_key
 
 # Categories that may sit in the last middle cell of the right-anchored layout.
@@ -23,8 +24,12 @@ RIGHT_LAYOUT_CATEGORIES = ["ESF", "SEF", "V1F", "V2F", "V3F", "V4F", "ESH", "SEH
 # Header keywords per column of the header-located layout.
 HEADER_COLUMNS = [("rank", ["Rank"]), ("dos", ["Dos"]), ("nom", ["Nom"]), ("sexe", ["Sexe", "exe"]),
                   ("club", ["Club"]), ("cat", ["Cat"]), ("rank_cat", ["Pl/Cat"]), ("temps", ["Temps"])]
+# Where counters begin in a course line, the fallback's categories, the layouts' markers and counts.
 COUNTER_SPLIT = r"\s+(?:DA|A\d|SE|V\d|ED|EH|ESF|ESP|JUF|JUH|SEF|SD)\s*:"
 FALLBACK_CATEGORY = r"^(SH|SD|V\d|A\d|ESF|ESH|JH|JF)$"
+LAYOUT_MARKERS = ["goaltiming.be", "Rank", "Nom"]
+PARTICIPANTS = r"(?i)Nombre de participants arriv[é]s\s*:\s*(\d+)"
+CLASSIFIED = r"(?i)Nombre de class[ée]s\s*:\s*(\d+)"
 OUT_COLUMNS = ["source_file", "Position", "Nom", "Club", "Sexe", "Categorie", POS_CAT, "Temps", "NomCourse",
                "Date", "Distance"]
 
@@ -48,22 +53,31 @@ def document_text(pages: DataFrame) -> DataFrame:
         F.min_by("text", "page_no").alias("first_text"))
 
 
-def route(full_text) -> Column:
+def route(year: Column, distance: Column, http: Column, modern: Column) -> Column:
     """V1: first layout whose condition holds, else NULL (the file fails)."""
-    t = F.col(full_text) if isinstance(full_text, str) else full_text
-    year, dist = extract_year(t), extract_distance(t)
-    http = t.contains("http")
-    modern = F.lower(t).contains("goaltiming.be") & t.contains("Rank") & t.contains("Nom")
     return (F.when(year.isin(2006, 2007), F.lit("left"))
-             .when(dist.isNull(), F.lit(None).cast("string"))          # malformed distance fails the file
-             .when(year.between(2008, 2016) & (dist > 2) & ~http, F.lit("right"))
-             .when(year.between(2016, 2024) & (dist > 2) & http, F.lit("score"))
+             .when(distance.isNull(), F.lit(None).cast("string"))          # malformed distance fails the file
+             .when(year.between(2008, 2016) & (distance > 2) & ~http, F.lit("right"))
+             .when(year.between(2016, 2024) & (distance > 2) & http, F.lit("score"))
              .when(modern, F.lit("header")))
 
 
+def document_facts(pages: DataFrame) -> DataFrame:
+    """What routing needs of a document's text, aggregated page by page (no document is assembled)."""
+    t, page = F.coalesce("text", F.lit("")), F.col("page_no")
+    year, marker = extract_year(t), LAYOUT_MARKERS
+    return pages.groupBy("source_file").agg(
+        F.min_by("text", "page_no").alias("first_text"),
+        F.coalesce(F.min_by(year, F.when(year != 0, page)), F.lit(0)).alias("_year"),
+        F.when(F.max(has_distance(t)), F.min_by(extract_distance(t), F.when(has_distance(t), page))).otherwise(0.0).alias("_distance"),
+        F.max(t.contains("http")).alias("_http"),
+        (F.max(F.lower(t).contains(marker[0])) & F.max(t.contains(marker[1])) & F.max(t.contains(marker[2]))).alias("_modern"))
+
+
 def file_headers(pages: DataFrame) -> DataFrame:
-    """V1 + V7 (+ V8): layout, course name, date, distance and expected count per document."""
-    d = document_text(pages).withColumn("layout", route("full_text"))
+    """V1 + V7 (+ V8): layout, course name, date, distance and expected count per document, and
+    why it fails: no layout, a malformed distance (F2) or a date that does not exist (F3)."""
+    d = document_facts(pages).withColumn("layout", route(F.col("_year"), F.col("_distance"), F.col("_http"), F.col("_modern")))
     ft = F.col("first_text")
     classic_line = F.regexp_extract(ft, r"\n([^\n]+?)\s+DISTANCE", 1)
     score_line = F.regexp_extract(ft, r"(?i)\n([^\n]+?)\s+DISTANCE", 1)
@@ -74,13 +88,21 @@ def file_headers(pages: DataFrame) -> DataFrame:
              .when(lay == "right", normalize_course_name(cut(classic_line)))
              .when(lay == "score", normalize_course_name(cut(score_line)))
              .when(lay == "header", normalize_course_name(F.coalesce(first_line, F.lit("Inconnu")))))
-    participants = F.regexp_extract(ft, r"(?i)Nombre de participants arriv[é]s\s*:\s*(\d+)", 1)
-    classes = F.regexp_extract(ft, r"(?i)Nombre de class[ée]s\s*:\s*(\d+)", 1)
+    participants = F.regexp_extract(ft, PARTICIPANTS, 1)
+    classes = F.regexp_extract(ft, CLASSIFIED, 1)
     expected = (F.when(lay.isin("right", "score") & (participants != ""), participants.cast("int"))
                  .when((lay == "header") & (classes != ""), classes.cast("int")))
     date = F.when(lay == "header", filename_date("source_file")).otherwise(extract_date(ft))
+    error = (F.when(lay.isNull(), F.lit("no parser found"))
+              .when(ft.isNotNull() & extract_distance(ft).isNull(), F.lit("malformed distance"))
+              .when((lay != "header") & invalid_date(ft), F.lit("invalid date")))
     return d.select("source_file", "layout", name.alias("NomCourse"), date.alias("Date"),
-                    extract_distance(ft).alias("Distance"), expected.alias("expected"))
+                    extract_distance(ft).alias("Distance"), expected.alias("expected"), error.alias("error"))
+
+
+def _files(headers: DataFrame, layout: str) -> DataFrame:
+    """The sound documents of a layout."""
+    return headers.where((F.col("layout") == layout) & F.col("error").isNull()).select("source_file")
 
 
 def _finish(rows: DataFrame, headers: DataFrame) -> DataFrame:
@@ -90,7 +112,7 @@ def _finish(rows: DataFrame, headers: DataFrame) -> DataFrame:
 
 def parse_left(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """V2: fixed-left cells, one offset when the bib column is missing."""
-    c = cells.join(headers.where(F.col("layout") == "left").select("source_file"), "source_file", "left_semi")
+    c = cells.join(_files(headers, "left"), "source_file", "left_semi")
     arr = F.col("cells")
     off = F.when(_digits(F.get(arr, 1)), 0).otherwise(1)
     g = lambda k: F.get(arr, F.lit(k) - off)
@@ -103,7 +125,7 @@ def parse_left(cells: DataFrame, headers: DataFrame) -> DataFrame:
 
 def parse_right(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """V3: time / rank-in-category / category read from the right end; name and club in the middle."""
-    c = cells.join(headers.where(F.col("layout") == "right").select("source_file"), "source_file", "left_semi")
+    c = cells.join(_files(headers, "right"), "source_file", "left_semi")
     arr = F.col("cells")
     n = F.size(arr)
     start = F.when(_digits(F.get(arr, 1)), 2).otherwise(1)
@@ -125,7 +147,7 @@ def parse_right(cells: DataFrame, headers: DataFrame) -> DataFrame:
 
 def parse_score(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """V4: fixed cells; the time moves one cell right when a score column precedes it."""
-    c = cells.join(headers.where(F.col("layout") == "score").select("source_file"), "source_file", "left_semi")
+    c = cells.join(_files(headers, "score"), "source_file", "left_semi")
     arr = F.col("cells")
     t6 = F.get(arr, 6)
     c = c.where(_digits(F.get(arr, 0))).select(
@@ -147,7 +169,7 @@ def _header_map(arr: Column) -> Column:
 
 def parse_header(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """V5 + W15: header located by keywords; headerless tables reuse the last map of the document."""
-    c = cells.join(headers.where(F.col("layout") == "header").select("source_file"), "source_file", "left_semi")
+    c = cells.join(_files(headers, "header"), "source_file", "left_semi")
     c = c.withColumn("_hm", _header_map(F.col("cells")))
     tkey = ["source_file", "page_no", "table_no"]
     heads = (c.where(F.col("_hm").isNotNull()).groupBy(*tkey)
@@ -177,7 +199,7 @@ def parse_header(cells: DataFrame, headers: DataFrame) -> DataFrame:
 
 def parse_text_lines(pages: DataFrame, headers: DataFrame, parsed_pages: DataFrame) -> DataFrame:
     """V6: pages of header-layout documents without any parsed table row, read line by line."""
-    p = pages.join(headers.where(F.col("layout") == "header").select("source_file"), "source_file", "left_semi")
+    p = pages.join(_files(headers, "header"), "source_file", "left_semi")
     p = p.join(parsed_pages, ["source_file", "page_no"], "left_anti")
     lines = p.select("source_file", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
     lines = lines.withColumn("line", F.trim("line")).where(F.col("line").rlike(r"^\d"))
@@ -201,7 +223,7 @@ def parse_text_lines(pages: DataFrame, headers: DataFrame, parsed_pages: DataFra
 
 def shred(cells: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
     """All layouts -> raw_results rows (+ source_file, racekey) and the per-file report."""
-    headers = file_headers(pages)
+    headers = cut_lineage(file_headers(pages))       # one row per document, used by every layout
     hdr = parse_header(cells, headers)
     fallback = parse_text_lines(pages, headers, hdr.select("source_file", "page_no").distinct())
     parts = {"left": parse_left(cells, headers), "right": parse_right(cells, headers),
@@ -213,17 +235,21 @@ def shred(cells: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
     return {"rows": rows, "headers": headers, **parts}
 
 
-def reconcile(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Per file status OK / MISMATCH (parsed != expected when known) / FAILED (no layout)."""
+def reconcile(rows: DataFrame, headers: DataFrame, skipped: DataFrame | None = None) -> DataFrame:
+    """Per file OK / MISMATCH (parsed != expected when known) / FAILED (0 rows, with the reason),
+    and SKIPPED (0 rows) for the files of ``skipped(source_file)``, whose output already exists."""
     counts = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("parsed"))
     j = headers.join(counts, "source_file", "full_outer").withColumn("parsed", F.coalesce("parsed", F.lit(0)))
-    status = (F.when(F.col("layout").isNull(), "FAILED")
+    status = (F.when(F.col("error").isNotNull(), "FAILED")
                .when(F.col("expected").isNotNull() & (F.col("parsed") != F.col("expected")), "MISMATCH")
                .otherwise("OK"))
-    return j.select(F.col("source_file").alias("file"), status.alias("status"),
-                    F.when(F.col("layout").isNotNull(), F.col("parsed")).alias("rows"),
-                    F.when(F.col("layout").isNotNull(), F.col("parsed")).alias("parsed"), "expected",
-                    F.when(F.col("layout").isNull(), F.lit("no parser found")).alias("error"))
+    n = F.when(F.col("error").isNull(), F.col("parsed")).otherwise(0).cast("long")
+    out = j.select(F.col("source_file").alias("file"), status.alias("status"), n.alias("rows"), n.alias("parsed"), "expected", "error")
+    if skipped is None:
+        return out
+    zero = F.lit(0).cast("long")
+    return out.unionByName(skipped.select(F.col("source_file").alias("file"), F.lit("SKIPPED").alias("status"), zero.alias("rows"),
+                                          zero.alias("parsed"), F.lit(None).cast("int").alias("expected"), F.lit(None).cast("string").alias("error")))
 
 
 def parse_report(report: DataFrame) -> DataFrame:

@@ -41,7 +41,10 @@ rf AS (
          (f.position - 1) // 40 + 1 AS page_no
   FROM results f LEFT JOIN part p ON p.p_partkey = f.runner_id LEFT JOIN customer c ON c.c_custkey = f.runner_id),
 rl AS (SELECT *, CASE WHEN season <= 2007 THEN 'left' WHEN season = 2010 AND race_id % 3 = 0 THEN NULL
-                      WHEN season <= 2016 THEN 'right' WHEN season <= 2024 THEN 'score' ELSE 'header' END AS layout
+                      WHEN season <= 2016 THEN 'right' WHEN season <= 2024 THEN 'score' ELSE 'header' END AS layout,
+              CASE WHEN season = 2010 AND race_id % 3 = 0 THEN 'no parser found'
+                   WHEN season = 2006 AND race_id // 20 = 1 THEN 'malformed distance'
+                   WHEN season = 2007 AND race_id // 20 = 2 THEN 'invalid date' END AS error
        FROM rf),
 expected AS (
   SELECT source_file, CAST(position AS VARCHAR) AS "Position",
@@ -52,7 +55,7 @@ expected AS (
     cat AS "Categorie", CAST(position_category AS VARCHAR) AS "Position Catégorie", temps AS "Temps",
     'Course ' || CAST(race_id AS VARCHAR) AS "NomCourse", doc_date AS "Date", distance AS "Distance",
     layout, race_id, page_no, rid
-  FROM rl WHERE layout IS NOT NULL AND NOT (layout = 'score' AND (rid % 17 = 0 OR rid % 19 = 0)))
+  FROM rl WHERE error IS NULL AND NOT (layout = 'score' AND (rid % 17 = 0 OR rid % 19 = 0)))
 """
 _COLS = ('source_file, "Position", "Nom", "Club", "Sexe", "Categorie", "Position Catégorie", "Temps", '
          '"NomCourse", "Date", "Distance"')
@@ -85,14 +88,14 @@ def cells_layout_score(spark, sf):
     return SH.parse_score(c, h)
 
 
-@register("cells_layout_header", _layout_sql("layout = 'header' AND NOT ((race_id // 20) % 2 = 0 AND page_no = 2)"),
+@register("cells_layout_header", _layout_sql("layout = 'header' AND NOT ((race_id // 20) % 2 = 0 AND page_no % 2 = 0)"),
           doubles=("Distance",))
 def cells_layout_header(spark, sf):
     c, _p, h = _docs(spark, sf)
     return SH.parse_header(c, h).drop("page_no")
 
 
-@register("text_line_fallback", _layout_sql("layout = 'header' AND (race_id // 20) % 2 = 0 AND page_no = 2"),
+@register("text_line_fallback", _layout_sql("layout = 'header' AND (race_id // 20) % 2 = 0 AND page_no % 2 = 0"),
           doubles=("Distance",))
 def text_line_fallback(spark, sf):
     c, p, h = _docs(spark, sf)
@@ -100,14 +103,15 @@ def text_line_fallback(spark, sf):
     return SH.parse_text_lines(p, h, parsed)
 
 
-_FILES = """files AS (SELECT source_file, race_id, any_value(layout) AS layout, any_value(doc_date) AS doc_date,
+_FILES = """files AS (SELECT source_file, race_id, any_value(layout) AS layout, any_value(error) AS error, any_value(doc_date) AS doc_date,
   any_value(distance) AS distance, count(*) AS n FROM rl GROUP BY source_file, race_id)"""
 
 
 @register("layout_router", with_ctes("""
 SELECT source_file, layout, CASE WHEN layout IS NOT NULL THEN 'Course ' || CAST(race_id AS VARCHAR) END AS "NomCourse",
-       doc_date AS "Date", distance AS "Distance",
-       CAST(CASE WHEN layout IN ('right', 'score', 'header') THEN n END AS INTEGER) AS expected
+       CASE WHEN error = 'invalid date' THEN NULL ELSE doc_date END AS "Date",
+       CASE WHEN error = 'malformed distance' THEN NULL ELSE distance END AS "Distance",
+       CAST(CASE WHEN layout IN ('right', 'score', 'header') THEN n END AS INTEGER) AS expected, error
 FROM files""", RESULTS_CTE, DOC_CTE, _FILES), doubles=("Distance",))
 def layout_router(spark, sf):
     _c, _p, h = _docs(spark, sf)
@@ -116,14 +120,12 @@ def layout_router(spark, sf):
 
 @register("reconcile_counts", with_ctes("""
 SELECT fl.source_file AS file,
-       CASE WHEN fl.layout IS NULL THEN 'FAILED'
+       CASE WHEN fl.error IS NOT NULL THEN 'FAILED'
             WHEN fl.layout IN ('right', 'score', 'header') AND coalesce(e.parsed, 0) <> fl.n THEN 'MISMATCH'
             ELSE 'OK' END AS status,
-       CASE WHEN fl.layout IS NOT NULL THEN coalesce(e.parsed, 0) END AS rows,
-       CASE WHEN fl.layout IS NOT NULL THEN coalesce(e.parsed, 0) END AS parsed,
+       coalesce(e.parsed, 0) AS rows, coalesce(e.parsed, 0) AS parsed,
        CAST(CASE WHEN fl.layout IN ('right', 'score', 'header') THEN fl.n END AS INTEGER) AS expected,
-       CASE WHEN fl.layout IS NULL THEN 'no parser found' END AS error
-FROM files fl LEFT JOIN (SELECT source_file, count(*) AS parsed FROM expected GROUP BY 1) e USING (source_file)""",
+       fl.error FROM files fl LEFT JOIN (SELECT source_file, count(*) AS parsed FROM expected GROUP BY 1) e USING (source_file)""",
                                          RESULTS_CTE, DOC_CTE, _FILES))
 def reconcile_counts(spark, sf):
     c, p, _h = _docs(spark, sf)
@@ -133,10 +135,10 @@ def reconcile_counts(spark, sf):
 
 @register("parse_report", with_ctes("""
 SELECT status, count(*) AS files, CAST(coalesce(sum(parsed), 0) AS BIGINT) AS rows FROM (
-  SELECT CASE WHEN fl.layout IS NULL THEN 'FAILED'
+  SELECT CASE WHEN fl.error IS NOT NULL THEN 'FAILED'
               WHEN fl.layout IN ('right', 'score', 'header') AND coalesce(e.parsed, 0) <> fl.n THEN 'MISMATCH'
               ELSE 'OK' END AS status,
-         CASE WHEN fl.layout IS NOT NULL THEN coalesce(e.parsed, 0) END AS parsed
+         coalesce(e.parsed, 0) AS parsed
   FROM files fl LEFT JOIN (SELECT source_file, count(*) AS parsed FROM expected GROUP BY 1) e USING (source_file)) q
 GROUP BY status""", RESULTS_CTE, DOC_CTE, _FILES))
 def parse_report(spark, sf):
@@ -145,11 +147,30 @@ def parse_report(spark, sf):
     return SH.parse_report(SH.reconcile(out["rows"], out["headers"]))
 
 
+_TEXT = """
+heads AS (SELECT source_file, race_id, season, n, doc_date,
+    CASE WHEN error = 'malformed distance' THEN '1.2.3' ELSE replace(printf('%.1f', distance), '.', ',') END AS dist,
+    CASE WHEN error = 'invalid date' THEN '32' ELSE CAST(day(doc_date) AS VARCHAR) END AS d,
+    'Course ' || CAST(race_id AS VARCHAR) AS course
+  FROM (SELECT source_file, race_id, season, error, doc_date, distance, count(*) AS n FROM rl GROUP BY ALL)),
+tops AS (SELECT source_file, CASE WHEN season = 2025 THEN
+      concat_ws(chr(10), course || ' ' || season, 'Distance ' || dist || ' km', 'Nombre de classés : ' || n, 'www.goaltiming.be',
+                'Rank Dos Nom Sexe Club Cat Pl/Cat Temps')
+    ELSE concat_ws(chr(10), 'RESULTATS', course || ' ' || season, course || ' SEF : 3 V1 : 2 DISTANCE : ' || dist || ' km',
+                concat_ws(' ', ['dimanche', 'lundi', 'mardi', 'mercredi', 'jeudi', 'vendredi', 'samedi'][dayofweek(doc_date) + 1], d,
+                          ['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août', 'septembre', 'octobre', 'novembre',
+                           'décembre'][month(doc_date)], season),
+                CASE WHEN season >= 2008 THEN 'Nombre de participants arrivés : ' || n END,
+                CASE WHEN season >= 2017 OR (season = 2010 AND race_id % 3 = 0) THEN 'http://results.example.org' END) END AS top
+  FROM heads)"""
+
+
 @register("document_text", with_ctes("""
-SELECT source_file, CAST(count(*) AS BIGINT) AS result_lines FROM rl
-WHERE layout = 'header' AND (race_id // 20) % 2 = 0 AND page_no = 2 GROUP BY 1""", RESULTS_CTE, DOC_CTE))
+SELECT source_file, max(page_no) AS pages, md5(any_value(top) || chr(10) || string_agg(
+         concat_ws(' ', position, rid, first_part, last_part, sexe, club, cat, position_category, temps), chr(10) ORDER BY position)) AS text_md5
+FROM rl JOIN tops USING (source_file) GROUP BY source_file""", RESULTS_CTE, DOC_CTE, _TEXT))
 def document_text(spark, sf):
-    """Documents assembled from their pages; counts the result lines carried by the text layer."""
-    d = SH.document_text(D.page_text(spark, sf))
-    lines = F.filter(F.split("full_text", "\n"), lambda x: x.rlike(r"^\d+ "))
-    return d.select("source_file", F.size(lines).cast("long").alias("result_lines")).where(F.col("result_lines") > 0)
+    """Every document assembled from its pages in order, as a hash of its whole text."""
+    pages = D.page_text(spark, sf)
+    d = SH.document_text(pages).select("source_file", F.md5(F.col("full_text").cast("binary")).alias("text_md5"))
+    return d.join(pages.groupBy("source_file").agg(F.max("page_no").cast("long").alias("pages")), "source_file")
