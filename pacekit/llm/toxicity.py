@@ -16,14 +16,14 @@ have not seen, turns it into a score.
 
 The counts are Spark aggregations over the whole corpus, which grow with it. Scoring needs them
 in every task: words and pairs are hashed to tables of fixed size (``slots`` and ``pair_slots``), so
-that what is broadcast has a proven bound: 44 bytes a slot and 8 bytes a pair slot.
+that what a worker holds has a proven bound: 90 bytes a slot and 8 bytes a pair slot.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -63,38 +63,34 @@ def pair_slot(key: np.ndarray, pair_slots: int) -> np.ndarray:
     return ((mixed >> np.uint64(24)) % np.uint64(pair_slots)).astype(np.int64)
 
 
-@dataclass
 class Model:
-    """Tables by slot; those of a class have a first axis (toxic, ordinary)."""
-    slots: int
-    pair_slots: int
-    shared: np.ndarray                  # [slots] shared probability of a word
-    word: np.ndarray                    # [2, slots] discounted continuation probability of a word
-    stem: np.ndarray                    # [2, slots] probability of a beginning, over its shared one
-    context: np.ndarray                 # [2, slots] pairs with this left word
-    backoff: np.ndarray                 # [2, slots] mass that a left word leaves to the lower order
-    known: np.ndarray                   # [2, slots] pairs with this word
-    pair: np.ndarray                    # [2, pair_slots] documents with the pair
-    curve: np.ndarray = field(default_factory=lambda: np.zeros(len(EVIDENCE) + 1))
-
-    @classmethod
-    def counted(cls, seen, stems_seen, by_word, by_stem, by_left, pair) -> "Model":
-        """From documents by word and beginning; pair kinds and counts by word, kinds by beginning,
-        counts and their discounts by left word; hashed pair counts."""
-        slots = seen.shape[0]
-        shared = (seen + 0.5) / (float(seen.sum()) + 0.5 * slots)
-        shared_stem = (stems_seen + 0.5) / (float(stems_seen.sum()) + 0.5 * slots)
-        word, stem = np.zeros((2, slots), np.float32), np.zeros((2, slots), np.float32)
+    """Counts by slot, and the tables made of them; those of a class have a first axis (toxic, ordinary).
+
+    ``seen`` and ``stems_seen``: documents with the word or beginning. ``by_word``: kinds, then
+    counts, of pairs with the word as the second; ``by_stem``: kinds for its beginning; ``by_left``:
+    counts, then discounted mass, of pairs by left word; ``pair``: hashed counts of pairs. Only these
+    mostly empty counts are shipped to the tasks, compressed; each worker makes its tables once.
+    """
+
+    def __init__(self, seen, stems_seen, by_word, by_stem, by_left, pair, curve=None):
+        self.counts = (seen, stems_seen, by_word, by_stem, by_left, pair)
+        self.curve = np.zeros(len(EVIDENCE) + 1) if curve is None else curve
+        self.slots, self.pair_slots = seen.shape[0], pair.shape[1]
+        self.pair, self.context, self.known = pair, by_left[:2], by_word[2:]
+        self.shared = ((seen + 0.5) / (float(seen.sum()) + 0.5 * self.slots)).astype(np.float32)
+        shared_stem = (stems_seen + 0.5) / (float(stems_seen.sum()) + 0.5 * self.slots)
+        self.word, self.stem = np.zeros((2, self.slots), np.float32), np.zeros((2, self.slots), np.float32)
         for c in (0, 1):
-            n, m = by_word[c].astype(float), by_stem[c].astype(float)
-            total = max(n.sum(), 1.0)
-            rest_w = np.minimum(n, _DISCOUNT).sum() / total if n.any() else 1.0
-            rest_s = np.minimum(m, _DISCOUNT).sum() / total if m.any() else 1.0
-            word[c] = np.maximum(n - _DISCOUNT, 0) / total
-            stem[c] = rest_w * (np.maximum(m - _DISCOUNT, 0) / total + rest_s * shared_stem) / shared_stem
-        context = by_left[:2]
-        backoff = np.where(context > 0, by_left[2:] / np.maximum(context, 1.0), 1.0).astype(np.float32)
-        return cls(slots, pair.shape[1], shared.astype(np.float32), word, stem, context, backoff, by_word[2:], pair)
+            n, m = by_word[c], by_stem[c]
+            total = max(float(n.sum(dtype=float)), 1.0)
+            rest_w = float(np.minimum(n, _DISCOUNT).sum(dtype=float)) / total if n.any() else 1.0
+            rest_s = float(np.minimum(m, _DISCOUNT).sum(dtype=float)) / total if m.any() else 1.0
+            self.word[c] = np.maximum(n - _DISCOUNT, 0) / total
+            self.stem[c] = rest_w * (np.maximum(m - _DISCOUNT, 0) / total + rest_s * shared_stem) / shared_stem
+        self.backoff = np.where(self.context > 0, by_left[2:] / np.maximum(self.context, 1.0), 1.0).astype(np.float32)
+
+    def __reduce__(self):
+        return _unpacked, (zlib.compress(pickle.dumps((self.counts, self.curve)), 1),)
 
     def likelihood_ratios(self, text: bytes) -> np.ndarray:
         """log p(word | left word, toxic) - log p(word | left word, ordinary) of every different pair."""
@@ -123,6 +119,11 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.curve @ np.array([1.0, *self.evidence(text)]), -30, 30))))
 
 
+def _unpacked(data: bytes) -> Model:
+    counts, curve = pickle.loads(zlib.decompress(data))
+    return Model(*counts, curve=curve)
+
+
 EVIDENCE = ("mean", "excess_root", "excess_mean", "size", "top")
 
 
@@ -137,15 +138,15 @@ def held_out(id_col: Column) -> Column:
 
 def _dense(rows: DataFrame, key: str, columns: list[str], size: int) -> np.ndarray:
     """Table of at most ``size`` rows as dense arrays on the driver: bounded by its hash range."""
-    found = rows.select(key, *columns).toPandas()
-    out = np.zeros((len(columns), size), np.float32)
+    found = rows.select(key, *[F.col(c).cast("float").alias(c) for c in columns]).toArrow()
+    out, at = np.zeros((len(columns), size), np.float32), found[key].to_numpy()
     for k, c in enumerate(columns):
-        out[k, found[key].to_numpy()] = found[c].to_numpy()
+        out[k, at] = found[c].to_numpy()
     return out
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          learn: Column | None = None, slots: int = 1 << _BITS, pair_slots: int = 1 << 21, curve_rows: int = 20_000,
+          learn: Column | None = None, slots: int = 1 << 19, pair_slots: int = 1 << 20, curve_rows: int = 20_000,
           curve_part: int = 8) -> Model:
     """Count the models over ``docs`` and fit the curve.
 
@@ -207,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     pair = _dense(pairs.where(F.greatest(t, p) > _DISCOUNT).mapInPandas(hashed, "slot int, toxic long, plain long")
                        .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")),
                   "slot", ["toxic", "plain"], pair_slots)
-    model = Model.counted(seen[:slots], seen[slots:], by_word, by_stem, by_left, pair)
+    model = Model(seen[:slots], seen[slots:], by_word, by_stem, by_left, pair)
 
     calibrate = stored(marked.where(F.col(c_use)).orderBy(c_fold, c_id).limit(curve_rows).select(c_id, c_label), "toxic-curve")
     rows = docs.select(key, text.alias(c_text)).join(small(calibrate), F.col(id_col) == F.col(c_id))
