@@ -12,12 +12,11 @@ string x (|x| <= 62 so no signed overflow),
 
 ``char_masks`` builds PM once per distinct string (a MAP<STRING,BIGINT>), so
 a pair costs |y| map lookups.  Pairs where both strings exceed 62 characters
-go through a small vectorised pandas UDF running the classic DP.
+go through a small pandas UDF with the same recurrence on Python's whole numbers.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,23 +60,22 @@ def lcs_bitparallel(x_len, x_masks, y) -> Column:
     return F.bit_count(F.bitwise_not(v).bitwiseAND(all_ones)).cast("int")
 
 
+def _lcs(x: str, y: str) -> int:
+    """The same recurrence on whole numbers of any size: |y| steps a pair."""
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(x):
+        masks[ch] = masks.get(ch, 0) | 1 << i
+    v = ones = (1 << len(x)) - 1
+    for ch in y:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & ones
+    return len(x) - v.bit_count()
+
+
 @F.pandas_udf(IntegerType())
-def lcs_dp(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Classic O(|a||b|) LCS, vectorised per row with numpy; used only for long pairs."""
-    out = np.zeros(len(a), dtype=np.int32)
-    for k, (x, y) in enumerate(zip(a, b)):
-        if not x or not y:
-            continue
-        xa = np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32)
-        prev = np.zeros(len(xa) + 1, dtype=np.int32)
-        for ch in y:
-            eq = xa == ord(ch)
-            cur = np.zeros_like(prev)
-            for i in range(1, len(xa) + 1):
-                cur[i] = prev[i - 1] + 1 if eq[i - 1] else max(prev[i], cur[i - 1])
-            prev = cur
-        out[k] = prev[-1]
-    return pd.Series(out)
+def lcs_long(a: pd.Series, b: pd.Series) -> pd.Series:
+    """LCS of pairs whose shorter string exceeds 62 characters."""
+    return pd.Series([_lcs(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
 def with_lcs(pairs: DataFrame, x: str, x_len: str, x_masks: str, y: str, out: str = "lcs",
@@ -92,7 +90,7 @@ def with_lcs(pairs: DataFrame, x: str, x_len: str, x_masks: str, y: str, out: st
     short = pairs.where(F.col(x_len) <= MAX_MASK_LEN)
     long_ = pairs.where(F.col(x_len) > MAX_MASK_LEN)
     return (short.withColumn(out, lcs_bitparallel(x_len, x_masks, y))
-                 .unionByName(long_.withColumn(out, lcs_dp(F.col(x), F.col(y)))))
+                 .unionByName(long_.withColumn(out, lcs_long(F.col(x), F.col(y)))))
 
 
 def max_indel(total_len) -> Column:

@@ -67,14 +67,10 @@ def _tau(max_len: int) -> dict[int, int]:
     return out
 
 
-def _segments_expr(s, lx, tau):
-    """(i, start, len) of tau+1 near-equal segments of a string of length lx (0-based start)."""
-    base = F.floor(lx / (tau + 1))
-    extra = lx % (tau + 1)
-    i = F.col("_seg_i")
-    start = i * base + F.least(i, extra)
-    length = base + F.when(i < extra, 1).otherwise(0)
-    return start, length
+def _segment(i, lx, count):
+    """(start, length) of segment ``i`` of ``count`` near-equal segments of a string of length ``lx``."""
+    base, extra = F.floor(lx / count), lx % count
+    return i * base + F.least(i, extra), base + F.when(i < extra, 1).otherwise(0)
 
 
 def _tau_col(length_col, max_len):
@@ -83,42 +79,63 @@ def _tau_col(length_col, max_len):
     return F.coalesce(F.element_at(m, length_col), F.floor(length_col * 202 / 1699).cast("int"))
 
 
-def _index_side(df: DataFrame, key: str, max_len: int, extra: list[str]) -> DataFrame:
-    """Shorter-string side: one row per segment (length, i, text)."""
-    d = df.withColumn("_lx", F.length(key)).where(F.col("_lx") > 0)
-    d = d.withColumn("_tau", _tau_col(F.col("_lx"), max_len))
-    d = d.withColumn("_seg_i", F.explode(F.sequence(F.lit(0), F.col("_tau"))))
-    start, length = _segments_expr(key, F.col("_lx"), F.col("_tau"))
-    return d.select(*extra, key, F.col("_lx").alias("jl"), F.col("_seg_i").alias("ji"),
-                    F.substring(F.col(key), start + 1, length).alias("jt"))
-
-
-def _probe_side(df: DataFrame, key: str, max_len: int, extra: list[str]) -> DataFrame:
-    """Longer-string side: for every admissible shorter length lx, every segment i and every
-    shift within tau, the substring that segment i would have to equal."""
+def _index_side(df: DataFrame, key: str, max_len: int, extra: list[str], parts: int = 1) -> DataFrame:
+    """Shorter-string side: cut into tau + ``parts`` segments, a row per ``parts`` of them."""
+    lx, count = F.col("_lx"), F.col("_tau") + parts
+    d = df.withColumn("_lx", F.length(key)).where(F.col("_lx") > 0).withColumn("_tau", _tau_col(F.col("_lx"), max_len))
+    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), count - parts)))
+    def text(i):
+        start, length = _segment(i, lx, count)
+        return F.substring(F.col(key), start + 1, length)
+    if parts == 1:
+        return d.select(*extra, key, lx.alias("jl"), F.col("_i").alias("ji"), text(F.col("_i")).alias("jt"))
+    d = d.withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, count - 1)))
+    return d.select(*extra, key, lx.alias("jl"), (F.col("_i") * 1000 + F.col("_j")).alias("ji"),
+                    F.concat(text(F.col("_i")), F.lit("\u0000"), text(F.col("_j"))).alias("jt"))
+
+
+def _probe_side(df: DataFrame, key: str, max_len: int, extra: list[str], parts: int = 1) -> DataFrame:
+    """Longer-string side: for every admissible shorter length, what its segments would have to
+    equal here. A segment found ``s`` places off costs ``|s|`` edits before it and ``|d - s|``
+    behind it (``d`` the difference of the lengths), so only shifts within the distance are kept."""
+    ly, lx, count = F.col("_ly"), F.col("_lx"), F.col("_tau") + parts
     d = df.withColumn("_ly", F.length(key)).where(F.col("_ly") > 0)
     # ly - lx <= 101 (lx + ly) / 1800  <=>  ly - lx <= 202 ly / 1901
-    kmax = F.floor(F.col("_ly") * 202 / 1901).cast("int")
-    d = d.withColumn("_lx", F.explode(F.sequence(F.greatest(F.col("_ly") - kmax, F.lit(1)), F.col("_ly"))))
-    d = d.withColumn("_tau", _tau_col(F.col("_lx"), max_len))
-    # only partner lengths that can pass: ly - lx <= max_indel(lx + ly)
-    d = d.where(F.col("_ly") - F.col("_lx") <= max_indel(F.col("_lx") + F.col("_ly")))
-    d = d.withColumn("_seg_i", F.explode(F.sequence(F.lit(0), F.col("_tau"))))
-    start, length = _segments_expr(key, F.col("_lx"), F.col("_tau"))
-    d = d.withColumn("_st", start).withColumn("_len", length)
-    d = d.withColumn("_q", F.explode(F.sequence(F.greatest(F.col("_st") - F.col("_tau"), F.lit(0)),
-                                                F.least(F.col("_st") + F.col("_tau"), F.col("_ly") - F.col("_len")))))
-    return d.where(F.col("_q") >= 0).select(*extra, key, F.col("_lx").alias("jl"), F.col("_seg_i").alias("ji"),
-                                            F.substring(F.col(key), F.col("_q") + 1, F.col("_len")).alias("jt"))
+    widest = F.floor(ly * 202 / 1901).cast("int")
+    d = d.withColumn("_lx", F.explode(F.sequence(F.greatest(ly - widest, F.lit(1)), ly))).withColumn("_tau", _tau_col(lx, max_len))
+    d = d.withColumn("_k", max_indel(lx + ly)).withColumn("_d", ly - lx).where(F.col("_d") <= F.col("_k"))
+    k, diff, i, j, s, s2 = (F.col(c) for c in ("_k", "_d", "_i", "_j", "_s", "_s2"))
+    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), count - parts))).withColumn("_s", F.explode(F.sequence(-k, k)))
+    def place(seg, shift):
+        start, length = _segment(seg, lx, count)
+        return start + shift, length
+    def fits(seg, shift):
+        start, length = place(seg, shift)
+        return (start >= 0) & (start + length <= ly)
+    def text(seg, shift):
+        start, length = place(seg, shift)
+        return F.substring(F.col(key), start + 1, length)
+    if parts == 1:
+        d = d.where((F.abs(s) + F.abs(diff - s) <= k) & fits(i, s))
+        return d.select(*extra, key, lx.alias("jl"), i.alias("ji"), text(i, s).alias("jt")).distinct()
+    d = d.withColumn("_j", F.explode(F.sequence(i + 1, count - 1))).withColumn("_s2", F.explode(F.sequence(-k, k)))
+    d = d.where((F.abs(s) + F.abs(s2 - s) + F.abs(diff - s2) <= k) & fits(i, s) & fits(j, s2))
+    return d.select(*extra, key, lx.alias("jl"), (i * 1000 + j).alias("ji"),
+                    F.concat(text(i, s), F.lit("\u0000"), text(j, s2)).alias("jt")).distinct()
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] | None = None,
-                  max_len: int | None = None) -> DataFrame:
+                  max_len: int | None = None, bucket: int = 64) -> DataFrame:
     """All (l, r) with Indel distance(l.key, r.key) <= floor(101 * T / 1800), exactly.
 
     ``left``/``right`` need column ``key`` (the token-sorted string) plus the
     ``equi`` columns, which must also be equal.  Output: l_<key>, r_<key>, lcs.
     Works in both orientations (left shorter or right shorter).
+
+    A segment text that more than ``bucket`` shorter strings share (a common name half) is not
+    joined on its own: the strings that meet such a key are cut into one segment more, of which
+    two must match, and joined on pairs of segments. A pair whose shared keys are all that common
+    has both its strings among them, so no pair is lost.
     """
     equi = equi or []
     cols = [key] + equi
@@ -127,9 +144,15 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
     if max_len is None:  # one small aggregate: sizes the segment table, decides the UDF branch
         max_len = L.unionByName(R).agg(F.max(F.length(key))).first()[0] or 1
     def oriented(short, long_, short_is_left):
-        idx = _index_side(short, key, max_len, equi).withColumnRenamed(key, "_xs")
-        prb = _probe_side(long_, key, max_len, equi).withColumnRenamed(key, "_ys")
-        j = idx.join(prb, ["jl", "ji", "jt"] + equi).select(*equi, "_xs", "_ys").distinct()
+        on, xs, ys = ["jl", "ji", "jt"] + equi, short.withColumnRenamed(key, "_xs"), long_.withColumnRenamed(key, "_ys")
+        idx = _index_side(xs, "_xs", max_len, equi)
+        prb = _probe_side(ys, "_ys", max_len, equi)
+        common = idx.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bucket).select(*on)
+        j = idx.join(common, on, "left_anti").join(prb, on).select(*equi, "_xs", "_ys")
+        hx = idx.join(common, on, "left_semi").select(*equi, "_xs").distinct()
+        hy = prb.join(common, on, "left_semi").select(*equi, "_ys").distinct()
+        pairs = _index_side(hx, "_xs", max_len, equi, 2).join(_probe_side(hy, "_ys", max_len, equi, 2), on)
+        j = j.unionByName(pairs.select(*equi, "_xs", "_ys")).distinct()
         j = j.where((F.length("_xs") < F.length("_ys")) |
                     ((F.length("_xs") == F.length("_ys")) & (F.lit(short_is_left) | (F.col("_xs") != F.col("_ys")))))
         if short_is_left:

@@ -41,7 +41,9 @@ def _sp_sql(d):
 
 
 NAMES_CTE = f"""
-_nb AS (SELECT p_partkey, p_name, p_size, upper(concat_ws(' ', p_name, p_type)) AS b FROM part),
+_nb AS (SELECT p_partkey, p_name, p_size, upper(concat_ws(' ', p_name, p_type,
+          CASE WHEN p_partkey % 10 = 3 THEN p_name || ' ' || p_type END,
+          translate(CAST(p_partkey // 1000 AS VARCHAR), '0123456789', 'ABCDEFGHIJ'))) AS b FROM part),
 names AS (
   SELECT p_partkey AS row_id,
     CASE WHEN p_partkey % 7 = 0 THEN array_to_string(list_reverse(string_split(b, ' ')), ' ')

@@ -158,13 +158,16 @@ def _raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names adapter (from ``part``): one result row per part with a person-like name.
 
-    base = upper(p_name || ' ' || p_type); tokens reversed when p_partkey % 7 = 0,
+    base = upper(p_name || ' ' || p_type || ' ' || a word for every thousand parts), the first two
+    twice when p_partkey % 10 = 3 (long names), so that names grow with the table; tokens reversed when p_partkey % 7 = 0,
     else the last-but-one character dropped when p_partkey % 13 = 0;
     Sexe = H/F by parity of length(p_name); speed = 8 + length(base) % 5 + p_size / 100;
     racekey = event p_partkey % 997.
     """
     p = table(spark, sf_dir, "part")
-    base = F.upper(F.concat_ws(" ", "p_name", "p_type"))
+    word = F.translate(F.floor(F.col("p_partkey") / 1000).cast("string"), "0123456789", "ABCDEFGHIJ")
+    twice = F.when(F.col("p_partkey") % 10 == 3, F.concat_ws(" ", "p_name", "p_type"))
+    base = F.upper(F.concat_ws(" ", "p_name", "p_type", twice, word))
     n = F.length(base)
     nom = (F.when(F.col("p_partkey") % 7 == 0, F.array_join(F.reverse(F.split(base, " ")), " "))
             .when(F.col("p_partkey") % 13 == 0, F.concat(F.substring(base, 1, n - 2), F.substring(base, n, 1)))

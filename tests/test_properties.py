@@ -3,6 +3,8 @@
 import random
 import string
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -110,6 +112,89 @@ def test_candidate_plan_equals_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("bucket", [64, 1, 0])
+def test_candidates_are_complete_for_long_names(spark, bucket):
+    """Names of 5 to 80 characters with edits, against all pairs; small buckets force pairs of segments."""
+    rng = random.Random(bucket)
+    names = set()
+    while len(names) < 140:
+        base = "".join(rng.choice("ABCD E") for _ in range(rng.randint(5, 80)))
+        names.add(base)
+        for _ in range(2):
+            t = list(base)
+            for _ in range(rng.randint(1, 5)):
+                at = rng.randrange(len(t) + 1)
+                if rng.random() < 0.6:
+                    t.insert(at, rng.choice("ABCDE"))
+                elif at < len(t) > 3:
+                    del t[at]
+            names.add("".join(t))
+    keys = sorted(n for n in names if n.strip())
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {(r.l_key, r.r_key) for r in RV.similar_pairs(df, df, "k", bucket=bucket).collect() if r.l_key < r.r_key}
+    want = {(a, b) for i, a in enumerate(keys) for b in keys[i + 1:]
+            if abs(len(a) - len(b)) <= (101 * (len(a) + len(b))) // 1800
+            and len(a) + len(b) - 2 * lcs_dp(a, b) <= (101 * (len(a) + len(b))) // 1800}
+    assert got == want and any(len(a) > 62 and len(b) > 62 for a, b in want)
+
+
+def test_null_groups_keep_their_rows(spark):
+    from pacekit.operators import history as H
+    from pacekit.operators import ranking as RK
+    rows = [(1, None, None, 5.0), (2, None, "x", 7.0), (3, 10, None, 9.0), (4, 10, "x", 9.0), (5, 10, "x", 12.0), (6, None, None, 6.0)]
+    df = spark.createDataFrame(rows, "result_id long, race_id long, runner_id string, speed_kmh double")
+    assert {r.result_id: r.rn for r in RK.group_row_number(df, ["race_id"], ["speed_kmh", "result_id"]).collect()} == {1: 1, 6: 2, 2: 3, 3: 1, 4: 2, 5: 3}
+    assert {r.race_id: r.median for r in RK.group_median(df, ["race_id"], "speed_kmh").collect()} == {None: 6.0, 10: 9.0}
+    z = H.add_group_zscore(df)
+    assert z.count() == 6 and z.where("race_id IS NULL AND speed_z_race IS NOT NULL").count() == 3
+    dated = z.withColumn("date", F.make_date(F.lit(2020), F.lit(1), F.col("result_id").cast("int")))
+    a = {r.result_id: r.prior_race_count for r in H.add_history(dated, segmented=True).collect()}
+    b = {r.result_id: r.prior_race_count for r in H.add_history(dated, segmented=False).collect()}
+    assert a == b and len(a) == 6
+
+
+def test_quantiles_of_tied_values(spark):
+    """Few distinct values over many rows: the ranks come from counts, so ties cost nothing."""
+    from pacekit.operators import ranking as RK
+    rows = [("g", 1.0)] * 700 + [("g", 2.0)] * 300 + [("h", 4.0), ("h", 6.0)] + [(None, 3.0)] * 5
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.q25, r.q50, r.q75) for r in RK.group_quantiles(df, ["k"], "v", [0.25, 0.5, 0.75]).collect()}
+    assert got == {"g": (1.0, 1.0, 2.0), "h": (4.5, 5.0, 5.5), None: (3.0, 3.0, 3.0)}
+    assert {r.k: r.median for r in RK.group_median(df, ["k"], "v").collect()} == {"g": 1.0, "h": 5.0, None: 3.0}
+
+
+def test_hot_entity_with_many_segments(spark):
+    """One runner over hundreds of range partitions: the carried state is that of one window."""
+    from pacekit.operators import history as H
+    from pacekit.operators.prefix import add_history_segmented
+    df = spark.range(600).select(F.lit(1).alias("runner_id"), F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                                 F.col("id").alias("race_id"), F.col("id").alias("result_id"), (1000 + F.col("id") % 7).cast("double").alias("speed_kmh"),
+                                 F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("double")).alias("speed_z_race"))
+    a = {r.result_id: r for r in add_history_segmented(df, n_parts=200).collect()}
+    b = {r.result_id: r for r in H.add_history(df, segmented=False).collect()}
+    for k, r in b.items():
+        for c in ("prior_race_count", "prior_avg_speed", "prior_std_speed", "prior_best_speed", "prior_avg_z", "prior_std_z", "recent_z_roll3",
+                  "days_since_last_race", "runner_history_years"):
+            x, y = a[k][c], r[c]
+            assert (x is None) == (y is None) and (x is None or abs(x - y) < 1e-9), (k, c, x, y)
+
+
+def test_repeated_probes_get_one_answer(spark):
+    from pacekit.plans import scoring as S
+    from pacekit.sources import adapters
+    from conftest import SF_SMALL
+    fact, races = adapters.results(spark, SF_SMALL, with_positions=False), adapters.dim_race(spark, SF_SMALL)
+    probe = fact.select("runner_id", (F.col("race_id") + 1).cast("int").alias("race_id")).orderBy("runner_id", "race_id").limit(3)
+    assert S.asof_features(fact, races, probe.union(probe)).count() == S.asof_features(fact, races, probe).count()
+    assert S.whatif(fact, races, probe.union(probe)).count() == 2 * probe.count()
+
+
+def test_rows_without_a_year_are_in_no_set(spark):
+    from pacekit.plans import model as M
+    df = spark.createDataFrame([(1, 2020), (2, 2021), (3, None)], "source_result_id long, year int")
+    assert {r.source_result_id: r.split for r in M.temporal_split(df).collect()} == {1: "train", 2: "test", 3: None}
+
+
 def test_fixture_name_pairs(spark):
     rows = []
     def add(name, sex, speed, races):
@@ -162,7 +247,7 @@ def test_segmented_asof_equals_window_asof_with_hot_runner(spark):
                                                                      if c not in ("runner_id", "race_id")]),
                                                            "result_id").alias("r")).select("runner_id", "race_id", "r.*")
     races = adapters.dim_race(spark, SF_SMALL)
-    probes = R.not_run_races(hot, races).select("runner_id", "race_id")
+    probes = R.not_run_races(hot, races, hot).select("runner_id", "race_id")
     key = ["runner_id", "race_id"]
     a = {tuple(x[:2]): x[2:] for x in S.asof_features(hot, races, probes, segmented=False).orderBy(*key).collect()}
     b = {tuple(x[:2]): x[2:] for x in S.asof_features(hot, races, probes, segmented=True).orderBy(*key).collect()}
