@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, licenses, mixing, packing, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
+from . import ann, licenses, mixing, oracles, packing, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
 from .common import read, stored
 
 
@@ -67,4 +67,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash_near_dedup, op3_toxicity, op4_quality_classifier, op5_ann, op6_mixing, op7_warc,
     op8_quality_rules, op9_sharding, op10_packing)}
-ORACLES: dict[str, str] = {}
+# Fingerprints by XXH64, token ids, language models, classifiers and the licence index are not SQL.
+ORACLES = {"op5_ann": oracles.ANN, "op6_mixing": oracles.MIXING, "op7_warc": oracles.WARC, "op8_quality_rules": oracles.QUALITY_RULES,
+           "op9_sharding": oracles.SHARDING}

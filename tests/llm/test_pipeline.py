@@ -1,7 +1,7 @@
 import corpus_pipeline
 import __spark_entry__ as entry
 from pacekit.llm import packing, quality_rules, simhash
-from test_simhash import classes, fingerprint
+from .test_simhash import classes, fingerprint
 
 SF = "/root/testdata/sf0.001"
 
