@@ -42,4 +42,4 @@ def register(name: str, sql: str | None = None, doubles: tuple[str, ...] = ()):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_core, queries_reports, queries_cleaning, queries_resolve, queries_profiling, queries_model, queries_warehouse, queries_shred, queries_streaming, queries_events  # noqa: F401
+    from . import queries_core, queries_reports, queries_cleaning, queries_resolve, queries_profiling, queries_model, queries_warehouse, queries_shred, queries_streaming, queries_events, queries_files  # noqa: F401

@@ -103,3 +103,20 @@ def membership_filters(df: DataFrame, col: str, keep: list[str], attr: str, not_
         F.count_if(inside & differs).alias("in_list_not_value"),
         F.count_if(~inside).alias("not_in_list"))
 
+
+
+def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
+    """The distinct values of a column in order, with their rank from 1 (null last)."""
+    from ..operators.ranking import global_index
+    ranked = global_index(df.select(col).distinct(), [F.col(col).asc_nulls_last()], "_i")
+    return ranked.select((F.col("_i") + 1).alias("rank"), col)
+
+
+def existence(df: DataFrame, **conditions) -> DataFrame:
+    """One row with a flag per condition: does any row meet it? (one pass, no rows fetched)"""
+    return df.agg(*[F.coalesce(F.max(F.coalesce(c, F.lit(False))), F.lit(False)).alias(k) for k, c in conditions.items()])
+
+
+def first_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """The first n rows in an order (the listing that goes with shape, types and null counts)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)

@@ -1,4 +1,4 @@
-"""File-level sources and sinks.
+"""File-level sources and sinks.
 
 Archives and documents are read with Spark's ``binaryFile`` source; archive
 members are expanded inside tasks with ``mapInPandas`` (zipfile), so archives
@@ -58,12 +58,6 @@ def extraction_report(members: DataFrame) -> DataFrame:
                         .cast("long").alias("total_bytes"))
 
 
-def write_members(members: DataFrame, output_dir: str) -> None:
-    """S1 sink: the extracted members as a (name, content) table, partitioned by name."""
-    (members.where(F.col("status") == "EXTRACTED").select("name", "size", "content")
-            .write.mode("append").partitionBy("name").parquet(output_dir))
-
-
 def list_documents(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """S3: documents of a folder (recursive) with their size, sorted by path."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)

@@ -35,18 +35,29 @@ def new_warehouse(spark: SparkSession) -> str:
     return scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
 
 
+def _filesystem(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str:
+    """Where the rows of a table are: the version its pointer names, or the folder itself for
+    tables that are only appended to."""
+    pointer = os.path.join(root, f"{name}.current")
+    fs, p = _filesystem(spark, pointer)
+    return os.path.join(root, spark.read.text(pointer).first()[0]) if fs.exists(p) else os.path.join(root, name)
+
+
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     """Does the table exist (catalog name or Parquet folder)?"""
     if spark.catalog.tableExists(name):
         return True
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(os.path.join(root, name))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(path)
+    fs, p = _filesystem(spark, current_path(spark, root, name))
+    return fs.exists(p)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    return spark.read.parquet(os.path.join(root, name)) if table_exists(spark, root, name) else None
+    return spark.read.parquet(current_path(spark, root, name)) if table_exists(spark, root, name) else None
 
 
 def get_or_create(spark: SparkSession, root: str, name: str, rows: DataFrame, key: str,
@@ -103,18 +114,33 @@ def load_star(spark: SparkSession, root: str, clean: DataFrame, dedup: bool = Tr
     return {"dim_runner": runners, "dim_race": races, "fact_results": spark.read.parquet(os.path.join(root, FACT))}
 
 
-def replace_table(df: DataFrame, root: str, name: str) -> None:
-    """Overwrite a table."""
-    df.write.mode("overwrite").parquet(os.path.join(root, name))
+def replace_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
+    """Replace the content of a table in one step.
+
+    The rows are written once, to a version folder of their own; then the pointer is renamed over
+    the old one. A reader sees the old or the new table, never none, and a failed write changes
+    nothing. ``df`` may read the table it replaces; the version before is removed afterwards.
+    """
+    before = current_path(spark, root, name)
+    version = f"{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(os.path.join(root, version))
+    fs, draft = _filesystem(spark, os.path.join(root, f"{version}.current"))
+    out = fs.create(draft)
+    out.write(bytearray(version.encode()))
+    out.close()
+    jvm = spark.sparkContext._jvm
+    renames = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    renames[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    pointer = jvm.org.apache.hadoop.fs.Path(os.path.join(root, f"{name}.current"))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri() if draft.toUri().getScheme() else fs.getUri(),
+                                                       spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, pointer, renames)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(before), True)
+    return spark.read.parquet(os.path.join(root, version))
 
 
 def truncate_and_load(spark: SparkSession, root: str, name: str, df: DataFrame, target_columns: list[str]) -> DataFrame:
     """Replace the table content, keeping only columns the table knows (NaN -> NULL upstream)."""
-    out = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in target_columns])
-    tmp = os.path.join(root, f"_{name}_staging_{uuid.uuid4().hex[:8]}")
-    out.write.mode("overwrite").parquet(tmp)            # materialise before replacing the source
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(os.path.join(root, name))
-    return spark.read.parquet(os.path.join(root, name))
+    return replace_table(spark, root, name, df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in target_columns]))
 
 
 def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -138,7 +164,7 @@ def write_back_predictions(spark: SparkSession, root: str, predictions: DataFram
     Expressed as: drop the columns, left join the predictions on the key, rewrite.
     Returns the new table and the number of updated rows.
     """
-    table = spark.read.parquet(os.path.join(root, ANALYSIS))
+    table = spark.read.parquet(current_path(spark, root, ANALYSIS))
     key = "analysis_id" if "analysis_id" in predictions.columns else "source_result_id"
     # of several predictions for a key the largest by z, then by the other columns, is stored
     p = predictions.groupBy(key).agg(F.max(F.struct("predicted_z", *[c for c in PREDICTION_COLUMNS if c != "predicted_z"])).alias("_p"))
