@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_checked
@@ -78,6 +78,17 @@ def get_or_create(spark: SparkSession, root: str, name: str, rows: DataFrame, ke
     return spark.read.parquet(os.path.join(root, name))
 
 
+def _last_id(spark: SparkSession, root: str, name: str) -> int:
+    """The largest id given so far, from the table's own small list of them (a row per load)."""
+    noted = read_table(spark, root, f"{name}_ids")
+    return (noted.agg(F.max("last")).first()[0] or 0) if noted is not None else 0
+
+
+def _note_last_id(spark: SparkSession, root: str, name: str, last: int | None) -> None:
+    if last is not None:
+        spark.range(1).select(F.lit(last).cast("long").alias("last")).write.mode("append").parquet(os.path.join(root, f"{name}_ids"))
+
+
 def load_star(spark: SparkSession, root: str, clean: DataFrame, dedup: bool = True) -> dict[str, DataFrame]:
     """Dims get-or-create, then fact append with two key lookups.
 
@@ -98,20 +109,25 @@ def load_star(spark: SparkSession, root: str, clean: DataFrame, dedup: bool = Tr
         "runner_id", "race_id", F.col("Position").alias("position"),
         F.col("Position Catégorie").alias("position_category"), F.col("temps_sec").alias("time_sec"),
         "speed_kmh", F.col("Categorie").alias("category_seen"), F.col("categorie_cleaned").alias("category_clean"),
-        "source_file", *[F.col(c).alias(f"_o{i}") for i, c in enumerate(ROW_ORDER)])
+        "source_file", F.coalesce(F.year("Date"), F.lit(0)).alias("load_year"),
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(ROW_ORDER)])
     stored = read_table(spark, root, FACT)
-    start = 0
-    if stored is not None:
-        if dedup:
-            facts = facts.join(stored.select("runner_id", "race_id", "source_file").distinct(),
-                               ["runner_id", "race_id", "source_file"], "left_anti")
-        start = stored.agg(F.max("result_id")).first()[0] or 0
+    if stored is not None and dedup:
+        # a race lies in one year: only the partitions of the batch's years are read
+        years = [r[0] for r in facts.select("load_year").distinct().collect()]
+        facts = facts.join(stored.where(F.col("load_year").isin(years)).select("runner_id", "race_id", "source_file").distinct(),
+                           ["runner_id", "race_id", "source_file"], "left_anti")
+    start = _last_id(spark, root, FACT)
     order = [f"_o{i}" for i in range(len(ROW_ORDER))] + ["runner_id"]
     facts = global_index(facts, order, "_i").withColumn("result_id", (F.col("_i") + F.lit(start) + 1).cast("long"))
-    facts = facts.select("result_id", "runner_id", "race_id", "position", "position_category", "time_sec",
-                         "speed_kmh", "category_seen", "category_clean", "source_file")
-    facts.write.mode("append").parquet(os.path.join(root, FACT))
-    return {"dim_runner": runners, "dim_race": races, "fact_results": spark.read.parquet(os.path.join(root, FACT))}
+    columns = ["result_id", "runner_id", "race_id", "position", "position_category", "time_sec",
+               "speed_kmh", "category_seen", "category_clean", "source_file"]
+    seen = Observation()
+    (facts.select(*columns, "load_year").observe(seen, F.max("result_id").alias("last"))
+          .write.mode("append").partitionBy("load_year").parquet(os.path.join(root, FACT)))
+    _note_last_id(spark, root, FACT, seen.get["last"])
+    return {"dim_runner": runners, "dim_race": races,
+            "fact_results": spark.read.parquet(os.path.join(root, FACT)).select(*columns)}
 
 
 def replace_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:

@@ -14,7 +14,9 @@ from conftest import SF_SMALL
 DEFAULT = ["race_zscore", "race_median", "feature_table", "kpi_overview", "race_ranking", "category_summary",
            "not_run_races", "pace_format", "clean_table", "title_case_names", "entity_profiles",
            "describe_numeric", "histogram", "asof_history", "cells_layout_right", "reconcile_counts",
-           "frequent_pairs", "dim_get_or_create"]
+           "frequent_pairs", "dim_get_or_create", "regression_quality", "whatif_scoring", "historical_predictions",
+           "ranking_with_expected", "expected_series", "prediction_writeback", "artifact_scoring", "expected_or_nulls",
+           "document_text", "document_files", "consolidated_cells", "replaced_table", "fact_load", "rare_matches"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("PACEKIT_FULL") else DEFAULT
 
 
