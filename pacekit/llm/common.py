@@ -26,7 +26,16 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm/{tag}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table of :func:`stored` that nothing reads any more."""
+    sc = table.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(table: DataFrame, max_rows: int = 1_000_000) -> DataFrame:

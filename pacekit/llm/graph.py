@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
         if state[0] == 0 or state == seen:
             break
         seen = state
-        e = stored(_small_star(_large_star(e)), "edges")
+        before, e = e, stored(_small_star(_large_star(e)), "edges")
+        discard(before)
     # a fixed point is a set of stars: every edge points at its root
     roots = e.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

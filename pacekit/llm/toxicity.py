@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_columns, small, stored
+from .common import discard, scratch_columns, small, stored
 from .licenses import words
 
 _DISCOUNT = 2.5
@@ -208,6 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     pair = _dense(pairs.where(F.greatest(t, p) > _DISCOUNT).mapInPandas(hashed, "slot int, toxic long, plain long")
                        .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")),
                   "slot", ["toxic", "plain"], pair_slots)
+    discard(pairs)
     model = Model(seen[:slots], seen[slots:], by_word, by_stem, by_left, pair)
 
     calibrate = stored(marked.where(F.col(c_use)).orderBy(c_fold, c_id).limit(curve_rows).select(c_id, c_label), "toxic-curve")
@@ -259,7 +260,7 @@ def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str =
     return docs.withColumn(out, run(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose score is ``limit`` or more; columns as they are."""
     model = train(docs, labels, id_col, text_col, learn=~held_out(F.col(id_col)))
     c_score, = scratch_columns(docs, "_score")
