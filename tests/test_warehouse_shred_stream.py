@@ -4,6 +4,7 @@ import io
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from pacekit.operators import shred as SH
@@ -29,9 +30,9 @@ def test_dimension_load_is_idempotent(spark):
 
 
 def _headers(spark, layout):
-    return spark.createDataFrame([("f.pdf", layout, "Course", None, 10.0, None)],
+    return spark.createDataFrame([("f.pdf", layout, "Course", None, 10.0, None, None)],
                                  "source_file string, layout string, NomCourse string, Date date, "
-                                 "Distance double, expected int")
+                                 "Distance double, expected int, error string")
 
 
 def test_golden_cells_left(spark):
@@ -47,6 +48,32 @@ def test_golden_cells_left(spark):
                                                                   ("2", "Martin Paul", "Ac Club", "H")]
 
 
+def test_malformed_headers_fail_their_files(spark):
+    top = "RESULTATS\nCourse 1 {y}\nCourse 1 SEF : 3 DISTANCE : {d} km\n{w}\n"
+    rows = [("ok.pdf", 1, top.format(y=2006, d="10,5", w="lundi 5 mai 2006")), ("distance.pdf", 1, top.format(y=2006, d="1.2.3", w="lundi 5 mai 2006")),
+            ("day.pdf", 1, top.format(y=2007, d="10", w="lundi 32 mai 2007")), ("none.pdf", 1, "no ranking"), ("none.pdf", 2, None)]
+    h = SH.file_headers(spark.createDataFrame(rows, "source_file string, page_no int, text string"))
+    assert {r.source_file: r.error for r in h.collect()} == {"ok.pdf": None, "distance.pdf": "malformed distance", "day.pdf": "invalid date",
+                                                             "none.pdf": "no parser found"}
+    parsed = spark.createDataFrame([("ok.pdf",)] * 3, "source_file string")
+    done = spark.createDataFrame([("old.pdf",)], "source_file string")
+    report = {r.file: (r.status, r.rows) for r in SH.reconcile(parsed, h, done).collect()}
+    assert report == {"ok.pdf": ("OK", 3), "distance.pdf": ("FAILED", 0), "day.pdf": ("FAILED", 0), "none.pdf": ("FAILED", 0), "old.pdf": ("SKIPPED", 0)}
+
+
+def test_table_replacement_is_one_step(spark, tmp_path):
+    root = str(tmp_path)
+    assert not WH.table_exists(spark, root, "t")
+    WH.replace_table(spark, root, "t", spark.range(5).toDF("a"))
+    WH.replace_table(spark, root, "t", WH.read_table(spark, root, "t").where("a > 2"))
+    assert sorted(r.a for r in WH.read_table(spark, root, "t").collect()) == [3, 4]
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("a"))
+    with pytest.raises(Exception):
+        WH.replace_table(spark, root, "t", broken)
+    assert WH.read_table(spark, root, "t").count() == 2
+    assert len([d for d in os.listdir(root) if d.startswith("t-") and not d.endswith(".crc")]) <= 2
+
+
 def test_golden_cells_right(spark):
     rows = [["1", "12", "DUPONT", "Jean", "RC Huy", "SH", "1", "0:40:00", "4:00", "15.0"],
             ["2", "MARTIN", "Paul", "SE", "SE", "1", "0:41:00", "4:06", "14.6"],   # category as last middle cell
