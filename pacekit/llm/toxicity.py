@@ -14,16 +14,22 @@ the number and over its square root (a few insults in a long text are not dilute
 neutral); and the largest three. A logistic curve, fitted on labelled rows that the counts
 have not seen, turns it into a score.
 
-The counts are Spark aggregations over the whole corpus, which grow with it. Scoring needs them
-in every task: words and pairs are hashed to tables of fixed size (``slots`` and ``pair_slots``), so
-that what a worker holds has a proven bound: 90 bytes a slot and 8 bytes a pair slot.
+The counts are Spark aggregations over the whole corpus, under full 64-bit keys of the words. Scoring
+needs only what the discount leaves, and loses nothing by that: a word's own counts matter where it
+has three kinds of pairs in a class, a beginning's likewise, a left word's and the pair's where the
+pair was seen three times; for all others the backoff has weight one, and the shared distribution
+is the same factor of both likelihoods. If these rows are at most ``held_rows`` in number (they are
+counted first), every worker holds them in sorted arrays; if not, they stay in their tables, and
+the different pairs of the documents are joined with them. Both ways give the same scores.
 """
 
 from __future__ import annotations
 
-import pickle
-import zlib
+import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -36,75 +42,175 @@ from .licenses import words
 _DISCOUNT = 2.5
 _MARGIN = 2.0
 _STEM = 5                               # bytes of a word's beginning
-_BITS = 20                              # of a slot in a pair's key
-_LOW = (1 << _BITS) - 1
+_START = 0                              # key of the left word at the start
+_BITS = 20                              # of a slot in a packed pair
 
 
-def slots_of(ws: list[bytes], slots: int) -> np.ndarray:
-    """Slots of words, 1 to slots - 1."""
-    return np.fromiter(map(zlib.crc32, ws), np.int64, len(ws)) % (slots - 1) + 1
+def word_key(w: bytes) -> int:
+    """64-bit key of a word or beginning; never that of the start."""
+    return int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True) or 1
 
 
-def pairs_of(text: bytes, slots: int) -> np.ndarray:
-    """The different pairs of a text, in the order of their first places: slots of the left word
-    (0 at the start), the word and its beginning in one number."""
-    ws = words(text)
-    if not ws:
-        return np.zeros(0, np.int64)
-    w = slots_of(ws, slots)
-    left = np.concatenate(([0], w[:-1]))
-    key = (left << 2 * _BITS) | (w << _BITS) | slots_of([x[:_STEM] for x in ws], slots)
-    return key[np.sort(np.unique(key, return_index=True)[1])]
+class Numbers:
+    """Numbers of a task's words, as they come, with the keys of the words and of their beginnings.
+
+    Forgotten when ``size`` words are known, so that the memory of a long task is bounded.
+    """
+
+    def __init__(self, size: int = 1 << 18):
+        self.known = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.key, self.stem = np.zeros(size, np.int64), np.zeros(size, np.int64)
+
+    def of(self, ws: list[bytes]) -> np.ndarray:
+        if len(self.known) + len(ws) > len(self.key):
+            self.known.clear()
+            if len(ws) > len(self.key):
+                self.key, self.stem = np.zeros(len(ws), np.int64), np.zeros(len(ws), np.int64)
+        before = len(self.known)
+        at = np.fromiter(map(self.known.__getitem__, ws), np.int64, len(ws))
+        if len(self.known) > before:
+            new = list(islice(reversed(self.known), len(self.known) - before))[::-1]
+            self.key[before:len(self.known)] = [word_key(w) for w in new]
+            self.stem[before:len(self.known)] = [word_key(w[:_STEM]) for w in new]
+            self.added(before, len(self.known))
+        return at
+
+    def added(self, start: int, stop: int) -> None:
+        """Called for the numbers of new words."""
+
+    def pairs(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The different pairs of a text, in the order of their first places: numbers of the left
+        word (-1 at the start) and of the word."""
+        w = self.of(words(text))
+        if not len(w):
+            return w, w
+        both = (np.concatenate(([0], w[:-1] + 1)) << 32) | w
+        both = both[np.sort(np.unique(both, return_index=True)[1])]
+        return (both >> 32) - 1, both & 0xFFFFFFFF
+
+    def pair_keys(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the left word, the word and its beginning of every different pair."""
+        left, w = self.pairs(text)
+        return np.where(left < 0, _START, self.key[left]), self.key[w], self.stem[w]
+
+
+class Vocabulary(int):
+    """The number of slots of a model's words; ``keys`` are the words' keys in order, ``start`` the slot of the start."""
+
+    def __new__(cls, keys: np.ndarray) -> Vocabulary:
+        out = super().__new__(cls, len(keys))
+        out.keys = keys
+        return out
+
+    def __reduce__(self):
+        return Vocabulary, (self.keys,)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of keys, -1 where the model does not hold them."""
+        if not self:
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+
+def slots_of(ws: list[bytes], slots: Vocabulary) -> np.ndarray:
+    """Slots of words, -1 for those that the model does not hold."""
+    return slots.find(np.fromiter(map(word_key, ws), np.int64, len(ws)))
+
+
+def pairs_of(text: bytes, slots: Vocabulary) -> np.ndarray:
+    """The different pairs of a text whose words the model holds, packed for inspection: slots of the
+    left word and of the word, for vocabularies below 2^20 words."""
+    left, w, _ = Numbers().pair_keys(text)
+    left, w = slots.find(left), slots.find(w)
+    held = (left >= 0) & (w >= 0)
+    return (left[held] << 2 * _BITS) | (w[held] << _BITS)
 
 
-def pair_slot(key: np.ndarray, pair_slots: int) -> np.ndarray:
-    mixed = key.astype(np.uint64)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(24)) % np.uint64(pair_slots)).astype(np.int64)
+@dataclass(frozen=True)
+class Totals:
+    """Sums over all words, also those that the tables leave out: ``kinds`` of pairs by class (toxic,
+    ordinary), the parts of them that back off from words and from beginnings, documents times
+    words (or beginnings), and the numbers of different ones, the start included."""
+
+    kinds: tuple[float, float] = (0.0, 0.0)
+    rest_word: tuple[float, float] = (0.0, 0.0)
+    rest_stem: tuple[float, float] = (0.0, 0.0)
+    seen: float = 0.0
+    n_words: float = 1.0
+    stems_seen: float = 0.0
+    n_stems: float = 1.0
+
+    def rates(self, c: int) -> tuple[float, float, float]:
+        """Kinds, and the weights of the backoff from words and from beginnings, of a class."""
+        total = self.kinds[c]
+        return (max(total, 1.0), self.rest_word[c] / total, self.rest_stem[c] / total) if total else (1.0, 1.0, 1.0)
 
 
 class Model:
-    """Counts by slot, and the tables made of them; those of a class have a first axis (toxic, ordinary).
+    """The tables in memory; those of a class have a first axis (toxic, ordinary).
 
-    ``seen`` and ``stems_seen``: documents with the word or beginning. ``by_word``: kinds, then
-    counts, of pairs with the word as the second; ``by_stem``: kinds for its beginning; ``by_left``:
-    counts, then discounted mass, of pairs by left word; ``pair``: hashed counts of pairs. Only these
-    mostly empty counts are shipped to the tasks, compressed; each worker makes its tables once.
+    ``word`` and ``stem``: discounted shares of a word's and a beginning's kinds, the second with what
+    it gets from the shared distribution; ``shared``: share of a word in all documents; ``context``
+    and ``backoff``: pairs with the left word, and the share of them that backs off; ``pair``: counts
+    of the kept pairs, sorted by the slots of their words.
     """
 
-    def __init__(self, seen, stems_seen, by_word, by_stem, by_left, pair, curve=None):
-        self.counts = (seen, stems_seen, by_word, by_stem, by_left, pair)
+    def __init__(self, totals: Totals, words: dict, stems: dict, pairs: dict, curve=None):
+        self.totals = totals
         self.curve = np.zeros(len(EVIDENCE) + 1) if curve is None else curve
-        self.slots, self.pair_slots = seen.shape[0], pair.shape[1]
-        self.pair, self.context, self.known = pair, by_left[:2], by_word[2:]
-        self.shared = ((seen + 0.5) / (float(seen.sum()) + 0.5 * self.slots)).astype(np.float32)
-        shared_stem = (stems_seen + 0.5) / (float(stems_seen.sum()) + 0.5 * self.slots)
-        self.word, self.stem = np.zeros((2, self.slots), np.float32), np.zeros((2, self.slots), np.float32)
-        for c in (0, 1):
-            n, m = by_word[c], by_stem[c]
-            total = max(float(n.sum(dtype=float)), 1.0)
-            rest_w = float(np.minimum(n, _DISCOUNT).sum(dtype=float)) / total if n.any() else 1.0
-            rest_s = float(np.minimum(m, _DISCOUNT).sum(dtype=float)) / total if m.any() else 1.0
-            self.word[c] = np.maximum(n - _DISCOUNT, 0) / total
-            self.stem[c] = rest_w * (np.maximum(m - _DISCOUNT, 0) / total + rest_s * shared_stem) / shared_stem
-        self.backoff = np.where(self.context > 0, by_left[2:] / np.maximum(self.context, 1.0), 1.0).astype(np.float32)
-
-    def __reduce__(self):
-        return _unpacked, (zlib.compress(pickle.dumps((self.counts, self.curve)), 1),)
+        order = np.argsort(words["key"])
+        w = {k: v[order] for k, v in words.items()}
+        self.slots = Vocabulary(w["key"])
+        self.context = np.stack([w["ct"], w["cp"]]).astype(np.float32)
+        self.backoff = np.where(self.context > 0, np.stack([w["dt"], w["dp"]]) / np.maximum(self.context, 1.0), 1.0)
+        self.shared = (w["seen"] + 0.5) / (totals.seen + 0.5 * totals.n_words)
+        order = np.argsort(stems["key"])
+        s = {k: v[order] for k, v in stems.items()}
+        self.stem_slots = Vocabulary(s["key"])
+        shared_stem = (s["seen"] + 0.5) / (totals.stems_seen + 0.5 * totals.n_stems)
+        self.word, self.stem = np.zeros((2, len(w["key"]))), np.ones((2, len(s["key"]) + 1))
+        for c, k in enumerate(("kt", "kp")):
+            total, rest_w, rest_s = totals.rates(c)
+            self.word[c] = np.maximum(w[k] - _DISCOUNT, 0) / total
+            self.stem[c, :-1] = rest_w * (np.maximum(s[k] - _DISCOUNT, 0) / total / shared_stem + rest_s)
+            self.stem[c, -1] = rest_w * rest_s                   # of the beginnings not held, at -1
+        at = (self.slots.find(pairs["left"]) << 32) | self.slots.find(pairs["word"])
+        order = np.argsort(at)
+        self.pair_at = at[order]
+        self.pair = np.stack([pairs["toxic"], pairs["plain"]])[:, order].astype(np.float32)
+        self._numbers = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_numbers": None}
 
     def likelihood_ratios(self, text: bytes) -> np.ndarray:
         """log p(word | left word, toxic) - log p(word | left word, ordinary) of every different pair."""
-        key = pairs_of(text, self.slots)
-        left, w, s, at = key >> 2 * _BITS, (key >> _BITS) & _LOW, key & _LOW, pair_slot(key, self.pair_slots)
+        if self._numbers is None:
+            self._numbers = _Held(self)
+        left, w = self._numbers.pairs(text)
+        if not len(w):
+            return np.zeros(0)
+        lw, s = self._numbers.slot[w], self._numbers.stem_slot[w]
+        ll = np.where(left < 0, self._numbers.start, self._numbers.slot[left])
+        # words that are not held (-1) have no counts of their own and a shared factor of one
+        at = np.full(len(w), -1)
+        both = np.nonzero((ll >= 0) & (lw >= 0))[0]
+        if len(both) and len(self.pair_at):
+            wanted = (ll[both] << 32) | lw[both]
+            found = np.minimum(np.searchsorted(self.pair_at, wanted), len(self.pair_at) - 1)
+            at[both] = np.where(self.pair_at[found] == wanted, found, -1)
         out = []
         for c in (0, 1):
-            context = self.context[c][left]
-            # the hashed count is at most the true count of either word
-            count = np.minimum(np.minimum(self.pair[c][at], context), self.known[c][w])
-            low = self.word[c][w] + self.stem[c][s] * self.shared[w]
-            out.append(np.log(np.maximum(count - _DISCOUNT, 0.0) / np.maximum(context, 1.0)
-                              + np.maximum(self.backoff[c][left], 1e-3) * low + 1e-30))
-        return (out[0] - out[1]).astype(float)
+            low = self.stem[c][s]
+            if self.slots:
+                low = np.where(lw < 0, low, self.word[c][lw] + low * self.shared[lw])
+                low = low * np.where(ll < 0, 1.0, np.maximum(self.backoff[c][ll], 1e-3))
+            hit = np.nonzero(at >= 0)[0]
+            low[hit] += np.maximum(self.pair[c][at[hit]] - _DISCOUNT, 0.0) / np.maximum(self.context[c][ll[hit]], 1.0)
+            out.append(np.log(low + 1e-30))
+        return out[0] - out[1]
 
     def evidence(self, text: bytes) -> tuple[float, ...]:
         r = self.likelihood_ratios(text)
@@ -119,9 +225,70 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.curve @ np.array([1.0, *self.evidence(text)]), -30, 30))))
 
 
-def _unpacked(data: bytes) -> Model:
-    counts, curve = pickle.loads(zlib.decompress(data))
-    return Model(*counts, curve=curve)
+class _Held(Numbers):
+    """Numbers of words with their slots in a model."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.start = model, int(model.slots.find(np.array([_START]))[0])
+        self.slot, self.stem_slot = np.full(len(self.key), -1), np.full(len(self.key), -1)
+
+    def added(self, start: int, stop: int) -> None:
+        if len(self.slot) < len(self.key):
+            self.slot, self.stem_slot = np.full(len(self.key), -1), np.full(len(self.key), -1)
+        self.slot[start:stop] = self.model.slots.find(self.key[start:stop])
+        self.stem_slot[start:stop] = self.model.stem_slots.find(self.stem[start:stop])
+
+
+@dataclass
+class StoredModel:
+    """The same tables as :class:`Model`, where they are too large for a worker: joined, never collected."""
+
+    totals: Totals
+    words: DataFrame
+    stems: DataFrame
+    pairs: DataFrame
+    curve: np.ndarray | None = None
+
+    def ratios(self, pairs: DataFrame) -> DataFrame:
+        """``pairs(left, word, stem)`` with ``r``, the ratio of :meth:`Model.likelihood_ratios`."""
+        t = self.totals
+        right = self.words.select(F.col("key").alias("word"), "kt", "kp", ((F.col("seen") + 0.5) / F.lit(t.seen + 0.5 * t.n_words)).alias("shared"))
+        left = self.words.select(F.col("key").alias("left"), "ct", "cp", "dt", "dp")
+        stems = self.stems.select(F.col("key").alias("stem"), F.col("kt").alias("mt"), F.col("kp").alias("mp"),
+                                  ((F.col("seen") + 0.5) / F.lit(t.stems_seen + 0.5 * t.n_stems)).alias("shared_stem"))
+        rows = (pairs.join(right, "word", "left").join(left, "left", "left").join(stems, "stem", "left")
+                     .join(self.pairs.select("left", "word", F.col("toxic").alias("nt"), F.col("plain").alias("np")), ["left", "word"], "left"))
+        logs = []
+        for c, x in enumerate("tp"):
+            total, rest_w, rest_s = t.rates(c)
+            over = lambda name: F.greatest(F.coalesce(F.col(name), F.lit(0.0)) - _DISCOUNT, F.lit(0.0))             # noqa: E731
+            context = F.coalesce(F.col("c" + x).cast("double"), F.lit(0.0))
+            stem = F.lit(rest_w) * (F.coalesce(over("m" + x) / F.lit(total) / F.col("shared_stem"), F.lit(0.0)) + F.lit(rest_s))
+            low = over("k" + x) / F.lit(total) + stem * F.coalesce("shared", F.lit(1.0))
+            backoff = F.greatest(F.when(context > 0, F.col("d" + x) / context).otherwise(1.0), F.lit(1e-3))
+            logs.append(F.log(over("n" + x) / F.greatest(context, F.lit(1.0)) + backoff * low + F.lit(1e-30)))
+        return rows.select("left", "word", (logs[0] - logs[1]).alias("r"))
+
+    def evidence(self, texts: DataFrame) -> DataFrame:
+        """``(t, *EVIDENCE)`` of the different texts with words in ``texts(t, text)``, ``t`` being the text's digest."""
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            numbers = Numbers()
+            for f in filter(len, frames):
+                got = [numbers.pair_keys(bytes(x)) for x in f["text"]]
+                left, w, stem = (np.concatenate(x) for x in zip(*got))
+                t = np.repeat(f["t"].to_numpy(object), [len(x[0]) for x in got])
+                yield pd.DataFrame({"t": pd.Series(t, dtype=object), "left": left, "word": w, "stem": stem})
+        met = stored(texts.mapInPandas(run, "t string, left long, word long, stem long").distinct(), "toxic-met")
+        # a pair is looked up once, however many documents have it
+        known = stored(self.ratios(met.select("left", "word", "stem").distinct()), "toxic-ratios")
+        listed = met.join(known, ["left", "word"]).groupBy("t").agg(F.sort_array(F.collect_list("r"), asc=False).alias("r"))
+        n, zero = F.size("r"), F.lit(0.0)
+        total = lambda a: F.aggregate(a, zero, lambda s, x: s + x)                                                    # noqa: E731
+        excess = total(F.transform("r", lambda x: F.greatest(x - _MARGIN, zero)))
+        return listed.select("t", (total(F.col("r")) / n).alias("mean"), (excess / F.sqrt(n)).alias("excess_root"),
+                             (excess / n).alias("excess_mean"), F.log1p(n).alias("size"),
+                             (total(F.slice("r", 1, 3)) / F.least(n, F.lit(3))).alias("top"))
 
 
 EVIDENCE = ("mean", "excess_root", "excess_mean", "size", "top")
@@ -136,25 +303,23 @@ def held_out(id_col: Column) -> Column:
     return fold(id_col) % 4 == 2
 
 
-def _dense(rows: DataFrame, key: str, columns: list[str], size: int) -> np.ndarray:
-    """Table of at most ``size`` rows as dense arrays on the driver: bounded by its hash range."""
-    found = rows.select(key, *[F.col(c).cast("float").alias(c) for c in columns]).toArrow()
-    out, at = np.zeros((len(columns), size), np.float32), found[key].to_numpy()
-    for k, c in enumerate(columns):
-        out[k, at] = found[c].to_numpy()
-    return out
+def _arrays(rows: DataFrame) -> dict[str, np.ndarray]:
+    """A counted table as arrays on the driver."""
+    found = rows.toArrow()
+    return {c: found[c].to_numpy() for c in rows.columns}
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          learn: Column | None = None, slots: int = 1 << 19, pair_slots: int = 1 << 20, curve_rows: int = 20_000,
-          curve_part: int = 8) -> Model:
+          learn: Column | None = None, curve_rows: int = 20_000, curve_part: int = 8,
+          held_rows: int = 4_000_000) -> Model | StoredModel:
     """Count the models over ``docs`` and fit the curve.
 
     Labels are read only from rows where ``learn`` holds (all, by default); of those, one in
     ``curve_part`` fits the curve, ``curve_rows`` at most (the ones with the smallest folds, a
     documented bound), and the others are counted. Documents without a label, or with a label
     other than 0 and 1, take part in the shared counts. An id with two labels is counted for both.
-    Tables without rows or labels give a model that scores every text alike.
+    Tables without rows or labels give a model that scores every text alike. Tables of more than
+    ``held_rows`` rows are not collected.
     """
     c_id, c_text, c_label, c_use, c_fold = scratch_columns(docs, "_id", "_text", "_label", "_use", "_fold")
     key = F.col(id_col)
@@ -168,48 +333,81 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
 
     def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(2 * slots, np.int64)
+        numbers = Numbers()
+
+        def summed(keys: list, stems: list) -> pd.DataFrame:
+            at, first, n = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
+            return pd.DataFrame({"key": at, "stem": pd.array(np.concatenate(stems)[first], "Int64") if stems else pd.NA, "n": n})
+        keys, stems, alone, held = [], [], [], 0
         for f in frames:
             for t in f[c_text]:
-                k = pairs_of(bytes(t), slots)
-                seen[np.unique((k >> _BITS) & _LOW)] += 1
-                seen[np.unique(k & _LOW) + slots] += 1
-        at = np.nonzero(seen)[0]
-        yield pd.DataFrame({"slot": at.astype(np.int32), "n": seen[at]})
-    shared = docs.select(text.alias(c_text)).mapInPandas(document_counts, "slot int, n long")
-    seen = _dense(shared.groupBy("slot").agg(F.sum("n").alias("seen")), "slot", ["seen"], 2 * slots)[0]
+                w = np.unique(numbers.of(words(bytes(t))))
+                keys.append(numbers.key[w])
+                stems.append(numbers.stem[w])
+                alone.append(np.unique(stems[-1]))
+                held += len(w)
+                if held > 1_000_000:                         # bounds the memory
+                    yield summed(keys, stems)
+                    yield summed(alone, [])
+                    keys, stems, alone, held = [], [], [], 0
+        if held:
+            yield summed(keys, stems)
+            yield summed(alone, [])
+    # rows of words have the key of their beginning, rows of beginnings have none
+    seen = stored(docs.select(text.alias(c_text)).mapInPandas(document_counts, "key long, stem long, n long")
+                      .groupBy("key", "stem").agg(F.sum("n").alias("seen")), "toxic-seen")
+    word_seen, stem_seen = seen.where("stem IS NOT NULL"), seen.where("stem IS NULL")
 
     def pair_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers = Numbers()
         for f in frames:                                     # a batch at a time bounds the memory
             parts = {0: [], 1: []}
             for t, label in zip(f[c_text], f[c_label]):
-                parts[int(label)].append(pairs_of(bytes(t), slots))
+                parts[int(label)].append(np.stack(numbers.pair_keys(bytes(t))[:2]))
             for label, got in parts.items():
                 if got:
-                    pair, n = np.unique(np.concatenate(got), return_counts=True)
-                    yield pd.DataFrame({"pair": pair, "toxic": n * label, "plain": n * (1 - label)})
+                    pair = pd.DataFrame(np.concatenate(got, axis=1).T, columns=["left", "word"])
+                    n = pair.groupby(["left", "word"], sort=False).size().rename("n").reset_index()
+                    yield pd.DataFrame({"left": n["left"], "word": n["word"], "toxic": n["n"] * label, "plain": n["n"] * (1 - label)})
     learned = small(marked.where(~F.col(c_use)).select(c_id, c_label))
     texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
-    pairs = stored(texts.mapInPandas(pair_counts, "pair long, toxic long, plain long").groupBy("pair")
+    pairs = stored(texts.mapInPandas(pair_counts, "left long, word long, toxic long, plain long").groupBy("left", "word")
                         .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "toxic-pairs")
 
-    def by(slot: Column, **what) -> np.ndarray:
-        rows = pairs.groupBy(slot.cast("int").alias("slot")).agg(*[F.sum(v).alias(k) for k, v in what.items()])
-        return _dense(rows, "slot", list(what), slots)
     t, p = F.col("toxic"), F.col("plain")
-    kinds = {"kt": (t > 0).cast("long"), "kp": (p > 0).cast("long")}
-    by_word = by(F.shiftright("pair", _BITS).bitwiseAND(F.lit(_LOW)), **kinds, t=t, p=p)
-    by_stem = by(F.col("pair").bitwiseAND(F.lit(_LOW)), **kinds)
-    by_left = by(F.shiftright("pair", 2 * _BITS), t=t, p=p, dt=F.least(t, F.lit(_DISCOUNT)), dp=F.least(p, F.lit(_DISCOUNT)))
-
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"slot": pair_slot(f["pair"].to_numpy(), pair_slots).astype(np.int32), "toxic": f["toxic"], "plain": f["plain"]})
-    pair = _dense(pairs.where(F.greatest(t, p) > _DISCOUNT).mapInPandas(hashed, "slot int, toxic long, plain long")
-                       .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")),
-                  "slot", ["toxic", "plain"], pair_slots)
-    discard(pairs)
-    model = Model(seen[:slots], seen[slots:], by_word, by_stem, by_left, pair)
+    kept = F.greatest(t, p) > _DISCOUNT
+    seconds = pairs.groupBy(F.col("word").alias("key")).agg(
+        F.sum((t > 0).cast("long")).alias("kt"), F.sum((p > 0).cast("long")).alias("kp"), F.max(kept).alias("second"))
+    firsts = pairs.groupBy(F.col("left").alias("key")).agg(
+        F.sum(t).alias("ct"), F.sum(p).alias("cp"), F.sum(F.least(t, F.lit(_DISCOUNT))).alias("dt"),
+        F.sum(F.least(p, F.lit(_DISCOUNT))).alias("dp"), F.max(kept).alias("first"))
+    counted = stored(seconds.join(firsts, "key", "full").join(word_seen, "key", "left"), "toxic-counted")
+    # a beginning is one of its words: the kinds of its pairs are those of its words' pairs
+    by_stem = stored(counted.where("stem IS NOT NULL").groupBy(F.col("stem").alias("key"))
+                            .agg(F.sum("kt").alias("kt"), F.sum("kp").alias("kp")), "toxic-stems")
+    several = F.greatest("kt", "kp") > _DISCOUNT
+    numbers_of = ("kt", "kp", "ct", "cp", "dt", "dp", "seen")
+    kept_words = stored(counted.where(several | F.col("second") | F.col("first"))
+                               .select("key", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numbers_of]), "toxic-words")
+    kept_stems = stored(by_stem.where(several).join(stem_seen.select("key", "seen"), "key")
+                               .select("key", *[F.col(c).cast("double").alias(c) for c in ("kt", "kp", "seen")]), "toxic-kept-stems")
+    kept_pairs = stored(pairs.where(kept).select("left", "word", t.cast("double").alias("toxic"), p.cast("double").alias("plain")), "toxic-kept")
+
+    def sums(rows: DataFrame, *what: Column) -> tuple[float, ...]:
+        return tuple(float(x or 0) for x in rows.agg(*[F.sum(x) for x in what]).first())
+    rest = [F.least(F.col(c).cast("double"), F.lit(_DISCOUNT)) for c in ("kt", "kp")]
+    got = sums(counted, F.col("kt"), F.col("kp"), *rest)
+    one = F.lit(1)
+    (n_seen, n_words), (n_stems_seen, n_stems) = (sums(x, F.col("seen"), one) for x in (word_seen, stem_seen))
+    totals = Totals(got[:2], got[2:], sums(by_stem, *rest), n_seen, n_words + 1, n_stems_seen, n_stems + 1)
+    for table in (pairs, seen, counted, by_stem):
+        discard(table)
+    if kept_words.count() + kept_stems.count() + kept_pairs.count() <= held_rows:
+        model = Model(totals, *map(_arrays, (kept_words, kept_stems, kept_pairs)))
+        for table in (kept_words, kept_stems, kept_pairs):
+            discard(table)
+    else:
+        model = StoredModel(totals, kept_words, kept_stems, kept_pairs)
 
     calibrate = stored(marked.where(F.col(c_use)).orderBy(c_fold, c_id).limit(curve_rows).select(c_id, c_label), "toxic-curve")
     rows = docs.select(key, text.alias(c_text)).join(small(calibrate), F.col(id_col) == F.col(c_id))
@@ -237,7 +435,19 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return beta
 
 
-def _evidence(rows: DataFrame, model: Model, text_col: str, label_col: str) -> DataFrame:
+def _joined(rows: DataFrame, model: StoredModel, text_col: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``rows`` joined with their texts' evidence, and its columns (zero for texts without words)."""
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))
+    found = model.evidence(rows.select(F.md5(text).alias("t"), text.alias("text")))
+    c_t, *names = scratch_columns(rows, "_t", *[f"_{c}" for c in EVIDENCE])
+    found = found.select(F.col("t").alias(c_t), *[F.col(c).alias(n) for c, n in zip(EVIDENCE, names)])
+    return rows.join(found, F.md5(text) == F.col(c_t), "left"), {c: F.coalesce(F.col(n), F.lit(0.0)) for c, n in zip(EVIDENCE, names)}
+
+
+def _evidence(rows: DataFrame, model: Model | StoredModel, text_col: str, label_col: str) -> DataFrame:
+    if isinstance(model, StoredModel):
+        both, found = _joined(rows, model, text_col)
+        return both.select(label_col, *[found[c].alias(c) for c in EVIDENCE])
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -248,9 +458,14 @@ def _evidence(rows: DataFrame, model: Model, text_col: str, label_col: str) -> D
     return rows.mapInPandas(run, f"`{label_col}` int, " + ", ".join(f"{c} double" for c in EVIDENCE))
 
 
-def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
+def add_score(docs: DataFrame, model: Model | StoredModel, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1 (higher: toxic likelier). Null texts count as empty; an
     empty text has no evidence and gets the curve's value at zero."""
+    if isinstance(model, StoredModel):
+        both, found = _joined(docs, model, text_col)
+        x = sum((F.lit(float(b)) * found[c] for b, c in zip(model.curve[1:], EVIDENCE)), F.lit(float(model.curve[0])))
+        x = F.greatest(F.least(x, F.lit(30.0)), F.lit(-30.0))
+        return both.select(*docs.columns, (1 / (1 + F.exp(-x))).alias(out))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -119,3 +119,34 @@ def test_sites_shrink_level_by_level(spark):
     assert got["h", "p"]["path_rate"] > 0.95 and got["g", "p"]["path_rate"] < 0.05
     assert got["g", "p"]["host_rate"] < got["g", "q"]["path_rate"] < 0.9
     assert 0.4 < got[None, None]["host_rate"] < 1.0
+
+
+def test_words_do_not_share_counts(spark):
+    """More words than the 2^19 slots of before: every word keeps a key and a count of its own."""
+    keys = np.fromiter((toxicity.word_key(b"w%d" % i) for i in range(700_000)), np.int64)
+    assert len(np.unique(keys)) == len(keys)
+    # two words that shared a slot of the former table: one is an insult, the other ordinary
+    first, pair = {}, None
+    for i in range(100_000):
+        s = zlib.crc32(b"w%d" % i) % ((1 << 19) - 1)
+        if s in first and f"w{first[s]}"[:5] != f"w{i}"[:5]:
+            pair = f"w{first[s]}", f"w{i}"
+            break
+        first[s] = i
+    bad, clean = pair
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice([f"q{k}x" for k in range(60)] + ([bad] * 20 if i % 2 else [])) for _ in range(60))) for i in range(200)]
+    docs = spark.createDataFrame(rows + [(1000, clean)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.likelihood_ratios(f"q1x {bad}".encode())[1] > 2 > 0.7 > abs(model.likelihood_ratios(f"q1x {clean}".encode())[1])
+
+
+def test_joined_tables_score_like_held_ones(corpus, odd_docs):
+    docs, labels, _, _ = corpus
+    held_model, joined = (toxicity.train(docs, labels, held_rows=n) for n in (10**6, 0))
+    assert isinstance(joined, toxicity.StoredModel) and np.allclose(held_model.curve, joined.curve, rtol=1e-4, atol=1e-5)
+    joined.curve = held_model.curve
+    for d in (docs.union(docs.limit(20)), odd_docs):
+        a, b = (sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in toxicity.add_score(d, m).collect()) for m in (held_model, joined))
+        assert len(a) == len(b) and np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-5)
