@@ -315,8 +315,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Count the models over ``docs`` and fit the curve.
 
     Labels are read only from rows where ``learn`` holds (all, by default); of those, one in
-    ``curve_part`` fits the curve, ``curve_rows`` at most (the ones with the smallest folds, a
-    documented bound), and the others are counted. Documents without a label, or with a label
+    ``curve_part`` fits the curve, ``curve_rows`` ids at most (the ones with the smallest folds, a
+    documented bound), and all others are counted. Documents without a label, or with a label
     other than 0 and 1, take part in the shared counts. An id with two labels is counted for both.
     Tables without rows or labels give a model that scores every text alike. Tables of more than
     ``held_rows`` rows are not collected.
@@ -369,7 +369,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     pair = pd.DataFrame(np.concatenate(got, axis=1).T, columns=["left", "word"])
                     n = pair.groupby(["left", "word"], sort=False).size().rename("n").reset_index()
                     yield pd.DataFrame({"left": n["left"], "word": n["word"], "toxic": n["n"] * label, "plain": n["n"] * (1 - label)})
-    learned = small(marked.where(~F.col(c_use)).select(c_id, c_label))
+    chosen = stored(marked.where(F.col(c_use)).select(c_id, c_fold).distinct().orderBy(c_fold, c_id).limit(curve_rows).select(c_id), "toxic-curve")
+    learned = small(stored(marked.join(chosen, c_id, "left_anti").select(c_id, c_label), "toxic-learned"))
     texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
     pairs = stored(texts.mapInPandas(pair_counts, "left long, word long, toxic long, plain long").groupBy("left", "word")
                         .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "toxic-pairs")
@@ -409,7 +410,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     else:
         model = StoredModel(totals, kept_words, kept_stems, kept_pairs)
 
-    calibrate = stored(marked.where(F.col(c_use)).orderBy(c_fold, c_id).limit(curve_rows).select(c_id, c_label), "toxic-curve")
+    calibrate = marked.join(chosen, c_id, "left_semi").select(c_id, c_label)
     rows = docs.select(key, text.alias(c_text)).join(small(calibrate), F.col(id_col) == F.col(c_id))
     found = _evidence(rows.select(c_text, c_label), model, c_text, c_label).toPandas()
     model.curve = fit_curve(found[list(EVIDENCE)].to_numpy(float), found[c_label].to_numpy(float))

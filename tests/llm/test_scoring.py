@@ -150,3 +150,13 @@ def test_joined_tables_score_like_held_ones(corpus, odd_docs):
     for d in (docs.union(docs.limit(20)), odd_docs):
         a, b = (sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in toxicity.add_score(d, m).collect()) for m in (held_model, joined))
         assert len(a) == len(b) and np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-5)
+
+
+def test_labels_beyond_the_curve_are_counted(corpus):
+    docs, labels, rows, truth = corpus
+    model = toxicity.train(docs, labels, curve_part=2, curve_rows=30)
+    chosen = sorted((i for i in truth if zlib.crc32(str(i).encode()) // 4 % 2 == 0), key=lambda i: zlib.crc32(str(i).encode()))[:30]
+    assert sum(zlib.crc32(str(i).encode()) // 4 % 2 == 0 for i in truth) > 200
+    starts = [sum(truth[i][2] == toxic for i in truth if i not in chosen) for toxic in (1, 0)]
+    start = int(model.slots.find(np.array([toxicity._START]))[0])
+    assert model.context[:, start].tolist() == starts
