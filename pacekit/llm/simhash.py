@@ -140,30 +140,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts have fingerprint 0 and are linked like any other; a component without
     any id has a null component; repeated rows each get a row; an empty table gives no rows.
     """
+    return _grouped(docs, id_col, text_col, shingle, tau, m, bucket).select("id", "fp", "component")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, tau: int, m: int = 3, bucket: int = 32) -> DataFrame:
+    """:func:`near_duplicates` with the ``root`` of each component: where ids repeat, two of them may have one smallest id."""
     rows = stored(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "fp")
     classes = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "fp-classes")
     roots = components(links(classes, tau, m, bucket)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = stored(rooted.join(least, "root").select("fp", "component"), "fp-components")
-    return rows.join(named, "fp").select("id", "fp", "component")
+    named = stored(rooted.join(least, "root").select("fp", "component", "root"), "fp-components")
+    return rows.join(named, "fp").select("id", "fp", "component", "root")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, tau: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id.
 
-    Rows that repeat that id count once. Rows without an id stay only where their component
-    has none with an id, once per component root.
+    Rows of a component that repeat that id count once; an id with different texts may lose in one
+    component and stay in another. Rows without an id stay only where their component has none with
+    an id, once per component root.
     """
     c_gone, c_again, c_fp, c_root = scratch_columns(docs, "_gone", "_again", "_fp", "_root")
-    found = stored(near_duplicates(docs, id_col, text_col, shingle, tau), "near")
+    found = stored(_grouped(docs, id_col, text_col, shingle, tau), "near")
     with_id = found.where("id IS NOT NULL")
     gone = stored(with_id.where("id <> component").select(F.col("id").alias(c_gone)).distinct(), "gone")
-    again = stored(with_id.where("id = component").groupBy("id").count().where("count > 1")
+    won = with_id.where("id = component")
+    # ids that stay, but not with all their rows: only these are told apart by their texts
+    repeated = won.groupBy("id").count().where("count > 1").select("id")
+    again = stored(repeated.union(won.join(gone, F.col("id") == F.col(c_gone), "left_semi").select("id")).distinct()
                    .select(F.col("id").alias(c_again)), "again")
     kept = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col(c_gone), "left_anti")
     once = kept.join(again, F.col(id_col) == F.col(c_again), "left_anti")
-    twice = kept.join(again, F.col(id_col) == F.col(c_again), "left_semi").dropDuplicates([id_col])
+    places = stored(won.join(again, F.col("id") == F.col(c_again), "left_semi")
+                       .select(F.col("id").alias(c_again), F.col("fp").alias(c_fp), F.col("root").alias(c_root)).distinct(), "places")
+    several = docs.join(again, F.col(id_col) == F.col(c_again), "left_semi").withColumn(c_gone, fingerprint(F.col(text_col), shingle))
+    twice = (several.join(places, (F.col(id_col) == F.col(c_again)) & (F.col(c_gone) == F.col(c_fp)))
+                    .dropDuplicates([id_col, c_root]).select(*docs.columns))
     out = once.unionByName(twice)
     nameless = found.where("id IS NULL AND component IS NULL").select("fp").distinct()
     if nameless.isEmpty():

@@ -102,3 +102,11 @@ def test_dedup_keeps_one_row_of_each_group(odd_docs, odd_rows, clashing, no_docs
     assert len(classes(sorted(text_of), 2)) == len(set(roots))
     assert simhash.dedup(clashing).columns == clashing.columns and simhash.dedup(clashing).count() == len(set(roots))
     assert simhash.dedup(no_docs).count() == 0 and simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_dedup_of_ids_with_different_texts(spark):
+    one, two, three = (" ".join(f"{a}{i}" for i in range(40)) for a in ("alpha", "beta", "gamma"))
+    # 5 loses to 1 in the first group and is the smallest id of the second; 7 is that of two groups
+    rows = [(1, one), (5, one), (5, two), (5, two), (9, two), (7, three), (7, three[::-1])]
+    kept = simhash.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, one), (5, two), (7, three), (7, three[::-1])])
