@@ -104,10 +104,11 @@ def sized(docs: DataFrame, seed: int = 6, id_col: str = "doc_id", text_col: str
 
 
 def mixture(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: int = 6,
-            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", whole_documents: bool = False) -> DataFrame:
     """The mixed rows themselves, with the columns of ``docs``: every row as often as the mix
     repeats it whole, and one text cut to its first words (joined by single spaces) where a
-    fractional repetition ends. Rows without words are not in the mix; rows without an id are
+    fractional repetition ends. With ``whole_documents`` no text is cut: that row is repeated once
+    more, or not, whichever comes nearer to its source's target. Rows without words are not in the mix; rows without an id are
     drawn by their text's hash; rows with equal ids are drawn together but counted one by one.
     """
     names = ("_key", "_draw", "_size", "_part", "_no", "_rep", "_source", "border", "room", "whole", "source_size", "target")
@@ -137,6 +138,8 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     part, size, whole = F.col(c["_part"]), F.col(c["_size"]), F.col(c["whole"]).cast("int")
     taken = clear.select(*docs.columns, c["whole"], c["_size"], c["_part"]).unionByName(
         edge.select(*docs.columns, c["whole"], c["_size"], c["_part"]))
+    if whole_documents:
+        part = F.when(2 * part >= size, size).otherwise(0).cast("long")
     times = F.concat(F.array_repeat(size, whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
     out = taken.where(size > 0).withColumn(c["_rep"], F.explode(times))
     first = F.array_join(F.slice(F.split(F.btrim(F.col(text_col), F.lit(" \t\n\x0b\f\r")), WS, -1), 1, F.col(c["_rep"]).cast("int")), " ")

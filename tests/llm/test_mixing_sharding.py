@@ -114,3 +114,18 @@ def test_sharding_is_the_same_again(odd_docs):
     docs = odd_docs.where("doc_id IS NOT NULL")
     assert sorted(map(str, sharding.shard_documents(docs, 5).collect())) == sorted(map(str, sharding.shard_documents(docs.repartition(9), 5).collect()))
     assert {"op6_mixing", "op9_sharding"} <= set(queries.QUERIES)
+
+
+def test_mixture_of_whole_documents(odd_docs):
+    plan = mixing.mix(mixing.sized(odd_docs)).collect()
+    target, longest = {}, Counter()
+    for r in plan:
+        target[r["source"]] = r["target"]
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+    texts = {r["text"] for r in odd_docs.select("text").collect()}
+    taken = Counter()
+    for r in mixing.mixture(odd_docs, whole_documents=True).select("source", "text").collect():
+        assert r["text"] in texts
+        taken[r["source"]] += size(r["text"])
+    assert all(abs(taken[s] - target[s]) <= longest[s] / 2 + 1 for s in target)
+    assert any(r["text"] not in texts for r in mixing.mixture(odd_docs).collect())
