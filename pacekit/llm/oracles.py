@@ -77,3 +77,66 @@ r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY draw, doc_id NUL
 p AS (SELECT *, row_number() OVER (ORDER BY (2 * rk + 1) / (2 * n), source NULLS FIRST) - 1 AS pos FROM r)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * 16 // total AS INTEGER) AS shard,
        pos - (pos * 16 // total * total + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p"""
+
+IMPORTANCE = r"""
+WITH RECURSIVE bits(n, c, k) AS (
+  SELECT i, i, 0 FROM range(0, 256) r(i)
+  UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+words AS (
+  SELECT 0 AS side, r, w, count(*) AS n
+  FROM (SELECT r, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+        FROM (SELECT row_number() OVER () AS r, coalesce(text, '') AS t FROM documents) d) x GROUP BY r, w
+  UNION ALL
+  SELECT 1, 0, w, count(*)
+  FROM (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+        FROM benchmark) x GROUP BY w),
+kinds AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(w)), '..'), lambda x: ('0x' || x)::BIGINT)),
+                            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM words) y, tab),
+hist AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE side = 1), 0)::DOUBLE AS t
+         FROM words JOIN kinds USING (w) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM hist) + 10000) / ((s + 1) * ((SELECT sum(t) FROM hist) + 10000))))::BIGINT AS g FROM hist),
+mean AS (SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * g) / sum(n))::BIGINT AS weight
+         FROM words JOIN kinds USING (w) JOIN gain USING (bucket) WHERE side = 0 GROUP BY r),
+d AS (SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+      FROM (SELECT row_number() OVER () AS r, doc_id FROM documents) a LEFT JOIN mean USING (r)),
+e AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d),
+f AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place FROM e)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * (SELECT count(*) FROM d WHERE n_features >= 20) // 100 THEN place END AS rank
+FROM f"""
+
+FILTER_AUDIT = f"""
+WITH m AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS quality, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT part, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic,
+             CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END
+             + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN m.doc_id > min(m.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+      FROM m LEFT JOIN l ON m.doc_id = l.doc_id),
+c AS (SELECT part, mask, quality, toxic, count(*) AS n FROM d GROUP BY ALL),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(x, b)),
+steps AS (
+  SELECT f1.x || f2.x || f3.x || f4.x || f5.x AS filter_order, s.step, [f1.b, f2.b, f3.b, f4.b, f5.b][s.step] AS f,
+         CASE WHEN s.step > 1 THEN f1.b ELSE 0 END + CASE WHEN s.step > 2 THEN f2.b ELSE 0 END + CASE WHEN s.step > 3 THEN f3.b ELSE 0 END
+           + CASE WHEN s.step > 4 THEN f4.b ELSE 0 END AS before
+  FROM letters f1, letters f2, letters f3, letters f4, letters f5, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s
+  WHERE f1.b + f2.b + f3.b + f4.b + f5.b = 31 AND len(list_distinct([f1.b, f2.b, f3.b, f4.b, f5.b])) = 5),
+r AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN mask & (f | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN mask & f <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & f <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & f <> 0 AND mask & before = 0 AND quality = 1 THEN n ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN mask & f <> 0 AND mask & before = 0 AND toxic = 1 THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM c, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, licenses, mixing, oracles, packing, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
+from . import ann, filter_audit, importance, licenses, lm_scoring, mixing, oracles, packing, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
 from .common import read, stored
 
 
@@ -64,9 +64,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("loss_tokens")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=1, buckets=10_000, min_words=20,
+                               percent=10, seed=2024)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", read(spark, sf_dir, "labels"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = lm_scoring.fold(F.col("doc_id")) % 10 != 0
+    return lm_scoring.score(read(spark, sf_dir, "documents"), learn, from_files=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash_near_dedup, op3_toxicity, op4_quality_classifier, op5_ann, op6_mixing, op7_warc,
-    op8_quality_rules, op9_sharding, op10_packing)}
+    op8_quality_rules, op9_sharding, op10_packing, op11_importance_resampling, op12_filter_audit, op13_lm_scoring)}
 # Fingerprints by XXH64, token ids, language models, classifiers and the licence index are not SQL.
 ORACLES = {"op5_ann": oracles.ANN, "op6_mixing": oracles.MIXING, "op7_warc": oracles.WARC, "op8_quality_rules": oracles.QUALITY_RULES,
-           "op9_sharding": oracles.SHARDING}
+           "op9_sharding": oracles.SHARDING, "op11_importance_resampling": oracles.IMPORTANCE, "op12_filter_audit": oracles.FILTER_AUDIT}
