@@ -138,13 +138,13 @@ class Index:
         self.n_anchors, self.weight = [], []
         for t, e in enumerate(entries):
             ranked = sorted(set(e.words), key=lambda w: (-self.idf[w], w))
-            # words inside the key phrases first: a verified place always has them
+            # words inside the key phrases only: a verified place always has them
             inside = [w for w in ranked if any(w in k for _, k in e.keys)]
-            chosen = set((inside or ranked)[:1] if len(e.keys) == 1 and len(e.keys[0][1]) == len(e.words) else inside[:anchors])
-            # a word that stands twice in a template votes from its first place only
-            places = [e.words.index(w) for w in chosen]
-            for w, p in zip(chosen, places):
-                self.postings[w].append((t, p))
+            chosen = inside[:1] if len(e.keys) == 1 and len(e.keys[0][1]) == len(e.words) else inside[:anchors]
+            # a word that stands twice in a template votes from its first place inside a key phrase only,
+            # which every verified place has; outside the key phrases another word may stand
+            for w in chosen:
+                self.postings[w].append((t, min(at + k.index(w) for at, k in e.keys if w in k)))
             self.n_anchors.append(len(chosen))
             self.weight.append(sum(self.idf[w] for w in e.words) + 1e-9 * len(e.words))
         self.postings = dict(self.postings)

@@ -1,3 +1,4 @@
+import random
 import re
 
 from pacekit.llm import licenses
@@ -55,3 +56,49 @@ def test_document_frequency(odd_docs, odd_rows):
     df, n = licenses.document_frequency(odd_docs, {b"again", b"and", b"kan"})
     tokens = [set(re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r[1] or ""))) for r in odd_rows]
     assert n == len(odd_rows) and all(df.get(w.encode(), 0) == sum(w in t for t in tokens) for w in ("again", "and", "kan"))
+
+
+def brute_labels(ws):
+    """Every template at every place: its key phrases must stand where the template has them."""
+    found = set()
+    for t in licenses.BASE + licenses.TEXTS:
+        template = t.text.split()
+        keys = []
+        for k in t.keys or (t.text,):
+            k = k.split()
+            keys.append((next(i for i in range(len(template)) if template[i:i + len(k)] == k), k))
+        for start in range(-len(template), len(ws)):
+            if all(start + at >= 0 and ws[start + at:start + at + len(k)] == k for at, k in keys):
+                found.add(t.label)
+    return found
+
+
+def test_labels_against_brute_force_for_any_idf():
+    """Mutated templates, whichever of their words the corpus makes rare."""
+    rng = random.Random(4)
+    entries = licenses._compile(licenses.BASE + licenses.TEXTS)
+    vocabulary = sorted({w for e in entries for w in e.words})
+    texts = []
+    for t in licenses.TEXTS:
+        ws = t.text.split()
+        for _ in range(12):
+            copy = list(ws)
+            for _ in range(rng.choice((0, 1, 1, 2, 4))):
+                copy[rng.randrange(len(copy))] = rng.choice(["program", "the", rng.choice(ws)])
+            if rng.random() < 0.3:
+                del copy[rng.randrange(len(copy))]
+            texts.append(["word"] * rng.randint(0, 3) + copy + ["license"] + rng.choice([[], list(ws)]))
+    want = [brute_labels(ws) for ws in texts]
+    assert sum(map(bool, want)) > 100 and not all(want)
+    for _ in range(6):
+        index = licenses.Index(entries, {w: rng.choice((1, 5, 1000)) for w in vocabulary}, 1000)
+        for ws, labels in zip(texts, want):
+            assert {entries[t].label for t, _, _ in index.scan(" ".join(ws).encode())[1]} == labels
+
+
+def test_a_rare_word_outside_the_key_phrases():
+    text = ("permission is hereby granted free of charge to any person obtaining a copy of this program and associated documentation files "
+            "the program to deal in the software without restriction")
+    entries = licenses._compile(licenses.BASE + licenses.TEXTS)
+    df = {w: 900 for e in entries for w in e.words} | {b"software": 1}
+    assert {entries[t].label for t, _, _ in licenses.Index(entries, df, 1000).scan(text.encode())[1]} == {"mit"}
