@@ -1,297 +1,179 @@
-"""Toxicity scores from two class-conditional Kneser-Ney bigram models.
-
-One model is counted on the documents labelled toxic, one on those labelled ordinary. Each backs
-off from pairs of words to its words' continuation counts (in how many different pairs a word is
-the second), from there to the continuation counts of the words' beginnings, so that inflected or
-compound forms support each other, and at last to one distribution that both share: in how many
-different documents a word, or beginning, occurs, counted over all documents, labelled or not. The
-absolute discount is above two, so an expression that a class has seen once or twice backs off
-completely: rare expressions get nearly the same probability from both classes and do not decide.
-
-Repeats of a pair within a text count once. A document's evidence is the difference of the two
-log-likelihoods of its pairs, normalised by their number: the mean; the excess above a margin over
-the number and over its square root (a few insults in a long text are not diluted by what is
-neutral); and the largest three. A logistic curve, fitted on labelled rows that the counts
-have not seen, turns it into a score.
-
-The counts are Spark aggregations over the whole corpus, under full 64-bit keys of the words. Scoring
-needs only what the discount leaves, and loses nothing by that: a word's own counts matter where it
-has three kinds of pairs in a class, a beginning's likewise, a left word's and the pair's where the
-pair was seen three times; for all others the backoff has weight one, and the shared distribution
-is the same factor of both likelihoods. If these rows are at most ``held_rows`` in number (they are
-counted first), every worker holds them in sorted arrays; if not, they stay in their tables, and
-the different pairs of the documents are joined with them. Both ways give the same scores.
+"""Toxicity scores from two class-conditional Kneser-Ney models.
+
+One model is counted on the documents labelled toxic, one on those labelled ordinary. Each interpolates
+pairs of words with the words' continuation counts (after how many different words a word stands), these
+with the continuation counts of the words' beginnings (in how many different words a beginning
+occurs), so that inflected or compound forms support each other, and at last with one distribution that
+both classes share: in how many of all documents, labelled or not, a word occurs. The absolute discounts are
+``n1 / (n1 + 2 n2)`` of each class and level, from its counts of counts.
+
+A token's evidence is the log ratio of its probabilities under the two models, read at the longest of its
+expressions (pair, word, beginning) on which the classes differ beyond chance: where the likelihood-ratio
+statistic G2 of the documents that have it reaches a limit. All other expressions are rare, or alike in
+both classes; they back off to the shared counts, which favour neither. A text's evidence is the sum over
+all its tokens, normalised by its length and by the root of it (a few insults in a long text are not
+diluted by what is neutral); a logistic curve, fitted on labelled rows that the counts have not seen, turns
+it into a score.
+
+Counts are Spark aggregations over all rows, under 64-bit keys of the words. What scoring needs is the
+ratios of the differing expressions, ``most`` of each kind at the most (those with the largest G2): a
+documented bound of the classifier, the same at every size, so that they can be held by every worker.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, scratch_columns, small, stored
 from .licenses import words
 
-_DISCOUNT = 2.5
-_MARGIN = 2.0
 _STEM = 5                               # bytes of a word's beginning
 _START = 0                              # key of the left word at the start
-_BITS = 20                              # of a slot in a packed pair
+_G2 = 15.0                              # of one degree of freedom: about one in 10 000 by chance
+EVIDENCE = ("mean", "by_root", "size")
 
 
 def word_key(w: bytes) -> int:
     """64-bit key of a word or beginning; never that of the start."""
-    return int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True) or 1
+    return int.from_bytes(xxhash.xxh3_64_digest(w), "little", signed=True) or 1
 
 
-class Numbers:
+class Numbers(dict):
     """Numbers of a task's words, as they come, with the keys of the words and of their beginnings.
 
     Forgotten when ``size`` words are known, so that the memory of a long task is bounded.
     """
 
-    def __init__(self, size: int = 1 << 18):
-        self.known = defaultdict()
-        self.known.default_factory = self.known.__len__
+    def __init__(self, size: int = 1 << 19):
+        super().__init__()
         self.key, self.stem = np.zeros(size, np.int64), np.zeros(size, np.int64)
 
-    def of(self, ws: list[bytes]) -> np.ndarray:
-        if len(self.known) + len(ws) > len(self.key):
-            self.known.clear()
-            if len(ws) > len(self.key):
-                self.key, self.stem = np.zeros(len(ws), np.int64), np.zeros(len(ws), np.int64)
-        before = len(self.known)
-        at = np.fromiter(map(self.known.__getitem__, ws), np.int64, len(ws))
-        if len(self.known) > before:
-            new = list(islice(reversed(self.known), len(self.known) - before))[::-1]
-            self.key[before:len(self.known)] = [word_key(w) for w in new]
-            self.stem[before:len(self.known)] = [word_key(w[:_STEM]) for w in new]
-            self.added(before, len(self.known))
+    def __missing__(self, w: bytes) -> int:
+        self[w] = n = len(self)
+        return n
+
+    def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        total = sum(map(len, texts))
+        if len(self) + total > len(self.key):
+            self.clear()
+            if total > len(self.key):
+                self.key, self.stem = np.zeros(total, np.int64), np.zeros(total, np.int64)
+        before = len(self)
+        at = [np.fromiter(map(self.__getitem__, ws), np.int64, len(ws)) for ws in texts]
+        if len(self) > before:
+            new = list(islice(reversed(self), len(self) - before))[::-1]
+            self.key[before:len(self)] = [word_key(w) for w in new]
+            self.stem[before:len(self)] = [word_key(w[:_STEM]) for w in new]
         return at
 
-    def added(self, start: int, stop: int) -> None:
-        """Called for the numbers of new words."""
-
-    def pairs(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The different pairs of a text, in the order of their first places: numbers of the left
-        word (-1 at the start) and of the word."""
-        w = self.of(words(text))
-        if not len(w):
-            return w, w
-        both = (np.concatenate(([0], w[:-1] + 1)) << 32) | w
-        both = both[np.sort(np.unique(both, return_index=True)[1])]
-        return (both >> 32) - 1, both & 0xFFFFFFFF
-
-    def pair_keys(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of the left word, the word and its beginning of every different pair."""
-        left, w = self.pairs(text)
-        return np.where(left < 0, _START, self.key[left]), self.key[w], self.stem[w]
-
-
-class Vocabulary(int):
-    """The number of slots of a model's words; ``keys`` are the words' keys in order, ``start`` the slot of the start."""
-
-    def __new__(cls, keys: np.ndarray) -> Vocabulary:
-        out = super().__new__(cls, len(keys))
-        out.keys = keys
-        return out
-
-    def __reduce__(self):
-        return Vocabulary, (self.keys,)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Slots of keys, -1 where the model does not hold them."""
-        if not self:
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
-
 
-def slots_of(ws: list[bytes], slots: Vocabulary) -> np.ndarray:
-    """Slots of words, -1 for those that the model does not hold."""
-    return slots.find(np.fromiter(map(word_key, ws), np.int64, len(ws)))
+def _in_documents(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, how often each occurs, and in how many documents."""
+    at, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
+    docs = np.bincount(np.unique(inverse * n_docs + doc) // n_docs, minlength=len(at))
+    return at, n, docs
 
 
-def pairs_of(text: bytes, slots: Vocabulary) -> np.ndarray:
-    """The different pairs of a text whose words the model holds, packed for inspection: slots of the
-    left word and of the word, for vocabularies below 2^20 words."""
-    left, w, _ = Numbers().pair_keys(text)
-    left, w = slots.find(left), slots.find(w)
-    held = (left >= 0) & (w >= 0)
-    return (left[held] << 2 * _BITS) | (w[held] << _BITS)
+_COUNTS = "kind int, left long, word long, n long, docs long, toxic boolean"
 
 
-@dataclass(frozen=True)
-class Totals:
-    """Sums over all words, also those that the tables leave out: ``kinds`` of pairs by class (toxic,
-    ordinary), the parts of them that back off from words and from beginnings, documents times
-    words (or beginnings), and the numbers of different ones, the start included."""
+def _counted(texts: list[bytes], toxic: bool, numbers: Numbers) -> Iterator[pd.DataFrame]:
+    """The pairs (kind 2), words (1, ``left`` being the beginning's key) and beginnings (0) of texts of one class."""
+    at = numbers.of([words(t) for t in texts])
+    every = np.concatenate(at)
+    if not len(every):
+        return
+    doc = np.repeat(np.arange(len(at)), [len(a) for a in at])
+    left = np.concatenate(([0], every[:-1] + 1))
+    left[np.concatenate(([True], doc[1:] != doc[:-1]))] = 0
+    pairs, n, docs = _in_documents(left << 32 | every, doc, len(at))
+    first = (pairs >> 32) - 1
+    yield pd.DataFrame({"kind": 2, "left": np.where(first < 0, _START, numbers.key[first]), "word": numbers.key[pairs & 0xFFFFFFFF], "n": n, "docs": docs})
+    w, n, docs = _in_documents(every, doc, len(at))
+    yield pd.DataFrame({"kind": 1, "left": numbers.stem[w], "word": numbers.key[w], "n": n, "docs": docs})
+    s, n, docs = _in_documents(numbers.stem[every], doc, len(at))
+    yield pd.DataFrame({"kind": 0, "left": 0, "word": s, "n": n, "docs": docs})
 
-    kinds: tuple[float, float] = (0.0, 0.0)
-    rest_word: tuple[float, float] = (0.0, 0.0)
-    rest_stem: tuple[float, float] = (0.0, 0.0)
-    seen: float = 0.0
-    n_words: float = 1.0
-    stems_seen: float = 0.0
-    n_stems: float = 1.0
 
-    def rates(self, c: int) -> tuple[float, float, float]:
-        """Kinds, and the weights of the backoff from words and from beginnings, of a class."""
-        total = self.kinds[c]
-        return (max(total, 1.0), self.rest_word[c] / total, self.rest_stem[c] / total) if total else (1.0, 1.0, 1.0)
+def differs(toxic: Column, plain: Column, toxic_docs: int, plain_docs: int) -> Column:
+    """G2 of an expression in ``toxic`` and ``plain`` documents out of so many."""
+    a, b, n, m = toxic.cast("double"), plain.cast("double"), float(toxic_docs), float(plain_docs)
+    share = (a + b) / F.lit(max(n + m, 1.0))
+    def term(o: Column, e: Column) -> Column:
+        return F.when((o > 0) & (e > 0), o * F.log(o / e)).otherwise(F.lit(0.0))
+    return 2 * (term(a, n * share) + term(b, m * share) + term(F.lit(n) - a, n * (1 - share)) + term(F.lit(m) - b, m * (1 - share)))
 
 
 class Model:
-    """The tables in memory; those of a class have a first axis (toxic, ordinary).
+    """Log ratios (toxic to ordinary) of the differing expressions, and the curve.
 
-    ``word`` and ``stem``: discounted shares of a word's and a beginning's kinds, the second with what
-    it gets from the shared distribution; ``shared``: share of a word in all documents; ``context``
-    and ``backoff``: pairs with the left word, and the share of them that backs off; ``pair``: counts
-    of the kept pairs, sorted by the slots of their words.
+    ``pairs`` by the keys of both words, ``words`` and ``stems`` by one key; an expression that is not held is
+    read at the next shorter one, and has ratio 0 where none is held.
     """
 
-    def __init__(self, totals: Totals, words: dict, stems: dict, pairs: dict, curve=None):
-        self.totals = totals
+    def __init__(self, pairs: dict[tuple[int, int], float], words: dict[int, float], stems: dict[int, float], curve=None):
+        self.pairs, self.words, self.stems = pairs, words, stems
+        self.lefts = {left for left, _ in pairs}
         self.curve = np.zeros(len(EVIDENCE) + 1) if curve is None else curve
-        order = np.argsort(words["key"])
-        w = {k: v[order] for k, v in words.items()}
-        self.slots = Vocabulary(w["key"])
-        self.context = np.stack([w["ct"], w["cp"]]).astype(np.float32)
-        self.backoff = np.where(self.context > 0, np.stack([w["dt"], w["dp"]]) / np.maximum(self.context, 1.0), 1.0)
-        self.shared = (w["seen"] + 0.5) / (totals.seen + 0.5 * totals.n_words)
-        order = np.argsort(stems["key"])
-        s = {k: v[order] for k, v in stems.items()}
-        self.stem_slots = Vocabulary(s["key"])
-        shared_stem = (s["seen"] + 0.5) / (totals.stems_seen + 0.5 * totals.n_stems)
-        self.word, self.stem = np.zeros((2, len(w["key"]))), np.ones((2, len(s["key"]) + 1))
-        for c, k in enumerate(("kt", "kp")):
-            total, rest_w, rest_s = totals.rates(c)
-            self.word[c] = np.maximum(w[k] - _DISCOUNT, 0) / total
-            self.stem[c, :-1] = rest_w * (np.maximum(s[k] - _DISCOUNT, 0) / total / shared_stem + rest_s)
-            self.stem[c, -1] = rest_w * rest_s                   # of the beginnings not held, at -1
-        at = (self.slots.find(pairs["left"]) << 32) | self.slots.find(pairs["word"])
-        order = np.argsort(at)
-        self.pair_at = at[order]
-        self.pair = np.stack([pairs["toxic"], pairs["plain"]])[:, order].astype(np.float32)
-        self._numbers = None
+        self._known = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_numbers": None}
-
-    def likelihood_ratios(self, text: bytes) -> np.ndarray:
-        """log p(word | left word, toxic) - log p(word | left word, ordinary) of every different pair."""
-        if self._numbers is None:
-            self._numbers = _Held(self)
-        left, w = self._numbers.pairs(text)
-        if not len(w):
-            return np.zeros(0)
-        lw, s = self._numbers.slot[w], self._numbers.stem_slot[w]
-        ll = np.where(left < 0, self._numbers.start, self._numbers.slot[left])
-        # words that are not held (-1) have no counts of their own and a shared factor of one
-        at = np.full(len(w), -1)
-        both = np.nonzero((ll >= 0) & (lw >= 0))[0]
-        if len(both) and len(self.pair_at):
-            wanted = (ll[both] << 32) | lw[both]
-            found = np.minimum(np.searchsorted(self.pair_at, wanted), len(self.pair_at) - 1)
-            at[both] = np.where(self.pair_at[found] == wanted, found, -1)
-        out = []
-        for c in (0, 1):
-            low = self.stem[c][s]
-            if self.slots:
-                low = np.where(lw < 0, low, self.word[c][lw] + low * self.shared[lw])
-                low = low * np.where(ll < 0, 1.0, np.maximum(self.backoff[c][ll], 1e-3))
-            hit = np.nonzero(at >= 0)[0]
-            low[hit] += np.maximum(self.pair[c][at[hit]] - _DISCOUNT, 0.0) / np.maximum(self.context[c][ll[hit]], 1.0)
-            out.append(np.log(low + 1e-30))
-        return out[0] - out[1]
-
-    def evidence(self, text: bytes) -> tuple[float, ...]:
-        r = self.likelihood_ratios(text)
-        n = len(r)
-        if not n:
-            return (0.0,) * len(EVIDENCE)
-        excess = float(np.maximum(r - _MARGIN, 0.0).sum())
-        top = np.partition(r, n - 3)[n - 3:] if n > 3 else r
-        return float(r.mean()), excess / n ** 0.5, excess / n, float(np.log1p(n)), float(top.mean())
+        return self.__dict__ | {"_known": None}
+
+    def of_word(self, w: bytes) -> float:
+        r = self.words.get(word_key(w))
+        return self.stems.get(word_key(w[:_STEM]), 0.0) if r is None else r
+
+    def log_ratios(self, ws: list[bytes]) -> list[float]:
+        """log p(word | left word, toxic) - log p(word | left word, ordinary) of every token."""
+        if self._known is None:
+            self._known = _Ratios(self)
+        out = list(map(self._known.__getitem__, ws))
+        if self._known.lefts_among(ws):
+            left = _START
+            for i, w in enumerate(ws):
+                key = word_key(w) if left in self.lefts else None
+                out[i] = self.pairs.get((left, key), out[i]) if key is not None else out[i]
+                left = word_key(w)
+        return out
+
+    def evidence(self, text: bytes) -> tuple[float, float, float]:
+        ws = words(text)
+        if not ws:
+            return 0.0, 0.0, 0.0
+        total = sum(self.log_ratios(ws))
+        return total / len(ws), total / len(ws) ** 0.5, float(np.log1p(len(ws)))
 
     def score(self, text: bytes) -> float:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.curve @ np.array([1.0, *self.evidence(text)]), -30, 30))))
 
 
-class _Held(Numbers):
-    """Numbers of words with their slots in a model."""
+class _Ratios(dict):
+    """Ratios of a task's words, looked up once each while ``size`` of them are known, and which of them begin held pairs."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, size: int = 1 << 19):
         super().__init__()
-        self.model, self.start = model, int(model.slots.find(np.array([_START]))[0])
-        self.slot, self.stem_slot = np.full(len(self.key), -1), np.full(len(self.key), -1)
-
-    def added(self, start: int, stop: int) -> None:
-        if len(self.slot) < len(self.key):
-            self.slot, self.stem_slot = np.full(len(self.key), -1), np.full(len(self.key), -1)
-        self.slot[start:stop] = self.model.slots.find(self.key[start:stop])
-        self.stem_slot[start:stop] = self.model.stem_slots.find(self.stem[start:stop])
-
-
-@dataclass
-class StoredModel:
-    """The same tables as :class:`Model`, where they are too large for a worker: joined, never collected."""
-
-    totals: Totals
-    words: DataFrame
-    stems: DataFrame
-    pairs: DataFrame
-    curve: np.ndarray | None = None
-
-    def ratios(self, pairs: DataFrame) -> DataFrame:
-        """``pairs(left, word, stem)`` with ``r``, the ratio of :meth:`Model.likelihood_ratios`."""
-        t = self.totals
-        right = self.words.select(F.col("key").alias("word"), "kt", "kp", ((F.col("seen") + 0.5) / F.lit(t.seen + 0.5 * t.n_words)).alias("shared"))
-        left = self.words.select(F.col("key").alias("left"), "ct", "cp", "dt", "dp")
-        stems = self.stems.select(F.col("key").alias("stem"), F.col("kt").alias("mt"), F.col("kp").alias("mp"),
-                                  ((F.col("seen") + 0.5) / F.lit(t.stems_seen + 0.5 * t.n_stems)).alias("shared_stem"))
-        rows = (pairs.join(right, "word", "left").join(left, "left", "left").join(stems, "stem", "left")
-                     .join(self.pairs.select("left", "word", F.col("toxic").alias("nt"), F.col("plain").alias("np")), ["left", "word"], "left"))
-        logs = []
-        for c, x in enumerate("tp"):
-            total, rest_w, rest_s = t.rates(c)
-            over = lambda name: F.greatest(F.coalesce(F.col(name), F.lit(0.0)) - _DISCOUNT, F.lit(0.0))             # noqa: E731
-            context = F.coalesce(F.col("c" + x).cast("double"), F.lit(0.0))
-            stem = F.lit(rest_w) * (F.coalesce(over("m" + x) / F.lit(total) / F.col("shared_stem"), F.lit(0.0)) + F.lit(rest_s))
-            low = over("k" + x) / F.lit(total) + stem * F.coalesce("shared", F.lit(1.0))
-            backoff = F.greatest(F.when(context > 0, F.col("d" + x) / context).otherwise(1.0), F.lit(1e-3))
-            logs.append(F.log(over("n" + x) / F.greatest(context, F.lit(1.0)) + backoff * low + F.lit(1e-30)))
-        return rows.select("left", "word", (logs[0] - logs[1]).alias("r"))
-
-    def evidence(self, texts: DataFrame) -> DataFrame:
-        """``(t, *EVIDENCE)`` of the different texts with words in ``texts(t, text)``, ``t`` being the text's digest."""
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            numbers = Numbers()
-            for f in filter(len, frames):
-                got = [numbers.pair_keys(bytes(x)) for x in f["text"]]
-                left, w, stem = (np.concatenate(x) for x in zip(*got))
-                t = np.repeat(f["t"].to_numpy(object), [len(x[0]) for x in got])
-                yield pd.DataFrame({"t": pd.Series(t, dtype=object), "left": left, "word": w, "stem": stem})
-        met = stored(texts.mapInPandas(run, "t string, left long, word long, stem long").distinct(), "toxic-met")
-        # a pair is looked up once, however many documents have it
-        known = stored(self.ratios(met.select("left", "word", "stem").distinct()), "toxic-ratios")
-        listed = met.join(known, ["left", "word"]).groupBy("t").agg(F.sort_array(F.collect_list("r"), asc=False).alias("r"))
-        n, zero = F.size("r"), F.lit(0.0)
-        total = lambda a: F.aggregate(a, zero, lambda s, x: s + x)                                                    # noqa: E731
-        excess = total(F.transform("r", lambda x: F.greatest(x - _MARGIN, zero)))
-        return listed.select("t", (total(F.col("r")) / n).alias("mean"), (excess / F.sqrt(n)).alias("excess_root"),
-                             (excess / n).alias("excess_mean"), F.log1p(n).alias("size"),
-                             (total(F.slice("r", 1, 3)) / F.least(n, F.lit(3))).alias("top"))
-
-
-EVIDENCE = ("mean", "excess_root", "excess_mean", "size", "top")
+        self.model, self.size, self.first = model, size, set()
+
+    def __missing__(self, w: bytes) -> float:
+        if len(self) >= self.size:
+            self.clear()
+            self.first.clear()
+        if word_key(w) in self.model.lefts:
+            self.first.add(w)
+        self[w] = r = self.model.of_word(w)
+        return r
+
+    def lefts_among(self, ws: list[bytes]) -> bool:
+        return _START in self.model.lefts or not self.first.isdisjoint(ws)
 
 
 def fold(id_col: Column) -> Column:
@@ -303,23 +185,56 @@ def held_out(id_col: Column) -> Column:
     return fold(id_col) % 4 == 2
 
 
-def _arrays(rows: DataFrame) -> dict[str, np.ndarray]:
-    """A counted table as arrays on the driver."""
-    found = rows.toArrow()
-    return {c: found[c].to_numpy() for c in rows.columns}
+class _Level:
+    """One class's counts of a level: their discount, their sum and the mass that is left to the level below."""
+
+    def __init__(self, ones: float, twos: float, total: float, kinds: float):
+        self.discount = ones / (ones + 2 * twos) if ones else 0.5
+        self.total, self.rest = max(total, 1.0), self.discount * kinds / max(total, 1.0) if total else 1.0
+
+    def share(self, count: np.ndarray, below: np.ndarray) -> np.ndarray:
+        return np.maximum(count - self.discount, 0) / self.total + self.rest * below
+
+
+def _levels(rows: DataFrame, columns: tuple[str, str]) -> list[_Level]:
+    sums = [F.sum(x) for c in columns for x in ((F.col(c) == 1).cast("double"), (F.col(c) == 2).cast("double"), F.col(c).cast("double"), (F.col(c) > 0).cast("double"))]
+    got = [float(x or 0) for x in rows.agg(*sums).first()]
+    return [_Level(*got[:4]), _Level(*got[4:])]
+
+
+def document_counts(docs: DataFrame, text_col: str, wanted: set[int], stems: set[int]) -> tuple[dict[int, int], dict[int, int], int]:
+    """In how many documents each wanted word occurs; the same summed over all words with each of the
+    ``stems``, and over all words. A row per expression and batch is shuffled."""
+    shipped = docs.sparkSession.sparkContext.broadcast((wanted, stems))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ours, ours_stem = shipped.value
+        for f in frames:
+            seen, by_stem, total = Counter(), Counter(), 0
+            for t in f[text_col]:
+                seen.update(set(words(t)))
+            for w, n in seen.items():
+                by_stem[w[:_STEM]] += n
+                total += n
+            got = [(1, k, n) for w, n in seen.items() if (k := word_key(w)) in ours]
+            got += [(0, k, n) for s, n in by_stem.items() if (k := word_key(s)) in ours_stem]
+            yield pd.DataFrame([*got, (2, 0, total)], columns=["kind", "key", "n"])
+    found = (docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias(text_col))
+                 .mapInPandas(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas())
+    by = {k: dict(zip(g["key"].tolist(), g["n"].tolist())) for k, g in found.groupby("kind")}
+    return by.get(1, {}), by.get(0, {}), by.get(2, {}).get(0, 0)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          learn: Column | None = None, curve_rows: int = 20_000, curve_part: int = 8,
-          held_rows: int = 4_000_000) -> Model | StoredModel:
+          learn: Column | None = None, curve_rows: int = 20_000, curve_part: int = 8, least_g2: float = _G2, most: int = 200_000) -> Model:
     """Count the models over ``docs`` and fit the curve.
 
     Labels are read only from rows where ``learn`` holds (all, by default); of those, one in
     ``curve_part`` fits the curve, ``curve_rows`` ids at most (the ones with the smallest folds, a
     documented bound), and all others are counted. Documents without a label, or with a label
     other than 0 and 1, take part in the shared counts. An id with two labels is counted for both.
-    Tables without rows or labels give a model that scores every text alike. Tables of more than
-    ``held_rows`` rows are not collected.
+    Tables without rows or labels give a model that scores every text alike. The model holds the ``most``
+    expressions of each kind with the largest G2, ties to the smaller keys.
     """
     c_id, c_text, c_label, c_use, c_fold = scratch_columns(docs, "_id", "_text", "_label", "_use", "_fold")
     key = F.col(id_col)
@@ -330,85 +245,65 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = stored(docs.where(learnable).select(key).distinct().join(marks, F.col(id_col) == F.col(c_id))
                         .select(c_id, c_label, (F.floor(fold(key) / 4) % curve_part == 0).alias(c_use), fold(key).alias(c_fold)),
                     "toxic-marks")
+    chosen = stored(marked.where(F.col(c_use)).select(c_id, c_fold).distinct().orderBy(c_fold, c_id).limit(curve_rows).select(c_id), "toxic-curve")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    learned = small(stored(marked.join(chosen, c_id, "left_anti").select(c_id, c_label), "toxic-learned"))
+    texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
 
-    def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers = Numbers()
-
-        def summed(keys: list, stems: list) -> pd.DataFrame:
-            at, first, n = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
-            return pd.DataFrame({"key": at, "stem": pd.array(np.concatenate(stems)[first], "Int64") if stems else pd.NA, "n": n})
-        keys, stems, alone, held = [], [], [], 0
-        for f in frames:
-            for t in f[c_text]:
-                w = np.unique(numbers.of(words(bytes(t))))
-                keys.append(numbers.key[w])
-                stems.append(numbers.stem[w])
-                alone.append(np.unique(stems[-1]))
-                held += len(w)
-                if held > 1_000_000:                         # bounds the memory
-                    yield summed(keys, stems)
-                    yield summed(alone, [])
-                    keys, stems, alone, held = [], [], [], 0
-        if held:
-            yield summed(keys, stems)
-            yield summed(alone, [])
-    # rows of words have the key of their beginning, rows of beginnings have none
-    seen = stored(docs.select(text.alias(c_text)).mapInPandas(document_counts, "key long, stem long, n long")
-                      .groupBy("key", "stem").agg(F.sum("n").alias("seen")), "toxic-seen")
-    word_seen, stem_seen = seen.where("stem IS NOT NULL"), seen.where("stem IS NULL")
-
-    def pair_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = Numbers()
         for f in frames:                                     # a batch at a time bounds the memory
-            parts = {0: [], 1: []}
-            for t, label in zip(f[c_text], f[c_label]):
-                parts[int(label)].append(np.stack(numbers.pair_keys(bytes(t))[:2]))
-            for label, got in parts.items():
-                if got:
-                    pair = pd.DataFrame(np.concatenate(got, axis=1).T, columns=["left", "word"])
-                    n = pair.groupby(["left", "word"], sort=False).size().rename("n").reset_index()
-                    yield pd.DataFrame({"left": n["left"], "word": n["word"], "toxic": n["n"] * label, "plain": n["n"] * (1 - label)})
-    chosen = stored(marked.where(F.col(c_use)).select(c_id, c_fold).distinct().orderBy(c_fold, c_id).limit(curve_rows).select(c_id), "toxic-curve")
-    learned = small(stored(marked.join(chosen, c_id, "left_anti").select(c_id, c_label), "toxic-learned"))
-    texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
-    pairs = stored(texts.mapInPandas(pair_counts, "left long, word long, toxic long, plain long").groupBy("left", "word")
-                        .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "toxic-pairs")
-
-    t, p = F.col("toxic"), F.col("plain")
-    kept = F.greatest(t, p) > _DISCOUNT
-    seconds = pairs.groupBy(F.col("word").alias("key")).agg(
-        F.sum((t > 0).cast("long")).alias("kt"), F.sum((p > 0).cast("long")).alias("kp"), F.max(kept).alias("second"))
-    firsts = pairs.groupBy(F.col("left").alias("key")).agg(
-        F.sum(t).alias("ct"), F.sum(p).alias("cp"), F.sum(F.least(t, F.lit(_DISCOUNT))).alias("dt"),
-        F.sum(F.least(p, F.lit(_DISCOUNT))).alias("dp"), F.max(kept).alias("first"))
-    counted = stored(seconds.join(firsts, "key", "full").join(word_seen, "key", "left"), "toxic-counted")
-    # a beginning is one of its words: the kinds of its pairs are those of its words' pairs
-    by_stem = stored(counted.where("stem IS NOT NULL").groupBy(F.col("stem").alias("key"))
-                            .agg(F.sum("kt").alias("kt"), F.sum("kp").alias("kp")), "toxic-stems")
-    several = F.greatest("kt", "kp") > _DISCOUNT
-    numbers_of = ("kt", "kp", "ct", "cp", "dt", "dp", "seen")
-    kept_words = stored(counted.where(several | F.col("second") | F.col("first"))
-                               .select("key", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numbers_of]), "toxic-words")
-    kept_stems = stored(by_stem.where(several).join(stem_seen.select("key", "seen"), "key")
-                               .select("key", *[F.col(c).cast("double").alias(c) for c in ("kt", "kp", "seen")]), "toxic-kept-stems")
-    kept_pairs = stored(pairs.where(kept).select("left", "word", t.cast("double").alias("toxic"), p.cast("double").alias("plain")), "toxic-kept")
-
-    def sums(rows: DataFrame, *what: Column) -> tuple[float, ...]:
-        return tuple(float(x or 0) for x in rows.agg(*[F.sum(x) for x in what]).first())
-    rest = [F.least(F.col(c).cast("double"), F.lit(_DISCOUNT)) for c in ("kt", "kp")]
-    got = sums(counted, F.col("kt"), F.col("kp"), *rest)
-    one = F.lit(1)
-    (n_seen, n_words), (n_stems_seen, n_stems) = (sums(x, F.col("seen"), one) for x in (word_seen, stem_seen))
-    totals = Totals(got[:2], got[2:], sums(by_stem, *rest), n_seen, n_words + 1, n_stems_seen, n_stems + 1)
-    for table in (pairs, seen, counted, by_stem):
-        discard(table)
-    if kept_words.count() + kept_stems.count() + kept_pairs.count() <= held_rows:
-        model = Model(totals, *map(_arrays, (kept_words, kept_stems, kept_pairs)))
-        for table in (kept_words, kept_stems, kept_pairs):
-            discard(table)
-    else:
-        model = StoredModel(totals, kept_words, kept_stems, kept_pairs)
+            for label, part in f.groupby(c_label):
+                for rows in _counted(list(part[c_text]), bool(label), numbers):
+                    yield rows.assign(toxic=bool(label))
+    t = F.col("toxic")
+    of = lambda c, is_toxic: F.sum(F.when(t if is_toxic else ~t, F.col(c)).otherwise(0))                               # noqa: E731
+    counts = stored(texts.mapInPandas(count, _COUNTS).groupBy("kind", "left", "word").agg(
+        of("n", True).alias("nt"), of("n", False).alias("np"), of("docs", True).alias("dt"), of("docs", False).alias("dp")), "toxic-counts")
+    totals = {bool(r[0]): r[1] for r in texts.groupBy(F.col(c_label)).count().collect()}
+    n_toxic, n_plain = totals.get(True, 0), totals.get(False, 0)
+    g2 = differs(F.col("dt"), F.col("dp"), n_toxic, n_plain)
+
+    pairs = counts.where("kind = 2").drop("kind")
+    followed = pairs.groupBy("word").agg(F.sum((F.col("nt") > 0).cast("long")).alias("kt"), F.sum((F.col("np") > 0).cast("long")).alias("kp"))
+    known = stored(counts.where("kind = 1").select("word", F.col("left").alias("stem"), "dt", "dp").join(followed, "word"), "toxic-words")
+    in_words = known.groupBy("stem").agg(F.sum((F.col("kt") > 0).cast("long")).alias("jt"), F.sum((F.col("kp") > 0).cast("long")).alias("jp"))
+    begun = stored(counts.where("kind = 0").select(F.col("word").alias("stem"), "dt", "dp").join(in_words, "stem"), "toxic-stems")
+
+    def kept(rows: DataFrame, *keys: str) -> DataFrame:
+        """The differing expressions, bounded in number."""
+        strong = rows.withColumn("g2", g2).where(F.col("g2") >= least_g2)
+        return stored(strong.orderBy(F.col("g2").desc(), *keys).limit(most), "toxic-kept").drop("g2")
+    k_pairs, k_words, k_stems = kept(pairs, "left", "word"), kept(known, "word"), kept(begun, "stem")
+    # the lower levels of what is kept, and the contexts of the kept pairs: lookups by a bounded table
+    w_rows = known.join(F.broadcast(k_pairs.select("word").union(k_words.select("word")).distinct()), "word").select("word", "stem", "kt", "kp")
+    need = w_rows.select("stem").union(k_stems.select("stem")).distinct()
+    s_rows = begun.join(F.broadcast(need), "stem").select("stem", "jt", "jp").toPandas()
+    contexts = (pairs.join(F.broadcast(k_pairs.select("left").distinct()), "left").groupBy("left").agg(
+        F.sum("nt").alias("ct"), F.sum("np").alias("cp"), F.sum((F.col("nt") > 0).cast("long")).alias("tt"), F.sum((F.col("np") > 0).cast("long")).alias("tp")))
+    p_rows = k_pairs.select("left", "word", "nt", "np").join(F.broadcast(contexts), "left").toPandas()
+    w_rows, k_words, k_stems = w_rows.toPandas(), k_words.select("word").toPandas(), k_stems.select("stem").toPandas()
+    at_pair, at_word, at_stem = _levels(pairs, ("nt", "np")), _levels(known, ("kt", "kp")), _levels(begun, ("jt", "jp"))
+    seen, seen_stem, seen_all = document_counts(docs.select(F.col(text_col).alias(c_text)), c_text, set(w_rows["word"].tolist()), set(s_rows["stem"].tolist()))
+
+    def table(index, values) -> pd.Series:
+        return pd.Series(np.asarray(values, float), index=np.asarray(index, np.int64))
+    stem_seen = s_rows["stem"].map(seen_stem).fillna(0).to_numpy(float)
+    shared = (stem_seen + 0.5) / (seen_all + 0.5)
+    in_stem = (w_rows["word"].map(seen).fillna(0).to_numpy(float) + 0.5) / (w_rows["stem"].map(seen_stem).fillna(0).to_numpy(float) + 0.5)
+    logs_s, logs_w, logs_p = [], [], []
+    for c, x in enumerate("tp"):
+        s = table(s_rows["stem"], at_stem[c].share(s_rows["j" + x].to_numpy(float), shared))
+        w = table(w_rows["word"], at_word[c].share(w_rows["k" + x].to_numpy(float), s.reindex(w_rows["stem"]).to_numpy() * in_stem))
+        total, d = p_rows["c" + x].to_numpy(float), at_pair[c].discount
+        back = np.where(total > 0, d * p_rows["t" + x].to_numpy(float) / np.maximum(total, 1), 1.0)
+        own = np.maximum(p_rows["n" + x].to_numpy(float) - d, 0) / np.maximum(total, 1)
+        logs_s.append(np.log(s)), logs_w.append(np.log(w)), logs_p.append(np.log(own + back * w.reindex(p_rows["word"]).to_numpy()))
+    r_stem, r_word, r_pair = logs_s[0] - logs_s[1], logs_w[0] - logs_w[1], logs_p[0] - logs_p[1]
+    model = Model(dict(zip(zip(p_rows["left"].tolist(), p_rows["word"].tolist()), r_pair.tolist())),
+                  r_word[k_words["word"].to_numpy(np.int64)].to_dict(), r_stem[k_stems["stem"].to_numpy(np.int64)].to_dict())
+    for used in (counts, known, begun):
+        discard(used)
 
     calibrate = marked.join(chosen, c_id, "left_semi").select(c_id, c_label)
     rows = docs.select(key, text.alias(c_text)).join(small(calibrate), F.col(id_col) == F.col(c_id))
@@ -436,48 +331,39 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return beta
 
 
-def _joined(rows: DataFrame, model: StoredModel, text_col: str) -> tuple[DataFrame, dict[str, Column]]:
-    """``rows`` joined with their texts' evidence, and its columns (zero for texts without words)."""
-    text = F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))
-    found = model.evidence(rows.select(F.md5(text).alias("t"), text.alias("text")))
-    c_t, *names = scratch_columns(rows, "_t", *[f"_{c}" for c in EVIDENCE])
-    found = found.select(F.col("t").alias(c_t), *[F.col(c).alias(n) for c, n in zip(EVIDENCE, names)])
-    return rows.join(found, F.md5(text) == F.col(c_t), "left"), {c: F.coalesce(F.col(n), F.lit(0.0)) for c, n in zip(EVIDENCE, names)}
-
-
-def _evidence(rows: DataFrame, model: Model | StoredModel, text_col: str, label_col: str) -> DataFrame:
-    if isinstance(model, StoredModel):
-        both, found = _joined(rows, model, text_col)
-        return both.select(label_col, *[found[c].alias(c) for c in EVIDENCE])
+def _evidence(rows: DataFrame, model: Model, text_col: str, label_col: str) -> DataFrame:
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shipped.value
         for f in frames:
-            got = np.array([m.evidence(bytes(t)) for t in f[text_col]]).reshape(-1, len(EVIDENCE))
+            got = np.array([m.evidence(t) for t in f[text_col]]).reshape(-1, len(EVIDENCE))
             yield f[[label_col]].assign(**{c: got[:, k] for k, c in enumerate(EVIDENCE)})
     return rows.mapInPandas(run, f"`{label_col}` int, " + ", ".join(f"{c} double" for c in EVIDENCE))
 
 
-def add_score(docs: DataFrame, model: Model | StoredModel, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 (higher: toxic likelier). Null texts count as empty; an
-    empty text has no evidence and gets the curve's value at zero."""
-    if isinstance(model, StoredModel):
-        both, found = _joined(docs, model, text_col)
-        x = sum((F.lit(float(b)) * found[c] for b, c in zip(model.curve[1:], EVIDENCE)), F.lit(float(model.curve[0])))
-        x = F.greatest(F.least(x, F.lit(30.0)), F.lit(-30.0))
-        return both.select(*docs.columns, (1 / (1 + F.exp(-x))).alias(out))
+def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with a score from 0 to 1 (higher: toxic likelier) in a column ``out``, whose name must be free.
+
+    Null texts count as empty; an empty text has no evidence and gets the curve's value at zero. Equal
+    texts, repeated rows among them, get equal scores; long texts are read whole; an empty table
+    stays empty.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def run(s: pd.Series) -> pd.Series:
         m = shipped.value
-        return pd.Series([m.score(bytes(t)) for t in s], dtype=float)
+        return pd.Series([m.score(t) for t in s], dtype=float)
     return docs.withColumn(out, run(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose score is ``limit`` or more; columns as they are."""
+    """``docs`` without the rows whose score is ``limit`` or more; columns as they are, whatever their names.
+
+    Null and empty texts, rows without an id and repeated rows are scored like all others and stay
+    unless their text is rejected; an empty table gives an empty one.
+    """
     model = train(docs, labels, id_col, text_col, learn=~held_out(F.col(id_col)))
     c_score, = scratch_columns(docs, "_score")
     return add_score(docs, model, text_col, c_score).where(F.col(c_score) < limit).select(*docs.columns)

@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -53,39 +55,96 @@ def test_labels_of_the_held_out_fold_are_not_read(corpus):
     learn = ~toxicity.held_out(F.col("doc_id"))
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (toxicity.train(docs, x, learn=learn, curve_part=4) for x in (labels, flipped))
-    assert np.array_equal(a.curve, b.curve) and np.array_equal(a.pair, b.pair) and np.array_equal(a.word, b.word)
-
-
-def test_counts_against_brute_force(corpus):
+    assert np.array_equal(a.curve, b.curve) and (a.pairs, a.words, a.stems) == (b.pairs, b.words, b.stems)
+
+
+def brute_ratios(rows, truth, curve_part, curve_rows, least_g2):
+    """The two models and their differing expressions by dictionaries; gives the ratios of a text's tokens."""
+    part = lambda i: zlib.crc32(str(i).encode()) // 4 % curve_part == 0                        # noqa: E731
+    chosen = set(sorted((i for i in truth if part(i)), key=lambda i: (zlib.crc32(str(i).encode()), i))[:curve_rows])
+    learned = [i for i in truth if i not in chosen]
+    counts, docs, n_docs = [Counter(), Counter()], [Counter(), Counter()], [0, 0]
+    for i in learned:
+        ws, c = words(rows[i][1].encode()), truth[i][2]
+        pairs = list(zip([None, *ws], ws))
+        counts[c].update(pairs)
+        docs[c].update(set(pairs) | set(ws) | {("stem", w[:5]) for w in ws})
+        n_docs[c] += 1
+    seen = Counter(w for r in rows.values() for w in set(words(r[1].encode())))
+    by_stem = Counter()
+    for w, n in seen.items():
+        by_stem[w[:5]] += n
+
+    def g2(x):
+        a, b = docs[1][x], docs[0][x]
+        share, (m, n) = (a + b) / sum(n_docs), n_docs
+        t = lambda o, e: o * math.log(o / e) if o > 0 and e > 0 else 0.0                        # noqa: E731
+        return 2 * (t(a, n * share) + t(b, m * share) + t(n - a, n * (1 - share)) + t(m - b, m * (1 - share)))
+
+    def discount(c):
+        of = Counter(c.values())
+        return of[1] / (of[1] + 2 * of[2]) if of[1] else 0.5
+    p = []
+    for c in (0, 1):
+        n, k, j = counts[c], Counter(w for _, w in counts[c]), None
+        j = Counter(w[:5] for w in k)
+        contexts, kinds = Counter(), Counter()
+        for (h, _), x in n.items():
+            contexts[h] += x
+            kinds[h] += 1
+        def stem(s, j=j, d=discount(j)):
+            return max(j[s] - d, 0) / sum(j.values()) + d * len(j) / sum(j.values()) * (by_stem[s] + 0.5) / (sum(seen.values()) + 0.5)
+        def word(w, k=k, d=discount(k), stem=stem):
+            return max(k[w] - d, 0) / sum(k.values()) + d * len(k) / sum(k.values()) * stem(w[:5]) * (seen[w] + 0.5) / (by_stem[w[:5]] + 0.5)
+        def pair(h, w, n=n, contexts=contexts, kinds=kinds, d=discount(n), word=word):
+            if not contexts[h]:
+                return word(w)
+            return max(n[h, w] - d, 0) / contexts[h] + d * kinds[h] / contexts[h] * word(w)
+        p.append((pair, word, stem))
+
+    def ratios(text):
+        ws = words(text.encode())
+        for h, w in zip([None, *ws], ws):
+            if g2((h, w)) >= least_g2:
+                yield math.log(p[1][0](h, w) / p[0][0](h, w))
+            elif g2(w) >= least_g2:
+                yield math.log(p[1][1](w) / p[0][1](w))
+            elif g2(("stem", w[:5])) >= least_g2:
+                yield math.log(p[1][2](w[:5]) / p[0][2](w[:5]))
+            else:
+                yield 0.0
+    return ratios
+
+
+def test_scores_against_brute_force(corpus):
     docs, labels, rows, truth = corpus
-    model = toxicity.train(docs, labels, curve_part=10**9)
-    slots = model.slots
-    pairs, n = {0: {}, 1: {}}, {0: 0, 1: 0}
-    for i, (_, _, toxic) in truth.items():
-        if zlib.crc32(str(i).encode()) // 4 % 10**9 == 0:
-            continue
-        for k in set(toxicity.pairs_of(rows[i][1].encode(), slots).tolist()):
-            pairs[toxic][k] = pairs[toxic].get(k, 0) + 1
-    for c, toxic in ((0, 1), (1, 0)):
-        context, kinds = np.zeros(slots), np.zeros(slots)
-        for k, v in pairs[toxic].items():
-            context[k >> 40] += v
-            kinds[(k >> 20) & 0xFFFFF] += 1
-        assert np.array_equal(model.context[c], context.astype(np.float32))
-        total = kinds.sum()
-        assert np.allclose(model.word[c], np.maximum(kinds - 2.5, 0) / total)
-    seen = np.zeros(slots)
-    for r in rows.values():
-        seen[np.unique(toxicity.slots_of(words(r[1].encode()), slots))] += 1
-    assert np.allclose(model.shared, (seen + 0.5) / (seen.sum() + 0.5 * slots))
+    for least in (4.0, 15.0):
+        model = toxicity.train(docs, labels, curve_part=3, curve_rows=50, least_g2=least)
+        ratios = brute_ratios(rows, truth, 3, 50, least)
+        assert model.words and model.stems and (model.pairs or least > 4)
+        for i in list(rows)[:200]:
+            r = list(ratios(rows[i][1]))
+            assert np.allclose(model.log_ratios(words(rows[i][1].encode())), r, atol=1e-9)
+            x = model.curve @ [1, sum(r) / len(r), sum(r) / len(r) ** 0.5, math.log1p(len(r))]
+            assert abs(model.score(rows[i][1].encode()) - 1 / (1 + math.exp(-x))) < 1e-9
+    got = {r["doc_id"]: r["score"] for r in toxicity.add_score(docs, model).collect()}
+    assert all(abs(got[i] - model.score(rows[i][1].encode())) < 1e-12 for i in rows)
 
 
 def test_rare_words_do_not_decide(corpus):
     docs, labels, _, _ = corpus
     model = toxicity.train(docs, labels)
-    r = model.likelihood_ratios(b"zzyzx qwertz gan")
-    assert np.abs(r[:2]).max() < toxicity._MARGIN and abs(r[1]) < 0.7
-    assert model.likelihood_ratios(b"gan moronic gan")[1] > 2
+    assert model.log_ratios([b"zzyzx", b"qwertz", b"gan"]) == [0.0, 0.0, 0.0]
+    r = model.log_ratios(b"gan moronic gan moronic".split())
+    assert r[1] > 2 and r[3] > 2                                                                 # every occurrence counts
+    assert model.log_ratios([b"moronity"])[0] > 1                                                # an inflected form, by its beginning
+
+
+def test_the_model_is_bounded(corpus):
+    docs, labels, _, _ = corpus
+    whole, model = (toxicity.train(docs, labels, least_g2=1.0, most=n) for n in (10**6, 7))
+    assert len(model.pairs) == len(model.words) == len(model.stems) == 7 < len(whole.words)
+    assert all(abs(whole.words[k] - v) < 1e-9 for k, v in model.words.items())
 
 
 def test_toxicity_of_odd_rows(spark, corpus, odd_docs, clashing, no_docs):
@@ -121,42 +180,19 @@ def test_sites_shrink_level_by_level(spark):
     assert 0.4 < got[None, None]["host_rate"] < 1.0
 
 
-def test_words_do_not_share_counts(spark):
-    """More words than the 2^19 slots of before: every word keeps a key and a count of its own."""
-    keys = np.fromiter((toxicity.word_key(b"w%d" % i) for i in range(700_000)), np.int64)
-    assert len(np.unique(keys)) == len(keys)
-    # two words that shared a slot of the former table: one is an insult, the other ordinary
-    first, pair = {}, None
-    for i in range(100_000):
-        s = zlib.crc32(b"w%d" % i) % ((1 << 19) - 1)
-        if s in first and f"w{first[s]}"[:5] != f"w{i}"[:5]:
-            pair = f"w{first[s]}", f"w{i}"
-            break
-        first[s] = i
-    bad, clean = pair
-    rng = random.Random(3)
-    rows = [(i, " ".join(rng.choice([f"q{k}x" for k in range(60)] + ([bad] * 20 if i % 2 else [])) for _ in range(60))) for i in range(200)]
-    docs = spark.createDataFrame(rows + [(1000, clean)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
-    model = toxicity.train(docs, labels)
-    assert model.likelihood_ratios(f"q1x {bad}".encode())[1] > 2 > 0.7 > abs(model.likelihood_ratios(f"q1x {clean}".encode())[1])
-
-
-def test_joined_tables_score_like_held_ones(corpus, odd_docs):
-    docs, labels, _, _ = corpus
-    held_model, joined = (toxicity.train(docs, labels, held_rows=n) for n in (10**6, 0))
-    assert isinstance(joined, toxicity.StoredModel) and np.allclose(held_model.curve, joined.curve, rtol=1e-4, atol=1e-5)
-    joined.curve = held_model.curve
-    for d in (docs.union(docs.limit(20)), odd_docs):
-        a, b = (sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in toxicity.add_score(d, m).collect()) for m in (held_model, joined))
-        assert len(a) == len(b) and np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-5)
+def test_numbers_forget_but_agree():
+    texts = [b"a b c a", b"b b d", b"", "漢字 é".encode()]
+    small, large = toxicity.Numbers(3), toxicity.Numbers()
+    for t in texts * 2:
+        ws = words(t)
+        for numbers in (small, large):
+            at, = numbers.of([ws])
+            assert numbers.key[at].tolist() == [toxicity.word_key(w) for w in ws] and numbers.stem[at].tolist() == [toxicity.word_key(w[:5]) for w in ws]
 
 
 def test_labels_beyond_the_curve_are_counted(corpus):
+    """With few rows for the curve the others are counted: the insult's ratio is that of brute force over them."""
     docs, labels, rows, truth = corpus
-    model = toxicity.train(docs, labels, curve_part=2, curve_rows=30)
-    chosen = sorted((i for i in truth if zlib.crc32(str(i).encode()) // 4 % 2 == 0), key=lambda i: zlib.crc32(str(i).encode()))[:30]
     assert sum(zlib.crc32(str(i).encode()) // 4 % 2 == 0 for i in truth) > 200
-    starts = [sum(truth[i][2] == toxic for i in truth if i not in chosen) for toxic in (1, 0)]
-    start = int(model.slots.find(np.array([toxicity._START]))[0])
-    assert model.context[:, start].tolist() == starts
+    model = toxicity.train(docs, labels, curve_part=2, curve_rows=30)
+    assert abs(model.of_word(b"moronic") - [*brute_ratios(rows, truth, 2, 30, 15.0)("gan moronic")][1]) < 1e-9
