@@ -42,6 +42,9 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM (SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n,
              max(page_id) OVER (PARTITION BY coalesce(html, '')) AS chief FROM pages) p"""
 
+WARC_SALVAGE = f"""
+SELECT page_id, payload_bytes, payload_digest, record_type FROM ({WARC}) w WHERE page_id % 7 <> 3"""
+
 QUALITY_RULES = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
 win AS (SELECT r, i, array_to_string(ws[i + 1:i + 8], ' ') AS w FROM (SELECT r, ws, unnest(range(0, len(ws) - 7)) AS i FROM d) x),
@@ -54,14 +57,17 @@ m AS (SELECT doc_id, source, len(ws) AS n_words, length(array_to_string(ws, ''))
              coalesce(cover.n, 0) AS n_repeat_words
       FROM d LEFT JOIN cover USING (r)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-             10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR n_dup_lines > 3
-               OR 100 * n_repeat_words > 15 * n_words AS marked FROM m),
-h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed OR marked) AS bad FROM f GROUP BY source),
+             CASE WHEN 10 * n_symbols > n_words THEN 10 * n_symbols / greatest(n_words, 1) ELSE 0 END
+             + CASE WHEN word_chars < 2 * n_words THEN 2 * n_words / greatest(word_chars, 1) ELSE 0 END
+             + CASE WHEN word_chars > 14 * n_words THEN word_chars / (14 * greatest(n_words, 1)) ELSE 0 END
+             + CASE WHEN n_dup_lines > 3 THEN n_dup_lines / 3 ELSE 0 END
+             + CASE WHEN 100 * n_repeat_words > 15 * n_words THEN 100 * n_repeat_words / (15 * greatest(n_words, 1)) ELSE 0 END AS severity FROM m),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed OR severity > 0) AS bad FROM f GROUP BY source),
 g AS (SELECT sum(bad) / sum(n) AS mean, var_pop(bad / n) AS v FROM h),
 z AS (SELECT mean, CASE WHEN v > 0 THEN least(greatest(mean * (1 - mean) / v - 1, 1), 10000) ELSE 10000 END AS strength FROM g)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR (marked AND (bad + strength * mean) / (h.n + strength) > 0.5)) AS kept
-FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source, z"""
+       NOT (base_failed OR severity * rate > 0.5 * (1 - rate)) AS kept
+FROM f JOIN (SELECT source, (bad + strength * mean) / (n + strength) AS rate FROM h, z) k ON f.source IS NOT DISTINCT FROM k.source"""
 
 SHARDING = f"""
 WITH RECURSIVE bits(n, c, k) AS (

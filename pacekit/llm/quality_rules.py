@@ -1,11 +1,13 @@
 """Document quality rules with host-level verdicts, with DataFrame operations only.
 
-Each text is measured in one pass. A document fails outright on the base rules; softer rules only
-mark it. The marks are counted by host (in the tables here: the source), and each host's failure
-rate is shrunk towards the rate of all hosts with a beta prior fitted to the hosts' own rates by
-moments, so that a host with a few documents is not judged by them alone. A host whose shrunk
-rate passes the limit is strict: its marked documents go too. A document that breaks no rule
-stays, whatever its host.
+Each text is measured in one pass. A document fails outright on the base rules; softer rules only mark
+it, with a severity: by how much it passes the limits it breaks. Failures of either kind are counted by host
+(in the tables here: the source), and each host's failure rate is shrunk towards the rate of all hosts
+with a beta prior fitted to the hosts' own rates by moments, so that a host with a few documents is not
+judged by them alone. The verdict joins both: a marked document goes where its host's odds of failure times
+its severity pass a limit. At ordinary hosts that takes a document well beyond a soft limit, at a host where
+every second document fails any mark is enough, at a clean host hardly any is. A document that breaks no
+rule stays, whatever its host.
 """
 
 from __future__ import annotations
@@ -75,11 +77,24 @@ def base_failed(of=F.col) -> Column:
     return (of("n_words") < 20) | (100 * of("n_repeat_words") > 30 * of("n_words"))
 
 
-def marked(of=F.col) -> Column:
-    """The softer rules: many symbols, words too short or too long on average, repeated lines, some repetition."""
-    return ((10 * of("n_symbols") > of("n_words")) | (of("word_chars") < 2 * of("n_words"))
-            | (of("word_chars") > 14 * of("n_words")) | (of("n_dup_lines") > 3)
-            | (100 * of("n_repeat_words") > 15 * of("n_words")))
+def severity(of=F.col) -> Column:
+    """How far a text is beyond the softer rules it breaks: the sum of its values over their limits, 0 if it breaks none.
+
+    They are: many symbols, words too short or too long on average, repeated lines, some repetition.
+    """
+    n, chars = F.greatest(of("n_words"), F.lit(1)).cast("double"), F.greatest(of("word_chars"), F.lit(1)).cast("double")
+    def beyond(broken: Column, ratio: Column) -> Column:
+        return F.when(broken, ratio).otherwise(F.lit(0.0))
+    return (beyond(10 * of("n_symbols") > of("n_words"), 10 * of("n_symbols") / n)
+            + beyond(of("word_chars") < 2 * of("n_words"), 2 * n / chars)
+            + beyond(of("word_chars") > 14 * of("n_words"), chars / (14 * n))
+            + beyond(of("n_dup_lines") > 3, of("n_dup_lines") / F.lit(3.0))
+            + beyond(100 * of("n_repeat_words") > 15 * of("n_words"), 100 * of("n_repeat_words") / (15 * n)))
+
+
+def rejected(failed: Column, how_severe: Column, host_rate: Column, limit: float) -> Column:
+    """The verdict: base rules, or the host's odds of failure times the document's severity above ``limit``."""
+    return failed | (how_severe * host_rate > limit * (1 - host_rate))
 
 
 def host_rates(rows: DataFrame) -> DataFrame:
@@ -98,30 +113,30 @@ def host_rates(rows: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          strict_above: float = 0.5) -> DataFrame:
+          limit: float = 0.5) -> DataFrame:
     """``(doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    marked, host_rate, kept)`` for every row.
+    severity, host_rate, kept)`` for every row.
 
     Null and empty texts have no words and fail the base rules; rows without a host form one
     host; repeated rows count as often as they occur; an empty table gives no rows.
     """
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), measures(F.col(text_col)).alias("m"))
                 .select("doc_id", "host", "m.*")
-                .withColumn("base_failed", base_failed()).withColumn("marked", marked()))
+                .withColumn("base_failed", base_failed()).withColumn("severity", severity()))
     rows = stored(rows, "rules")
-    rates = host_rates(rows.select("host", (F.col("base_failed") | F.col("marked")).alias("bad")))
+    rates = host_rates(rows.select("host", (F.col("base_failed") | (F.col("severity") > 0)).alias("bad")))
     verdicts = stored(rates.select(F.col("host").alias("_host"), F.col("rate").alias("host_rate")), "verdicts")
     return (rows.join(verdicts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
-                .withColumn("kept", ~(F.col("base_failed") | (F.col("marked") & (F.col("host_rate") > strict_above)))))
+                .withColumn("kept", ~rejected(F.col("base_failed"), F.col("severity"), F.col("host_rate"), limit)))
 
 
-def keep_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", strict_above: float = 0.5) -> DataFrame:
+def keep_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = 0.5) -> DataFrame:
     """``docs`` without the rows that the rules reject; columns and the other rows as they are."""
     c_m, c_host, c_rate = scratch_columns(docs, "_m", "_host", "_rate")
     rows = stored(docs.withColumn(c_m, measures(F.col(text_col))), "rules")
     def of(name: str) -> Column:
         return F.col(c_m)[name]
-    rates = host_rates(rows.select(F.col(host_col).alias("host"), (base_failed(of) | marked(of)).alias("bad")))
+    rates = host_rates(rows.select(F.col(host_col).alias("host"), (base_failed(of) | (severity(of) > 0)).alias("bad")))
     verdicts = stored(rates.select(F.col("host").alias(c_host), F.col("rate").alias(c_rate)), "verdicts")
     return (rows.join(verdicts, F.col(host_col).eqNullSafe(F.col(c_host)))
-                .where(~(base_failed(of) | (marked(of) & (F.col(c_rate) > strict_above)))).select(*docs.columns))
+                .where(~rejected(base_failed(of), severity(of), F.col(c_rate), limit)).select(*docs.columns))

@@ -34,7 +34,9 @@ def test_judge_and_keep(odd_docs, odd_rows, clashing, no_docs):
     assert len(got) == len(odd_rows)
     for r in got:
         assert r["base_failed"] == (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"])
-        assert not (r["kept"] and r["base_failed"]) and (r["kept"] or r["base_failed"] or (r["marked"] and r["host_rate"] > 0.5))
+        odds = r["host_rate"] / (1 - r["host_rate"])
+        assert r["severity"] == 0 or r["severity"] >= 1
+        assert r["kept"] == (not r["base_failed"] and odds * r["severity"] <= 0.5)
     kept = sum(r["kept"] for r in got)
     for docs in (odd_docs, clashing):
         out = Q.keep_documents(docs)
@@ -50,9 +52,29 @@ def test_host_rates_shrink_towards_all(spark):
     assert overall < got["one"]["rate"] < 1.0 and 0.0 < got[None]["rate"] < overall
 
 
-def test_strict_hosts_lose_marked_documents_only(spark):
-    good, marked = " ".join(f"word{i}" for i in range(60)), " ".join(f"word{i}#" for i in range(60))
-    rows = [(i, good if i % 10 == 0 else marked, "en", "bad", 1) for i in range(200)] + [(1000 + i, marked if i % 50 == 0 else good, "en", "fine", 1) for i in range(200)]
+def test_verdicts_join_host_and_severity(spark):
+    """A slight mark goes at a strict host only, a severe one at an ordinary host too, at a clean host neither."""
+    good = " ".join(f"word{i}" for i in range(60))
+    slight, severe = good + " #" * 8, " ".join(f"word{i}##" for i in range(60))
+    hosts = {"strict": 140, "ordinary": 40, "clean": 2}                    # severe ones of 200
+    rows, at = [], 0
+    for host, bad in hosts.items():
+        for i in range(200):
+            rows.append((at, severe if i < bad else slight if i == 199 else good, "en", host, 1))
+            at += 1
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"] for r in Q.judge(df).where("kept").collect()}
-    assert kept == {i for i in range(200) if i % 10 == 0} | {1000 + i for i in range(200)}
+    got = {r["doc_id"]: r for r in Q.judge(df).collect()}
+    for host, (first, bad) in {"strict": (0, 140), "ordinary": (200, 40), "clean": (400, 2)}.items():
+        assert all(got[first + i]["kept"] for i in range(bad, 199)), host
+        assert all(got[first + i]["kept"] == (host == "clean") for i in range(bad)), host
+        assert got[first + 199]["kept"] == (host != "strict")
+    assert 19 < got[0]["severity"] < 21 and 1 < got[199]["severity"] < 1.5 and got[100 + 41]["severity"] == 0
+
+
+def test_the_verdict_acts_on_the_given_tables(spark):
+    """On sf0.01 documents go that pass the base rules; those labelled are junk."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = Q.judge(docs).join(labels, "doc_id", "left").where("NOT base_failed AND NOT kept").groupBy("quality").count().collect()
+    gone = {r["quality"]: r["count"] for r in got}
+    assert gone.get(0, 0) >= 20 and gone.get(1, 0) == 0
