@@ -16,6 +16,7 @@ block.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -47,6 +48,12 @@ class _Bounded(dict):
         return value
 
 
+def _ends_a_word(stem: bytes) -> bool:
+    """Whether the tokenizer cuts between ``stem`` and a mark: its last character is a letter or a number, also once it
+    is lower-cased and composed (the small form of a letter may end in a combining mark, which is neither)."""
+    return stem[-1:].isalnum() or unicodedata.normalize("NFC", stem.decode("utf-8", "replace").lower())[-1].isalnum()
+
+
 class WordTokenizer:
     """Ids of whole texts as little-endian 32-bit numbers.
 
@@ -70,7 +77,7 @@ class WordTokenizer:
         # a capital with a combining mark may have no composed form where the small letter has one
         part = part.lower() if part.isascii() else part
         stem = part.rstrip(_MARKS)
-        if not stem or len(stem) == len(part) or not (stem[-1:].isalnum() or stem[-4:].decode("utf-8", "ignore")[-1:].isalpha()):
+        if not stem or len(stem) == len(part) or not _ends_a_word(stem):
             return self.stems[part]
         return self.stems[stem] + self.stems[part[len(stem):]]
 

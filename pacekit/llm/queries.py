@@ -48,6 +48,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("_page").alias("refers_to")))
 
 
+def warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives in which every seventh page's record is damaged as it is written: what the reader still recovers."""
+    def harm(key: int | None, data: bytes) -> bytes:
+        at = len(data) // 2
+        return data if key is None or key % 7 != 3 else data[:at] + bytes([data[at] ^ 0x55]) + data[at + 1:-5] + b"\x1f\x8b\x08WARC/1.1"
+    found = warc.read_archives(warc.write_archives(spark, read(spark, sf_dir, "pages"), harm=harm), payloads=False)
+    return found.where("kind = 'record'").select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -61,7 +70,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("loss_tokens")
+    docs = read(spark, sf_dir, "documents").withColumn("prompt_tokens", F.lit(64))     # documented: the first 64 bear no loss
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), length=4096, segments=512, loss=4032, prompt_col="prompt_tokens")
 
 
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +90,7 @@ def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash_near_dedup, op3_toxicity, op4_quality_classifier, op5_ann, op6_mixing, op7_warc,
-    op8_quality_rules, op9_sharding, op10_packing, op11_importance_resampling, op12_filter_audit, op13_lm_scoring)}
+    op8_quality_rules, op9_sharding, op10_packing, op11_importance_resampling, op12_filter_audit, op13_lm_scoring, warc_salvage)}
 # Fingerprints by XXH64, token ids, language models, classifiers and the licence index are not SQL.
-ORACLES = {"op5_ann": oracles.ANN, "op6_mixing": oracles.MIXING, "op7_warc": oracles.WARC, "op8_quality_rules": oracles.QUALITY_RULES,
+ORACLES = {"op5_ann": oracles.ANN, "op6_mixing": oracles.MIXING, "op7_warc": oracles.WARC, "warc_salvage": oracles.WARC_SALVAGE, "op8_quality_rules": oracles.QUALITY_RULES,
            "op9_sharding": oracles.SHARDING, "op11_importance_resampling": oracles.IMPORTANCE, "op12_filter_audit": oracles.FILTER_AUDIT}

@@ -26,6 +26,16 @@ def test_ids_are_those_of_whole_texts(reference):
     assert got == [reference(t)[:-1] for t in texts]
 
 
+def test_ids_of_letters_before_marks(reference):
+    """All letters with case, and some without, before every mark that ends a stem; alone and after other letters."""
+    letters = [c for c in map(chr, range(0x80, 0x11000)) if c.isalpha() and (c.lower() != c or c.upper() != c)] + list("漢é1٣²ⅷ") + ["e\u0301", "İ"]
+    texts = [f"{a}{c}{m}" for c in letters for m in ("#", ".,", ":#*") for a in ("", "x")]
+    texts += [f"İ{m}{n}" for m in packing._MARKS.decode() for n in packing._MARKS.decode()]
+    tokenizer = packing.WordTokenizer(PATH)
+    bad = [t for t, b in zip(texts, tokenizer.encode([t.encode() for t in texts])) if np.frombuffer(b, "<u4").tolist() != reference(t)[:-1]]
+    assert not bad
+
+
 def check(rows, texts, reference, length):
     """Every id in exactly one piece; sequences gapless and within the length."""
     pieces, sequences = defaultdict(list), defaultdict(list)
@@ -107,3 +117,16 @@ def test_prompts_bear_no_loss(spark):
         by[r["sequence_id"]].append(r)
     assert all(sum(r["loss_tokens"] for r in b) <= 16 and len(b) <= 4 for b in by.values())
     assert sum(r["loss_tokens"] for r in got) == 50 * 6
+
+
+def test_the_loss_limit_binds(odd_docs, odd_rows, reference):
+    """With a prompt in each document the sequences keep all three limits and stay nearly full."""
+    from pyspark.sql import functions as F
+    docs = odd_docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).withColumn("prompt", F.lit(8))
+    rows = packing.pack_documents(docs, PATH, length=128, loss=120, segments=20, prompt_col="prompt").collect()
+    sequences = check(rows, {r[0]: r[1] for r in odd_rows if r[0] is not None}, reference, 128)
+    for got in sequences.values():
+        assert sum(r["loss_tokens"] for r in got) <= 120 and len(got) <= 20
+    for r in rows:
+        assert r["loss_tokens"] == max(0, r["start"] + r["length"] - max(r["start"], 8))
+    assert sum(r["length"] for r in rows) >= 0.93 * 128 * len(sequences)
