@@ -9,7 +9,8 @@ leaves no half-written file in the result.
 Reading salvages: a member is checked (its gzip CRC, the WARC header, the block's length and
 digest); after a failed check the reader searches for the next member, or in a plain file the
 next version line, that passes, reads on from there, and logs the bytes between as a quarantined
-gap. Files are read as streams with a bounded window, larger only while one record needs it.
+gap. Files are read as streams with a bounded window: a record that claims more than ``most`` bytes, or a
+member that unpacks to more, is quarantined and the search goes on inside it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from .common import stored
 VERSION = b"WARC/1.1"
 _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
+_MOST = 128 << 20                       # bytes of a record, or of an unpacked member, that the reader holds
 _HEADER = re.compile(rb"WARC/1\.\d+(\r\n([!-9;-~]+:|[ \t])[^\r\n]*)*")
 _EPOCH = b"1970-01-01T00:00:00Z"
 MANIFEST = "path string, bytes long, records long"
@@ -75,14 +77,15 @@ def record(key: int | None, uri: str, payload: bytes, refers_to: int | None, rev
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                   least_bytes: int = 1000, file_bytes: int = 32 << 20, compress: bool = True) -> DataFrame:
+                   least_bytes: int = 1000, file_bytes: int = 32 << 20, compress: bool = True,
+                   harm: Callable[[int | None, bytes], bytes] | None = None) -> DataFrame:
     """Write a record per row of ``pages`` below the shared folder; gives the manifest
     ``(path, bytes, records)`` of the files.
 
     Null html is an empty payload and a null url an empty one. Rows whose payloads of
     ``least_bytes`` or more are equal are one group: those with its largest id are responses
     (repeated rows all), the others revisits; a group without ids is all responses. An empty table
-    gives no files.
+    gives no files. ``harm`` may change a record's bytes as they are written, to try the reader.
     """
     base = scratch_path(spark, f"warc/{uuid.uuid4().hex}")
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
@@ -112,6 +115,8 @@ def write_archives(spark: SparkSession, pages: DataFrame, id_col: str = "page_id
                 if compress:
                     z = zlib.compressobj(6, zlib.DEFLATED, 31)
                     data = z.compress(data) + z.flush()
+                if harm:
+                    data = harm(key, data)
                 if out is None:
                     path, size, count = f"{folder}/{uuid.uuid4().hex}.warc" + ".gz" * compress, 0, 0
                     out = store.open_output_stream(path, compression=None)
@@ -154,93 +159,118 @@ def _headers(head: bytes) -> dict[str, str]:
     return {k.strip().lower().decode("utf-8", "replace"): v.strip().decode("utf-8", "replace") for k, _, v in pairs if k.strip()}
 
 
-def parse_record(data: bytes | bytearray, whole: bool) -> tuple[dict, bytes, int] | str | None:
-    """Headers, block and length of the record that ``data`` begins with; the failed check as text;
+def _sha1_hex(value: str) -> str | None:
+    """A SHA-1 header value, in base32 or hex of either case, as lower-case hex; None if it is no such."""
+    name, _, digits = value.strip().partition(":")
+    if name.lower() != "sha1":
+        return None
+    if re.fullmatch("[0-9a-fA-F]{40}", digits):
+        return digits.lower()
+    return base64.b32decode(digits.upper()).hex() if re.fullmatch("[A-Za-z2-7]{32}", digits) else None
+
+
+def parse_record(data: bytes | bytearray, whole: bool, at: int = 0, most: int = _MOST) -> tuple[dict, bytes, int] | str | None:
+    """Headers, block and length of the record that begins at ``at``; the failed check as text;
     None if the data ends before the record does and may go on (``whole`` is false)."""
-    if not data.startswith(b"WARC/1."):
-        return None if not whole and b"WARC/1.".startswith(data[:7]) else "no version line"
-    end = data.find(b"\r\n\r\n")
+    if not data.startswith(b"WARC/1.", at):
+        return None if not whole and b"WARC/1.".startswith(data[at:at + 7]) else "no version line"
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
-        return "header without end" if whole or len(data) > 1 << 20 else None
-    if not _HEADER.fullmatch(data, 0, end):
+        return "header without end" if whole or len(data) - at > 1 << 20 else None
+    if not _HEADER.fullmatch(data, at, end):
         return "bad header line"
-    h = _headers(bytes(data[:end]))
+    h = _headers(bytes(data[at:end]))
     if not re.fullmatch(r"\d{1,15}", h.get("content-length", "")):
         return "no content length"
+    if int(h["content-length"]) > most:
+        return "record too long"
     stop = end + 4 + int(h["content-length"])
     if len(data) < stop + 4:
         return "record cut off" if whole else None
     block = bytes(data[end + 4:stop])
     if data[stop:stop + 4] != b"\r\n\r\n":
         return "record without end"
-    want = h.get("warc-block-digest", "")
-    if want.startswith("sha1:") and want[5:] != base64.b32encode(hashlib.sha1(block).digest()).decode():
+    if _sha1_hex(h.get("warc-block-digest", "")) not in (None, hashlib.sha1(block).hexdigest()):
         return "block digest differs"
-    return h, block, stop + 4
+    return h, block, stop + 4 - at
 
 
-def _member(win: _Window, at: int = 0) -> tuple[bytes, int] | str:
+def _member(win: _Window, at: int = 0, most: int = _MOST) -> tuple[bytes, int] | str:
     """The unpacked gzip member at offset ``at`` of the window and its end there, or the failed check."""
-    z, pos, parts = zlib.decompressobj(31), at, []
+    z, pos, parts, size = zlib.decompressobj(31), at, [], 0
     win.peek(at + 10)
     if win.data[at:at + 3] != _MAGIC:
         return "no gzip member"
     try:
         while not z.eof:
-            if pos >= len(win.data) and not win.more():
+            if not z.unconsumed_tail and pos >= len(win.data) and not win.more():
                 return "member cut off"
-            parts.append(z.decompress(win.data[pos:pos + _CHUNK]))
-            pos = min(pos + _CHUNK, len(win.data))
+            tail = z.unconsumed_tail or win.data[pos:pos + _CHUNK]
+            pos = pos if z.unconsumed_tail else min(pos + _CHUNK, len(win.data))
+            parts.append(z.decompress(tail, _CHUNK * 16))
+            size += len(parts[-1])
             if len(parts) == 1 and len(parts[0]) >= 7 and not parts[0].startswith(b"WARC/1."):
                 return "no version line"
+            if size > most:
+                return "member too long"
     except zlib.error as e:
         return f"gzip: {str(e)[:60]}"
     return b"".join(parts), pos - len(z.unused_data)
 
 
-def salvage(stream, gz: bool) -> Iterator[tuple[int, int, dict | str, bytes]]:
+def salvage(stream, gz: bool, most: int = _MOST) -> Iterator[tuple[int, int, dict | str, bytes]]:
     """``(start, stop, headers, block)`` of every record that passes its checks, and
-    ``(start, stop, failed check, b"")`` of every quarantined gap, in the order of the file."""
+    ``(start, stop, failed check, b"")`` of every quarantined gap, in the order of the file. The records of a
+    member that holds several share its place; from the first that fails on, the member is a gap."""
     win, gap, why = _Window(stream), None, ""
     mark = _MAGIC if gz else b"WARC/1."
     while win.peek(1):
+        found: list[tuple[dict, bytes]] = []
         if gz:
-            got = _member(win)
+            got = _member(win, 0, most)
             if not isinstance(got, str):
                 unpacked, size = got
-                got = parse_record(unpacked, True)
-                if not isinstance(got, str):
-                    got = (got[0], got[1], size) if got[2] == len(unpacked) else "bytes after the record"
+                at, got = 0, "no version line"
+                while at < len(unpacked) and not isinstance(got := parse_record(unpacked, True, at, most), str):
+                    found.append(got[:2])
+                    at += got[2]
         else:
-            while (got := parse_record(win.data, win.ended)) is None:
+            while (got := parse_record(win.data, win.ended, 0, most)) is None:
                 win.more()
-        if not isinstance(got, str):
+            if not isinstance(got, str):
+                found, size = [got[:2]], got[2]
+        if found:
             if gap is not None:
                 yield gap, win.at, why, b""
                 gap = None
             start = win.at
-            win.skip(got[2])
-            yield start, win.at, got[0], got[1]
+            win.skip(size)
+            for headers, block in found:
+                yield start, win.at, headers, block
+            if isinstance(got, str):
+                yield start, win.at, got, b""
             continue
         if gap is None:
             gap, why = win.at, got
         # on to the next place that may begin a record
         win.skip(1)
-        while (found := win.data.find(mark)) < 0 and not win.ended:
+        while (place := win.data.find(mark)) < 0 and not win.ended:
             win.skip(max(0, len(win.data) - len(mark) + 1))
             win.more()
-        win.skip(found if found >= 0 else len(win.data))
+        win.skip(place if place >= 0 else len(win.data))
     if gap is not None:
         yield gap, win.at, why, b""
 
 
-def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(manifest: DataFrame, payloads: bool = True, most: int = _MOST) -> DataFrame:
     """Records and gaps of the files of ``manifest(path, base)``: a row each, with its bytes.
 
     ``kind`` is ``record`` or ``gap``; a gap has only its place and the check that failed. The
-    payload is what follows a block's HTTP header (null for revisits, or without ``payloads``);
-    its length and digest are those of the full payload. A response whose payload does not match
-    its digest is a gap.
+    payload is what follows a block's HTTP header, or the whole block of a record that is not HTTP (null
+    for revisits, or without ``payloads``); its length and digest are those of the full payload. A record
+    whose payload does not match its digest is a gap; a digest is optional, and one that cannot be read (of
+    another algorithm) is no failure. Records of other writers may lack any field but the type: their
+    key is null. A damaged record never hides later ones; an empty manifest gives no rows.
     """
     names = [x.split()[0] for x in RECORDS.split(", ")]
 
@@ -248,18 +278,17 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
         out = dict.fromkeys(names) | {"path": path, "start": start, "stop": stop}
         if isinstance(h, str):
             return out | {"kind": "gap", "problem": h}
-        head, _, body = block.partition(b"\r\n\r\n")
         revisit = h.get("warc-type") == "revisit"
+        head, _, body = block.partition(b"\r\n\r\n") if revisit or h.get("content-type", "").lower().startswith("application/http") else (b"", b"", block)
         length = len(body)
         if revisit and (m := re.search(rb"\r\ncontent-length:\s*(\d+)", head, re.I)):
             length = int(m[1])
-        digest = h.get("warc-payload-digest", "").removeprefix("sha1:")
-        try:
-            digest = base64.b32decode(digest).hex()
-        except ValueError:
-            digest = ""
-        if not revisit and digest != hashlib.sha1(body).hexdigest():
-            return out | {"kind": "gap", "problem": "payload digest differs"}
+        digest = _sha1_hex(h.get("warc-payload-digest", ""))
+        if not revisit:
+            own = hashlib.sha1(body).hexdigest()
+            if digest not in (None, own):
+                return out | {"kind": "gap", "problem": "payload digest differs"}
+            digest = own
         key = h.get("x-page-id", "")
         return out | {"kind": "record", "record_type": h.get("warc-type"), "record_id": h.get("warc-record-id", "").strip("<>"),
                       "key": int(key) if re.fullmatch(r"-?\d+", key) else None, "uri": h.get("warc-target-uri"),
@@ -272,7 +301,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 store, _ = _filesystem(base)
                 rows, held = [], 0
                 with store.open_input_stream(path, compression=None) as stream:
-                    for found in salvage(stream, path.endswith(".gz")):
+                    for found in salvage(stream, path.endswith(".gz"), most):
                         rows.append(row(path, *found))
                         held += len(found[3])
                         if len(rows) >= 2000 or held > 8 << 20:

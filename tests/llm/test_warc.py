@@ -116,3 +116,66 @@ def test_damaged_file_logs_gaps(spark):
 def test_header_lines_stay_one_line():
     data = warc.record(1, "http://x/\r\nWARC-Type: evil ", b"", None, False)
     assert re.findall(rb"^WARC-Type: (\w+)\r$", data, re.M) == [b"response"]
+
+
+class Counted(io.BytesIO):
+    """A stream that notes how far it was read before each record came out."""
+    read_to = 0
+
+    def read(self, n=-1):
+        got = super().read(n)
+        self.read_to = max(self.read_to, self.tell())
+        return got
+
+
+def test_a_wrong_length_does_not_pull_in_the_file():
+    parts = records(30)
+    parts[4] = re.sub(rb"\r\nContent-Length: \d+", b"\r\nContent-Length: 999999999", parts[4])
+    parts[9] = re.sub(rb"\r\nContent-Length: \d+", b"\r\nContent-Length: 20000", parts[9])
+    stream, window = Counted(b"".join(parts)), []
+    got = []
+    for start, stop, h, _ in warc.salvage(stream, False, most=8000):
+        window.append(stream.read_to - start)
+        got += [int(h["x-page-id"])] if not isinstance(h, str) else []
+    assert got == [i for i in range(30) if i not in (4, 9)]
+    assert max(window) <= 8000 + 2 * warc._CHUNK
+
+
+def test_a_member_that_unpacks_to_too_much():
+    parts = [gzip.compress(r, mtime=0) for r in records(10)]
+    bomb = gzip.compress(warc.record(99, "u", b"a" * 5_000_000, None, False), mtime=0)
+    data = b"".join(parts[:4]) + bomb + b"".join(parts[4:])
+    out = list(warc.salvage(io.BytesIO(data), True, most=100_000))
+    assert [int(h["x-page-id"]) for _, _, h, _ in out if not isinstance(h, str)] == list(range(10))
+    assert [(s, e) for s, e, h, _ in out if isinstance(h, str)] == [(len(b"".join(parts[:4])), len(b"".join(parts[:4]) + bomb))]
+    assert len(list(warc.salvage(io.BytesIO(data), True))) == 11
+
+
+def test_members_with_several_records():
+    rs = records(9)
+    data = gzip.compress(rs[0] + rs[1] + rs[2], mtime=0) + gzip.compress(rs[3] + b"junk" + rs[4], mtime=0) + gzip.compress(rs[5], mtime=0)
+    out = list(warc.salvage(io.BytesIO(data), True))
+    assert [int(h["x-page-id"]) for _, _, h, _ in out if not isinstance(h, str)] == [0, 1, 2, 3, 5]
+    assert [h for _, _, h, _ in out if isinstance(h, str)] == ["no version line"]
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    """Digests in hex, of other algorithms, or none; records that are not HTTP; a wrong digest."""
+    body = b"<p>x</p>"
+    http = b"HTTP/1.1 200 OK\r\n\r\n" + body
+    sha = hashlib.sha1(body).hexdigest()
+
+    def rec(kind, block, *more, http=True):
+        head = [b"WARC/1.0", b"WARC-Type: " + kind, b"Content-Type: " + (b"application/http;msgtype=response" if http else b"application/warc-fields"), *more,
+                b"Content-Length: %d" % len(block)]
+        return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+    data = (rec(b"warcinfo", b"software: x\r\n\r\n", http=False) + rec(b"response", http) + rec(b"response", http, b"WARC-Payload-Digest: sha1:" + sha.upper().encode())
+            + rec(b"response", http, b"WARC-Payload-Digest: md5:abc") + rec(b"response", http, b"WARC-Payload-Digest: sha1:" + b"0" * 40)
+            + rec(b"metadata", b"a: b", b"WARC-Block-Digest: sha1:" + hashlib.sha1(b"a: b").hexdigest().encode(), http=False))
+    path = tmp_path / "foreign.warc"
+    path.write_bytes(data)
+    got = warc.read_archives(spark.createDataFrame([(str(path), str(tmp_path))], "path string, base string")).orderBy("start").collect()
+    assert [(r["kind"], r["record_type"]) for r in got] == [("record", "warcinfo"), ("record", "response"), ("record", "response"), ("record", "response"),
+                                                            ("gap", None), ("record", "metadata")]
+    assert [r["payload_digest"] for r in got[1:4]] == [sha] * 3 and got[4]["problem"] == "payload digest differs"
+    assert bytes(got[0]["payload"]) == b"software: x\r\n\r\n" and all(r["key"] is None for r in got)
