@@ -28,7 +28,7 @@ def incremental_ingest(spark, sf):
     Returns facts per race after both runs (no duplicates from the re-run)."""
     base = scratch_path(spark, f"ingest-{uuid.uuid4().hex[:12]}")
     cells_dir, pages_dir = os.path.join(base, "cells"), os.path.join(base, "pages")
-    root, ckpt = os.path.join(base, "warehouse"), os.path.join(base, "checkpoint")
+    root, ckpt = WH.new_warehouse(spark), os.path.join(base, "checkpoint")
     cells, pages = D.cells(spark, sf), D.page_text(spark, sf)
     files = cells.select("source_file").distinct().withColumn(
         "_wave", F.regexp_extract("source_file", r"-race-(\d+)\.pdf$", 1).cast("int") % 2)
@@ -36,6 +36,5 @@ def incremental_ingest(spark, sf):
         ST.drop_documents(cells, pages, cells_dir, pages_dir, files.where(F.col("_wave") == wave).select("source_file"))
         ST.run_ingest(spark, cells_dir, pages_dir, root, ckpt)
     ST.run_ingest(spark, cells_dir, pages_dir, root, ckpt)   # nothing new: must be a no-op
-    facts = spark.read.parquet(os.path.join(root, WH.FACT))
-    races = spark.read.parquet(os.path.join(root, WH.DIM_RACE))
+    facts, races = WH.read_table(spark, root, WH.FACT), WH.read_table(spark, root, WH.DIM_RACE)
     return facts.join(races, "race_id").groupBy("racekey").agg(F.count(F.lit(1)).alias("facts"))

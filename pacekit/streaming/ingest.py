@@ -11,8 +11,6 @@ processes everything available and stops, which suits scheduled runs.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -38,11 +36,11 @@ def process_documents(spark: SparkSession, cells: DataFrame, pages: DataFrame, r
         clean = with_derived(C.clean_results(C.dedup_results(rows))).drop("temps_clean")
         WH.load_star(spark, root, clean, dedup=True)
         report = SH.reconcile(rows, headers)
-        report.write.mode("overwrite").parquet(os.path.join(root, "parse_report", f"epoch={epoch}"))
+        WH.write_epoch(spark, root, "parse_report", report, epoch)
     finally:
         rows.unpersist()
         headers.unpersist()
-    return spark.read.parquet(os.path.join(root, "parse_report")).drop("epoch")
+    return WH.read_table(spark, root, "parse_report").drop("epoch")
 
 
 def start_ingest(spark: SparkSession, cells_dir: str, pages_dir: str, root: str, checkpoint: str):

@@ -61,17 +61,79 @@ def test_malformed_headers_fail_their_files(spark):
     assert report == {"ok.pdf": ("OK", 3), "distance.pdf": ("FAILED", 0), "day.pdf": ("FAILED", 0), "none.pdf": ("FAILED", 0), "old.pdf": ("SKIPPED", 0)}
 
 
-def test_table_replacement_is_one_step(spark, tmp_path):
-    root = str(tmp_path)
-    assert not WH.table_exists(spark, root, "t")
+def test_table_replacement(spark):
+    """A table replaced by rows read from itself; a failing write changes nothing."""
+    root = WH.new_warehouse(spark)
+    assert not WH.table_exists(spark, root, "t") and WH.read_table(spark, root, "t") is None
     WH.replace_table(spark, root, "t", spark.range(5).toDF("a"))
-    WH.replace_table(spark, root, "t", WH.read_table(spark, root, "t").where("a > 2"))
-    assert sorted(r.a for r in WH.read_table(spark, root, "t").collect()) == [3, 4]
+    WH.replace_table(spark, root, "t", WH.read_table(spark, root, "t").where("a > 2").withColumn("b", F.lit("x")))
+    assert sorted(map(tuple, WH.read_table(spark, root, "t").collect())) == [(3, "x"), (4, "x")]
     broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("a"))
     with pytest.raises(Exception):
         WH.replace_table(spark, root, "t", broken)
     assert WH.read_table(spark, root, "t").count() == 2
-    assert len([d for d in os.listdir(root) if d.startswith("t-") and not d.endswith(".crc")]) <= 2
+    WH.truncate_and_load(spark, root, "t", spark.range(3).select(F.col("id").alias("a"), F.lit(1).alias("unknown")))
+    assert sorted(map(tuple, WH.read_table(spark, root, "t").collect())) == [(0, None), (1, None), (2, None)]
+    WH.drop_warehouse(spark, root)
+    assert not WH.table_exists(spark, root, "t")
+
+
+def test_partitions_are_replaced_one_by_one(spark):
+    root = WH.new_warehouse(spark)
+    rows = lambda *r: spark.createDataFrame(r, "v int, year int")                                   # noqa: E731
+    WH.write_table(rows((1, 2000), (2, 2001), (3, 2001)), root, "t", partition="year")
+    files = set(WH.read_table(spark, root, "t").where("year = 2000").inputFiles())
+    WH.truncate_and_load(spark, root, "t", rows((9, 2001), (8, 2002)), dynamic=True)
+    table = WH.read_table(spark, root, "t")
+    assert sorted(map(tuple, table.collect())) == [(1, 2000), (8, 2002), (9, 2001)]
+    assert set(table.where("year = 2000").inputFiles()) == files
+    for epoch in (0, 1, 1):                                                                       # the second run of 1 replaces it
+        WH.write_epoch(spark, root, "r", rows((epoch, 5)), epoch)
+    assert sorted(r.v for r in WH.read_table(spark, root, "r").collect()) == [0, 1]
+
+
+def test_a_stored_table_evolves(spark):
+    """Columns added to the stored table; old rows are NULL there, also by its files alone."""
+    root = WH.new_warehouse(spark)
+    WH.write_table(spark.createDataFrame([(1, 2000)], "a int, year int"), root, "t", partition="year")
+    for _ in range(2):                                                                            # idempotent
+        table = WH.add_columns(spark, root, "t", {"a": "int", "B": "double", "c": "string"})
+    assert table.columns == ["a", "B", "c", "year"]
+    WH.append_rows(spark, root, "t", spark.createDataFrame([("x", 2, 2000, 7)], "c string, a int, year int, other int"))
+    WH.append_rows(spark, root, "t", spark.createDataFrame([(0.5, 3, 2001)], "B double, a int, year int"))
+    want = [(1, None, None, 2000), (2, None, "x", 2000), (3, 0.5, None, 2001)]
+    assert sorted(map(tuple, WH.read_table(spark, root, "t").collect())) == want
+    folder = WH.read_table(spark, root, "t").inputFiles()[0].split("/year=")[0]
+    merged = spark.read.option("mergeSchema", True).parquet(folder).select("a", "B", "c", "year")
+    assert sorted(map(tuple, merged.collect())) == want
+
+
+def test_predictions_of_some_years_leave_the_others(spark):
+    root = WH.new_warehouse(spark)
+    rows = spark.createDataFrame([(i, 2000 + i % 3) for i in range(12)], "source_result_id long, year int")
+    WH.load_analysis(spark, root, rows)
+    p = lambda z, ids: spark.createDataFrame([(i, z, z, z, z, z, "test") for i in ids], "source_result_id long, predicted_z double, predicted_performance_index double, predicted_speed_kmh double, predicted_time_sec double, abs_error_time_sec double, split string")  # noqa: E731,E501
+    assert WH.write_back_predictions(spark, root, p(1.0, range(12)))[1] == 12
+    table, n = WH.write_back_predictions(spark, root, p(2.0, [1, 2, 4]), years=[2001])
+    got = {r.source_result_id: r.predicted_z for r in table.collect()}
+    assert n == 10 and got == {i: (2.0 if i in (1, 4) else None) if i % 3 == 1 else 1.0 for i in range(12)}
+
+
+def test_stored_reports_prune_and_do_not_exchange(spark):
+    """The year's partition by a pruning subquery; the runners' windows on the buckets as they are."""
+    from pacekit.plans import star
+    from pacekit.plans.queries_warehouse import _loaded
+    root = _loaded(spark, SF_SMALL)["root"]
+    with_plan = lambda df: df._jdf.queryExecution().executedPlan().toString()                     # noqa: E731
+    chosen = star.dim_race(spark, root).where(F.col("name") == "Course 7").select("race_id", "year", "name")
+    plan = with_plan(star.facts(spark, root, chosen).groupBy("race_id").count())
+    assert "dynamicpruning" in plan.lower()
+    history = with_plan(star.runner_history(spark, root))
+    assert "Window" in history and "Exchange" not in history
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    one = with_plan(star.facts(spark, root).where("runner_id = 3"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "SelectedBucketsCount: 1 out of 8" in one
 
 
 def test_golden_cells_right(spark):
@@ -107,15 +169,16 @@ def test_incremental_ingest_processes_each_document_once(spark, tmp_path):
     cells, pages = D.cells(spark, SF_SMALL), D.page_text(spark, SF_SMALL)
     files = cells.select("source_file").distinct().orderBy("source_file").limit(6)
     base = str(tmp_path)
-    cdir, pdir, root, ck = (os.path.join(base, x) for x in ("c", "p", "w", "ck"))
+    cdir, pdir, ck = (os.path.join(base, x) for x in ("c", "p", "ck"))
+    root = WH.new_warehouse(spark)
     ST.drop_documents(cells, pages, cdir, pdir, files.limit(3))
     ST.run_ingest(spark, cdir, pdir, root, ck)
-    n1 = spark.read.parquet(os.path.join(root, WH.FACT)).count()
+    n1 = WH.read_table(spark, root, WH.FACT).count()
     ST.drop_documents(cells, pages, cdir, pdir, files.subtract(files.limit(3)))
     ST.run_ingest(spark, cdir, pdir, root, ck)
     ST.run_ingest(spark, cdir, pdir, root, ck)
-    facts = spark.read.parquet(os.path.join(root, WH.FACT))
+    facts = WH.read_table(spark, root, WH.FACT)
     assert facts.count() > n1
     assert facts.groupBy("runner_id", "race_id", "source_file").count().where(F.col("count") > 1).count() == 0
-    rep = spark.read.parquet(os.path.join(root, "parse_report"))
+    rep = WH.read_table(spark, root, "parse_report")
     assert rep.select("file").distinct().count() == rep.count() == 6
