@@ -22,12 +22,13 @@ with the input; only N, V and one rate per power of two reach the driver.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from math import log10
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +41,24 @@ _LEVELS = 48                            # powers of two of a context's count
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The lower-cased words of a text (A-Z only) and the end."""
-    return [*text.lower().split(), _END]
+def tokenised(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The tokens of texts one after the other, as numbers of different words; each text's number of tokens; the words.
+
+    A text's tokens are its words, A-Z lower-cased, and the end. Texts are cut as a column.
+    """
+    whole = pa.array(texts, pa.large_binary()).view(pa.large_string())
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(whole))
+    flat, sizes = cut.flatten(), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+    some = pc.greater(pc.binary_length(flat), 0)                 # white space at either side leaves empty parts
+    owner = np.repeat(np.arange(len(texts)), sizes)[some.to_numpy(zero_copy_only=False)]
+    coded = flat.filter(some).dictionary_encode()
+    kinds = [*coded.dictionary.view(pa.large_binary()).to_pylist(), _END]
+    sizes = np.bincount(owner, minlength=len(texts)) + 1
+    every = np.empty(int(sizes.sum()), np.int64)
+    last = np.zeros(len(every), bool)
+    last[np.cumsum(sizes) - 1] = True
+    every[last], every[~last] = len(kinds) - 1, coded.indices.to_numpy()
+    return every, sizes, kinds
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -56,42 +72,37 @@ class Chunk:
     """The texts of a run of rows: its words numbered in the order of their keys, and its pairs.
 
     ``texts`` are arrays of word numbers. ``words`` are the words' sorted keys, ``pairs`` the pairs'; the left
-    number of a text's first pair is ``len(words)``, that of the start.
+    number of a text's first pair is ``len(words)``, that of the start. With ``learn``, a flag per text,
+    ``word_counts`` and ``pair_counts`` are the training counts in the order of the keys.
     """
 
-    def __init__(self, texts: list[bytes]):
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        got = []
-        for t in texts:
-            ws = tokens(t)
-            got.append(np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)))
-        keys = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
+    def __init__(self, texts: list[bytes], learn: np.ndarray | None = None):
+        every, sizes, kinds = tokenised(texts)
+        keys = np.fromiter(map(xxhash.xxh3_64_intdigest, kinds), np.uint64, len(kinds))
         order = np.argsort(keys)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        self.words = keys[order]
-        self.texts = [place[a] for a in got]
-        start = np.array([len(keys)])
-        # pairs of word numbers, sorted; then by their keys, as the shards know them
-        firsts = [np.concatenate((start, a[:-1])) for a in self.texts]
-        self.packed = np.unique(np.concatenate([f << 32 | a for f, a in zip(firsts, self.texts)])) if got else np.zeros(0, np.int64)
-        self.left, self.right = self.packed >> 32, self.packed & 0xFFFFFFFF
+        self.words, every = keys[order], place[every]
+        ends = np.cumsum(sizes)
+        self.texts = np.split(every, ends[:-1])
+        left = np.empty(len(every), np.int64)
+        left[1:] = every[:-1]
+        left[ends - sizes] = len(keys)
+        # pairs of word numbers, sorted with the flag of their text behind them; a text has one token at least
+        use = np.ones(len(texts), bool) if learn is None else learn
+        flagged = np.sort((left << 31 | every) << 1 | np.repeat(use, sizes))
+        packed = flagged >> 1
+        first = np.flatnonzero(np.concatenate(([True], packed[1:] != packed[:-1]))[:len(packed)])
+        packed = packed[first]
+        self.left, self.right = packed >> 31, packed & 0x7FFFFFFF
         known = np.concatenate((self.words, np.zeros(1, np.uint64)))
         keys = pair_keys(known[self.left], known[self.right])
         self.order = np.argsort(keys)
         self.pairs = keys[self.order]
-
-    def counts(self, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Training counts of the words and of the pairs, in the order of their keys, training tokens and rows."""
-        used = [a for a, use in zip(self.texts, learn) if use]
-        if not used:
-            return np.zeros(len(self.words), np.int64), np.zeros(len(self.pairs), np.int64), 0, 0
-        every = np.concatenate(used)
-        start = np.array([len(self.words)])
-        packed = np.concatenate([np.concatenate((start, a[:-1])) << 32 | a for a in used])
-        pairs = np.bincount(np.searchsorted(self.packed, packed), minlength=len(self.packed))
-        return np.bincount(every, minlength=len(self.words)), pairs[self.order], len(every), len(used)
+        if learn is not None:
+            self.word_counts = np.bincount(every[np.repeat(use, sizes)], minlength=len(self.words))
+            self.pair_counts = np.add.reduceat(flagged & 1, first)[self.order] if len(first) else np.zeros(0, np.int64)
+            self.n_tokens, self.n_rows = int(sizes[use].sum()), int(use.sum())
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -119,32 +130,43 @@ def level(count: np.ndarray) -> np.ndarray:
 
 
 class Automaton:
-    """States with arcs and one failure arc each; state 0 is the root, which has an arc for every symbol.
+    """States with arcs and one failure arc each; state 0 is the root, which has an arc for each symbol from 1 to ``n``.
 
-    ``arcs`` maps ``state << 32 | symbol`` to the place of its ``weight`` and ``target``; symbols without an arc
-    at the root take ``unknown``, and lead to the root.
+    ``keys`` are the arcs' sorted ``state << 32 | symbol``, those of the root first, with their ``weight`` and
+    ``target``. A symbol without an arc at the root takes ``unknown`` and leads to the root.
     """
 
-    def __init__(self, arcs: dict[int, int], weight: list[float], target: list[int], fail: list[int], fail_weight: list[float], unknown: float):
-        self.arcs, self.weight, self.target = arcs, weight, target
+    def __init__(self, n: int, keys: np.ndarray, weight: np.ndarray, target: np.ndarray, fail: np.ndarray, fail_weight: np.ndarray, unknown: float):
+        self.n, self.keys, self.weight, self.target = n, keys, weight, target
         self.fail, self.fail_weight, self.unknown = fail, fail_weight, unknown
 
-    def run(self, symbols: list[int], state: int) -> float:
-        """The sum of weights from ``state`` over the symbols."""
-        find, weight, target, fail, fail_weight = self.arcs.get, self.weight, self.target, self.fail, self.fail_weight
-        total = 0.0
-        for s in symbols:
-            at = find(state << 32 | s)
-            while at is None and state:
-                total += fail_weight[state]
-                state = fail[state]
-                at = find(state << 32 | s)
-            if at is None:
-                total += self.unknown
-            else:
-                total += weight[at]
-                state = target[at]
-        return total
+    def _arc(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The places of the arcs, -1 where there is none."""
+        wanted = state << 32 | symbol
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, at, -1)
+
+    def run(self, symbols: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Several texts at once: a column each, padded with 0 below, read row by row from their states.
+
+        Every row carries all states on, along failure arcs (adding their weights) until the symbol has
+        an arc. Gives the sums of weights and the last states.
+        """
+        total, state = np.zeros(len(state)), state.copy()
+        for row in symbols:
+            live = np.flatnonzero(row)
+            s, q = row[live], state[live]
+            at = self._arc(q, s)
+            while len(miss := np.flatnonzero((at < 0) & (q > 0))):
+                total[live[miss]] += self.fail_weight[q[miss]]
+                q[miss] = back = self.fail[q[miss]]
+                root = back == 0
+                at[miss] = np.where(root, np.where(s[miss] <= self.n, s[miss] - 1, -1), -1)
+                if not root.all():
+                    at[miss[~root]] = self._arc(back[~root], s[miss[~root]])
+            total[live] += np.where(at < 0, self.unknown, self.weight[at])
+            state[live] = np.where(at < 0, 0, self.target[at])
+        return total, state
 
 
 class Totals:
@@ -162,30 +184,47 @@ class Totals:
 
 
 def build(chunk: Chunk, words: np.ndarray, pairs: np.ndarray, totals: Totals) -> Automaton:
-    """The part of the automaton that a chunk's texts can reach; state and symbol of word k are k + 1."""
+    """The part of the automaton that a chunk's texts can reach; state and symbol of word k are k + 1, the start follows."""
     n, seen = len(words), np.concatenate((words, [totals.rows]))
     low = totals.word(words)
     back = totals.backoff[level(seen)]
     fail_weight = np.where(seen > 0, np.log10(back), 0.0)
     count = np.empty(len(pairs), np.int64)
     count[chunk.order] = pairs
-    met = np.flatnonzero(count)                            # pairs of the training rows
+    met = np.flatnonzero(count)                            # pairs of the training rows, by left and right number
     left, right = chunk.left[met], chunk.right[met]
     p = (1 - back[left]) * count[met] / seen[left] + back[left] * low[right]
     keys = np.concatenate((np.arange(1, n + 1), (left + 1) << 32 | (right + 1)))
-    weight = np.log10(np.concatenate((low, p)))
-    target = np.concatenate((np.arange(1, n + 1), right + 1))
-    return Automaton(dict(zip(keys.tolist(), range(len(keys)))), weight.tolist(), target.tolist(), [0] * (n + 2),
-                     [0.0, *fail_weight.tolist()], log10(totals.word(0)))
+    return Automaton(n, keys, np.log10(np.concatenate((low, p))), np.concatenate((np.arange(1, n + 1), right + 1)),
+                     np.zeros(n + 2, np.int64), np.concatenate(([0.0], fail_weight)), log10(totals.word(0)))
+
+
+def log_probabilities(automaton: Automaton, texts: list[np.ndarray], start: int, width: int = 64) -> np.ndarray:
+    """Log10 probabilities of texts of symbols.
+
+    Texts are cut into runs of ``width`` symbols that are read side by side: the state before a run is that of the
+    symbol before it, which is all that this automaton remembers of what it has read.
+    """
+    sizes = np.array([len(a) for a in texts], np.int64)
+    runs = -(-sizes // width)
+    every = np.concatenate(texts)
+    owner = np.repeat(np.arange(len(texts)), runs)
+    begin = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)              # the run's number in its text
+    first = np.repeat(np.cumsum(sizes) - sizes, runs) + begin * width
+    state = np.where(begin == 0, start, every[first - 1])
+    place = first + np.arange(width)[:, None]
+    inside = place < np.repeat(np.cumsum(sizes), runs)
+    symbols = np.where(inside, every[np.minimum(place, len(every) - 1)], 0)
+    return np.bincount(owner, weights=automaton.run(symbols, state)[0], minlength=len(texts))
 
 
 _PIECE = "block string, first long, shard long, kind int, keys binary, counts binary"
 _BACK = "block string, first long, shard long, kind int, counts binary, n_kinds long"
 
 
-def _pieces(chunk: Chunk, learn: np.ndarray, block: str, first: int, shards: int) -> pd.DataFrame:
+def _pieces(chunk: Chunk, block: str, first: int, shards: int) -> pd.DataFrame:
     """A chunk's words (kind 1) and pairs (kind 2) by shard, and (kind 0) its share of the totals."""
-    words, pairs, n_tokens, n_rows = chunk.counts(learn)
+    words, pairs, n_tokens, n_rows = chunk.word_counts, chunk.pair_counts, chunk.n_tokens, chunk.n_rows
     rows = []
     for kind, keys, counts in ((1, chunk.words, words), (2, chunk.pairs, pairs)):
         cuts = np.searchsorted(keys, np.array([(s << 64) // shards for s in range(1, shards)], np.uint64))
@@ -234,15 +273,14 @@ def _scored(texts: pd.DataFrame, back: pd.DataFrame, totals: Totals) -> pd.DataF
         chunk = Chunk([bytes(t) for t in rows["text"]])
         words, pairs = (np.concatenate([np.zeros(0, np.int64), *map(unpack_counts, got["counts"][got["kind"] == kind])]) for kind in (1, 2))
         automaton, base = build(chunk, words, pairs, totals), np.log10(totals.word(words))
-        start = len(words) + 1
         out.append(rows[["id", "held_out"]].assign(
             n_tokens=[len(a) for a in chunk.texts], n_known=[int((words[a] > 0).sum()) for a in chunk.texts],
             base_score=[float(base[a].sum()) for a in chunk.texts],
-            score=[automaton.run((a + 1).tolist(), start) for a in chunk.texts]))
+            score=log_probabilities(automaton, [a + 1 for a in chunk.texts], len(words) + 1)))
     return pd.concat(out)
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16_000_000,
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 5_000_000,
           shard_bytes: int = 24_000_000, from_files: bool = False) -> DataFrame:
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row of ``docs``, by its id.
 
@@ -268,7 +306,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
         def done() -> Iterator[pd.DataFrame]:
             if texts:
-                yield _pieces(Chunk(texts), np.array(use), block, first, shards)
+                yield _pieces(Chunk(texts, np.array(use)), block, first, shards)
         for f in frames:
             for b, row, t, held in zip(f["block"], f["row"], f["text"], f["held_out"]):
                 if b != block or size > 2 * block_bytes:     # also cut where long texts crowd

@@ -78,8 +78,7 @@ def test_against_brute_force(spark, odd_docs, odd_rows, clashing, fixed_rates, b
 def test_estimated_rates(odd_rows):
     """The share of pairs that are single, by how often their context stands in a chunk."""
     texts = [(r[1] or "").encode() for r in odd_rows]
-    chunk = L.Chunk(texts)
-    rows = L._pieces(chunk, np.ones(len(texts), bool), "b", 0, 3)
+    rows = L._pieces(L.Chunk(texts, np.ones(len(texts), bool)), "b", 0, 3)
     sums = L.unpack_counts(rows[rows["kind"] == 0]["counts"].iloc[0])
     context, pairs = Counter(), Counter()
     for t in texts:
@@ -99,14 +98,48 @@ def test_estimated_rates(odd_rows):
 
 def test_probabilities_of_a_context_sum_to_one():
     texts = [b"a b a c", b"a b", b"d a b", b"", b"c c c"]
-    chunk = L.Chunk(texts + [b"unseen"])
-    words, pairs, n, rows = chunk.counts(np.array([True] * 5 + [False]))
-    totals = L.Totals(n, int((words > 0).sum()), rows, np.ones(L._LEVELS), np.full(L._LEVELS, 3.0))
+    chunk = L.Chunk(texts + [b"unseen"], np.array([True] * 5 + [False]))
+    words, pairs = chunk.word_counts, chunk.pair_counts
+    totals = L.Totals(chunk.n_tokens, int((words > 0).sum()), chunk.n_rows, np.ones(L._LEVELS), np.full(L._LEVELS, 3.0))
     m = L.build(chunk, words, pairs, totals)
     end = int(np.searchsorted(chunk.words, np.uint64(xxhash.xxh3_64_intdigest(b""))))
     for state in set(range(len(words) + 2)) - {end + 1}:            # nothing follows the end
-        known = sum(10 ** m.run([k + 1], state) for k in range(len(words)) if words[k])
-        assert abs(known + 10 ** m.run([10**6], state) - 1) < 1e-9
+        after = lambda k: 10 ** m.run(np.array([[k]]), np.array([state]))[0][0]                    # noqa: E731
+        assert abs(sum(after(k + 1) for k in range(len(words)) if words[k]) + after(10**6) - 1) < 1e-9
+
+
+def test_the_automaton_against_a_walk_by_hand():
+    """Failure arcs over several states, many texts side by side, cut anywhere."""
+    rng = np.random.default_rng(2)
+    n, states = 6, 30
+    fail = np.array([0] + [int(rng.integers(0, k)) for k in range(1, states)])
+    arcs = {(0, s): (float(rng.random()), s) for s in range(1, n + 1)}
+    arcs |= {(int(rng.integers(1, states)), int(rng.integers(1, n + 1))): (float(rng.random()), int(rng.integers(0, states))) for _ in range(60)}
+    order = sorted(arcs)
+    fw = rng.random(states)
+    m = L.Automaton(n, np.array([q << 32 | s for q, s in order]), np.array([arcs[k][0] for k in order]), np.array([arcs[k][1] for k in order]), fail, fw, -9.0)
+
+    def walk(text, q):
+        total = 0.0
+        for s in text:
+            while (q, s) not in arcs and q:
+                total, q = total + fw[q], fail[q]
+            w, q = arcs.get((q, s), (-9.0, 0))
+            total += w
+        return total
+    texts = [rng.integers(1, n + 3, int(rng.integers(1, 40))) for _ in range(50)]
+    start = rng.integers(0, states, 50)
+    padded = np.zeros((40, 50), np.int64)
+    for k, t in enumerate(texts):
+        padded[:len(t), k] = t
+    assert np.allclose(m.run(padded, start)[0], [walk(t.tolist(), q) for t, q in zip(texts, start.tolist())])
+
+
+def test_tokens_of_a_column(odd_rows):
+    texts = [(r[1] or "").encode() for r in odd_rows] + [b"\x0b a\x1cb\x85 A\xff ", b"\xc3\x89 \xe2\x80\x83x"]
+    every, sizes, kinds = L.tokenised(texts)
+    got = [[kinds[k] for k in part] for part in np.split(every, np.cumsum(sizes)[:-1])]
+    assert got == [t.lower().split() + [b""] for t in texts]
 
 
 def test_held_out_texts_score_above_the_base(spark):
