@@ -33,7 +33,7 @@ def incremental_ingest(spark, sf):
     files = cells.select("source_file").distinct().withColumn(
         "_wave", F.regexp_extract("source_file", r"-race-(\d+)\.pdf$", 1).cast("int") % 2)
     for wave in (1, 0):
-        ST.drop_documents(cells, pages, cells_dir, pages_dir, files.where(F.col("_wave") == wave).select("source_file"))
+        ST.drop_documents(cells, pages, cells_dir, pages_dir, files.where(F.col("_wave") == wave).select("source_file"), f"wave{wave}")
         ST.run_ingest(spark, cells_dir, pages_dir, root, ckpt)
     ST.run_ingest(spark, cells_dir, pages_dir, root, ckpt)   # nothing new: must be a no-op
     facts, races = WH.read_table(spark, root, WH.FACT), WH.read_table(spark, root, WH.DIM_RACE)

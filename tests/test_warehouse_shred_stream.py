@@ -130,9 +130,12 @@ def test_stored_reports_prune_and_do_not_exchange(spark):
     assert "dynamicpruning" in plan.lower()
     history = with_plan(star.runner_history(spark, root))
     assert "Window" in history and "Exchange" not in history
-    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    shown = {"spark.sql.maxMetadataStringLength": "10000", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    for k, v in shown.items():
+        spark.conf.set(k, v)
     one = with_plan(star.facts(spark, root).where("runner_id = 3"))
-    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for k in shown:
+        spark.conf.unset(k)
     assert "SelectedBucketsCount: 1 out of 8" in one
 
 
@@ -165,20 +168,82 @@ def test_zip_expansion(spark, tmp_path):
     assert (rep.extracted, rep.skipped, rep.failed, rep.total_bytes) == (2, 1, 1, 3)
 
 
-def test_incremental_ingest_processes_each_document_once(spark, tmp_path):
+def _landing(spark, base, n=6):
     cells, pages = D.cells(spark, SF_SMALL), D.page_text(spark, SF_SMALL)
-    files = cells.select("source_file").distinct().orderBy("source_file").limit(6)
-    base = str(tmp_path)
+    files = [r[0] for r in cells.select("source_file").distinct().orderBy("source_file").limit(n).collect()]
     cdir, pdir, ck = (os.path.join(base, x) for x in ("c", "p", "ck"))
-    root = WH.new_warehouse(spark)
-    ST.drop_documents(cells, pages, cdir, pdir, files.limit(3))
-    ST.run_ingest(spark, cdir, pdir, root, ck)
-    n1 = WH.read_table(spark, root, WH.FACT).count()
-    ST.drop_documents(cells, pages, cdir, pdir, files.subtract(files.limit(3)))
-    ST.run_ingest(spark, cdir, pdir, root, ck)
-    ST.run_ingest(spark, cdir, pdir, root, ck)
-    facts = WH.read_table(spark, root, WH.FACT)
-    assert facts.count() > n1
-    assert facts.groupBy("runner_id", "race_id", "source_file").count().where(F.col("count") > 1).count() == 0
-    rep = WH.read_table(spark, root, "parse_report")
-    assert rep.select("file").distinct().count() == rep.count() == 6
+
+    def drop(names, landed):
+        ST.drop_documents(cells, pages, cdir, pdir, spark.createDataFrame([(f,) for f in names], "source_file string"), landed)
+    return files, drop, (cdir, pdir, WH.new_warehouse(spark), ck)
+
+
+def _star(spark, root):
+    """The facts by natural keys, and the dimensions' ids."""
+    facts, runners, races = (WH.read_table(spark, root, t) for t in (WH.FACT, WH.DIM_RUNNER, WH.DIM_RACE))
+    flat = facts.join(runners.drop("epoch"), "runner_id").join(races.select("race_id", "racekey"), "race_id")
+    rows = sorted(map(tuple, flat.select("racekey", "name_clean", "source_file", "time_sec").collect()), key=str)
+    return rows, {r.name_clean: r.runner_id for r in runners.collect()}, facts.count(), runners.count(), races.count()
+
+
+def test_incremental_ingest_processes_each_document_once(spark, tmp_path):
+    files, drop, at = _landing(spark, str(tmp_path))
+    drop(files[:3], "one")
+    ST.run_ingest(spark, *at)
+    _, ids, n1, _, _ = _star(spark, at[2])
+    drop(files[3:], "two")
+    drop(files[:1], "three")                                      # delivered again: left out
+    ST.run_ingest(spark, *at)
+    ST.run_ingest(spark, *at)                                     # nothing new
+    rows, again, n2, runners, races = _star(spark, at[2])
+    assert n2 > n1 and len(rows) == n2 and len(set(rows)) == n2
+    assert len(set(again.values())) == runners == len(again) and {k: again[k] for k in ids} == ids
+    facts = WH.read_table(spark, at[2], WH.FACT)
+    assert facts.select("result_id").distinct().count() == n2
+    rep = WH.read_table(spark, at[2], "parse_report")
+    assert {r.file for r in rep.collect()} == set(files)
+    # the same documents at once give the same star schema
+    files, drop, other = _landing(spark, str(tmp_path / "whole"))
+    drop(files, "all")
+    ST.run_ingest(spark, *other)
+    assert _star(spark, other[2])[0] == rows
+
+
+def test_a_failed_batch_is_replayed(spark, tmp_path, monkeypatch):
+    """The sink fails after the dimensions are written: the next run writes the batch again, with the same ids."""
+    files, drop, at = _landing(spark, str(tmp_path), 4)
+    drop(files[:2], "one")
+    ST.run_ingest(spark, *at)
+    drop(files[2:], "two")
+    whole, calls = WH.write_epoch, []
+
+    def failing(spark_, root, name, df, epoch):
+        out = whole(spark_, root, name, df, epoch)
+        if name == WH.DIM_RACE:
+            calls.append({r.name_clean: r.runner_id for r in WH.read_table(spark_, root, WH.DIM_RUNNER).collect()})
+            raise RuntimeError("lost")
+        return out
+    monkeypatch.setattr(WH, "write_epoch", failing)
+    with pytest.raises(Exception):
+        ST.run_ingest(spark, *at)
+    monkeypatch.setattr(WH, "write_epoch", whole)
+    ST.run_ingest(spark, *at)
+    rows, ids, n, runners, _ = _star(spark, at[2])
+    assert calls == [ids] and len(rows) == n == len(set(rows)) and runners == len(ids)
+    files, drop, other = _landing(spark, str(tmp_path / "whole"), 4)
+    drop(files, "all")
+    ST.run_ingest(spark, *other)
+    assert _star(spark, other[2])[0] == rows
+
+
+def test_a_batch_reads_its_own_landing(spark, tmp_path, monkeypatch):
+    """Earlier landings' pages and the dimensions are not read again."""
+    files, drop, at = _landing(spark, str(tmp_path), 4)
+    drop(files[:2], "one")
+    ST.run_ingest(spark, *at)
+    drop(files[2:], "two")
+    seen, shred = [], SH.shred
+    monkeypatch.setattr(SH, "shred", lambda cells, pages: seen.extend(r[0] for r in pages.select(F.input_file_name()).distinct().collect()) or shred(cells, pages))
+    monkeypatch.setattr(WH, "read_table", lambda *a: pytest.fail("a stored table is read back"))
+    ST.run_ingest(spark, *at)
+    assert seen and all("landed=two" in f for f in seen)
