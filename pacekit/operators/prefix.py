@@ -76,13 +76,29 @@ def fill_last_segmented(df: DataFrame, entity: str, order: list, value: str, out
     return j.withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry"))).drop("_pid", "_lpos", "_loc", "_carry")
 
 
+def _with_state(carry: DataFrame, state: DataFrame, entity: str) -> DataFrame:
+    """The segments' carry after what an entity's stored state holds."""
+    j = join_null_safe(carry, state.select(entity, F.struct(*[c for c in state.columns if c != entity]).alias("_st")), [entity], "left")
+    st, zero = F.col("_st"), F.lit(0).cast("long")
+    out = {"c_rows": F.col("c_rows") + F.coalesce(st["rows"], zero), "c_dmin": F.least(F.col("c_dmin"), st["first_date"]),
+           "c_tail": _last(F.concat(F.coalesce(st["tail"], F.slice(F.col("c_tail"), 1, 0)), F.col("c_tail")), 3)}
+    for tag in ("s", "z"):
+        c = F.col(f"c_mom{tag}")
+        n, mean, m2 = _moments_merge(F.coalesce(st[f"n{tag}"], zero), F.coalesce(st[f"m{tag}"], F.lit(0.0)), F.coalesce(st[f"q{tag}"], F.lit(0.0)),
+                                     c["n"], c["mean"], c["m2"])
+        out[f"c_mom{tag}"] = F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+        out[f"c_x{tag}"] = F.greatest(F.col(f"c_x{tag}"), st[f"x{tag}"])
+    return j.select("_pid", entity, *[v.alias(k) for k, v in out.items()])
+
+
 def add_history_segmented(df: DataFrame, entity: str = "runner_id", time: str = "date", event: str = "race_id",
                           tiebreak: str = "result_id", speed: str = "speed_kmh", z: str = "speed_z_race",
-                          n_parts: int | None = None, inclusive: bool = False) -> DataFrame:
+                          n_parts: int | None = None, inclusive: bool = False, state: DataFrame | None = None) -> DataFrame:
     """Same columns and values as ``history.add_history``; no entity is confined to one task.
 
     ``inclusive=True`` gives the state *after* each row (its own row included): what a later
-    as-of lookup needs.
+    as-of lookup needs. ``state`` (:func:`.state.history_state`: a row per entity) is what all earlier rows,
+    which ``df`` does not hold, have left; it is merged into what each segment carries in.
     """
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -132,6 +148,8 @@ def add_history_segmented(df: DataFrame, entity: str = "runner_id", time: str =
         carry_cols += [_running_moments(tag, before).alias(f"c_mom{tag}"),
                        F.max(f"x{tag}").over(before).alias(f"c_x{tag}")]
     carry = segs.select("_pid", entity, *carry_cols)   # one row per segment
+    if state is not None:
+        carry = _with_state(carry, state, entity)
     j = join_null_safe(w, carry, ["_pid", entity])
 
     out = j.withColumn("prior_race_count", (F.col("c_rows") + F.col("_k")).cast("int"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..sources import adapters, warehouse as WH
 from .catalog import register
 from .features import build_features
-from .oracle import RESULTS_CTE, with_ctes
+from ..operators.history import add_group_zscore
+from ..operators.state import extend_history
+from .oracle import HISTORY_CTE, RACE_STATS_CTE, RESULTS_CTE, with_ctes
 from .queries_cleaning import cleaned
 from .oracle_model import model_sql
 from .queries_model import _PREDICTED, _coarse, _coarse_sql, _trained
@@ -129,3 +131,22 @@ FROM star WINDOW w AS (PARTITION BY runner_id ORDER BY result_id)""", *CLEANED_C
 def star_runner_history(spark, sf):
     """What each runner did before, from the buckets of the fact table."""
     return ST.runner_history(spark, _loaded(spark, sf)["root"])
+
+
+_HISTORY = ("prior_race_count", "prior_avg_speed", "prior_std_speed", "prior_best_speed", "prior_avg_z", "prior_std_z", "prior_best_z",
+            "recent_speed_roll3", "recent_z_roll3", "days_since_last_race", "runner_history_years")
+
+
+@register("history_in_waves", with_ctes(f"SELECT result_id, runner_id, {', '.join(_HISTORY)} FROM hist", RESULTS_CTE, RACE_STATS_CTE, HISTORY_CTE),
+          doubles=_HISTORY[1:])
+def history_in_waves(spark, sf):
+    """W5-W11 from a stored state: each season's results are scored against one row per runner, which they then extend."""
+    root, rows = WH.new_warehouse(spark), add_group_zscore(adapters.results(spark, sf, with_positions=False), median=False)
+    out, seasons = None, ((None, 1996), (1996, 1997), (1997, None))
+    for after, upto in seasons:
+        wave = rows.where((F.lit(True) if after is None else F.col("year") > after) & (F.lit(True) if upto is None else F.col("year") <= upto))
+        features, state = extend_history(wave, WH.read_table(spark, root, "runner_state"))
+        features = features.select("result_id", "runner_id", *_HISTORY)
+        out = WH.replace_table(spark, root, "features", features) if out is None else WH.append_rows(spark, root, "features", features)
+        WH.replace_table(spark, root, "runner_state", state)
+    return out
