@@ -12,22 +12,22 @@ Semantics (the reference's):
     final >= 95; the last accepted candidate wins (the lowest ratio).
 
 Plan (no pair loop, no cross join): every accepted pair has ratio >= 94.39, i.e.
-Indel distance <= floor(101 * T / 1800) (T = total length).  Candidates are
-generated exactly by a partition-based equi-join: the shorter string is cut
-into tau + 1 segments; a pair within distance tau shares at least one
-segment, found at a shifted position in the longer string.  The join keys are
-(length, segment index, segment text[, sex | block]); the exact ratio is then
-computed only for candidates.  Because every candidate ranked above an
+Indel distance <= k = floor(101 * T / 1800) (T = total length). Candidates come from an inverted index
+over 3-grams, exactly: k edits destroy at most 3 k of a string's numbered 3-grams, so two such strings share
+all but 3 k of them, and if each string's grams are ordered from rare to frequent, the first 3 k + c
+of both have c in common. Only these go into the index, with their places (a shared gram moves by k places at
+most), so it has some 0.4 rows a character; frequent grams, a common name half for one, are hardly ever in it.
+Pairs that meet in c grams get the exact ratio. Because every candidate ranked above an
 accepted one also has ratio >= 94.39, the top-5 rule of pass 2 restricted to
 these candidates selects exactly the same matches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import MAX_MASK_LEN, char_masks, max_indel, max_indel_py, with_lcs
+from ..functions.fuzzy import MAX_MASK_LEN, char_masks, max_indel, with_lcs
 from ..functions.numeric import speed_step_score, weighted_score_x10
 from ..functions.text import blocking_key, match_key, token_sort
 from ..session import cut_lineage
@@ -37,6 +37,7 @@ FREQUENT_MIN = 3
 THRESHOLD_X10 = 950   # final score 95.0
 MIN_NAME_SCORE = 85.0
 TOP_K = 5
+GRAM = 3
 
 
 def profiles(rows: DataFrame, name: str = "Nom_clean", sex: str = "Sexe", speed: str = "speed_kmh") -> DataFrame:
@@ -54,132 +55,69 @@ def profiles(rows: DataFrame, name: str = "Nom_clean", sex: str = "Sexe", speed:
         (F.sum("_s") / F.sum("_c")).alias("mean_speed")))
 
 
-def _tau(max_len: int) -> dict[int, int]:
-    """Segments needed for a shorter string of length lx: max d over admissible partner lengths."""
-    out = {}
-    for lx in range(1, max_len + 1):
-        t = 0
-        for ly in range(lx, lx + max_indel_py(2 * lx + 200) + 2):
-            k = max_indel_py(lx + ly)
-            if ly - lx <= k:
-                t = max(t, k)
-        out[lx] = t
-    return out
-
-
-def _segment(i, lx, count):
-    """(start, length) of segment ``i`` of ``count`` near-equal segments of a string of length ``lx``."""
-    base, extra = F.floor(lx / count), lx % count
-    return i * base + F.least(i, extra), base + F.when(i < extra, 1).otherwise(0)
-
-
-def _tau_col(length_col, max_len):
-    tau = _tau(max_len)
-    m = F.create_map(*[x for k, v in tau.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.element_at(m, length_col), F.floor(length_col * 202 / 1699).cast("int"))
-
-
-def _index_side(df: DataFrame, key: str, max_len: int, extra: list[str], parts: int = 1) -> DataFrame:
-    """Shorter-string side: cut into tau + ``parts`` segments, a row per ``parts`` of them."""
-    lx, count = F.col("_lx"), F.col("_tau") + parts
-    d = df.withColumn("_lx", F.length(key)).where(F.col("_lx") > 0).withColumn("_tau", _tau_col(F.col("_lx"), max_len))
-    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), count - parts)))
-    def text(i):
-        start, length = _segment(i, lx, count)
-        return F.substring(F.col(key), start + 1, length)
-    if parts == 1:
-        return d.select(*extra, key, lx.alias("jl"), F.col("_i").alias("ji"), text(F.col("_i")).alias("jt"))
-    d = d.withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, count - 1)))
-    return d.select(*extra, key, lx.alias("jl"), (F.col("_i") * 1000 + F.col("_j")).alias("ji"),
-                    F.concat(text(F.col("_i")), F.lit("\u0000"), text(F.col("_j"))).alias("jt"))
-
-
-def _probe_side(df: DataFrame, key: str, max_len: int, extra: list[str], parts: int = 1) -> DataFrame:
-    """Longer-string side: for every admissible shorter length, what its segments would have to
-    equal here. A segment found ``s`` places off costs ``|s|`` edits before it and ``|d - s|``
-    behind it (``d`` the difference of the lengths), so only shifts within the distance are kept."""
-    ly, lx, count = F.col("_ly"), F.col("_lx"), F.col("_tau") + parts
-    d = df.withColumn("_ly", F.length(key)).where(F.col("_ly") > 0)
-    # ly - lx <= 101 (lx + ly) / 1800  <=>  ly - lx <= 202 ly / 1901
-    widest = F.floor(ly * 202 / 1901).cast("int")
-    d = d.withColumn("_lx", F.explode(F.sequence(F.greatest(ly - widest, F.lit(1)), ly))).withColumn("_tau", _tau_col(lx, max_len))
-    d = d.withColumn("_k", max_indel(lx + ly)).withColumn("_d", ly - lx).where(F.col("_d") <= F.col("_k"))
-    k, diff, i, j, s, s2 = (F.col(c) for c in ("_k", "_d", "_i", "_j", "_s", "_s2"))
-    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), count - parts))).withColumn("_s", F.explode(F.sequence(-k, k)))
-    def place(seg, shift):
-        start, length = _segment(seg, lx, count)
-        return start + shift, length
-    def fits(seg, shift):
-        start, length = place(seg, shift)
-        return (start >= 0) & (start + length <= ly)
-    def text(seg, shift):
-        start, length = place(seg, shift)
-        return F.substring(F.col(key), start + 1, length)
-    if parts == 1:
-        d = d.where((F.abs(s) + F.abs(diff - s) <= k) & fits(i, s))
-        return d.select(*extra, key, lx.alias("jl"), i.alias("ji"), text(i, s).alias("jt")).distinct()
-    d = d.withColumn("_j", F.explode(F.sequence(i + 1, count - 1))).withColumn("_s2", F.explode(F.sequence(-k, k)))
-    d = d.where((F.abs(s) + F.abs(s2 - s) + F.abs(diff - s2) <= k) & fits(i, s) & fits(j, s2))
-    return d.select(*extra, key, lx.alias("jl"), (i * 1000 + j).alias("ji"),
-                    F.concat(text(i, s), F.lit("\u0000"), text(j, s2)).alias("jt")).distinct()
+def _numbered_grams(key: Column) -> Column:
+    """A string's 3-grams, both ends padded: ``g`` the gram with its number among its equals, ``p`` and ``q`` the
+    first and the last place of its equals."""
+    pad = "\u0001" * (GRAM - 1)
+    padded, n = F.concat(F.lit(pad), key, F.lit(pad)), F.length(key) + GRAM - 1
+    grams = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(padded, i, GRAM))
+    def rows(all_):
+        return F.transform(all_, lambda g, i: F.struct(
+            F.concat(g, F.size(F.filter(F.slice(all_, F.lit(1), i), lambda x: x == g)).cast("string")).alias("g"),
+            F.array_position(all_, g).cast("int").alias("p"), (n + 1 - F.array_position(F.reverse(all_), g)).cast("int").alias("q")))
+    return F.transform(F.array(grams), rows)[0]
+
+
+def _index(keys: DataFrame, key: str, equi: list[str], shared: int) -> DataFrame:
+    """The index: of every key its ``3 k + shared`` rarest grams, k being the largest distance to any partner."""
+    length, row = F.length(key), [*keys.columns]
+    grams = keys.select(*row, F.explode(_numbered_grams(F.col(key))).alias("_t")).select(*row, "_t.*")
+    # as many rows as there are different grams: a few ten thousand over the match keys' letters
+    rarity = grams.groupBy("g").agg(F.count(F.lit(1)).alias("_n"))
+    # ly - lx <= 101 (lx + ly) / 1800 bounds the partner's length, hence k by 202 lx / 1699
+    most = GRAM * F.floor(length * 202 / 1699)
+    ordered = (grams.join(rarity, "g").groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("_n", "g", "p", "q"))).alias("_gs")))
+    wanted = F.least(F.lit(shared), F.size("_gs") - most)
+    return (ordered.withColumn("_c", wanted).withColumn("_t", F.explode(F.slice("_gs", F.lit(1), most + F.col("_c"))))
+                   .select(*row, F.col("_c").alias("c"), "_t.g", "_t.p", "_t.q"))
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] | None = None,
-                  max_len: int | None = None, bucket: int = 64) -> DataFrame:
+                  max_len: int | None = None, shared: int = 3) -> DataFrame:
     """All (l, r) with Indel distance(l.key, r.key) <= floor(101 * T / 1800), exactly.
 
     ``left``/``right`` need column ``key`` (the token-sorted string) plus the
     ``equi`` columns, which must also be equal.  Output: l_<key>, r_<key>, lcs.
-    Works in both orientations (left shorter or right shorter).
-
-    A segment text that more than ``bucket`` shorter strings share (a common name half) is not
-    joined on its own: the strings that meet such a key are cut into one segment more, of which
-    two must match, and joined on pairs of segments. A pair whose shared keys are all that common
-    has both its strings among them, so no pair is lost.
+    Empty strings have no partner. ``shared`` is the number of grams that candidates must meet in
+    (fewer for strings too short for it); it decides how many candidates are verified, not the result.
     """
-    equi = equi or []
-    cols = [key] + equi
-    L = left.select(*cols).distinct()
-    R = right.select(*cols).distinct()
-    if max_len is None:  # one small aggregate: sizes the segment table, decides the UDF branch
-        max_len = L.unionByName(R).agg(F.max(F.length(key))).first()[0] or 1
-    def oriented(short, long_, short_is_left):
-        on, xs, ys = ["jl", "ji", "jt"] + equi, short.withColumnRenamed(key, "_xs"), long_.withColumnRenamed(key, "_ys")
-        idx = _index_side(xs, "_xs", max_len, equi)
-        prb = _probe_side(ys, "_ys", max_len, equi)
-        common = idx.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bucket).select(*on)
-        j = idx.join(common, on, "left_anti").join(prb, on).select(*equi, "_xs", "_ys")
-        hx = idx.join(common, on, "left_semi").select(*equi, "_xs").distinct()
-        hy = prb.join(common, on, "left_semi").select(*equi, "_ys").distinct()
-        pairs = _index_side(hx, "_xs", max_len, equi, 2).join(_probe_side(hy, "_ys", max_len, equi, 2), on)
-        j = j.unionByName(pairs.select(*equi, "_xs", "_ys")).distinct()
-        j = j.where((F.length("_xs") < F.length("_ys")) |
-                    ((F.length("_xs") == F.length("_ys")) & (F.lit(short_is_left) | (F.col("_xs") != F.col("_ys")))))
-        if short_is_left:
-            return j.select(*equi, F.col("_xs").alias("l_key"), F.col("_ys").alias("r_key"))
-        # strictly shorter right side only: equal lengths are produced by the other orientation
-        return j.where(F.length("_xs") < F.length("_ys")).select(
-            *equi, F.col("_ys").alias("l_key"), F.col("_xs").alias("r_key"))
-    if left is right:  # self-similarity: one orientation, then both orders of each pair
-        one = oriented(L, R, True)
-        cand = one.select(*equi, F.explode(F.array(F.struct(F.col("l_key").alias("a"), F.col("r_key").alias("b")),
-                                                    F.struct(F.col("r_key").alias("a"), F.col("l_key").alias("b"))))
-                          .alias("_p")).select(*equi, F.col("_p.a").alias("l_key"), F.col("_p.b").alias("r_key"))
-        cand = cand.distinct()
-    else:
-        cand = oriented(L, R, True).unionByName(oriented(R, L, False)).distinct()
+    equi, itself = equi or [], left is right
+    def keys_of(df, side):
+        return df.select(key, *equi).where(F.length(key) > 0).distinct().withColumn("_side", F.lit(side))
+    both = keys_of(left, 1) if itself else keys_of(left, 1).unionByName(keys_of(right, 2))
+    keys = both.groupBy(key, *equi).agg(F.bit_or("_side").alias("_side"))
+    index = cut_lineage(_index(keys, key, equi, shared))             # read twice by the join
+    if max_len is None:  # one small aggregate: decides the UDF branch
+        max_len = index.agg(F.max(F.length(key))).first()[0] or 1
+    a = index.select("g", *equi, F.col(key).alias("l_key"), F.col("_side").alias("_sl"), F.col("c").alias("_cl"), F.col("p").alias("_pl"), F.col("q").alias("_ql"))
+    b = index.select("g", *equi, F.col(key).alias("r_key"), F.col("_side").alias("_sr"), F.col("c").alias("_cr"), F.col("p").alias("_pr"), F.col("q").alias("_qr"))
+    total, k = F.length("l_key") + F.length("r_key"), max_indel(F.length("l_key") + F.length("r_key"))
+    sides = F.col("l_key") <= F.col("r_key") if itself else F.col("_sl").bitwiseAND(1) + F.col("_sr").bitwiseAND(2) == 3
+    met = a.join(b, ["g", *equi]).where(sides & (F.abs(F.length("l_key") - F.length("r_key")) <= k)
+                                       & (F.col("_pl") - k <= F.col("_qr")) & (F.col("_pr") - k <= F.col("_ql")))
+    cand = (met.groupBy(*equi, "l_key", "r_key").agg(F.count(F.lit(1)).alias("_m"), F.min(F.least("_cl", "_cr")).alias("_need"))
+               .where(F.col("_m") >= F.col("_need")).select(*equi, "l_key", "r_key"))
     shorter = F.length("l_key") <= F.length("r_key")
     cand = (cand.withColumn("_xstr", F.when(shorter, F.col("l_key")).otherwise(F.col("r_key")))
-                .withColumn("_ystr", F.when(shorter, F.col("r_key")).otherwise(F.col("l_key"))))
-    # materialise the (small) candidate set: keeps the mask map from being rebuilt inside the
-    # per-character LCS lambda and the candidate plan from being re-run
-    cand = cut_lineage(cand)
-    cand = cand.withColumn("_xlen", F.length("_xstr")).withColumn("_xmask", char_masks("_xstr"))
-    cand = cut_lineage(cand)
-    cand = with_lcs(cand, "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
-    T = F.length("l_key") + F.length("r_key")
-    return (cand.where(T - 2 * F.col("lcs") <= max_indel(T))
-                .select(*equi, "l_key", "r_key", "lcs"))
+                .withColumn("_ystr", F.when(shorter, F.col("r_key")).otherwise(F.col("l_key"))).withColumn("_xlen", F.length("_xstr")))
+    same = cand.where("l_key = r_key").withColumn("lcs", F.col("_xlen"))
+    other = cut_lineage(cand.where("l_key <> r_key"))                # the character masks are then made once a string
+    masks = other.select("_xstr").distinct().withColumn("_xmask", char_masks("_xstr"))
+    verified = with_lcs(other.join(cut_lineage(masks), "_xstr"), "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
+    found = verified.where(total - 2 * F.col("lcs") <= max_indel(total)).select(*equi, "l_key", "r_key", "lcs")
+    if itself:                                                       # both orders of each pair
+        found = found.unionByName(found.select(*equi, F.col("r_key").alias("l_key"), F.col("l_key").alias("r_key"), "lcs"))
+    return found.unionByName(same.select(*equi, "l_key", "r_key", "lcs"))
 
 
 def _ratio(lcs, total):

@@ -112,10 +112,10 @@ def test_candidate_plan_equals_brute_force(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("bucket", [64, 1, 0])
-def test_candidates_are_complete_for_long_names(spark, bucket):
-    """Names of 5 to 80 characters with edits, against all pairs; small buckets force pairs of segments."""
-    rng = random.Random(bucket)
+@pytest.mark.parametrize("shared", [3, 1, 6])
+def test_candidates_are_complete_for_long_names(spark, shared):
+    """Names of 5 to 80 characters with edits, against all pairs; for several numbers of shared grams."""
+    rng = random.Random(shared)
     names = set()
     while len(names) < 140:
         base = "".join(rng.choice("ABCD E") for _ in range(rng.randint(5, 80)))
@@ -131,7 +131,7 @@ def test_candidates_are_complete_for_long_names(spark, bucket):
             names.add("".join(t))
     keys = sorted(n for n in names if n.strip())
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    got = {(r.l_key, r.r_key) for r in RV.similar_pairs(df, df, "k", bucket=bucket).collect() if r.l_key < r.r_key}
+    got = {(r.l_key, r.r_key) for r in RV.similar_pairs(df, df, "k", shared=shared).collect() if r.l_key < r.r_key}
     want = {(a, b) for i, a in enumerate(keys) for b in keys[i + 1:]
             if abs(len(a) - len(b)) <= (101 * (len(a) + len(b))) // 1800
             and len(a) + len(b) - 2 * lcs_dp(a, b) <= (101 * (len(a) + len(b))) // 1800}
