@@ -1,9 +1,10 @@
 """Row shredding and record validation over extracted cells.
 
-The reference parses each document in a Python loop.  Here every layout is a
-set of column expressions over ``cells ARRAY<STRING>`` joined with per-file
-attributes, so one Spark job handles every file; documents are only grouped
-where the layout needs order (the header map carried to later tables).
+The reference parses each document in a Python loop. Here a layout is one struct-valued expression over a
+row's ``cells ARRAY<STRING>``: NULL where the row is no result, else its fields. :func:`shred` evaluates all of
+them in one pass: cells and page texts are dealt by document once; the header map that headerless tables
+carry forward, and the pages without any parsed row whose text is read instead, are windows over that
+one exchange; the per-document counts of the reconciliation need no further one. ``parse_*`` run one layout alone.
 """
 
 from __future__ import annotations
@@ -100,64 +101,75 @@ def file_headers(pages: DataFrame) -> DataFrame:
                     extract_distance(ft).alias("Distance"), expected.alias("expected"), error.alias("error"))
 
 
-def _files(headers: DataFrame, layout: str) -> DataFrame:
-    """The sound documents of a layout."""
-    return headers.where((F.col("layout") == layout) & F.col("error").isNull()).select("source_file")
+_ROW = ["Position", "Nom", "Club", "Sexe", "Categorie", POS_CAT, "Temps"]
 
 
-def _finish(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    h = headers.select("source_file", "NomCourse", "Date", "Distance")
-    return rows.join(h, "source_file").select(*OUT_COLUMNS)
+def _row(ok: Column, position: Column, nom: Column, club: Column, sexe: Column, categorie: Column, pos_cat: Column, temps: Column) -> Column:
+    """The fields of a result row where ``ok`` holds, else NULL."""
+    fields = (position, nom, club, sexe, categorie, pos_cat, temps)
+    return F.when(F.coalesce(ok, F.lit(False)), F.struct(*[v.cast("string").alias(n) for n, v in zip(_ROW, fields)]))
 
 
-def parse_left(cells: DataFrame, headers: DataFrame) -> DataFrame:
+def left_row(arr: Column) -> Column:
     """V2: fixed-left cells, one offset when the bib column is missing."""
-    c = cells.join(_files(headers, "left"), "source_file", "left_semi")
-    arr = F.col("cells")
     off = F.when(_digits(F.get(arr, 1)), 0).otherwise(1)
     g = lambda k: F.get(arr, F.lit(k) - off)
-    c = c.where(_digits(F.get(arr, 0))).select(
-        "source_file", F.get(arr, 0).alias("Position"), g(6).alias("Temps"), g(4).alias("Categorie"),
-        normalize_name(g(2)).alias("Nom"), _club(g(3)).alias("Club"), g(5).alias(POS_CAT))
-    c = c.where(is_time_like(F.col("Temps")) & F.col("Nom").isNotNull() & ~F.col("Nom").isin("", "0"))
-    return _finish(c.withColumn("Sexe", sex_from_category("Categorie")), headers)
+    return _row(_digits(F.get(arr, 0)) & is_time_like(g(6)), F.get(arr, 0), normalize_name(g(2)), _club(g(3)), sex_from_category(g(4)),
+                g(4), g(5), g(6))
 
 
-def parse_right(cells: DataFrame, headers: DataFrame) -> DataFrame:
+def right_row(arr: Column) -> Column:
     """V3: time / rank-in-category / category read from the right end; name and club in the middle."""
-    c = cells.join(_files(headers, "right"), "source_file", "left_semi")
-    arr = F.col("cells")
     n = F.size(arr)
     start = F.when(_digits(F.get(arr, 1)), 2).otherwise(1)
     middle = F.slice(arr, start + 1, F.greatest(n - 5 - start, F.lit(0)))
-    last = F.element_at(middle, -1)
+    last = F.try_element_at(middle, F.lit(-1))
     is_cat = F.coalesce(F.array_contains(F.array(*[F.lit(x) for x in RIGHT_LAYOUT_CATEGORIES]), last), F.lit(False))
     many = F.size(middle) > 1
     full = (F.when(many & ~is_cat, F.array_join(F.slice(middle, 1, F.size(middle) - 1), " "))
              .when(many, F.array_join(middle, " "))
              .otherwise(F.get(middle, 0)))
-    club = F.when(many & ~is_cat, _club(last))
-    c = c.where(_digits(F.get(arr, 0)) & (F.size(middle) >= 1)).select(
-        "source_file", F.get(arr, 0).alias("Position"), normalize_name(full).alias("Nom"), club.alias("Club"),
-        F.element_at(arr, -5).alias("Categorie"), F.element_at(arr, -4).alias(POS_CAT),
-        F.element_at(arr, -3).alias("Temps"))
-    c = c.where(F.col("Nom").isNotNull() & ~F.col("Nom").isin("", "0"))
-    return _finish(c.withColumn("Sexe", sex_from_category("Categorie")), headers)
+    category = F.try_element_at(arr, F.lit(-5))
+    return _row(_digits(F.get(arr, 0)) & (F.size(middle) >= 1), F.get(arr, 0), normalize_name(full), F.when(many & ~is_cat, _club(last)),
+                sex_from_category(category), category, F.try_element_at(arr, F.lit(-4)), F.try_element_at(arr, F.lit(-3)))
 
 
-def parse_score(cells: DataFrame, headers: DataFrame) -> DataFrame:
+def score_row(arr: Column) -> Column:
     """V4: fixed cells; the time moves one cell right when a score column precedes it."""
-    c = cells.join(_files(headers, "score"), "source_file", "left_semi")
-    arr = F.col("cells")
-    t6 = F.get(arr, 6)
-    c = c.where(_digits(F.get(arr, 0))).select(
-        "source_file", F.get(arr, 0).alias("Position"),
-        F.when(is_time_like(t6), t6).otherwise(F.get(arr, 7)).alias("Temps"),
-        F.get(arr, 4).alias("Categorie"), F.get(arr, 5).alias(POS_CAT),
-        normalize_name(F.get(arr, 2)).alias("Nom"), _club(F.get(arr, 3)).alias("Club"))
-    c = c.where(~F.coalesce(F.col("Categorie") == "1", F.lit(False))
-                & F.col("Nom").isNotNull() & ~F.col("Nom").isin("", "0") & ~F.col("Nom").contains("/"))
-    return _finish(c.withColumn("Sexe", sex_from_category("Categorie")), headers)
+    t6, category = F.get(arr, 6), F.get(arr, 4)
+    return _row(_digits(F.get(arr, 0)) & ~F.coalesce(category == "1", F.lit(False)), F.get(arr, 0), normalize_name(F.get(arr, 2)),
+                _club(F.get(arr, 3)), sex_from_category(category), category, F.get(arr, 5), F.when(is_time_like(t6), t6).otherwise(F.get(arr, 7)))
+
+
+def header_row(arr: Column, m: Column) -> Column:
+    """V5: cells found through the header map ``m``."""
+    idx = lambda k: F.element_at(m, F.lit(k))
+    at = lambda k: cell(arr, F.coalesce(idx(k), F.lit(-1)))
+    return _row(_digits(at("rank")) & at("temps").rlike(r"^\d{2}:\d{2}:\d{2}"), at("rank"), normalize_name(cells_between(arr, idx("nom"), idx("sexe"))),
+                _club(cells_between(arr, idx("club"), idx("cat"))), at("sexe"), at("cat"), at("rank_cat"), at("temps"))
+
+
+def text_row(line: Column) -> Column:
+    """V6: one line of a page's text."""
+    def parse(p: Column) -> Column:
+        tpos = F.array_position(F.transform(p, lambda x: x.rlike(r"^\d{2}:\d{2}:\d{2}")), True) - 1
+        cpos = F.array_position(F.transform(p, lambda x, i: (i >= 5) & (i < tpos) & x.rlike(FALLBACK_CATEGORY)), True) - 1
+        spos = F.array_position(F.transform(p, lambda x, i: (i >= 2) & (i < 6) & x.rlike(r"^(H|F)$")), True) - 1
+        club = F.array_join(F.slice(p, spos + 2, F.greatest(cpos - spos - 1, F.lit(0))), " ")
+        nom = F.array_join(F.slice(p, 3, F.greatest(spos - 2, F.lit(0))), " ")
+        ok = (F.size(p) >= 8) & _digits(F.get(p, 0)) & (tpos >= 0) & (cpos >= 0) & (spos >= 0)
+        return _row(ok, F.get(p, 0), normalize_name(nom), _club(club), F.get(p, spos.cast("int")), F.get(p, cpos.cast("int")),
+                    F.get(p, cpos.cast("int") + 1), F.get(p, tpos.cast("int")))
+    parts = F.filter(F.split(F.trim(line), r"\s+"), lambda x: x != "")
+    return F.transform(F.array(parts), parse)[0]
+
+
+def _named(layout: Column, r: Column) -> Column:
+    """Which parsed rows have a name that counts: any in tables found by their header and in text lines; none that is
+    empty or 0 in the others, in the score layout none with a slash."""
+    nom = r["Nom"]
+    some = nom.isNotNull() & ~nom.isin("", "0")
+    return r.isNotNull() & F.when(layout == "header", F.lit(True)).when(layout == "score", some & ~nom.contains("/")).otherwise(some)
 
 
 def _header_map(arr: Column) -> Column:
@@ -167,72 +179,85 @@ def _header_map(arr: Column) -> Column:
     return F.when(F.size(found) >= 3, F.map_from_entries(found))
 
 
+def _with_header_map(cells: DataFrame) -> DataFrame:
+    """The header map that applies to each row of a header-layout document (NULL: none, or the row is no
+    result row): that of its table's first header row for the rows below it, else the last one before the table."""
+    head = F.when(F.col("layout") == "header", _header_map(F.col("cells")))
+    c = cells.withColumn("_hm", head)
+    table = Window.partitionBy("source_file", "page_no", "table_no")
+    c = c.withColumn("_hrow", F.min(F.when(F.col("_hm").isNotNull(), F.col("row_no"))).over(table))
+    first = F.when(F.col("row_no") == F.col("_hrow"), F.col("_hm"))
+    upto = Window.partitionBy("source_file").orderBy("page_no", "table_no", "row_no").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_hrow").isNull() | (F.col("row_no") > F.col("_hrow"))
+    return c.withColumn("_map", F.when(below, F.last(first, ignorenulls=True).over(upto))).drop("_hm", "_hrow")
+
+
+def _shredded(cells: DataFrame, headers: DataFrame, pages: DataFrame | None = None, layout: str | None = None) -> DataFrame:
+    """``(source_file, page_no, layout, r)``: the parsed rows of the sound documents (of one layout, or of all), those of
+    page texts with ``layout`` ``text``."""
+    sound = headers.where(F.col("error").isNull() & F.col("layout").isNotNull()).select("source_file", "layout")
+    if layout:
+        sound = sound.where(F.col("layout") == layout)
+    c = cells.join(sound, "source_file").select("source_file", "page_no", "table_no", "row_no", "cells", "layout", F.lit(None).cast("string").alias("text"))
+    if pages is not None:
+        p = pages.join(sound.where(F.col("layout") == "header"), "source_file")
+        empty = [F.lit(None).cast(c.schema[x].dataType).alias(x) for x in ("table_no", "row_no", "cells")]
+        c = c.unionByName(p.select("source_file", "page_no", *empty, F.lit("text").alias("layout"), F.coalesce("text", F.lit("")).alias("text")))
+    if layout in (None, "header"):
+        c = _with_header_map(c.repartition("source_file"))              # the one exchange: every window below lies within a document
+    arr, lay = F.col("cells"), F.col("layout")
+    rows = {"left": left_row(arr), "right": right_row(arr), "score": score_row(arr)}
+    if layout in (None, "header"):
+        rows["header"] = F.when(F.col("_map").isNotNull(), header_row(arr, F.col("_map")))
+    parsed = None
+    for name, r in rows.items():
+        if layout in (None, name):
+            parsed = F.when(lay == name, r) if parsed is None else parsed.when(lay == name, r)
+    c = c.select("source_file", "page_no", "layout", "text", parsed.alias("r"))
+    if pages is None:
+        return c.where(_named(lay, F.col("r"))).drop("text")
+    both = c.withColumn("_on_page", F.count("r").over(Window.partitionBy("source_file", "page_no")))
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.when(F.trim(x).rlike(r"^\d"), text_row(x))), lambda r: r.isNotNull())
+    read = F.when((lay == "text") & (F.col("_on_page") == 0), lines).when(_named(lay, F.col("r")), F.array("r"))
+    return both.select("source_file", "page_no", "layout", F.explode(read).alias("r"))
+
+
+def _finish(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    h = headers.select("source_file", "NomCourse", "Date", "Distance")
+    return rows.select("source_file", "page_no", "r.*").join(h, "source_file").select(*OUT_COLUMNS, "page_no")
+
+
+def parse_left(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """V2."""
+    return _finish(_shredded(cells, headers, layout="left"), headers).drop("page_no")
+
+
+def parse_right(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """V3."""
+    return _finish(_shredded(cells, headers, layout="right"), headers).drop("page_no")
+
+
+def parse_score(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """V4."""
+    return _finish(_shredded(cells, headers, layout="score"), headers).drop("page_no")
+
+
 def parse_header(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """V5 + W15: header located by keywords; headerless tables reuse the last map of the document."""
-    c = cells.join(_files(headers, "header"), "source_file", "left_semi")
-    c = c.withColumn("_hm", _header_map(F.col("cells")))
-    tkey = ["source_file", "page_no", "table_no"]
-    heads = (c.where(F.col("_hm").isNotNull()).groupBy(*tkey)
-              .agg(F.min_by(F.struct("row_no", "_hm"), "row_no").alias("_h"))
-              .select(*tkey, F.col("_h.row_no").alias("_hrow"), F.col("_h._hm").alias("_tmap")))
-    tables = c.select(*tkey).distinct().join(heads, tkey, "left")
-    w = (Window.partitionBy("source_file").orderBy("page_no", "table_no")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    tables = tables.withColumn("_carry", F.last("_tmap", ignorenulls=True).over(w))  # one row per table
-    c = c.join(tables, tkey)
-    c = c.where((F.col("_hrow").isNull() & F.col("_carry").isNotNull()) | (F.col("row_no") > F.col("_hrow")))
-    m = F.coalesce(F.col("_tmap"), F.col("_carry"))
-    arr = F.col("cells")
-    idx = lambda k: F.element_at(m, F.lit(k))
-    c = c.select("source_file", "page_no",
-                 cell(arr, F.coalesce(idx("rank"), F.lit(-1))).alias("Position"),
-                 cell(arr, F.coalesce(idx("temps"), F.lit(-1))).alias("Temps"),
-                 cell(arr, F.coalesce(idx("sexe"), F.lit(-1))).alias("Sexe"),
-                 cell(arr, F.coalesce(idx("cat"), F.lit(-1))).alias("Categorie"),
-                 cell(arr, F.coalesce(idx("rank_cat"), F.lit(-1))).alias(POS_CAT),
-                 normalize_name(cells_between(arr, idx("nom"), idx("sexe"))).alias("Nom"),
-                 _club(cells_between(arr, idx("club"), idx("cat"))).alias("Club"))
-    c = c.where(_digits(F.col("Position")) & F.col("Temps").rlike(r"^\d{2}:\d{2}:\d{2}"))
-    return (c.join(headers.select("source_file", "NomCourse", "Date", "Distance"), "source_file")
-             .select(*OUT_COLUMNS, "page_no"))
-
-
-def parse_text_lines(pages: DataFrame, headers: DataFrame, parsed_pages: DataFrame) -> DataFrame:
+    return _finish(_shredded(cells, headers, layout="header"), headers)
+
+
+def parse_text_lines(cells: DataFrame, pages: DataFrame, headers: DataFrame) -> DataFrame:
     """V6: pages of header-layout documents without any parsed table row, read line by line."""
-    p = pages.join(_files(headers, "header"), "source_file", "left_semi")
-    p = p.join(parsed_pages, ["source_file", "page_no"], "left_anti")
-    lines = p.select("source_file", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
-    lines = lines.withColumn("line", F.trim("line")).where(F.col("line").rlike(r"^\d"))
-    parts = F.filter(F.split(F.col("line"), r"\s+"), lambda x: x != "")
-    l2 = lines.withColumn("_p", parts).where((F.size("_p") >= 8) & _digits(F.get(F.col("_p"), 0)))
-    tpos = F.array_position(F.transform("_p", lambda x: x.rlike(r"^\d{2}:\d{2}:\d{2}")), True) - 1
-    l2 = l2.withColumn("_t", tpos).where(F.col("_t") >= 0)
-    cpos = F.array_position(F.transform("_p", lambda x, i: (i >= 5) & (i < F.col("_t")) & x.rlike(FALLBACK_CATEGORY)),
-                            True) - 1
-    spos = F.array_position(F.transform("_p", lambda x, i: (i >= 2) & (i < 6) & x.rlike(r"^(H|F)$")), True) - 1
-    l2 = l2.withColumn("_c", cpos).withColumn("_s", spos).where((F.col("_c") >= 0) & (F.col("_s") >= 0))
-    p_ = F.col("_p")
-    club = F.array_join(F.slice(p_, F.col("_s") + 2, F.greatest(F.col("_c") - F.col("_s") - 1, F.lit(0))), " ")
-    nom = F.array_join(F.slice(p_, 3, F.greatest(F.col("_s") - 2, F.lit(0))), " ")
-    rows = l2.select("source_file", F.get(p_, 0).alias("Position"), normalize_name(nom).alias("Nom"),
-                     _club(club).alias("Club"), F.get(p_, F.col("_s")).alias("Sexe"),
-                     F.get(p_, F.col("_c")).alias("Categorie"), F.get(p_, F.col("_c") + 1).alias(POS_CAT),
-                     F.get(p_, F.col("_t")).alias("Temps"))
-    return _finish(rows, headers)
+    rows = _shredded(cells, headers, pages, layout="header").where(F.col("layout") == "text")
+    return _finish(rows, headers).drop("page_no")
 
 
 def shred(cells: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
-    """All layouts -> raw_results rows (+ source_file, racekey) and the per-file report."""
-    headers = cut_lineage(file_headers(pages))       # one row per document, used by every layout
-    hdr = parse_header(cells, headers)
-    fallback = parse_text_lines(pages, headers, hdr.select("source_file", "page_no").distinct())
-    parts = {"left": parse_left(cells, headers), "right": parse_right(cells, headers),
-             "score": parse_score(cells, headers), "header": hdr.drop("page_no"), "fallback": fallback}
-    rows = None
-    for df in parts.values():
-        rows = df if rows is None else rows.unionByName(df)
-    rows = rows.withColumn("racekey", race_key("NomCourse", "Date", "Distance"))
-    return {"rows": rows, "headers": headers, **parts}
+    """All layouts -> raw_results rows (+ source_file, racekey) in one pass over cells and pages, and the headers."""
+    headers = cut_lineage(file_headers(pages))       # one row per document
+    rows = _finish(_shredded(cells, headers, pages), headers).drop("page_no")
+    return {"rows": rows.withColumn("racekey", race_key("NomCourse", "Date", "Distance")), "headers": headers}
 
 
 def reconcile(rows: DataFrame, headers: DataFrame, skipped: DataFrame | None = None) -> DataFrame:

@@ -99,8 +99,7 @@ def cells_layout_header(spark, sf):
           doubles=("Distance",))
 def text_line_fallback(spark, sf):
     c, p, h = _docs(spark, sf)
-    parsed = SH.parse_header(c, h).select("source_file", "page_no").distinct()
-    return SH.parse_text_lines(p, h, parsed)
+    return SH.parse_text_lines(c, p, h)
 
 
 _FILES = """files AS (SELECT source_file, race_id, any_value(layout) AS layout, any_value(error) AS error, any_value(doc_date) AS doc_date,

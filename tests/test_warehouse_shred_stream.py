@@ -48,6 +48,32 @@ def test_golden_cells_left(spark):
                                                                   ("2", "Martin Paul", "Ac Club", "H")]
 
 
+def test_shredding_is_one_pass(spark):
+    """All layouts, header carry and text fallback: cells and pages scanned once and dealt by document once."""
+    import re
+    cells, pages = D.cells(spark, SF_SMALL), D.page_text(spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = SH.shred(cells, pages)
+        plan = SH.reconcile(out["rows"], out["headers"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert len([x for x in scans if "cells" in x]) == 1 and len([x for x in scans if "text" in x]) == 1
+    assert not re.findall(r"Exchange hashpartitioning\([^)]*page_no", plan) and plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_header_carry(spark):
+    """Rows above a table's header are none; a table without one takes the last map before it; a second header row changes nothing."""
+    head, swapped = ["Rank", "Nom", "Sexe", "Club", "Cat", "Temps"], ["Nom", "Sexe", "Club", "Cat", "Temps", "Rank"]
+    row = lambda i: [str(i), f"name {i}", "H", "ac", "SH", "00:40:00"]                             # noqa: E731
+    tables = {(1, 1): [row(1), head, row(2), swapped, row(3)], (1, 2): [row(4)], (2, 1): [swapped, ["name x", "F", "", "SD", "00:41:00", "5"]], (2, 2): [["name y", "F", "", "SD", "00:42:00", "6"]]}
+    cells = [("f.pdf", p, t, i, r) for (p, t), rows in tables.items() for i, r in enumerate(rows)]
+    c = spark.createDataFrame(cells, "source_file string, page_no int, table_no int, row_no int, cells array<string>")
+    got = {(r.Position, r.Nom, r.page_no) for r in SH.parse_header(c, _headers(spark, "header")).collect()}
+    assert got == {("2", "Name 2", 1), ("3", "Name 3", 1), ("4", "Name 4", 1), ("5", "Name X", 2), ("6", "Name Y", 2)}
+
+
 def test_malformed_headers_fail_their_files(spark):
     top = "RESULTATS\nCourse 1 {y}\nCourse 1 SEF : 3 DISTANCE : {d} km\n{w}\n"
     rows = [("ok.pdf", 1, top.format(y=2006, d="10,5", w="lundi 5 mai 2006")), ("distance.pdf", 1, top.format(y=2006, d="1.2.3", w="lundi 5 mai 2006")),
