@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import finite_or_null, predicted_from_z
-from ..operators.ranking import group_quantiles
 from ..session import cut_lineage
 
 # The model's input features, in order.
@@ -74,16 +74,91 @@ def temporal_split(data: DataFrame, key: str = "source_result_id", seed: int = 4
     return data.withColumn("split", F.when(bucket < 20, "test").otherwise("train"))
 
 
-def exact_medians(train: DataFrame, cols: list[str]) -> dict[str, float]:
-    """M3: exact training medians of the feature columns (14 numbers)."""
-    long_ = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
-                                             for c in cols])).alias("kv")).select("kv.*")
-    q = group_quantiles(long_, ["feature"], "v", [0.5], "m").collect()  # one row per feature
-    return {r["feature"]: r["m50"] for r in q}
+def exact_medians(train: DataFrame, cols: list[str], few: int = 20_000) -> dict[str, float | None]:
+    """M3: exact training medians of the feature columns, all in one aggregation a pass, without a row per feature.
+
+    A pass counts, for every column, the values in and below its bracket, and a second one narrows the bracket
+    around the middle ranks with a mergeable quantile sketch (whose rank error is known), to some thousandth of
+    its values. When at most ``few`` values of each column are left between the brackets, those are fetched.
+    """
+    v = {c: F.col(c).cast("double") for c in cols}
+    bracket: dict[str, tuple[float, float]] = {}
+    ranks: dict[str, tuple[int, int]] = {}
+    counted: dict[str, tuple[int, int]] = {}
+    for _ in range(12):                                                # each pass leaves a thousandth; ties end it sooner
+        inside = {c: F.when(v[c].between(F.lit(bracket[c][0]), F.lit(bracket[c][1])), v[c]) if c in bracket else v[c] for c in cols}
+        counts = [x for c in cols for x in (F.count(inside[c]), F.count(F.when(v[c] < F.lit(bracket[c][0]), 1)) if c in bracket else F.lit(0))]
+        got = train.agg(*[x.alias(f"_{i}") for i, x in enumerate(counts)]).first()
+        counted = {c: (got[2 * i], got[2 * i + 1]) for i, c in enumerate(cols)}
+        ranks = ranks or {c: ((n - 1) // 2, n // 2) for c, (n, _) in counted.items()}
+        if all(n <= few for n, _ in counted.values()):
+            break
+        sketches = []
+        for c in cols:
+            n, below = counted[c]
+            middle = [(r - below) / max(1, n - 1) for r in ranks[c]]
+            margin = [max(0.0, min(1.0, min(middle) - 0.0005)), max(0.0, min(1.0, max(middle) + 0.0005))]
+            sketches.append(F.percentile_approx(inside[c], margin, 10_000))
+        got = train.agg(*[x.alias(f"_{i}") for i, x in enumerate(sketches)]).first()
+        narrowed = {c: (min(q), max(q)) for c, q in zip(cols, got) if q}
+        if narrowed == bracket:                                        # one value each, or as near as the sketch gets
+            break
+        bracket = narrowed
+    rows = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), inside[c].alias("v")) for i, c in enumerate(cols)]), lambda x: x["v"].isNotNull())
+    left = train.select(F.explode(rows).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n")).collect()   # few different values a column
+    out: dict[str, float | None] = {}
+    for i, c in enumerate(cols):
+        mine, upto, found = sorted((r["v"], r["n"]) for r in left if r["i"] == i), counted[c][1], []
+        for value, n in mine:
+            found += [value] * sum(upto <= r < upto + n for r in ranks[c])
+            upto += n
+        out[c] = sum(found) / 2 if found else None
+    return out
+
+
+def moments(data: DataFrame, medians: dict[str, float | None], features: list[str] = FEATURE_COLUMNS, y: str = "target_z") -> DataFrame:
+    """M3-M5: the sufficient statistics of the fit, one additive row per year.
+
+    ``n``, and ``s``: the sums of the imputed features and the target, and of their products, all features taken
+    from their medians (so that the sums stay small). Rows of any years add up to the fit over them.
+    """
+    z = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) - F.lit(medians[c]) if medians[c] is not None else F.lit(0.0) for c in features]
+    z.append(F.col(y))
+    sums = [F.sum(a) for a in z] + [F.sum(a * b) for i, a in enumerate(z) for b in z[i:]]
+    return data.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("s"))
+
+
+def solve(rows, medians: dict[str, float | None], features: list[str] = FEATURE_COLUMNS) -> dict:
+    """The fit over merged rows of :func:`moments`: coefficients on features scaled to sample std 1, and the intercept.
+
+    A constant feature has coefficient 0; of features that depend on each other the smallest solution is taken.
+    """
+    k = len(features)
+    n, s = sum(r["n"] for r in rows), np.sum([r["s"] for r in rows], axis=0)
+    mean, products = s[:k + 1] / n, np.zeros((k + 1, k + 1))
+    products[np.triu_indices(k + 1)] = s[k + 1:]
+    centred = np.triu(products) + np.triu(products, 1).T - n * np.outer(mean, mean)
+    std = np.sqrt(np.maximum(np.diag(centred)[:k], 0) / max(n - 1, 1))
+    std[std <= 1e-9 * (1 + np.abs(mean[:k]))] = 0.0
+    scale = np.divide(1.0, std, out=np.zeros(k), where=std > 0)
+    beta = np.linalg.lstsq(centred[:k, :k] * np.outer(scale, scale), centred[:k, k] * scale, rcond=1e-13)[0]
+    middle = np.array([medians[c] or 0.0 for c in features]) + mean[:k]
+    return {"n": int(n), "coefficients": beta, "intercept": float(mean[k]), "means": middle, "scale": scale}
+
+
+def solved_model(fit: dict, medians: dict[str, float | None], features: list[str] = FEATURE_COLUMNS) -> PipelineModel:
+    """The fit as a persistable pipeline of one SQL stage: impute, scale and predict."""
+    number = lambda x: f"CAST('{float(x)!r}' AS DOUBLE)"
+    terms = [f"{number(b * s)} * (coalesce(CAST(`{c}` AS DOUBLE), {number(medians[c])}) - {number(m)})"
+             for c, b, s, m in zip(features, fit["coefficients"], fit["scale"], fit["means"]) if medians[c] is not None and b * s]
+    model = PipelineModel([SQLTransformer(statement=f"SELECT *, {' + '.join([number(fit['intercept']), *terms])} AS predicted_z FROM __THIS__")])
+    model.solved = fit
+    return model
 
 
 def build_pipeline(medians: dict[str, float], features: list[str] = FEATURE_COLUMNS) -> Pipeline:
-    """M3-M5: impute (SQL stage, persisted with the model) -> assemble -> scale -> OLS."""
+    """M3-M5 as Spark ML stages: impute -> assemble -> scale -> OLS. The training job fits the same model from
+    :func:`moments`; this is the form that a test compares it with, and that takes other estimators."""
     fills = ", ".join(
         f"coalesce(CAST(`{c}` AS DOUBLE), CAST({repr(float(medians[c])) if medians.get(c) is not None else 'NULL'} AS DOUBLE)) AS `_imp_{c}`"
         for c in features)
@@ -125,7 +200,9 @@ def train(features: DataFrame, features_list: list[str] = FEATURE_COLUMNS) -> di
     data = cut_lineage(temporal_split(prepare_dataset(features)).where(F.col("split").isNotNull()))
     tr = data.where(F.col("split") == "train")
     medians = exact_medians(tr, features_list)
-    model = build_pipeline(medians, features_list).fit(tr)
+    by_year = cut_lineage(moments(tr, medians, features_list))          # a row per year, kept with the result
+    fit = solve(by_year.collect(), medians, features_list)
+    model = solved_model(fit, medians, features_list)
     pred = predict_time(model.transform(data))
     keep = [c for c in ["analysis_id", "source_result_id", "runner_id", "race_id", "target_z", "target_time_sec",
                         "predicted_z", "predicted_performance_index", "predicted_speed_kmh", "predicted_time_sec",
@@ -133,7 +210,7 @@ def train(features: DataFrame, features_list: list[str] = FEATURE_COLUMNS) -> di
     pred = cut_lineage(pred.select(*keep))
     metrics = regression_metrics(pred)
     return {"model": model, "predictions": pred, "metrics": metrics, "gap": overfitting_gap(metrics),
-            "medians": medians, "features": features_list}
+            "medians": medians, "features": features_list, "moments": by_year}
 
 
 def coefficients(model: PipelineModel, features: list[str] = FEATURE_COLUMNS, top: int = 15,
@@ -143,8 +220,8 @@ def coefficients(model: PipelineModel, features: list[str] = FEATURE_COLUMNS, to
     Spark scales by the sample std; ``population_std`` rescales by sqrt((n-1)/n)
     to read like a population-std scaler.
     """
-    lr = model.stages[-1]
-    coefs = [float(c) for c in lr.coefficients]
+    found = model.solved["coefficients"] if hasattr(model, "solved") else model.stages[-1].coefficients
+    coefs = [float(c) for c in found]
     if population_std and n_train:
         k = ((n_train - 1) / n_train) ** 0.5
         coefs = [c * k for c in coefs]

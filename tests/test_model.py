@@ -35,3 +35,39 @@ def test_ols_matches_numpy(spark, tmp_path):
     loaded = M.load_artifact(path)
     assert loaded["ok"] and loaded["features"] == M.FEATURE_COLUMNS
     assert not M.load_artifact(str(tmp_path / "missing"))["ok"]
+
+
+def test_moments_equal_spark_ml(spark):
+    """The fit from additive statistics is that of Spark ML's pipeline; years merge in any way."""
+    data = M.temporal_split(M.prepare_dataset(build_features(adapters.results(spark, SF_MID)))).cache()
+    tr = data.where(F.col("split") == "train")
+    medians = M.exact_medians(tr, M.FEATURE_COLUMNS)
+    rows = M.moments(tr, medians).collect()
+    fit = M.solve(rows, medians)
+    ml = M.build_pipeline(medians).fit(tr)
+    assert np.allclose(fit["coefficients"], ml.stages[-1].coefficients.toArray(), rtol=0, atol=1e-9)
+    assert abs(fit["intercept"] - ml.stages[-1].intercept) < 1e-9 and fit["n"] == tr.count()
+    both = M.solved_model(fit, medians).transform(data).select("source_result_id", "predicted_z").join(
+        ml.transform(data).select("source_result_id", F.col("predicted_z").alias("ml")), "source_result_id")
+    assert both.agg(F.max(F.abs(F.col("predicted_z") - F.col("ml")))).first()[0] < 1e-9
+    early = [r for r in rows if r["year"] < 1997]
+    again = M.solve(M.moments(tr.where("year < 1997"), medians).collect(), medians)
+    assert np.allclose(M.solve(early, medians)["coefficients"], again["coefficients"], atol=1e-12)
+
+
+def test_medians_and_constant_columns(spark):
+    rng = np.random.default_rng(3)
+    n = 3001
+    frame = {"a": rng.normal(size=n), "b": rng.integers(0, 4, n).astype(float), "c": np.full(n, 7.0), "d": rng.normal(size=n), "e": rng.normal(size=n)}
+    frame["d"][::3] = np.nan
+    rows = [tuple(None if x != x else float(x) for x in r) for r in zip(*frame.values())]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").withColumn("none", F.lit(None).cast("double"))
+    cols = ["a", "b", "c", "d", "none"]
+    want = {c: float(np.nanmedian(frame[c])) for c in "abcd"} | {"none": None}
+    for few in (10**6, 500, 1):                                    # fetched at once, after one narrowing, as far as it goes
+        assert M.exact_medians(df, cols, few) == want
+    assert M.exact_medians(df.where("a IS NULL"), cols)["a"] is None
+    data = df.withColumn("year", F.lit(2000)).withColumn("target_z", 2 * F.col("a") - F.col("e"))
+    fit = M.solve(M.moments(data, want, ["a", "c", "none"]).collect(), want, ["a", "c", "none"])
+    assert fit["coefficients"][1] == fit["coefficients"][2] == 0 and abs(fit["coefficients"][0] - 2 * np.std(frame["a"], ddof=1)) < 0.1
+    assert M.solved_model(fit, want, ["a", "c", "none"]).transform(data).where("predicted_z IS NULL").count() == 0
