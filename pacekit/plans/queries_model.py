@@ -269,3 +269,22 @@ def ranking_with_expected(spark, sf):
                               format_time("predicted_time_sec").alias("predicted_time"),
                               (F.col("time_sec") - F.col("predicted_time_sec")).alias("time_gap_sec"),
                               (F.col("predicted_performance_index") - F.col("performance_index")).alias("index_gap")))
+
+
+@register("feature_fallbacks", """
+WITH f AS (""" + FEATURES_SQL + """)
+SELECT k.stored, source_result_id + k.add AS source_result_id, actual_time_sec + k.seconds AS target_time_sec, count(*) OVER (PARTITION BY k.stored) AS n
+FROM f, (VALUES ('reference, actual time', 0, 0.0::DOUBLE), ('own id, actual time', 1, 0.0::DOUBLE), ('reference, time', 0, 1.0::DOUBLE),
+                ('own id, target time', 1, 2.0::DOUBLE)) k(stored, add, seconds)
+WHERE race_std_speed IS NOT NULL""", doubles=("target_time_sec",))
+def feature_fallbacks(spark, sf):
+    """Which stored column serves as reference and as time, for tables that have one or several of them."""
+    base, one = _features(spark, sf), None
+    own = (F.col("source_result_id") + 1).alias("result_id")
+    shapes = {"reference, actual time": base, "own id, actual time": base.select("*", own),
+              "reference, time": base.withColumn("time_sec", F.col("actual_time_sec") + 1),
+              "own id, target time": base.select("*", own, (F.col("actual_time_sec") + 1).alias("time_sec"), (F.col("actual_time_sec") + 2).alias("target_time_sec"))}
+    for name, shape in shapes.items():
+        rows = M.prepare_dataset(shape).select(F.lit(name).alias("stored"), "source_result_id", "target_time_sec")
+        one = rows if one is None else one.unionByName(rows)
+    return one.join(one.groupBy("stored").agg(F.count(F.lit(1)).alias("n")), "stored")
