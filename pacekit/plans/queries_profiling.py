@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from ..sources import adapters, warehouse as WH
 from . import profiling as PR
 from .catalog import register
-from .oracle import with_ctes
+from .oracle import RESULTS_CTE, with_ctes
 from .queries_cleaning import CLEAN_CTES, _key_sql, cleaned
 
 DERIVED = f"""dv AS (SELECT *, "Distance" / NULLIF(temps_sec / 3600.0::DOUBLE, 0) AS speed_kmh,
@@ -106,3 +107,13 @@ SELECT categorie_cleaned,
 FROM dv GROUP BY 1""", *C))
 def membership_filters(spark, sf):
     return PR.membership_filters(_dv(spark, sf), "categorie_cleaned", ["SH", "SD"], "Sexe", "F")
+
+
+@register("sketched_runners", with_ctes("""
+SELECT year, count(DISTINCT runner_id) AS exact, true AS within FROM results GROUP BY year
+UNION ALL SELECT NULL, count(DISTINCT runner_id), true FROM results""", RESULTS_CTE))
+def sketched_runners(spark, sf):
+    """Runners per year from sketches stored a row per year, and over all years from their union."""
+    rows, root = adapters.results(spark, sf, with_positions=False), WH.new_warehouse(spark)
+    stored = WH.replace_table(spark, root, "runner_sketches", PR.distinct_sketches(rows, "year", "runner_id"))
+    return PR.sketched_distinct(stored, rows, "year", "runner_id")
