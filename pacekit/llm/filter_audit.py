@@ -2,16 +2,18 @@
 
 Five filters mark a document: A to D by its own text, E when a document with a smaller id has the very
 same text. All files go through a structured stream, some files a micro-batch (available now). The state
-is keyed by the text's digest: the smallest id met so far and what its rows added to the counters. When a
-smaller id arrives, the former one now fails E: its earlier mask is retracted from the counter of its
-part and added again with E, and the newcomer's is added without. What reaches the sink are changes of
-counters by part, mask and label; a micro-batch's changes are summed and written under its number, so
-that a replayed batch overwrites its own and a later call with the same store goes on where
-the last one ended.
-
-A text that a third of all rows share is no hot key: each task first folds its rows of a text into one
-row per part and label (their number, the smallest id, the rows at it), so the state of a key
-meets as many rows as there are tasks, not documents. Texts are read once and never shuffled.
+keeps, for each text (its digest), the smallest id met so far and what that id's rows added to the
+counters. When a smaller id arrives, the former one now fails E: its earlier mask is retracted from the
+counter of its part and added again with E, and the newcomer's is added without. What reaches the sink are
+changes of counters by part, mask and label; a micro-batch's changes are summed and written under its
+number, so that a replayed batch overwrites its own and a later call with the same store goes on where the
+last one ended.
+
+Texts are the keys of the state, some thousands of them under one key of the stream (a range of digests), so
+that a key's rows are updated together, as columns. The number of ranges follows the table and is kept
+with the store. A text that a third of all rows share is no hot key: each task first folds its rows of a
+text into one row per part and label (their number, the smallest id, the rows at it), so a key meets
+as many rows of a text as there are tasks, not documents. Texts are read once and never shuffled.
 
 The report needs the counters only, at most 128 a part: for a filter and the set of filters before it
 they give the numbers of every order in which that set comes first.
@@ -20,7 +22,7 @@ they give the numbers of every order in which that set comes first.
 from __future__ import annotations
 
 import hashlib
-import json
+import pickle
 import re
 from collections.abc import Iterator
 from itertools import permutations
@@ -43,6 +45,7 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",          # many small stores: no space ahead of need
 }
 
 
@@ -93,53 +96,55 @@ def _folded(frames: Iterator[pd.DataFrame], most: int = 100_000) -> Iterator[pd.
         yield rows(held)
 
 
+_KIND = ["digest", "mask", "part", "quality", "toxic"]
+
+
 def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the counters by the new rows of one text, and its state."""
-    least, held = (state.get[0], {tuple(k): n for k, n in json.loads(state.get[1])}) if state.exists else (_NO_ID, {})
-    change: dict[tuple, int] = {}
-    mask = 0
-
-    def add(kind: tuple, with_e: bool, n: int) -> None:
-        at = (kind[0], mask + _E * with_e, kind[1], kind[2])
-        change[at] = change.get(at, 0) + n
-    for f in frames:
-        for m, part, quality, toxic, n, lone, low, at_low in zip(*(f[c].tolist() for c in (
-                "mask", "part", "quality", "toxic", "n", "lone", "least", "at_least"))):
-            mask, kind = m, (part, quality, toxic)
-            add(kind, True, n)
-            add(kind, False, lone)
-            if n and low < least:
-                for k, rows in held.items():              # retract what stood for the former smallest id
-                    add(k, False, -rows)
-                    add(k, True, rows)
-                least, held = low, {}
-            if n and low == least:
-                add(kind, True, -at_low)
-                add(kind, False, at_low)
-                held[kind] = held.get(kind, 0) + at_low
-    state.update((least, json.dumps([[list(k), n] for k, n in held.items()])))
-    found = [(*k, n) for k, n in change.items() if n]
-    yield pd.DataFrame(found, columns=["part", "mask", "quality", "toxic", "n"])
-
-
-def count_masks(spark: SparkSession, path: str, labels: DataFrame, store: str | None = None, files_per_batch: int = 4,
+    """Changes of the counters by the new rows of a range of texts, and its state: for each text the rows
+    of its smallest id (``_KIND``, ``least`` and their number ``n``)."""
+    new = pd.concat(frames)
+    old = pickle.loads(state.get[0]) if state.exists else pd.DataFrame(columns=[*_KIND, "least", "n"])
+    ids = new[new["n"] > 0]
+    least = pd.concat([old[["digest", "least"]], ids[["digest", "least"]]]).groupby("digest")["least"].min()
+    stays = old["least"].to_numpy() == least.reindex(old["digest"]).to_numpy()
+    first = ids[ids["least"].to_numpy() == least.reindex(ids["digest"]).to_numpy()]
+    former = old[~stays]
+
+    def change(rows: pd.DataFrame, n: pd.Series, with_e: bool) -> pd.DataFrame:
+        return pd.DataFrame({"part": rows["part"], "mask": rows["mask"] + _E * with_e, "quality": rows["quality"], "toxic": rows["toxic"], "n": n})
+    changes = pd.concat([
+        change(new, new["n"], True), change(new, new["lone"], False),
+        change(former, -former["n"], False), change(former, former["n"], True),         # what stood for a former smallest id
+        change(first, -first["at_least"], True), change(first, first["at_least"], False)])
+    held = pd.concat([old[stays], first.drop(columns=["n"]).rename(columns={"at_least": "n"})[[*_KIND, "least", "n"]]])
+    held = held.astype({"mask": int, "quality": int, "toxic": int, "least": "int64", "n": "int64"}).groupby([*_KIND, "least"], as_index=False)["n"].sum()
+    state.update((pickle.dumps(held),))
+    summed = changes.astype({"mask": int, "quality": int, "toxic": int, "n": "int64"}).groupby(["part", "mask", "quality", "toxic"], as_index=False)["n"].sum()
+    yield summed[summed["n"] != 0]
+
+
+def count_masks(spark: SparkSession, path: str, labels: DataFrame, store: str | None = None, files_per_batch: int = 4, texts_per_key: int = 5000,
                 id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """Counters ``(part, mask, quality, toxic, n)`` of the documents under ``path``, a Parquet table.
 
     ``store`` (in the shared folder) keeps the stream's state and the counters: with the same store only
-    files that have come since are read. Null texts are empty, null parts are ''; a document without an
+    files that have come since are read. ``texts_per_key`` is the number of texts, on average, whose state is
+    updated together. Null texts are empty, null parts are ''; a document without an
     id never fails E and makes none fail; repeated rows of the smallest id all pass E. ``quality`` and
     ``toxic`` are 1 where any label of the id is 1. Other columns are not read.
     """
     store = store or scratch_path(spark, f"llm/audit-{hashlib.blake2b(path.encode(), digest_size=4).hexdigest()}-{spark.sql('SELECT uuid()').first()[0]}")
     deltas = f"{store}/changes"
     spark.createDataFrame([], _COUNTERS).write.mode("overwrite").parquet(f"{deltas}/batch=-1")
+    table = spark.read.parquet(path)
+    spark.range(1).select(F.lit(table.count() // texts_per_key + 1).alias("ranges")).write.mode("ignore").parquet(f"{store}/ranges")
+    ranges = spark.read.parquet(f"{store}/ranges").first()[0]                                # as the store's first call found it
     one = lambda c: F.max((F.coalesce(F.col(c), F.lit(0)) == 1).cast("int"))                                          # noqa: E731
     known = stored(labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
                          .agg(one("quality").alias("quality"), one("toxic").alias("toxic")), "audit-labels")
     # a pattern, so that a table that is one file can be streamed like a folder of files
     files = re.sub(r"([^/]+?)/*$", lambda m: "{" + m[1] + "}", path)
-    docs = (spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch).parquet(files)
+    docs = (spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(files)
                  .select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"),
                          F.coalesce(F.col(part_col), F.lit("")).alias("part"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")))
     marked = docs.mapInPandas(_marked, "id long, no_id boolean, lone long, part string, digest string, mask int")
@@ -147,7 +152,8 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, store: str |
                        (F.col("id") == F.col("label_id")) & (F.col("lone") == F.col("label_lone")), "left")
     both = both.select("id", "no_id", "part", "digest", "mask", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("quality", "toxic")])
     folded = both.mapInPandas(_folded, "digest string, mask int, part string, quality int, toxic int, n long, lone long, least long, at_least long")
-    changes = folded.groupBy("digest").applyInPandasWithState(_update, _COUNTERS, "least long, held string", "append", GroupStateTimeout.NoTimeout)
+    ranged = folded.withColumn("range", F.pmod(F.xxhash64("digest"), F.lit(ranges)))
+    changes = ranged.groupBy("range").applyInPandasWithState(_update, _COUNTERS, "texts binary", "append", GroupStateTimeout.NoTimeout)
 
     def sink(batch: DataFrame, number: int) -> None:
         summed = batch.groupBy("part", "mask", "quality", "toxic").agg(F.sum("n").alias("n"))
@@ -200,6 +206,7 @@ def report(counters: DataFrame) -> DataFrame:
                 .select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"))
 
 
-def audit(spark: SparkSession, path: str, labels: DataFrame, store: str | None = None, files_per_batch: int = 4) -> DataFrame:
+def audit(spark: SparkSession, path: str, labels: DataFrame, store: str | None = None, files_per_batch: int = 4,
+          texts_per_key: int = 5000) -> DataFrame:
     """:func:`report` over the documents under ``path``; no rows for an empty table."""
-    return report(stored(count_masks(spark, path, labels, store, files_per_batch), "audit-counters"))
+    return report(stored(count_masks(spark, path, labels, store, files_per_batch, texts_per_key), "audit-counters"))

@@ -60,11 +60,11 @@ def more_rows(odd_rows):
     return [*odd_rows, *copies, (7, "Plain #1", "en", "a", 1), (-5, "Plain #1", "en", None, 1), (2**60 + 1, "Plain #1", "en", "a", 1)]
 
 
-@pytest.mark.parametrize("files,per_batch", [(1, 4), (7, 2), (12, 1)])
-def test_against_brute_force(spark, tmp_path, more_rows, labels, files, per_batch):
+@pytest.mark.parametrize("files,per_batch,texts", [(1, 4, 5000), (7, 2, 20)])
+def test_against_brute_force(spark, tmp_path, more_rows, labels, files, per_batch, texts):
     path = str(tmp_path / "docs.parquet")
     spark.createDataFrame(more_rows, DOC).repartition(files).write.parquet(path)
-    got = A.audit(spark, path, labels[1], files_per_batch=per_batch)
+    got = A.audit(spark, path, labels[1], files_per_batch=per_batch, texts_per_key=texts)
     assert sorted(map(tuple, got.collect())) == expected(more_rows, labels[0])
 
 
