@@ -37,7 +37,7 @@ def expected(rows, target, n, buckets, min_words, percent, seed):
 def test_against_brute_force(spark, odd_docs, odd_rows, clashing):
     target = [odd_rows[3][1], "kan lor miri", "", None, "漢字 Kan"]
     aim = spark.createDataFrame([(t,) for t in target], "text string")
-    for n, buckets, percent in ((1, 10_000, 10), (3, 97, 60), (2, 70_000, 100)):
+    for n, buckets, percent in ((1, 10_000, 10), (3, 70_000, 60)):
         want = expected(odd_rows, target, n, buckets, 20, percent, 7)
         for docs in (odd_docs, clashing)[:1 + (n == 3)]:
             got = importance.resample(docs, aim, n=n, buckets=buckets, percent=percent, seed=7)
