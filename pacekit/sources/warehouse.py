@@ -45,7 +45,7 @@ def new_warehouse(spark: SparkSession) -> str:
 
 def table_exists(spark: SparkSession, root: str | None, name: str) -> bool:
     """Does the catalogue have the table?"""
-    return spark.catalog.tableExists(f"{root}.{name}" if root else name)
+    return spark.catalog.tableExists(f"`{root}`.`{name}`" if root else name)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
