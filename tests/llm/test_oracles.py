@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
