@@ -18,14 +18,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, codec: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it again.
 
     Later jobs survive lost executors, and Spark knows the size of the table when it
     chooses between a broadcast and a shuffle join.
     """
     path = scratch_path(df.sparkSession, f"llm/{tag}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

@@ -5,7 +5,7 @@ pairs of words with the words' continuation counts (after how many different wor
 with the continuation counts of the words' beginnings (in how many different words a beginning
 occurs), so that inflected or compound forms support each other, and at last with one distribution that
 both classes share: in how many of all documents, labelled or not, a word occurs. The absolute discounts are
-``n1 / (n1 + 2 n2)`` of each class and level, from its counts of counts.
+``n1 / (n1 + 2 n2)`` of each class and level, from its counts of counts (one half where there are none).
 
 A token's evidence is the log ratio of its probabilities under the two models, read at the longest of its
 expressions (pair, word, beginning) on which the classes differ beyond chance: where the likelihood-ratio
@@ -22,9 +22,7 @@ documented bound of the classifier, the same at every size, so that they can be
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,10 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, scratch_columns, small, stored
-from .licenses import words
+from .lm_scoring import pair_keys, tokenised
 
 _STEM = 5                               # bytes of a word's beginning
 _START = 0                              # key of the left word at the start
+_LEFT = (1 << 32) - 1
 _G2 = 15.0                              # of one degree of freedom: about one in 10 000 by chance
 EVIDENCE = ("mean", "by_root", "size")
 
@@ -46,33 +45,42 @@ def word_key(w: bytes) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(w), "little", signed=True) or 1
 
 
-class Numbers(dict):
-    """Numbers of a task's words, as they come, with the keys of the words and of their beginnings.
+# Upper case to lower, and every byte that no word has to a space.
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+class Words:
+    """The words of some texts, one after the other, as numbers, with the keys of the words and of their beginnings."""
+
+    def __init__(self, texts: list[bytes]):
+        every, sizes, kinds = tokenised([t.translate(_LOWER) for t in texts])
+        ends = np.cumsum(sizes)
+        self.every = np.delete(every, ends - 1)                  # without the ends of texts
+        self.sizes, self.n = sizes - 1, len(texts)
+        self.doc = np.repeat(np.arange(self.n), self.sizes)
+        self.key = np.fromiter(map(word_key, kinds[:-1]), np.int64, len(kinds) - 1)
+        self.stem = np.fromiter(map(word_key, [w[:_STEM] for w in kinds[:-1]]), np.int64, len(kinds) - 1)
+        # the word before each: -1 at the start of a text
+        self.left = np.concatenate(([-1], self.every[:-1]))[:len(self.every)]
+        self.left[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = -1
+
+
+def _in_parts(texts: Iterable[bytes], size: int = 8 << 20) -> Iterator[list[bytes]]:
+    """Texts in lists of so many bytes, or one longer text: bounds the memory."""
+    part, held = [], 0
+    for t in texts:
+        if part and held + len(t) > size:
+            yield part
+            part, held = [], 0
+        part.append(t)
+        held += len(t)
+    if part:
+        yield part
 
-    Forgotten when ``size`` words are known, so that the memory of a long task is bounded.
-    """
 
-    def __init__(self, size: int = 1 << 19):
-        super().__init__()
-        self.key, self.stem = np.zeros(size, np.int64), np.zeros(size, np.int64)
-
-    def __missing__(self, w: bytes) -> int:
-        self[w] = n = len(self)
-        return n
-
-    def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        total = sum(map(len, texts))
-        if len(self) + total > len(self.key):
-            self.clear()
-            if total > len(self.key):
-                self.key, self.stem = np.zeros(total, np.int64), np.zeros(total, np.int64)
-        before = len(self)
-        at = [np.fromiter(map(self.__getitem__, ws), np.int64, len(ws)) for ws in texts]
-        if len(self) > before:
-            new = list(islice(reversed(self), len(self) - before))[::-1]
-            self.key[before:len(self)] = [word_key(w) for w in new]
-            self.stem[before:len(self)] = [word_key(w[:_STEM]) for w in new]
-        return at
+def left_keys(key: np.ndarray) -> np.ndarray:
+    """Short keys of left words: 32 bits tell apart the words before one word. Zero is the start."""
+    return key & _LEFT
 
 
 def _in_documents(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,21 +93,17 @@ def _in_documents(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.nd
 _COUNTS = "kind int, left long, word long, n long, docs long, toxic boolean"
 
 
-def _counted(texts: list[bytes], toxic: bool, numbers: Numbers) -> Iterator[pd.DataFrame]:
+def _counted(texts: list[bytes], toxic: bool) -> Iterator[pd.DataFrame]:
     """The pairs (kind 2), words (1, ``left`` being the beginning's key) and beginnings (0) of texts of one class."""
-    at = numbers.of([words(t) for t in texts])
-    every = np.concatenate(at)
-    if not len(every):
+    w = Words(texts)
+    if not len(w.every):
         return
-    doc = np.repeat(np.arange(len(at)), [len(a) for a in at])
-    left = np.concatenate(([0], every[:-1] + 1))
-    left[np.concatenate(([True], doc[1:] != doc[:-1]))] = 0
-    pairs, n, docs = _in_documents(left << 32 | every, doc, len(at))
+    pairs, n, docs = _in_documents((w.left + 1) << 32 | w.every, w.doc, w.n)
     first = (pairs >> 32) - 1
-    yield pd.DataFrame({"kind": 2, "left": np.where(first < 0, _START, numbers.key[first]), "word": numbers.key[pairs & 0xFFFFFFFF], "n": n, "docs": docs})
-    w, n, docs = _in_documents(every, doc, len(at))
-    yield pd.DataFrame({"kind": 1, "left": numbers.stem[w], "word": numbers.key[w], "n": n, "docs": docs})
-    s, n, docs = _in_documents(numbers.stem[every], doc, len(at))
+    yield pd.DataFrame({"kind": 2, "left": np.where(first < 0, _START, left_keys(w.key[first])), "word": w.key[pairs & 0xFFFFFFFF], "n": n, "docs": docs})
+    at, n, docs = _in_documents(w.every, w.doc, w.n)
+    yield pd.DataFrame({"kind": 1, "left": w.stem[at], "word": w.key[at], "n": n, "docs": docs})
+    s, n, docs = _in_documents(w.stem[w.every], w.doc, w.n)
     yield pd.DataFrame({"kind": 0, "left": 0, "word": s, "n": n, "docs": docs})
 
 
@@ -115,65 +119,62 @@ def differs(toxic: Column, plain: Column, toxic_docs: int, plain_docs: int) -> C
 class Model:
     """Log ratios (toxic to ordinary) of the differing expressions, and the curve.
 
-    ``pairs`` by the keys of both words, ``words`` and ``stems`` by one key; an expression that is not held is
-    read at the next shorter one, and has ratio 0 where none is held.
+    ``pairs`` by the short key of the left word and the key of the word, ``words`` and ``stems`` by one key; an
+    expression that is not held is read at the next shorter one, and has ratio 0 where none is held.
     """
 
     def __init__(self, pairs: dict[tuple[int, int], float], words: dict[int, float], stems: dict[int, float], curve=None):
         self.pairs, self.words, self.stems = pairs, words, stems
-        self.lefts = {left for left, _ in pairs}
         self.curve = np.zeros(len(EVIDENCE) + 1) if curve is None else curve
-        self._known = None
+        lefts, rights = (np.array([k[i] for k in pairs], np.int64) for i in (0, 1))
+        self._lefts, self._rights = np.unique(lefts), np.unique(rights)
+        self._word, self._stem = _Table(words), _Table(stems)
+        self._pair = _Table({int(k): r for k, r in zip(pair_keys(lefts.view(np.uint64), rights.view(np.uint64)).view(np.int64), pairs.values())})
 
-    def __getstate__(self):
-        return self.__dict__ | {"_known": None}
-
-    def of_word(self, w: bytes) -> float:
-        r = self.words.get(word_key(w))
-        return self.stems.get(word_key(w[:_STEM]), 0.0) if r is None else r
-
-    def log_ratios(self, ws: list[bytes]) -> list[float]:
+    def log_ratios(self, w: Words) -> np.ndarray:
         """log p(word | left word, toxic) - log p(word | left word, ordinary) of every token."""
-        if self._known is None:
-            self._known = _Ratios(self)
-        out = list(map(self._known.__getitem__, ws))
-        if self._known.lefts_among(ws):
-            left = _START
-            for i, w in enumerate(ws):
-                key = word_key(w) if left in self.lefts else None
-                out[i] = self.pairs.get((left, key), out[i]) if key is not None else out[i]
-                left = word_key(w)
+        by_word = self._word.get(w.key, self._stem.get(w.stem, np.zeros(len(w.key))))
+        out = by_word[w.every] if len(by_word) else np.zeros(0)
+        if len(self.pairs) and len(w.every):
+            left = left_keys(w.key)
+            begins, ends = _among(left, self._lefts), _among(w.key, self._rights)
+            met = np.flatnonzero(np.where(w.left < 0, _START in self._lefts, begins[w.left]) & ends[w.every])
+            first = np.where(w.left[met] < 0, _START, left[w.left[met]])
+            out[met] = self._pair.get(pair_keys(first.view(np.uint64), w.key[w.every[met]].view(np.uint64)).view(np.int64), out[met])
         return out
 
-    def evidence(self, text: bytes) -> tuple[float, float, float]:
-        ws = words(text)
-        if not ws:
-            return 0.0, 0.0, 0.0
-        total = sum(self.log_ratios(ws))
-        return total / len(ws), total / len(ws) ** 0.5, float(np.log1p(len(ws)))
+    def evidence(self, texts: list[bytes]) -> np.ndarray:
+        """A row of ``EVIDENCE`` for each text; zeros for texts without words."""
+        out = []
+        for part in _in_parts(texts):
+            w = Words(part)
+            total, n = np.bincount(w.doc, weights=self.log_ratios(w), minlength=w.n), np.maximum(w.sizes, 1)
+            out.append(np.column_stack([total / n, total / np.sqrt(n), np.log1p(w.sizes)]))
+        return np.concatenate(out) if out else np.zeros((0, len(EVIDENCE)))
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-np.clip(self.curve[0] + self.evidence(texts) @ self.curve[1:], -30, 30)))
 
-    def score(self, text: bytes) -> float:
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.curve @ np.array([1.0, *self.evidence(text)]), -30, 30))))
 
+class _Table:
+    """Numbers by key, looked up for whole columns."""
 
-class _Ratios(dict):
-    """Ratios of a task's words, looked up once each while ``size`` of them are known, and which of them begin held pairs."""
+    def __init__(self, values: dict[int, float]):
+        self.keys = np.array(sorted(values), np.int64)
+        self.values = np.array([values[k] for k in self.keys.tolist()], float)
 
-    def __init__(self, model: Model, size: int = 1 << 19):
-        super().__init__()
-        self.model, self.size, self.first = model, size, set()
+    def get(self, keys: np.ndarray, other: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return other
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at], other)
 
-    def __missing__(self, w: bytes) -> float:
-        if len(self) >= self.size:
-            self.clear()
-            self.first.clear()
-        if word_key(w) in self.model.lefts:
-            self.first.add(w)
-        self[w] = r = self.model.of_word(w)
-        return r
 
-    def lefts_among(self, ws: list[bytes]) -> bool:
-        return _START in self.model.lefts or not self.first.isdisjoint(ws)
+def _among(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which keys are held (sorted)."""
+    if not len(held):
+        return np.zeros(len(keys), bool)
+    return held[np.minimum(np.searchsorted(held, keys), len(held) - 1)] == keys
 
 
 def fold(id_col: Column) -> Column:
@@ -189,7 +190,7 @@ class _Level:
     """One class's counts of a level: their discount, their sum and the mass that is left to the level below."""
 
     def __init__(self, ones: float, twos: float, total: float, kinds: float):
-        self.discount = ones / (ones + 2 * twos) if ones else 0.5
+        self.discount = ones / (ones + 2 * twos) if ones and twos else 0.5
         self.total, self.rest = max(total, 1.0), self.discount * kinds / max(total, 1.0) if total else 1.0
 
     def share(self, count: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -204,21 +205,18 @@ def _levels(rows: DataFrame, columns: tuple[str, str]) -> list[_Level]:
 
 def document_counts(docs: DataFrame, text_col: str, wanted: set[int], stems: set[int]) -> tuple[dict[int, int], dict[int, int], int]:
     """In how many documents each wanted word occurs; the same summed over all words with each of the
-    ``stems``, and over all words. A row per expression and batch is shuffled."""
-    shipped = docs.sparkSession.sparkContext.broadcast((wanted, stems))
+    ``stems``, and over all words. A row per expression and part of a task is shuffled."""
+    shipped = docs.sparkSession.sparkContext.broadcast((np.array(sorted(wanted), np.int64), np.array(sorted(stems), np.int64)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ours, ours_stem = shipped.value
-        for f in frames:
-            seen, by_stem, total = Counter(), Counter(), 0
-            for t in f[text_col]:
-                seen.update(set(words(t)))
-            for w, n in seen.items():
-                by_stem[w[:_STEM]] += n
-                total += n
-            got = [(1, k, n) for w, n in seen.items() if (k := word_key(w)) in ours]
-            got += [(0, k, n) for s, n in by_stem.items() if (k := word_key(s)) in ours_stem]
-            yield pd.DataFrame([*got, (2, 0, total)], columns=["kind", "key", "n"])
+        for part in _in_parts(t for f in frames for t in f[text_col]):
+            w = Words(part)
+            seen = np.bincount(np.unique(w.every << 32 | w.doc) >> 32, minlength=len(w.key))
+            mine, with_stem = _among(w.key, ours), _among(w.stem, ours_stem)
+            at, inverse = np.unique(w.stem[with_stem], return_inverse=True)
+            yield pd.DataFrame({"kind": np.repeat([1, 0, 2], [mine.sum(), len(at), 1]), "key": np.concatenate((w.key[mine], at, [0])),
+                                "n": np.concatenate((seen[mine], np.bincount(inverse, weights=seen[with_stem], minlength=len(at)).astype(np.int64), [seen.sum()]))})
     found = (docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias(text_col))
                  .mapInPandas(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas())
     by = {k: dict(zip(g["key"].tolist(), g["n"].tolist())) for k, g in found.groupby("kind")}
@@ -251,24 +249,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers = Numbers()
-        for f in frames:                                     # a batch at a time bounds the memory
-            for label, part in f.groupby(c_label):
-                for rows in _counted(list(part[c_text]), bool(label), numbers):
-                    yield rows.assign(toxic=bool(label))
+        for f in frames:
+            for label, rows in f.groupby(c_label):
+                for part in _in_parts(rows[c_text]):
+                    for counted in _counted(part, bool(label)):
+                        yield counted.assign(toxic=bool(label))
     t = F.col("toxic")
     of = lambda c, is_toxic: F.sum(F.when(t if is_toxic else ~t, F.col(c)).otherwise(0))                               # noqa: E731
-    counts = stored(texts.mapInPandas(count, _COUNTS).groupBy("kind", "left", "word").agg(
-        of("n", True).alias("nt"), of("n", False).alias("np"), of("docs", True).alias("dt"), of("docs", False).alias("dp")), "toxic-counts")
+    counts = stored(texts.mapInPandas(count, _COUNTS).groupBy("kind", "word", "left").agg(
+        of("n", True).alias("nt"), of("n", False).alias("np"), of("docs", True).alias("dt"), of("docs", False).alias("dp")), "toxic-counts", "zstd")
     totals = {bool(r[0]): r[1] for r in texts.groupBy(F.col(c_label)).count().collect()}
     n_toxic, n_plain = totals.get(True, 0), totals.get(False, 0)
     g2 = differs(F.col("dt"), F.col("dp"), n_toxic, n_plain)
 
     pairs = counts.where("kind = 2").drop("kind")
     followed = pairs.groupBy("word").agg(F.sum((F.col("nt") > 0).cast("long")).alias("kt"), F.sum((F.col("np") > 0).cast("long")).alias("kp"))
-    known = stored(counts.where("kind = 1").select("word", F.col("left").alias("stem"), "dt", "dp").join(followed, "word"), "toxic-words")
+    known = stored(counts.where("kind = 1").select("word", F.col("left").alias("stem"), "dt", "dp").join(followed, "word"), "toxic-words", "zstd")
     in_words = known.groupBy("stem").agg(F.sum((F.col("kt") > 0).cast("long")).alias("jt"), F.sum((F.col("kp") > 0).cast("long")).alias("jp"))
-    begun = stored(counts.where("kind = 0").select(F.col("word").alias("stem"), "dt", "dp").join(in_words, "stem"), "toxic-stems")
+    begun = stored(counts.where("kind = 0").select(F.col("word").alias("stem"), "dt", "dp").join(in_words, "stem"), "toxic-stems", "zstd")
 
     def kept(rows: DataFrame, *keys: str) -> DataFrame:
         """The differing expressions, bounded in number."""
@@ -337,7 +335,7 @@ def _evidence(rows: DataFrame, model: Model, text_col: str, label_col: str) -> D
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shipped.value
         for f in frames:
-            got = np.array([m.evidence(t) for t in f[text_col]]).reshape(-1, len(EVIDENCE))
+            got = m.evidence(list(f[text_col]))
             yield f[[label_col]].assign(**{c: got[:, k] for k, c in enumerate(EVIDENCE)})
     return rows.mapInPandas(run, f"`{label_col}` int, " + ", ".join(f"{c} double" for c in EVIDENCE))
 
@@ -354,7 +352,7 @@ def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str =
     @F.pandas_udf("double")
     def run(s: pd.Series) -> pd.Series:
         m = shipped.value
-        return pd.Series([m.score(t) for t in s], dtype=float)
+        return pd.Series(m.scores(list(s)), dtype=float)
     return docs.withColumn(out, run(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
