@@ -16,13 +16,14 @@ diluted by what is neutral); a logistic curve, fitted on labelled rows that the
 it into a score.
 
 Counts are Spark aggregations over all rows, under 64-bit keys of the words. What scoring needs is the
-ratios of the differing expressions, ``most`` of each kind at the most (those with the largest G2): a
-documented bound of the classifier, the same at every size, so that they can be held by every worker.
+ratios of the differing expressions, all of them: a sliver of the counted ones (some 26 000 on 0.8 GB of
+texts), held by every worker as sorted columns of 16 bytes an expression. The curve is fitted on every row
+that is set aside for it, by sums that Spark takes over them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -119,28 +120,28 @@ def differs(toxic: Column, plain: Column, toxic_docs: int, plain_docs: int) -> C
 class Model:
     """Log ratios (toxic to ordinary) of the differing expressions, and the curve.
 
-    ``pairs`` by the short key of the left word and the key of the word, ``words`` and ``stems`` by one key; an
-    expression that is not held is read at the next shorter one, and has ratio 0 where none is held.
+    ``pairs`` as columns ``left`` (the short key of the left word), ``word`` and ``ratio``, ``words`` and ``stems``
+    by one key; an expression that is not held is read at the next shorter one, and has ratio 0 where none is held.
     """
 
-    def __init__(self, pairs: dict[tuple[int, int], float], words: dict[int, float], stems: dict[int, float], curve=None):
-        self.pairs, self.words, self.stems = pairs, words, stems
+    def __init__(self, pairs, words, stems, curve=None):
+        pairs = pd.DataFrame(pairs, columns=["left", "word", "ratio"])
         self.curve = np.zeros(len(EVIDENCE) + 1) if curve is None else curve
-        lefts, rights = (np.array([k[i] for k in pairs], np.int64) for i in (0, 1))
+        lefts, rights = (pairs[c].to_numpy(np.int64) for c in ("left", "word"))
         self._lefts, self._rights = np.unique(lefts), np.unique(rights)
-        self._word, self._stem = _Table(words), _Table(stems)
-        self._pair = _Table({int(k): r for k, r in zip(pair_keys(lefts.view(np.uint64), rights.view(np.uint64)).view(np.int64), pairs.values())})
+        self.words, self.stems = _Table(words), _Table(stems)
+        self.pairs = _Table(pd.Series(pairs["ratio"].to_numpy(float), pair_keys(lefts.view(np.uint64), rights.view(np.uint64)).view(np.int64)))
 
     def log_ratios(self, w: Words) -> np.ndarray:
         """log p(word | left word, toxic) - log p(word | left word, ordinary) of every token."""
-        by_word = self._word.get(w.key, self._stem.get(w.stem, np.zeros(len(w.key))))
+        by_word = self.words.get(w.key, self.stems.get(w.stem, np.zeros(len(w.key))))
         out = by_word[w.every] if len(by_word) else np.zeros(0)
         if len(self.pairs) and len(w.every):
             left = left_keys(w.key)
             begins, ends = _among(left, self._lefts), _among(w.key, self._rights)
             met = np.flatnonzero(np.where(w.left < 0, _START in self._lefts, begins[w.left]) & ends[w.every])
             first = np.where(w.left[met] < 0, _START, left[w.left[met]])
-            out[met] = self._pair.get(pair_keys(first.view(np.uint64), w.key[w.every[met]].view(np.uint64)).view(np.int64), out[met])
+            out[met] = self.pairs.get(pair_keys(first.view(np.uint64), w.key[w.every[met]].view(np.uint64)).view(np.int64), out[met])
         return out
 
     def evidence(self, texts: list[bytes]) -> np.ndarray:
@@ -157,11 +158,23 @@ class Model:
 
 
 class _Table:
-    """Numbers by key, looked up for whole columns."""
+    """Numbers by key, in two sorted columns, looked up for whole columns."""
 
-    def __init__(self, values: dict[int, float]):
-        self.keys = np.array(sorted(values), np.int64)
-        self.values = np.array([values[k] for k in self.keys.tolist()], float)
+    def __init__(self, values):
+        found = pd.Series(values, dtype=float).sort_index()
+        self.keys, self.values = found.index.to_numpy(np.int64), found.to_numpy(float)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __eq__(self, other) -> bool:
+        return np.array_equal(self.keys, other.keys) and np.array_equal(self.values, other.values)
+
+    def __getitem__(self, key: int) -> float:
+        return float(self.values[np.flatnonzero(self.keys == key)[0]])
+
+    def items(self) -> Iterator[tuple[int, float]]:
+        return zip(self.keys.tolist(), self.values.tolist())
 
     def get(self, keys: np.ndarray, other: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -224,14 +237,15 @@ def document_counts(docs: DataFrame, text_col: str, wanted: set[int], stems: set
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          learn: Column | None = None, curve_rows: int = 20_000, curve_part: int = 8, least_g2: float = _G2, most: int = 200_000) -> Model:
+          learn: Column | None = None, curve_rows: int | None = None, curve_part: int = 8, least_g2: float = _G2, most: int | None = None) -> Model:
     """Count the models over ``docs`` and fit the curve.
 
     Labels are read only from rows where ``learn`` holds (all, by default); of those, one in
-    ``curve_part`` fits the curve, ``curve_rows`` ids at most (the ones with the smallest folds, a
-    documented bound), and all others are counted. Documents without a label, or with a label
+    ``curve_part`` fits the curve and all others are counted. Documents without a label, or with a label
     other than 0 and 1, take part in the shared counts. An id with two labels is counted for both.
-    Tables without rows or labels give a model that scores every text alike. The model holds the ``most``
+    Tables without rows or labels give a model that scores every text alike. The model holds every
+    differing expression. Neither is bounded, unless the caller wants a smaller model: ``curve_rows`` ids
+    (the ones with the smallest folds) for the curve, the others then being counted, and the ``most``
     expressions of each kind with the largest G2, ties to the smaller keys.
     """
     c_id, c_text, c_label, c_use, c_fold = scratch_columns(docs, "_id", "_text", "_label", "_use", "_fold")
@@ -243,7 +257,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = stored(docs.where(learnable).select(key).distinct().join(marks, F.col(id_col) == F.col(c_id))
                         .select(c_id, c_label, (F.floor(fold(key) / 4) % curve_part == 0).alias(c_use), fold(key).alias(c_fold)),
                     "toxic-marks")
-    chosen = stored(marked.where(F.col(c_use)).select(c_id, c_fold).distinct().orderBy(c_fold, c_id).limit(curve_rows).select(c_id), "toxic-curve")
+    use = marked.where(F.col(c_use)).select(c_id, c_fold).distinct()
+    chosen = stored((use if curve_rows is None else use.orderBy(c_fold, c_id).limit(curve_rows)).select(c_id), "toxic-curve")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     learned = small(stored(marked.join(chosen, c_id, "left_anti").select(c_id, c_label), "toxic-learned"))
     texts = docs.select(key, text.alias(c_text)).join(learned, F.col(id_col) == F.col(c_id)).select(c_text, c_label)
@@ -269,17 +284,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     begun = stored(counts.where("kind = 0").select(F.col("word").alias("stem"), "dt", "dp").join(in_words, "stem"), "toxic-stems", "zstd")
 
     def kept(rows: DataFrame, *keys: str) -> DataFrame:
-        """The differing expressions, bounded in number."""
+        """The differing expressions."""
         strong = rows.withColumn("g2", g2).where(F.col("g2") >= least_g2)
-        return stored(strong.orderBy(F.col("g2").desc(), *keys).limit(most), "toxic-kept").drop("g2")
+        return stored(strong if most is None else strong.orderBy(F.col("g2").desc(), *keys).limit(most), "toxic-kept").drop("g2")
     k_pairs, k_words, k_stems = kept(pairs, "left", "word"), kept(known, "word"), kept(begun, "stem")
-    # the lower levels of what is kept, and the contexts of the kept pairs: lookups by a bounded table
-    w_rows = known.join(F.broadcast(k_pairs.select("word").union(k_words.select("word")).distinct()), "word").select("word", "stem", "kt", "kp")
+    # the lower levels of what is kept, and the contexts of the kept pairs: lookups by a small table, as long as it is one
+    few = F.broadcast if sum(k.count() for k in (k_pairs, k_words, k_stems)) <= 1_000_000 else lambda table: table
+    w_rows = known.join(few(k_pairs.select("word").union(k_words.select("word")).distinct()), "word").select("word", "stem", "kt", "kp")
     need = w_rows.select("stem").union(k_stems.select("stem")).distinct()
-    s_rows = begun.join(F.broadcast(need), "stem").select("stem", "jt", "jp").toPandas()
-    contexts = (pairs.join(F.broadcast(k_pairs.select("left").distinct()), "left").groupBy("left").agg(
+    s_rows = begun.join(few(need), "stem").select("stem", "jt", "jp").toPandas()
+    contexts = (pairs.join(few(k_pairs.select("left").distinct()), "left").groupBy("left").agg(
         F.sum("nt").alias("ct"), F.sum("np").alias("cp"), F.sum((F.col("nt") > 0).cast("long")).alias("tt"), F.sum((F.col("np") > 0).cast("long")).alias("tp")))
-    p_rows = k_pairs.select("left", "word", "nt", "np").join(F.broadcast(contexts), "left").toPandas()
+    p_rows = k_pairs.select("left", "word", "nt", "np").join(few(contexts), "left").toPandas()
     w_rows, k_words, k_stems = w_rows.toPandas(), k_words.select("word").toPandas(), k_stems.select("stem").toPandas()
     at_pair, at_word, at_stem = _levels(pairs, ("nt", "np")), _levels(known, ("kt", "kp")), _levels(begun, ("jt", "jp"))
     seen, seen_stem, seen_all = document_counts(docs.select(F.col(text_col).alias(c_text)), c_text, set(w_rows["word"].tolist()), set(s_rows["stem"].tolist()))
@@ -298,32 +314,66 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         own = np.maximum(p_rows["n" + x].to_numpy(float) - d, 0) / np.maximum(total, 1)
         logs_s.append(np.log(s)), logs_w.append(np.log(w)), logs_p.append(np.log(own + back * w.reindex(p_rows["word"]).to_numpy()))
     r_stem, r_word, r_pair = logs_s[0] - logs_s[1], logs_w[0] - logs_w[1], logs_p[0] - logs_p[1]
-    model = Model(dict(zip(zip(p_rows["left"].tolist(), p_rows["word"].tolist()), r_pair.tolist())),
-                  r_word[k_words["word"].to_numpy(np.int64)].to_dict(), r_stem[k_stems["stem"].to_numpy(np.int64)].to_dict())
+    model = Model(p_rows[["left", "word"]].assign(ratio=r_pair), r_word[k_words["word"].to_numpy(np.int64)], r_stem[k_stems["stem"].to_numpy(np.int64)])
     for used in (counts, known, begun):
         discard(used)
 
     calibrate = marked.join(chosen, c_id, "left_semi").select(c_id, c_label)
     rows = docs.select(key, text.alias(c_text)).join(small(calibrate), F.col(id_col) == F.col(c_id))
-    found = _evidence(rows.select(c_text, c_label), model, c_text, c_label).toPandas()
-    model.curve = fit_curve(found[list(EVIDENCE)].to_numpy(float), found[c_label].to_numpy(float))
+    found = stored(_evidence(rows.select(c_text, c_label), model, c_text, c_label), "toxic-evidence")
+    model.curve = curve_over(found, c_label)
     return model
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
     """Logistic regression by Newton's method; with one class or none, that class's smoothed rate."""
-    rate = (y.sum() + 0.5) / (len(y) + 1.0)
-    beta = np.zeros(x.shape[1] + 1)
+    design = np.column_stack([np.ones(len(x)), x])
+
+    def sums(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z = design @ beta
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return (np.logaddexp(0, z) - y * z).sum(), design.T @ (y - p), (design * (p * (1 - p))[:, None]).T @ design
+    return newton(sums, len(y), y.sum(), x.shape[1], ridge, rounds)
+
+
+def curve_over(rows: DataFrame, label_col: str, x: tuple[str, ...] = EVIDENCE, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """:func:`fit_curve` on the rows of a stored table, however many: each round is one aggregation, of which
+    the driver gets a row with the sums of the loss, its slope and its curvature."""
+    n, ones = (float(v or 0) for v in rows.agg(F.count(F.lit(1)), F.sum(label_col)).first())
+    design = [F.lit(1.0), *map(F.col, x)]
+
+    def sums(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z, y = sum((v * F.lit(float(b)) for v, b in zip(design[1:], beta[1:])), F.lit(float(beta[0]))), F.col(label_col)
+        p = 1 / (1 + F.exp(-z))
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - y * z
+        at = rows.select(loss.alias("_l"), (y - p).alias("_e"), (p * (1 - p)).alias("_v"), *[v.alias(f"_x{i}") for i, v in enumerate(design)])
+        xs = [F.col(f"_x{i}") for i in range(len(design))]
+        got = at.agg(F.sum("_l"), *[F.sum(v * F.col("_e")) for v in xs], *[F.sum(v * u * F.col("_v")) for i, v in enumerate(xs) for u in xs[i:]]).first()
+        upper = np.zeros((len(xs), len(xs)))
+        upper[np.triu_indices(len(xs))] = got[1 + len(xs):]
+        return got[0], np.array(got[1:1 + len(xs)]), upper + np.triu(upper, 1).T
+    return np.round(newton(sums, n, ones, len(x), ridge, rounds), 7)          # the order of the sums shows beyond
+
+
+def newton(sums: Callable, n: float, ones: float, k: int, ridge: float, rounds: int) -> np.ndarray:
+    """The coefficients with the least loss, by its ``sums`` over all rows. A step that raises the loss is halved:
+    whole steps run away where the curve is flat, as it is for classes that are almost apart."""
+    beta, keep, rate = np.zeros(k + 1), np.diag([0.0] + [ridge] * k) * 0.1, (ones + 0.5) / (n + 1.0)
     beta[0] = np.log(rate / (1 - rate))
-    if len(y) == 0 or y.min() == y.max():
+    if ones in (0, n):
         return beta
-    design = np.column_stack([np.ones(len(x)), x])
-    keep = np.diag([0.0] + [ridge] * x.shape[1]) * 0.1
+
+    def at(b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        loss, slope, bend = sums(b)
+        return loss + b @ keep @ b / 2, slope - keep @ b, bend + keep + 1e-9 * np.eye(len(b))
+    loss, slope, bend = at(beta)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + keep + 1e-9 * np.eye(len(beta)),
-                               design.T @ (y - p) - keep @ beta)
-        beta += np.clip(step, -5, 5)
+        step = np.linalg.solve(bend, slope)
+        tried = at(beta + step)
+        while tried[0] > loss + 1e-10 * (1 + abs(loss)) and np.abs(step).max() >= 1e-8:
+            step = step / 2
+            tried = at(beta + step)
+        beta, (loss, slope, bend) = beta + step, tried
         if np.abs(step).max() < 1e-8:
             break
     return beta

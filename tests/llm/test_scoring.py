@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 import zlib
@@ -202,3 +203,36 @@ def test_labels_beyond_the_curve_are_counted(corpus):
     assert sum(zlib.crc32(str(i).encode()) // 4 % 2 == 0 for i in truth) > 200
     model = toxicity.train(docs, labels, curve_part=2, curve_rows=30)
     assert np.allclose(log_ratios(model, b"gan moronic moronic"), [*brute_ratios(rows, truth, 2, 30, 15.0)("gan moronic moronic")], atol=1e-9)
+
+
+def test_no_label_of_the_curve_is_counted(spark):
+    """All rows set aside for the curve fit it, however many: a word that only they hold is never counted."""
+    mine = F.floor(toxicity.fold(F.col("doc_id")) / 4) % 2 == 0
+    docs = spark.range(48_000).withColumnRenamed("id", "doc_id").withColumn("toxic", (F.col("doc_id") % 3 == 0).cast("int"))
+    docs = docs.withColumn("text", F.when(F.col("toxic") == 0, "gan lerk").when(mine, "gan zap").otherwise("gan moronic"))
+    assert docs.where(mine).count() > 20_000
+    model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), curve_part=2)
+    assert log_ratios(model, b"zap") == [0.0] and log_ratios(model, b"moronic")[0] > 2
+
+
+def test_the_model_holds_every_differing_expression(corpus):
+    docs, labels, rows, truth = corpus
+    assert inspect.signature(toxicity.train).parameters["most"].default is None
+    model = toxicity.train(docs, labels, least_g2=0.5)
+    bounded = toxicity.train(docs, labels, least_g2=0.5, most=10**6)
+    assert len(model.pairs) == len(bounded.pairs) > 100 and dict(model.words.items()) == pytest.approx(dict(bounded.words.items()))
+
+
+@pytest.mark.parametrize("gap", [0.0, 6.0, 40.0])
+def test_the_curve_is_the_minimum(spark, gap):
+    """Classes that are almost or wholly apart: no whole Newton step runs away, and Spark's sums find the same curve."""
+    rng = np.random.default_rng(4)
+    y = (rng.random(3000) < 0.1).astype(float)
+    root = np.where(y == 1, gap, -0.3 * gap) + rng.standard_normal(3000) * np.where(y == 1, 3 + gap / 4, 0.2)
+    x = np.column_stack([root / rng.uniform(5, 70, 3000), root, np.log1p(rng.integers(20, 4000, 3000))])
+    beta = toxicity.fit_curve(x, y)
+    design = np.column_stack([np.ones(len(x)), x])
+    p = 1 / (1 + np.exp(-np.clip(design @ beta, -700, 700)))
+    assert np.abs(design.T @ (y - p) - 0.1 * np.array([0, 1, 1, 1]) * beta).max() < 1e-5
+    rows = spark.createDataFrame([(*map(float, v), int(b)) for v, b in zip(x, y)], ", ".join(f"{c} double" for c in toxicity.EVIDENCE) + ", y int")
+    assert np.allclose(toxicity.curve_over(rows, "y"), beta, atol=1e-6)
