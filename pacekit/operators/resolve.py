@@ -12,8 +12,10 @@ Semantics (the reference's):
     final >= 95; the last accepted candidate wins (the lowest ratio).
 
 Plan (no pair loop, no cross join): every accepted pair has ratio >= 94.39, i.e.
-Indel distance <= k = floor(101 * T / 1800) (T = total length). Candidates come from an inverted index
-over 3-grams, exactly: k edits destroy at most 3 k of a string's numbered 3-grams, so two such strings share
+Indel distance <= k = floor(101 * T / 1800) (T = total length). Up to T = 53, k is 2 at most: two such strings are
+equal after at most two deletions in all, so they are found by equality on the strings with letters left out
+(one of each, or up to two of the longer one), which yields the pairs themselves and no other candidates,
+however much text the names share. Longer candidates come from an inverted index over 3-grams, exactly: k edits destroy at most 3 k of a string's numbered 3-grams, so two such strings share
 all but 3 k of them, and if each string's grams are ordered from rare to frequent, the first 3 k + c
 of both have c in common. Only these go into the index, with their places (a shared gram moves by k places at
 most), so it has some 0.4 rows a character; frequent grams, a common name half for one, are hardly ever in it.
@@ -38,6 +40,7 @@ THRESHOLD_X10 = 950   # final score 95.0
 MIN_NAME_SCORE = 85.0
 TOP_K = 5
 GRAM = 3
+SHORT = 53            # total length up to which two deletions decide
 
 
 def profiles(rows: DataFrame, name: str = "Nom_clean", sex: str = "Sexe", speed: str = "speed_kmh") -> DataFrame:
@@ -82,6 +85,37 @@ def _index(keys: DataFrame, key: str, equi: list[str], shared: int) -> DataFrame
                    .select(*row, F.col("_c").alias("c"), "_t.g", "_t.p", "_t.q"))
 
 
+def _less_one(s: Column, start=1) -> Column:
+    """``s`` without one letter, from place ``start`` on: a string for each."""
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda i: (i >= start) & (F.length(s) > 0))
+    return F.transform(places, lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1)))
+
+
+def _less_two(s: Column) -> Column:
+    """``s`` without any two letters."""
+    n = F.length(s)
+    places = F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: n > 1)
+    return F.flatten(F.transform(places, lambda i: _less_one(F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1)), i)))
+
+
+def _short_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str]) -> DataFrame:
+    """The different strings of a total length up to ``SHORT`` within the distance, with their LCS: joins on equal rests."""
+    def rests(df: DataFrame, side: str, made: Column) -> DataFrame:
+        return df.select(*equi, F.col(key).alias(side), F.explode(F.array_distinct(made)).alias("_rest"))
+    s, n = F.col(key), F.length(key)
+    whole = lambda df, side: df.select(*equi, F.col(key).alias(side), F.col(key).alias("_rest"))                          # noqa: E731
+    # of T letters in all, 18 allow for one and 36 for two deletions
+    some = lambda df, side: rests(df.where(2 * n - 1 >= 18), side, F.concat(_less_one(s), F.when(2 * n - 2 >= 36, _less_two(s)).otherwise(F.array().cast("array<string>"))))
+    one = lambda df, side: rests(df.where(2 * n >= 36), side, _less_one(s))                                               # noqa: E731
+    on = [*equi, "_rest"]
+    same_size = one(left, "l_key").join(one(right, "r_key"), on).where("l_key <> r_key")
+    found = same_size.unionByName(whole(left, "l_key").join(some(right, "r_key"), on)).unionByName(some(left, "l_key").join(whole(right, "r_key"), on))
+    size = F.length("l_key") + F.length("r_key")
+    apart = F.when(F.length("l_key") == F.length("r_key"), 2).otherwise(F.abs(F.length("l_key") - F.length("r_key")))
+    return (found.where((size <= SHORT) & (apart <= max_indel(size))).select(*equi, "l_key", "r_key").distinct()
+                 .withColumn("lcs", ((size - apart) / 2).cast("int")))
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] | None = None,
                   max_len: int | None = None, shared: int = 3) -> DataFrame:
     """All (l, r) with Indel distance(l.key, r.key) <= floor(101 * T / 1800), exactly.
@@ -95,29 +129,33 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
     def keys_of(df, side):
         return df.select(key, *equi).where(F.length(key) > 0).distinct().withColumn("_side", F.lit(side))
     both = keys_of(left, 1) if itself else keys_of(left, 1).unionByName(keys_of(right, 2))
-    keys = both.groupBy(key, *equi).agg(F.bit_or("_side").alias("_side"))
-    index = cut_lineage(_index(keys, key, equi, shared))             # read twice by the join
+    keys = cut_lineage(both.groupBy(key, *equi).agg(F.bit_or("_side").alias("_side")))
+    short = keys.where(2 * F.length(key) - 2 <= SHORT)
+    ours, theirs = (short, short) if itself else (short.where("_side & 1 > 0"), short.where("_side & 2 > 0"))
+    close = _short_pairs(ours, theirs, key, equi)
+    # a string of l letters has no partner of more than 1901 l / 1699
+    index = cut_lineage(_index(keys.where(F.length(key) * 3600 / 1699 > SHORT), key, equi, shared))             # read twice by the join
     if max_len is None:  # one small aggregate: decides the UDF branch
         max_len = index.agg(F.max(F.length(key))).first()[0] or 1
     a = index.select("g", *equi, F.col(key).alias("l_key"), F.col("_side").alias("_sl"), F.col("c").alias("_cl"), F.col("p").alias("_pl"), F.col("q").alias("_ql"))
     b = index.select("g", *equi, F.col(key).alias("r_key"), F.col("_side").alias("_sr"), F.col("c").alias("_cr"), F.col("p").alias("_pr"), F.col("q").alias("_qr"))
     total, k = F.length("l_key") + F.length("r_key"), max_indel(F.length("l_key") + F.length("r_key"))
-    sides = F.col("l_key") <= F.col("r_key") if itself else F.col("_sl").bitwiseAND(1) + F.col("_sr").bitwiseAND(2) == 3
-    met = a.join(b, ["g", *equi]).where(sides & (F.abs(F.length("l_key") - F.length("r_key")) <= k)
+    sides = F.col("l_key") < F.col("r_key") if itself else F.col("_sl").bitwiseAND(1) + F.col("_sr").bitwiseAND(2) == 3
+    met = a.join(b, ["g", *equi]).where(sides & (total > SHORT) & (F.col("l_key") != F.col("r_key")) & (F.abs(F.length("l_key") - F.length("r_key")) <= k)
                                        & (F.col("_pl") - k <= F.col("_qr")) & (F.col("_pr") - k <= F.col("_ql")))
     cand = (met.groupBy(*equi, "l_key", "r_key").agg(F.count(F.lit(1)).alias("_m"), F.min(F.least("_cl", "_cr")).alias("_need"))
                .where(F.col("_m") >= F.col("_need")).select(*equi, "l_key", "r_key"))
     shorter = F.length("l_key") <= F.length("r_key")
     cand = (cand.withColumn("_xstr", F.when(shorter, F.col("l_key")).otherwise(F.col("r_key")))
                 .withColumn("_ystr", F.when(shorter, F.col("r_key")).otherwise(F.col("l_key"))).withColumn("_xlen", F.length("_xstr")))
-    same = cand.where("l_key = r_key").withColumn("lcs", F.col("_xlen"))
-    other = cut_lineage(cand.where("l_key <> r_key"))                # the character masks are then made once a string
+    same = (keys if itself else keys.where("_side = 3")).select(*equi, F.col(key).alias("l_key"), F.col(key).alias("r_key"), F.length(key).alias("lcs"))
+    other = cut_lineage(cand)                                        # the character masks are then made once a string
     masks = other.select("_xstr").distinct().withColumn("_xmask", char_masks("_xstr"))
     verified = with_lcs(other.join(cut_lineage(masks), "_xstr"), "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
     found = verified.where(total - 2 * F.col("lcs") <= max_indel(total)).select(*equi, "l_key", "r_key", "lcs")
     if itself:                                                       # both orders of each pair
         found = found.unionByName(found.select(*equi, F.col("r_key").alias("l_key"), F.col("l_key").alias("r_key"), "lcs"))
-    return found.unionByName(same.select(*equi, "l_key", "r_key", "lcs"))
+    return found.unionByName(close).unionByName(same)
 
 
 def _ratio(lcs, total):

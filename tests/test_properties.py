@@ -257,3 +257,21 @@ def test_segmented_asof_equals_window_asof_with_hot_runner(spark):
             assert (x is None) == (y is None)
             if x is not None:
                 assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
+
+
+@pytest.mark.parametrize("itself", [True, False])
+def test_short_names_meet_without_the_index(spark, monkeypatch, itself):
+    """Names that share most of their text meet by equal rests alone, on one side and on two, against all pairs."""
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("ABC") for _ in range(rng.randint(0, 4))) for _ in range(40)})
+    rows = [((w + " " + base).strip(), k) for base in ("COLD GEAR", "COLD GEAR LARGE", "X") for w in words for k in ("H", "F")]
+    rows += [("", "H"), ("A" * 26, "H"), ("A" * 27, "H"), ("A" * 25, "H"), ("é漢" * 9, "F"), ("é漢" * 8 + "é", "F")]
+    indexed, index = [], RV._index
+    monkeypatch.setattr(RV, "_index", lambda keys, *a: indexed.append(keys) or index(keys, *a))
+    both = [spark.createDataFrame([r for i, r in enumerate(rows) if itself or i % 3 != side], "k string, s string") for side in (0, 1)]
+    got = RV.similar_pairs(both[0], both[0] if itself else both[1], "k", ["s"]).collect()
+    left, right = ([tuple(r) for r in b.collect() if r.k] for b in both)
+    want = {(s, a, b, lcs_dp(a, b)) for a, s in left for b, t in right if s == t
+            and abs(len(a) - len(b)) <= 2 and len(a) + len(b) - 2 * lcs_dp(a, b) <= (101 * (len(a) + len(b))) // 1800}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert max(len(r.k) for r in indexed[0].select("k").collect()) == 27 and indexed[0].count() <= 2
