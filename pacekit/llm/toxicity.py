@@ -352,7 +352,7 @@ def curve_over(rows: DataFrame, label_col: str, x: tuple[str, ...] = EVIDENCE, r
         upper = np.zeros((len(xs), len(xs)))
         upper[np.triu_indices(len(xs))] = got[1 + len(xs):]
         return got[0], np.array(got[1:1 + len(xs)]), upper + np.triu(upper, 1).T
-    return np.round(newton(sums, n, ones, len(x), ridge, rounds), 7)          # the order of the sums shows beyond
+    return np.round(newton(sums, n, ones, len(x), ridge, rounds), 9)          # the order of the sums shows beyond
 
 
 def newton(sums: Callable, n: float, ones: float, k: int, ridge: float, rounds: int) -> np.ndarray:
