@@ -51,12 +51,12 @@ def add_history(df: DataFrame, entity: str = "runner_id", time: str = "date", ev
                 segmented: bool = True) -> DataFrame:
     """W5-W11 (see :func:`add_history_windows`).
 
-    Default: the segmented prefix scan (``operators.prefix``), which spreads a
-    hot entity over many tasks; ``segmented=False`` uses one window per entity.
+    Default: entities of many rows take the segmented prefix scan (``operators.prefix``), which spreads
+    them over many tasks, all others a window; ``segmented=False`` uses one window for every entity.
     """
     if segmented:
-        from .prefix import add_history_segmented
-        return add_history_segmented(df, entity, time, event, tiebreak, speed, z)
+        from .prefix import add_history_split
+        return add_history_split(df, entity, time, event, tiebreak, speed, z)
     return add_history_windows(df, entity, time, event, tiebreak, speed, z)
 
 

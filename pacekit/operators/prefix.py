@@ -3,13 +3,17 @@
 ``history.add_history`` uses one window per entity: correct, but an entity
 holding a third of all rows is one task.  Here the rows are range-partitioned
 on (entity, order) -- Spark cuts a hot entity across many partitions -- and
-the order is fixed once with a reliable checkpoint.  Each (partition, entity)
+the order is fixed once with a cut to files.  Each (partition, entity)
 *segment* computes its local prefix aggregates with ordinary windows; the
 state carried in from the entity's earlier segments (count, mean, M2 and max
 per measure, earliest date, last three rows) comes from a small table with one
 row per segment.  Moments are merged with the parallel-variance formula
 (Chan et al.), the same merge Spark uses for partial aggregates, so the result
 equals the window version to floating-point rounding.
+
+Only entities of more than ``HOT_ROWS`` rows need that; their number is that of
+the rows over ``HOT_ROWS`` at most, and :func:`hot_entities` finds them by a count. All others
+take plain windows after one exchange by entity (:func:`add_history_split`), nothing written in between.
 """
 
 from __future__ import annotations
@@ -17,10 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_to_files
 from .joins import join_null_safe
 
 _POS_BITS = 33
+HOT_ROWS = 100_000          # rows of an entity that one task sorts without strain
 
 
 def _last(arr: Column, k: int) -> Column:
@@ -52,12 +57,25 @@ def _running_moments(tag: str, before) -> Column:
 
 
 def _sorted_segments(df: DataFrame, keys: list, n: int) -> DataFrame:
-    """Range-partition + sort on ``keys``; ``_pid`` / ``_lpos`` fixed by a reliable checkpoint."""
+    """Range-partition + sort on ``keys``; ``_pid`` / ``_lpos`` fixed by a cut."""
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_lpos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS)))
-    return cut_lineage(s)
+    return cut_to_files(s)
+
+
+def hot_entities(df: DataFrame, entity: str, hot_rows: int | None = None) -> list:
+    """The entities (null may be one) of more than ``hot_rows`` rows."""
+    counted = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > (HOT_ROWS if hot_rows is None else hot_rows))
+    return [r[0] for r in counted.select(entity).collect()]
+
+
+def split_hot(df: DataFrame, entity: str, hot: list) -> tuple[DataFrame, DataFrame]:
+    """``(ordinary, hot)`` rows."""
+    some = [x for x in hot if x is not None]
+    is_hot = F.coalesce(F.col(entity).isin(some), F.lit(False)) | F.lit(None in hot) & F.col(entity).isNull()
+    return df.where(~is_hot), df.where(is_hot)
 
 
 def fill_last_segmented(df: DataFrame, entity: str, order: list, value: str, out: str,
@@ -181,3 +199,52 @@ def add_history_segmented(df: DataFrame, entity: str = "runner_id", time: str =
     if not inclusive:
         drop += ["last_date", "first_date"]
     return out.drop(*drop)
+
+
+def add_history_split(df: DataFrame, entity: str = "runner_id", time: str = "date", event: str = "race_id", tiebreak: str = "result_id",
+                      speed: str = "speed_kmh", z: str = "speed_z_race", state: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+    """:func:`add_history_segmented` for the entities of more than ``hot_rows`` rows, windows by entity for all others."""
+    args = (entity, time, event, tiebreak, speed, z)
+    hot = hot_entities(df, entity, hot_rows)
+    ordinary, many = split_hot(df, entity, hot) if hot else (df, None)
+    out = _history_by_entity(ordinary, *args, state=state)
+    return out if many is None else out.unionByName(add_history_segmented(many, *args, state=state))
+
+
+def _history_by_entity(df: DataFrame, entity: str, time: str, event: str, tiebreak: str, speed: str, z: str, state: DataFrame | None) -> DataFrame:
+    """The features by windows over an entity's rows, after one exchange; a stored state is one more row, before all others."""
+    from .history import add_history_windows
+    if state is None:
+        return add_history_windows(df, entity, time, event, tiebreak, speed, z)
+    held = F.struct(*[c for c in state.columns if c != entity])
+    stored = state.select(F.col(entity), held.alias("_state"))
+    kind = stored.schema["_state"].dataType
+    stream = df.withColumn("_state", F.lit(None).cast(kind)).unionByName(stored, allowMissingColumns=True)
+    w = Window.partitionBy(entity).orderBy(F.col("_state").isNull(), F.col(time).asc_nulls_last(), F.col(event), F.col(tiebreak))
+    past, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
+    is_row = F.col("_state").isNull()
+    row = F.when(is_row, F.struct(F.col(speed).cast("double").alias("v"), F.col(z).cast("double").alias("z"), F.col(time).alias("d")))
+    cols = [F.first("_state").over(upto).alias("_st"), F.coalesce(F.sum(is_row.cast("long")).over(past), F.lit(0).cast("long")).alias("_k"),
+            F.collect_list(row).over(w.rowsBetween(-3, -1)).alias("_prev3"), F.min(time).over(upto).alias("_dmin")]
+    for tag, c in (("s", speed), ("z", z)):
+        n = F.count(c).over(past)
+        cols += [n.alias(f"_n{tag}"), F.coalesce(F.avg(c).over(past), F.lit(0.0)).alias(f"_m{tag}"),
+                 F.coalesce(F.var_pop(c).over(past) * n, F.lit(0.0)).alias(f"_q{tag}"), F.max(c).over(past).alias(f"_x{tag}")]
+    s = stream.select("*", *cols).where(is_row)
+    st, zero = F.col("_st"), F.lit(0).cast("long")
+    tail = _last(F.concat(F.coalesce(st["tail"], F.slice(F.col("_prev3"), 1, 0)), F.col("_prev3")), 3)
+    s = s.withColumn("_p3", tail)
+
+    def mean_of(field):
+        vals = F.filter(F.transform("_p3", lambda r: r[field]), lambda x: x.isNotNull())
+        return F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda a, x: a + x) / F.size(vals))
+    feats = [(F.coalesce(st["rows"], zero) + F.col("_k")).cast("int").alias("prior_race_count")]
+    for tag, name in (("s", "speed"), ("z", "z")):
+        n, mean, m2 = _moments_merge(F.coalesce(st[f"n{tag}"], zero), F.coalesce(st[f"m{tag}"], F.lit(0.0)), F.coalesce(st[f"q{tag}"], F.lit(0.0)),
+                                     F.col(f"_n{tag}"), F.col(f"_m{tag}"), F.col(f"_q{tag}"))
+        feats += [F.when(n > 0, mean).alias(f"prior_avg_{name}"), F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(f"prior_std_{name}"),
+                  F.greatest(st[f"x{tag}"], F.col(f"_x{tag}")).alias(f"prior_best_{name}")]
+    feats += [mean_of("v").alias("recent_speed_roll3"), mean_of("z").alias("recent_z_roll3"),
+              F.datediff(F.col(time), F.try_element_at(F.col("_p3"), F.lit(-1))["d"]).cast("double").alias("days_since_last_race"),
+              (F.datediff(F.col(time), F.least(st["first_date"], F.col("_dmin"))) / F.lit(365.25)).alias("runner_history_years")]
+    return s.select(*df.columns, *feats)

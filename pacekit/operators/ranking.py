@@ -18,23 +18,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_to_files
 from .joins import join_checked, join_null_safe
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_partition
 
 
-def _positions(df: DataFrame, group_cols: list[str], order_cols: list, n_parts: int | None = None) -> DataFrame:
-    """Add ``_gpos``: 0-based global position in (group, order) sort order."""
+def _numbered(df: DataFrame, group_cols: list[str], order_cols: list, n_parts: int | None = None) -> DataFrame:
+    """Range-partition + sort on (group, order); ``_pid`` / ``_lpos`` number the rows, to be fixed by a cut."""
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = (df.repartitionByRange(n, *keys)
-           .sortWithinPartitions(*keys)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_lpos", F.monotonically_increasing_id()
-                       - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS)))
-    s = cut_lineage(s)  # one fixed numbering for all branches below
+    return (df.repartitionByRange(n, *keys)
+              .sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_lpos", F.monotonically_increasing_id()
+                          - F.shiftleft(F.spark_partition_id().cast("long"), _POS_BITS)))
+
+
+def _positions(df: DataFrame, group_cols: list[str], order_cols: list, n_parts: int | None = None) -> DataFrame:
+    """Add ``_gpos``: 0-based global position in (group, order) sort order."""
+    s = cut_lineage(_numbered(df, group_cols, order_cols, n_parts))  # one fixed numbering for all branches below
     sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a proven size bound, safe to broadcast
@@ -44,16 +48,27 @@ def _positions(df: DataFrame, group_cols: list[str], order_cols: list, n_parts:
              .drop("_pid", "_lpos", "_off"))
 
 
-def group_row_number(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "rn") -> DataFrame:
+def group_row_number(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "rn",
+                     within: dict[str, list[str]] | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order_cols)`` without a per-group task.
 
-    ``order_cols`` must make the order total inside a group for a deterministic result.
+    ``order_cols`` must make the order total inside a group for a deterministic result. ``within`` gives further
+    numbers by the same order, in the groups that its columns divide each group into (name -> columns): they take
+    the same sort, a row's number being that in its partition after what the earlier partitions hold.
     """
-    s = _positions(df, group_cols, order_cols)
-    first = s.groupBy(*group_cols).agg(F.min("_gpos").alias("_gfirst"))
-    return (join_null_safe(s, first, group_cols)
-            .withColumn(out, (F.col("_gpos") - F.col("_gfirst") + 1).cast("int"))
-            .drop("_gpos", "_gfirst"))
+    fixed = s = cut_to_files(_numbered(df, group_cols, order_cols))  # one fixed numbering for all branches below
+    for name, more in [(out, []), *(within or {}).items()]:
+        groups = [*group_cols, *more]
+        # a row per group and partition
+        sizes = fixed.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_lpos").alias("_start"))
+        earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        before = sizes.select("_pid", *groups, "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        if more:
+            s = s.withColumn("_here", F.row_number().over(Window.partitionBy("_pid", *groups).orderBy("_lpos")))
+        # a group's rows lie side by side in a partition's order: there the place itself is the number
+        here = F.col("_here") if more else F.col("_lpos") - F.col("_start") + 1
+        s = join_null_safe(s, before, ["_pid", *groups]).withColumn(name, (F.col("_before") + here).cast("int")).drop("_start", "_before", "_here")
+    return s.drop("_pid", "_lpos")
 
 
 def _counted_positions(df: DataFrame, group_cols: list[str], value: str) -> DataFrame:
@@ -67,8 +82,8 @@ def _counted_positions(df: DataFrame, group_cols: list[str], value: str) -> Data
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in [*group_cols, "_v"]]
-    s = cut_lineage(counted.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                           .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    s = cut_to_files(counted.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                            .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
     sizes = s.groupBy("_pid").agg(F.sum("_c").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a proven size bound, safe to broadcast

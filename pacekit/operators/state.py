@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import join_null_safe
-from .prefix import _last, _moments_merge, add_history_segmented
+from .prefix import _last, _moments_merge, add_history_split
 
 MEASURES = {"s": "speed_kmh", "z": "speed_z_race"}
 
@@ -58,6 +58,6 @@ def merge_states(before: DataFrame, after: DataFrame, entity: str = "runner_id")
 
 def extend_history(rows: DataFrame, state: DataFrame | None, entity: str = "runner_id") -> tuple[DataFrame, DataFrame]:
     """History features of new rows, all later than the stored ones, and the state after them."""
-    features = add_history_segmented(rows, entity, state=state)
+    features = add_history_split(rows, entity, state=state)
     own = history_state(rows, entity)
     return features, own if state is None else merge_states(state, own, entity)

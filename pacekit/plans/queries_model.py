@@ -10,6 +10,7 @@ from . import reports as R
 from . import scoring as S
 from .catalog import register
 from .features import build_features
+from ..session import stage_table
 from ..sources.tables import table
 from .oracle import FEATURES_SQL, RESULTS_CTE, with_ctes
 from .oracle_model import COEFFICIENTS, PROBE_Z, model_sql
@@ -17,7 +18,8 @@ from .sqlfmt import time_sql
 
 
 def _features(spark, sf):
-    return build_features(adapters.results(spark, sf))
+    """The feature table, a stage: the training, the analysis table and what reads both build it once."""
+    return stage_table(spark, f"features:{sf}", lambda: build_features(adapters.results(spark, sf)))
 
 
 @register("temporal_split", """

@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from ..sources import adapters, warehouse as WH
 from .catalog import register
-from .features import build_features
 from ..operators.history import add_group_zscore
 from ..operators.state import extend_history
 from .oracle import HISTORY_CTE, RACE_STATS_CTE, RESULTS_CTE, with_ctes
 from .queries_cleaning import cleaned
 from .oracle_model import model_sql
-from .queries_model import _PREDICTED, _coarse, _coarse_sql, _trained
+from .queries_model import _PREDICTED, _coarse, _coarse_sql, _features, _trained
 from .queries_profiling import C as CLEANED_CTES
 from . import profiling as PR
 from . import star as ST
@@ -74,7 +73,7 @@ FROM f LEFT JOIN pred pr USING (source_result_id)"""), *_PREDICTED))
 def prediction_writeback(spark, sf):
     """Analysis table loaded (truncate-and-load, columns ensured), then predictions written back."""
     root = WH.new_warehouse(spark)
-    WH.load_analysis(spark, root, build_features(adapters.results(spark, sf)))
+    WH.load_analysis(spark, root, _features(spark, sf))
     table, n = WH.write_back_predictions(spark, root, _trained(spark, sf)["predictions"])
     return _coarse(table.select("analysis_id", "source_result_id", *WH.PREDICTION_COLUMNS)
                         .withColumn("updated_rows", F.lit(n).cast("long")))

@@ -66,6 +66,16 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def cut_to_files(df):
+    """Rows written once as Parquet below the shared folder and read back: a lineage cut that is compressed and read
+    by column, which a checkpoint (serialised rows) is not. For wide rows that several branches read in part."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"cuts/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)

@@ -65,8 +65,7 @@ def results(spark: SparkSession, sf_dir: str, with_positions: bool = True) -> Da
         return r
 
     def build():
-        x = group_row_number(r, ["race_id"], ["time_sec", "result_id"], "position")
-        return group_row_number(x, ["race_id", "category"], ["time_sec", "result_id"], "position_category")
+        return group_row_number(r, ["race_id"], ["time_sec", "result_id"], "position", within={"position_category": ["category"]})
     return stage_table(spark, f"results:{sf_dir}", build)
 
 
@@ -103,6 +102,17 @@ def _raw_categories():
     return list(CATEGORY_MAP) + ["ZZZ"]
 
 
+def with_people(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Each result's ``part`` and ``customer`` columns, by its runner.
+
+    Both tables grow with the data while their compressed files stay small: Spark, which goes by the files' size,
+    would collect them on the driver and send them out. Merge joins on the one key deal each side once.
+    """
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("runner_id"), "p_name", "p_type")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("runner_id"), "c_mktsegment")
+    return rows.join(p.hint("merge"), "runner_id", "left").join(c.hint("merge"), "runner_id", "left")
+
+
 GARBLED_RACE_EVERY = 40  # races whose header gives a garbled course name
 
 
@@ -114,9 +124,7 @@ def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = results(spark, sf_dir)
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("runner_id"), "p_name", "p_type")
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("runner_id"), "c_mktsegment")
-    j = r.join(p, "runner_id", "left").join(c, "runner_id", "left")
+    j = with_people(spark, sf_dir, r)
     rid = F.col("result_id")
     base = F.concat_ws(" ", "p_name", "p_type")
     nom = (F.when(rid % 101 == 0, F.lit("#N/A"))

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from . import adapters
-from .tables import table
 
 ROWS_PER_PAGE = 40
 # Categories used by the documents (all known to the fallback pattern) and weekdays.
@@ -44,9 +43,7 @@ def _season(race_id):
 def result_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per result the raw values a ranking document shows."""
     r = adapters.results(spark, sf_dir)
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("runner_id"), "p_name", "p_type")
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("runner_id"), "c_mktsegment")
-    j = r.join(p, "runner_id", "left").join(c, "runner_id", "left")
+    j = adapters.with_people(spark, sf_dir, r)
     rid = F.col("result_id")
     t = F.col("time_sec")
     season = _season(F.col("race_id"))

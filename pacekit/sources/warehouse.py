@@ -60,6 +60,12 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append", parti
     (w.bucketBy(buckets, bucket).sortBy(bucket) if bucket else w).saveAsTable(f"{root}.{name}")
 
 
+def by_partition(df: DataFrame, column: str) -> DataFrame:
+    """Rows dealt by the column their files are laid out by: small partitions of the table are one file, large
+    ones are cut into several by Spark, so that the few years there are do not bound the tasks."""
+    return df.hint("rebalance", F.col(column))
+
+
 def _last_id(spark: SparkSession, root: str, name: str) -> int:
     """The largest id given so far in a table."""
     noted = read_table(spark, root, IDS)
@@ -202,7 +208,7 @@ def load_analysis(spark: SparkSession, root: str, features: DataFrame) -> DataFr
     f = global_index(features, ["source_result_id"], "_i").withColumn("analysis_id", (F.col("_i") + 1).cast("long")).drop("_i")
     if table_exists(spark, root, ANALYSIS):
         return truncate_and_load(spark, root, ANALYSIS, f)
-    write_table(f.repartition("year"), root, ANALYSIS, partition="year")
+    write_table(by_partition(f, "year"), root, ANALYSIS, partition="year")
     return add_columns(spark, root, ANALYSIS, PREDICTION_TYPES)
 
 
@@ -219,7 +225,7 @@ def write_back_predictions(spark: SparkSession, root: str, predictions: DataFram
     p = predictions.groupBy(key).agg(F.max(F.struct("predicted_z", *[c for c in PREDICTION_COLUMNS if c != "predicted_z"])).alias("_p"))
     p = p.select(key, *[F.col(f"_p.{c}").alias(c) for c in PREDICTION_COLUMNS])
     base = (table if years is None else table.where(F.col("year").isin(years))).drop(*PREDICTION_COLUMNS)
-    new = truncate_and_load(spark, root, ANALYSIS, base.join(p, key, "left").repartition("year"), dynamic=years is not None)
+    new = truncate_and_load(spark, root, ANALYSIS, by_partition(base.join(p, key, "left"), "year"), dynamic=years is not None)
     return new, new.where(F.col("predicted_z").isNotNull()).count()
 
 
