@@ -66,8 +66,10 @@ class Words:
         self.left[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = -1
 
 
-def _in_parts(texts: Iterable[bytes], size: int = 8 << 20) -> Iterator[list[bytes]]:
-    """Texts in lists of so many bytes, or one longer text: bounds the memory."""
+def _in_parts(texts: Iterable[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Texts in lists of so many bytes, or one longer text: bounds the memory.
+
+    The words and pairs of a part take some 25 times its bytes, which a worker keeps as long as it lives."""
     part, held = [], 0
     for t in texts:
         if part and held + len(t) > size:

@@ -1,10 +1,12 @@
 import inspect
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,6 +199,31 @@ def test_words_of_texts():
     assert model.evidence([]).shape == (0, 3) and model.evidence([b""]).tolist() == [[0.0, 0.0, 0.0]]
 
 
+def test_many_texts_of_a_task_take_little_memory():
+    """Counting and scoring hold the words and pairs of a small part at a time, and the sums are those of all texts at once."""
+    rng = random.Random(2)
+    vocabulary = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    texts = [" ".join(rng.choices(vocabulary, k=600)).encode() for _ in range(2000)]
+    model = toxicity.Model({"left": [], "word": [], "ratio": []}, {toxicity.word_key(vocabulary[0].encode()): 1.5}, {})
+
+    def peak(run):
+        tracemalloc.start()
+        got = run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return got, most / 1e6
+    counts, most = peak(lambda: sum(int(c["n"].sum()) for part in toxicity._in_parts(texts) for c in toxicity._counted(part, True)))
+    assert counts == 3 * 600 * 2000 and most < 60
+    found, most = peak(lambda: model.evidence(texts))
+    assert np.allclose(found[:, 0], [1.5 * t.split().count(vocabulary[0].encode()) / 600 for t in texts]) and most < 60
+    whole = [c.sort_values(["left", "word"], ignore_index=True) for c in toxicity._counted(texts[:300], False)]
+    parts = [c for part in toxicity._in_parts(texts[:300]) for c in toxicity._counted(part, False)]
+    assert len(parts) > len(whole) == 3
+    for w in whole:
+        mine = pd.concat([c for c in parts if c["kind"].iloc[0] == w["kind"].iloc[0]]).groupby(["kind", "left", "word"], as_index=False).sum()
+        pd.testing.assert_frame_equal(mine, w[mine.columns], check_dtype=False)
+
+
 def test_labels_beyond_the_curve_are_counted(corpus):
     """With few rows for the curve the others are counted: the insult's ratio is that of brute force over them."""
     docs, labels, rows, truth = corpus
