@@ -224,6 +224,64 @@ def test_many_texts_of_a_task_take_little_memory():
         pd.testing.assert_frame_equal(mine, w[mine.columns], check_dtype=False)
 
 
+def shuffled(frame):
+    """Bytes that the exchanges of a collected query wrote."""
+    total, plans = 0, [frame._jdf.queryExecution().executedPlan()]
+    while plans:
+        p = plans.pop()
+        if "QueryStage" in p.nodeName():
+            plans.append(p.plan())
+        elif p.nodeName() == "AdaptiveSparkPlan":
+            plans.append(p.executedPlan())
+        else:
+            total += p.metrics().apply("shuffleBytesWritten").value() if p.nodeName() == "Exchange" else 0
+            plans += [p.children().apply(i) for i in range(p.children().size())]
+    return total
+
+
+def test_counting_shuffles_few_bytes_a_pair(spark, monkeypatch):
+    """All expressions are counted as by brute force, and take some ten bytes each in the shuffle (as rows 20 and more)."""
+    rng = random.Random(4)
+    vocabulary = [f"{rng.randrange(10**6)}w" for _ in range(4000)]
+    rows = [(i, " ".join(vocabulary[int(len(vocabulary) * rng.random() ** 3)] for _ in range(300)), int(i % 5 == 0)) for i in range(300)]
+    rows += [(1000, None, 1), (1001, "", 0), (1002, " ., ", 0), (1003, rows[0][1], 0), (1004, "solo", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").coalesce(2)
+    seen, write = [], toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, tag, *rest: (tag == "toxic-counts" and seen.append(df)) or write(df, tag, *rest))
+    toxicity.train(docs.drop("toxic"), docs.drop("text"), curve_rows=0)
+    got = seen[0].toPandas()
+    n, d = ({k: Counter() for k in (0, 1)} for _ in range(2))
+    for _, text, toxic in rows:
+        ks = [toxicity.word_key(w) for w in words((text or "").encode())]
+        stems = [toxicity.word_key(w[:5]) for w in words((text or "").encode())]
+        mine = Counter([(2, b, (a & 0xFFFFFFFF) if i else 0) for i, (a, b) in enumerate(zip([0, *ks], ks))] + [*zip([1] * len(ks), ks, stems)] + [(0, s, 0) for s in stems])
+        n[toxic].update(mine)
+        d[toxic].update(set(mine))
+    assert {tuple(r[:3]): tuple(r[3:]) for r in got[["kind", "word", "left", "nt", "np", "dt", "dp"]].itertuples(index=False)} == {
+        k: (n[1][k], n[0][k], d[1][k], d[0][k]) for k in n[0] | n[1]}
+    assert len(got) == len(n[0] | n[1]) > 30_000 and shuffled(seen[0]) < 15 * len(got)
+
+
+def test_blocks_of_many_parts_hold_every_count():
+    """However few rows wait, the sums are the same; a word beside many others is dealt to many buckets, each key to one."""
+    rng = np.random.default_rng(6)
+    left = np.append(rng.integers(0, 1 << 32, 3000), [0, (1 << 32) - 1, 1 << 31])
+    frames = [(bool(i % 3 == 0), pd.DataFrame({"kind": k, "left": rng.choice(left, 900) if k else 0, "word": rng.choice([7, -7, 1 << 62], 900), "n": 2, "docs": 1}))
+              for i in range(12) for k in (0, 1, 2)]
+    frames.append((True, pd.DataFrame({"kind": [1, 1], "left": [-(1 << 63), -1], "word": [1, 2], "n": [1 << 40, 1], "docs": [1, 1]})))
+    keys = ["kind", "toxic", "word", "left"]
+    want = pd.concat([f.assign(toxic=t) for t, f in frames]).groupby(keys)[["n", "docs"]].sum()
+    for held in (1, 2000, 10**6):
+        rows = pd.concat(toxicity._blocks(iter(frames), 40, held))
+        flat = rows.explode(["word", "low", "high", "n", "docs"])
+        flat["left"] = flat["high"].astype("int64") * (1 << 32) + flat["low"].astype("int64") % (1 << 32)
+        flat = flat.astype({c: "int64" for c in ("word", "n", "docs")})
+        pd.testing.assert_frame_equal(flat.groupby(keys)[["n", "docs"]].sum(), want, check_index_type=False)
+        assert flat.groupby(["kind", "word", "left"])["bucket"].nunique().max() == 1 and flat["bucket"].between(0, 39).all()
+        assert flat[(flat["kind"] == 2) & (flat["word"] == 7)]["bucket"].nunique() > 15
+    assert [*toxicity._blocks(iter([]), 40)] == []
+
+
 def test_labels_beyond_the_curve_are_counted(corpus):
     """With few rows for the curve the others are counted: the insult's ratio is that of brute force over them."""
     docs, labels, rows, truth = corpus
