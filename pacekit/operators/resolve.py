@@ -41,6 +41,7 @@ MIN_NAME_SCORE = 85.0
 TOP_K = 5
 GRAM = 3
 SHORT = 53            # total length up to which two deletions decide
+PART_KEYS = 5000      # strings a task takes apart into rests or grams
 
 
 def profiles(rows: DataFrame, name: str = "Nom_clean", sex: str = "Sexe", speed: str = "speed_kmh") -> DataFrame:
@@ -79,7 +80,7 @@ def _index(keys: DataFrame, key: str, equi: list[str], shared: int) -> DataFrame
     rarity = grams.groupBy("g").agg(F.count(F.lit(1)).alias("_n"))
     # ly - lx <= 101 (lx + ly) / 1800 bounds the partner's length, hence k by 202 lx / 1699
     most = GRAM * F.floor(length * 202 / 1699)
-    ordered = (grams.join(rarity, "g").groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("_n", "g", "p", "q"))).alias("_gs")))
+    ordered = (grams.join(rarity.hint("merge"), "g").groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("_n", "g", "p", "q"))).alias("_gs")))
     wanted = F.least(F.lit(shared), F.size("_gs") - most)
     return (ordered.withColumn("_c", wanted).withColumn("_t", F.explode(F.slice("_gs", F.lit(1), most + F.col("_c"))))
                    .select(*row, F.col("_c").alias("c"), "_t.g", "_t.p", "_t.q"))
@@ -98,8 +99,20 @@ def _less_two(s: Column) -> Column:
     return F.flatten(F.transform(places, lambda i: _less_one(F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1)), i)))
 
 
+def _both_orders(pairs: DataFrame, equi: list[str]) -> DataFrame:
+    """Each pair (l_key, r_key) and its mirror image."""
+    def pair(left, right):
+        return F.struct(F.col(left).alias("l_key"), F.col(right).alias("r_key"))
+    return pairs.select(*equi, F.inline(F.array(pair("l_key", "r_key"), pair("r_key", "l_key"))), "lcs")
+
+
 def _short_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str]) -> DataFrame:
-    """The different strings of a total length up to ``SHORT`` within the distance, with their LCS: joins on equal rests."""
+    """The different strings of a total length up to ``SHORT`` within the distance, with their LCS: joins on equal rests.
+
+    Spark takes an exploded side for as small as its strings, some 200 times too small, and would collect it on
+    the driver to send it out: merge joins deal both sides.
+    """
+    itself = left is right
     def rests(df: DataFrame, side: str, made: Column) -> DataFrame:
         return df.select(*equi, F.col(key).alias(side), F.explode(F.array_distinct(made)).alias("_rest"))
     s, n = F.col(key), F.length(key)
@@ -108,12 +121,15 @@ def _short_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str]) -
     some = lambda df, side: rests(df.where(2 * n - 1 >= 18), side, F.concat(_less_one(s), F.when(2 * n - 2 >= 36, _less_two(s)).otherwise(F.array().cast("array<string>"))))
     one = lambda df, side: rests(df.where(2 * n >= 36), side, _less_one(s))                                               # noqa: E731
     on = [*equi, "_rest"]
-    same_size = one(left, "l_key").join(one(right, "r_key"), on).where("l_key <> r_key")
-    found = same_size.unionByName(whole(left, "l_key").join(some(right, "r_key"), on)).unionByName(some(left, "l_key").join(whole(right, "r_key"), on))
+    found = one(left, "l_key").join(one(right, "r_key").hint("merge"), on).where("l_key < r_key" if itself else "l_key <> r_key")
+    found = found.unionByName(whole(left, "l_key").join(some(right, "r_key").hint("merge"), on))
+    if not itself:
+        found = found.unionByName(some(left, "l_key").join(whole(right, "r_key").hint("merge"), on))
     size = F.length("l_key") + F.length("r_key")
     apart = F.when(F.length("l_key") == F.length("r_key"), 2).otherwise(F.abs(F.length("l_key") - F.length("r_key")))
-    return (found.where((size <= SHORT) & (apart <= max_indel(size))).select(*equi, "l_key", "r_key").distinct()
-                 .withColumn("lcs", ((size - apart) / 2).cast("int")))
+    found = (found.where((size <= SHORT) & (apart <= max_indel(size))).select(*equi, "l_key", "r_key").distinct()
+                  .withColumn("lcs", ((size - apart) / 2).cast("int")))
+    return _both_orders(found, equi) if itself else found
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] | None = None,
@@ -130,18 +146,21 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
         return df.select(key, *equi).where(F.length(key) > 0).distinct().withColumn("_side", F.lit(side))
     both = keys_of(left, 1) if itself else keys_of(left, 1).unionByName(keys_of(right, 2))
     keys = cut_lineage(both.groupBy(key, *equi).agg(F.bit_or("_side").alias("_side")))
+    # one small aggregate: decides the UDF branch and the parts
+    n_keys, longest = keys.agg(F.count(F.lit(1)), F.max(F.length(key))).first()
+    max_len = max_len or longest or 1
+    if n_keys > PART_KEYS:                                           # parts by size would hold far too many rests
+        keys = keys.repartition(-(-n_keys // PART_KEYS), key)
     short = keys.where(2 * F.length(key) - 2 <= SHORT)
     ours, theirs = (short, short) if itself else (short.where("_side & 1 > 0"), short.where("_side & 2 > 0"))
     close = _short_pairs(ours, theirs, key, equi)
     # a string of l letters has no partner of more than 1901 l / 1699
     index = cut_lineage(_index(keys.where(F.length(key) * 3600 / 1699 > SHORT), key, equi, shared))             # read twice by the join
-    if max_len is None:  # one small aggregate: decides the UDF branch
-        max_len = index.agg(F.max(F.length(key))).first()[0] or 1
     a = index.select("g", *equi, F.col(key).alias("l_key"), F.col("_side").alias("_sl"), F.col("c").alias("_cl"), F.col("p").alias("_pl"), F.col("q").alias("_ql"))
     b = index.select("g", *equi, F.col(key).alias("r_key"), F.col("_side").alias("_sr"), F.col("c").alias("_cr"), F.col("p").alias("_pr"), F.col("q").alias("_qr"))
     total, k = F.length("l_key") + F.length("r_key"), max_indel(F.length("l_key") + F.length("r_key"))
     sides = F.col("l_key") < F.col("r_key") if itself else F.col("_sl").bitwiseAND(1) + F.col("_sr").bitwiseAND(2) == 3
-    met = a.join(b, ["g", *equi]).where(sides & (total > SHORT) & (F.col("l_key") != F.col("r_key")) & (F.abs(F.length("l_key") - F.length("r_key")) <= k)
+    met = a.join(b.hint("merge"), ["g", *equi]).where(sides & (total > SHORT) & (F.col("l_key") != F.col("r_key")) & (F.abs(F.length("l_key") - F.length("r_key")) <= k)
                                        & (F.col("_pl") - k <= F.col("_qr")) & (F.col("_pr") - k <= F.col("_ql")))
     cand = (met.groupBy(*equi, "l_key", "r_key").agg(F.count(F.lit(1)).alias("_m"), F.min(F.least("_cl", "_cr")).alias("_need"))
                .where(F.col("_m") >= F.col("_need")).select(*equi, "l_key", "r_key"))
@@ -151,10 +170,10 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
     same = (keys if itself else keys.where("_side = 3")).select(*equi, F.col(key).alias("l_key"), F.col(key).alias("r_key"), F.length(key).alias("lcs"))
     other = cut_lineage(cand)                                        # the character masks are then made once a string
     masks = other.select("_xstr").distinct().withColumn("_xmask", char_masks("_xstr"))
-    verified = with_lcs(other.join(cut_lineage(masks), "_xstr"), "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
+    verified = with_lcs(other.join(cut_lineage(masks).hint("merge"), "_xstr"), "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
     found = verified.where(total - 2 * F.col("lcs") <= max_indel(total)).select(*equi, "l_key", "r_key", "lcs")
-    if itself:                                                       # both orders of each pair
-        found = found.unionByName(found.select(*equi, F.col("r_key").alias("l_key"), F.col("l_key").alias("r_key"), "lcs"))
+    if itself:
+        found = _both_orders(found, equi)
     return found.unionByName(close).unionByName(same)
 
 

@@ -1,6 +1,11 @@
 """Plan tests: no Python in the feature job, no Cartesian products, filters pushed to the scan."""
 
+import random
+
+import pytest
+
 from pacekit.operators import resolve as RV
+from pacekit.plans import queries_resolve as QR
 from pacekit.plans.features import build_features
 from pacekit.plans import scoring as S, reports as R
 from pacekit.sources import adapters
@@ -36,6 +41,42 @@ def test_no_cartesian_in_matching_and_asof(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+@pytest.fixture(scope="module")
+def few_parts(spark, tmp_path_factory):
+    """A folder with a table of parts with short, long and absent names, whose file looks small to Spark."""
+    rng, folder = random.Random(8), str(tmp_path_factory.mktemp("parts"))
+    names = [None, "cold gear", "cold gearx", "cold geary", "old gear", "a red plate of iron and copper", "a red plate of iron or copper"]
+    rows = [(i, rng.choice(names), rng.choice(["SMALL", "LARGE", None]), i % 9) for i in range(900)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_size int").write.parquet(f"{folder}/part.parquet")
+    return folder
+
+
+def cut_plans(monkeypatch, *modules):
+    """Gets the plans of all that these modules cut off."""
+    plans = []
+    for m in modules:
+        cut = m.cut_lineage
+        monkeypatch.setattr(m, "cut_lineage", lambda df, cut=cut: plans.append(plan(df)) or cut(df))
+    return plans
+
+
+def test_name_pairs_are_never_collected_on_the_driver(spark, monkeypatch, few_parts):
+    plans = cut_plans(monkeypatch, RV)
+    df = QR.token_sort_ratio(spark, few_parts)
+    assert [p for p in [*plans, plan(df)] if "Join" in p]
+    assert not [p for p in [*plans, plan(df)] if "BroadcastHashJoin" in p]
+    got = [(r.name_1, r.name_2) for r in df.collect()]
+    assert len(got) == len(set(got)) > 20 and all(a < b for a, b in got)
+
+
+def test_few_strings_with_many_rests_are_dealt_into_parts(spark, monkeypatch):
+    dealt, pairs = [], RV._short_pairs
+    monkeypatch.setattr(RV, "_short_pairs", lambda left, *a: dealt.append(left) or pairs(left, *a))
+    keys = spark.range(12_000).selectExpr("concat('runner ', id) AS k", "'H' AS s").coalesce(1)
+    RV.similar_pairs(keys, keys, "k", ["s"])
+    assert dealt[0].rdd.getNumPartitions() == 3
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     from pyspark.sql import functions as F
     from pacekit.sources.tables import table
