@@ -191,7 +191,8 @@ def frequent_pairs(prof: DataFrame, events: DataFrame, name: str = "Nom_clean")
     b = p.select(F.col(name).alias("name_2"), F.col("_ts").alias("r_key"), "_sx",
                  F.col("n_races").alias("races_2"), F.col("mean_speed").alias("speed_2"))
     # (l_key, r_key) comes in both orders, identical keys included (names sharing a sorted key)
-    pairs = sim.join(a, ["l_key", "_sx"]).join(b, ["r_key", "_sx"]).where(F.col("name_1") < F.col("name_2"))
+    # merge joins: what Spark expects of these sides are the bytes of a compressed file, far less than they hold
+    pairs = sim.join(a.hint("merge"), ["l_key", "_sx"]).join(b.hint("merge"), ["r_key", "_sx"]).where(F.col("name_1") < F.col("name_2"))
     pairs = pairs.where(F.abs(F.col("speed_1") - F.col("speed_2")) < 2)   # speed score 0 cannot reach 95
     total = F.length("l_key") + F.length("r_key")
     sp = speed_step_score(F.abs(F.col("speed_1") - F.col("speed_2")))
@@ -202,10 +203,10 @@ def frequent_pairs(prof: DataFrame, events: DataFrame, name: str = "Nom_clean")
     # no shared event: anti join against pairs that co-occur in one event
     ev = events.select(F.col(name).alias("_n"), F.col("_event")).distinct()
     shared = (pairs.select("name_1", "name_2")
-                   .join(ev.withColumnRenamed("_n", "name_1"), "name_1")
-                   .join(ev.withColumnRenamed("_n", "name_2"), ["name_2", "_event"])
+                   .join(ev.withColumnRenamed("_n", "name_1").hint("merge"), "name_1")
+                   .join(ev.withColumnRenamed("_n", "name_2").hint("merge"), ["name_2", "_event"])
                    .select("name_1", "name_2").distinct())
-    pairs = pairs.join(shared, ["name_1", "name_2"], "left_anti")
+    pairs = pairs.join(shared.hint("merge"), ["name_1", "name_2"], "left_anti")
     first_wins = F.col("races_1") >= F.col("races_2")
     return pairs.select(
         "name_1", "name_2", "races_1", "races_2", "name_score", "speed_score",
@@ -265,8 +266,8 @@ def resolve_names(rows: DataFrame, raw_name: str = "Nom", sex: str = "Sexe", spe
     df = rows.withColumn("Nom_clean", match_key(raw_name)).withColumn("_event", F.col(event))
     counts = df.groupBy("Nom_clean").agg(F.count(F.lit(1)).alias("_cnt"))
     freq_names = counts.where(F.col("_cnt") >= FREQUENT_MIN).select("Nom_clean")
-    freq_rows = df.join(freq_names, "Nom_clean", "left_semi")
-    prof1 = profiles(freq_rows, "Nom_clean", sex, speed)
+    freq_rows = df.join(freq_names.hint("merge"), "Nom_clean", "left_semi")
+    prof1 = cut_lineage(profiles(freq_rows, "Nom_clean", sex, speed))     # read three times
     pairs = frequent_pairs(prof1, freq_rows.select("Nom_clean", "_event"))
     pairs = cut_lineage(pairs)            # small; fixes pass 1 for everything below
     corr1 = frequent_corrections(pairs)

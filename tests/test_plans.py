@@ -69,6 +69,14 @@ def test_name_pairs_are_never_collected_on_the_driver(spark, monkeypatch, few_pa
     assert len(got) == len(set(got)) > 20 and all(a < b for a, b in got)
 
 
+def test_matching_passes_are_never_collected_on_the_driver(spark, monkeypatch, few_parts):
+    plans = cut_plans(monkeypatch, RV)
+    df = QR.frequent_pairs(spark, few_parts)
+    assert len([p for p in plans if "Join" in p]) >= 4 and not [p for p in plans if "BroadcastHashJoin" in p]
+    got = {r.name_1: r for r in df.collect()}
+    assert got and all(r.name_1 < r.name_2 and r.canonical in (r.name_1, r.name_2) and r.final_score >= 95 for r in got.values())
+
+
 def test_few_strings_with_many_rests_are_dealt_into_parts(spark, monkeypatch):
     dealt, pairs = [], RV._short_pairs
     monkeypatch.setattr(RV, "_short_pairs", lambda left, *a: dealt.append(left) or pairs(left, *a))
