@@ -19,7 +19,8 @@ however much text the names share. Longer candidates come from an inverted index
 all but 3 k of them, and if each string's grams are ordered from rare to frequent, the first 3 k + c
 of both have c in common. Only these go into the index, with their places (a shared gram moves by k places at
 most), so it has some 0.4 rows a character; frequent grams, a common name half for one, are hardly ever in it.
-Pairs that meet in c grams get the exact ratio. Because every candidate ranked above an
+Pairs that meet in c grams get the exact ratio. So do, without either, all pairs of a group of equal ``equi`` columns
+that has few of them, as most blocks of pass 2 do. Because every candidate ranked above an
 accepted one also has ratio >= 94.39, the top-5 rule of pass 2 restricted to
 these candidates selects exactly the same matches.
 """
@@ -42,6 +43,7 @@ TOP_K = 5
 GRAM = 3
 SHORT = 53            # total length up to which two deletions decide
 PART_KEYS = 5000      # strings a task takes apart into rests or grams
+FEW_PAIRS = 8         # pairs a string up to which comparing all of a group costs less than taking its strings apart
 
 
 def profiles(rows: DataFrame, name: str = "Nom_clean", sex: str = "Sexe", speed: str = "speed_kmh") -> DataFrame:
@@ -132,6 +134,14 @@ def _short_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str]) -
     return _both_orders(found, equi) if itself else found
 
 
+def _mark_small_groups(keys: DataFrame, equi: list[str]) -> DataFrame:
+    """``_few``: whether the two sides of the string's group make up to ``FEW_PAIRS`` pairs a string."""
+    left, right = (F.count_if(F.col("_side").bitwiseAND(side) > 0) for side in (1, 2))
+    small = keys.groupBy(*equi).agg(left.alias("_l"), right.alias("_r")).where(F.col("_l") * F.col("_r") <= FEW_PAIRS * (F.col("_l") + F.col("_r")))
+    marked = keys.drop("_few").join(small.select(*equi, F.lit(True).alias("_few")).hint("merge"), equi, "left")
+    return marked.withColumn("_few", F.coalesce("_few", F.lit(False)))
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] | None = None,
                   max_len: int | None = None, shared: int = 3) -> DataFrame:
     """All (l, r) with Indel distance(l.key, r.key) <= floor(101 * T / 1800), exactly.
@@ -145,9 +155,13 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
     def keys_of(df, side):
         return df.select(key, *equi).where(F.length(key) > 0).distinct().withColumn("_side", F.lit(side))
     both = keys_of(left, 1) if itself else keys_of(left, 1).unionByName(keys_of(right, 2))
-    keys = cut_lineage(both.groupBy(key, *equi).agg(F.bit_or("_side").alias("_side")))
+    all_keys = both.groupBy(key, *equi).agg(F.bit_or("_side").alias("_side")).withColumn("_few", F.lit(False))
+    if equi and not itself:
+        all_keys = _mark_small_groups(all_keys, equi)
+    all_keys = cut_lineage(all_keys)
+    keys = all_keys.where("NOT _few").drop("_few")
     # one small aggregate: decides the UDF branch and the parts
-    n_keys, longest = keys.agg(F.count(F.lit(1)), F.max(F.length(key))).first()
+    n_keys, longest = all_keys.agg(F.count_if(~F.col("_few")), F.max(F.length(key))).first()
     max_len = max_len or longest or 1
     if n_keys > PART_KEYS:                                           # parts by size would hold far too many rests
         keys = keys.repartition(-(-n_keys // PART_KEYS), key)
@@ -164,10 +178,14 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, equi: list[str] |
                                        & (F.col("_pl") - k <= F.col("_qr")) & (F.col("_pr") - k <= F.col("_ql")))
     cand = (met.groupBy(*equi, "l_key", "r_key").agg(F.count(F.lit(1)).alias("_m"), F.min(F.least("_cl", "_cr")).alias("_need"))
                .where(F.col("_m") >= F.col("_need")).select(*equi, "l_key", "r_key"))
+    if equi and not itself:
+        ours, theirs = (all_keys.where(F.col("_few") & (F.col("_side").bitwiseAND(side) > 0)).select(*equi, F.col(key).alias(name))
+                        for side, name in ((1, "l_key"), (2, "r_key")))
+        cand = cand.unionByName(ours.join(theirs.hint("merge"), equi).where((F.col("l_key") != F.col("r_key")) & (F.abs(F.length("l_key") - F.length("r_key")) <= k)))
     shorter = F.length("l_key") <= F.length("r_key")
     cand = (cand.withColumn("_xstr", F.when(shorter, F.col("l_key")).otherwise(F.col("r_key")))
                 .withColumn("_ystr", F.when(shorter, F.col("r_key")).otherwise(F.col("l_key"))).withColumn("_xlen", F.length("_xstr")))
-    same = (keys if itself else keys.where("_side = 3")).select(*equi, F.col(key).alias("l_key"), F.col(key).alias("r_key"), F.length(key).alias("lcs"))
+    same = (all_keys if itself else all_keys.where("_side = 3")).select(*equi, F.col(key).alias("l_key"), F.col(key).alias("r_key"), F.length(key).alias("lcs"))
     other = cut_lineage(cand)                                        # the character masks are then made once a string
     masks = other.select("_xstr").distinct().withColumn("_xmask", char_masks("_xstr"))
     verified = with_lcs(other.join(cut_lineage(masks).hint("merge"), "_xstr"), "_xstr", "_xlen", "_xmask", "_ystr", may_be_long=max_len > MAX_MASK_LEN)
@@ -233,7 +251,7 @@ def rare_matches(rare: DataFrame, freq: DataFrame, name: str = "Nom_clean", keep
                  F.col("sexe").alias("rare_sex"), F.col("mean_speed").alias("rare_speed"))
     b = f.select(F.col(name).alias("freq_name"), F.col("_ts").alias("r_key"), "_blk",
                  F.col("sexe").alias("freq_sex"), F.col("mean_speed").alias("freq_speed"))
-    cand = sim.join(a, ["l_key", "_blk"]).join(b, ["r_key", "_blk"])
+    cand = sim.join(a.hint("merge"), ["l_key", "_blk"]).join(b.hint("merge"), ["r_key", "_blk"])
     total = F.length("l_key") + F.length("r_key")
     cand = cand.withColumn("name_score", _ratio(F.col("lcs"), total)).withColumn("_total", total)
     w = Window.partitionBy("rare_name").orderBy(F.desc("name_score"), F.col("freq_name"))
@@ -272,7 +290,7 @@ def resolve_names(rows: DataFrame, raw_name: str = "Nom", sex: str = "Sexe", spe
     pairs = cut_lineage(pairs)            # small; fixes pass 1 for everything below
     corr1 = frequent_corrections(pairs)
     df1 = apply_corrections(df, corr1)
-    prof2 = profiles(df1, "Nom_clean", sex, speed)
+    prof2 = cut_lineage(profiles(df1, "Nom_clean", sex, speed))           # read four times
     freq2 = prof2.where(F.col("n_races") >= FREQUENT_MIN)
     rare2 = prof2.where(F.col("n_races") < FREQUENT_MIN)
     matches = cut_lineage(rare_matches(rare2, freq2, keep=keep))

@@ -275,3 +275,27 @@ def test_short_names_meet_without_the_index(spark, monkeypatch, itself):
             and abs(len(a) - len(b)) <= 2 and len(a) + len(b) - 2 * lcs_dp(a, b) <= (101 * (len(a) + len(b))) // 1800}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
     assert max(len(r.k) for r in indexed[0].select("k").collect()) == 27 and indexed[0].count() <= 2
+
+
+def test_small_groups_are_compared_without_taking_strings_apart(spark, monkeypatch):
+    """Two sides in groups of many sizes, one of them null, against all pairs of a group; only the large group's strings get rests."""
+    rng = random.Random(9)
+    def near(base):
+        t = list(base)
+        for _ in range(rng.randint(0, 3)):
+            t[rng.randrange(len(t))] = rng.choice(["", "A", "BC", "é"])
+        return "".join(t)
+    bases = ["COLD GEAR LARGE", "OLD GEAR", "A " * 14 + "LONG NAME", "B " * 30 + "LONGER NAME THAN SIXTY TWO"]
+    sizes = {"one": (1, 1), "few": (2, 5), "wide": (3, 40), "left": (4, 0), "right": (0, 4), "large": (30, 30), None: (9, 9)}
+    sides = [[(near(rng.choice(bases)), g) for g, n in sizes.items() for _ in range(n[side])] for side in (0, 1)]
+    sides[0] += [(b, g) for b in bases for g in ("few", "large")]
+    sides[1] += [(b, g) for b in bases for g in ("few", "large")]
+    apart, pairs, index = [], RV._short_pairs, RV._index
+    monkeypatch.setattr(RV, "_short_pairs", lambda left, right, *a: apart.extend((left, right)) or pairs(left, right, *a))
+    monkeypatch.setattr(RV, "_index", lambda keys, *a: apart.append(keys) or index(keys, *a))
+    both = [spark.createDataFrame(rows, "k string, s string") for rows in sides]
+    got = [tuple(r) for r in RV.similar_pairs(*both, "k", ["s"]).collect() if r.s]
+    want = {(s, a, b, lcs_dp(a, b)) for a, s in set(sides[0]) for b, t in set(sides[1]) if s and s == t
+            and len(a) + len(b) - 2 * lcs_dp(a, b) <= (101 * (len(a) + len(b))) // 1800}
+    assert len(got) == len(want) and set(got) == want and {s for s, *_ in want} >= {"few", "wide", "large"}
+    assert {r.s for keys in apart for r in keys.select("s").distinct().collect()} - {None} == {"large"}
