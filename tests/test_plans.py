@@ -77,6 +77,16 @@ def test_matching_passes_are_never_collected_on_the_driver(spark, monkeypatch, f
     assert got and all(r.name_1 < r.name_2 and r.canonical in (r.name_1, r.name_2) and r.final_score >= 95 for r in got.values())
 
 
+def test_corrected_names_keep_every_row_without_the_driver(spark, monkeypatch, few_parts):
+    monkeypatch.setattr(QR, "_RESOLVED", {})
+    plans = cut_plans(monkeypatch, RV)
+    df = QR.corrected_names(spark, few_parts)
+    assert not [p for p in [*plans, plan(df)] if "BroadcastHashJoin" in p]
+    got, pairs = df.collect(), QR.frequent_pairs(spark, few_parts).collect()
+    assert sorted(r.row_id for r in got) == list(range(900))
+    assert pairs and not {r.Nom_clean for r in got} & {p.other for p in pairs} - {p.canonical for p in pairs}
+
+
 def test_few_strings_with_many_rests_are_dealt_into_parts(spark, monkeypatch):
     dealt, pairs = [], RV._short_pairs
     monkeypatch.setattr(RV, "_short_pairs", lambda left, *a: dealt.append(left) or pairs(left, *a))
