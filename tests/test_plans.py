@@ -87,6 +87,17 @@ def test_corrected_names_keep_every_row_without_the_driver(spark, monkeypatch, f
     assert pairs and not {r.Nom_clean for r in got} & {p.other for p in pairs} - {p.canonical for p in pairs}
 
 
+def test_name_report_counts_the_corrected_rows_without_the_driver(spark, monkeypatch, few_parts):
+    monkeypatch.setattr(QR, "_RESOLVED", {})
+    plans = cut_plans(monkeypatch, RV)
+    df = QR.name_report(spark, few_parts)
+    assert not [p for p in [*plans, plan(df)] if "BroadcastHashJoin" in p]
+    rows, report = QR.corrected_names(spark, few_parts).collect(), df.first()
+    chosen = [r for r in QR.rare_matches(spark, few_parts).collect() if r.chosen]
+    assert report.corrections == len({p.other for p in QR.frequent_pairs(spark, few_parts).collect()}) + len(chosen) > 0
+    assert report.unique_before == len({r.Nom for r in rows} - {None}) > report.unique_after == len({r.Nom_clean for r in rows})
+
+
 def test_few_strings_with_many_rests_are_dealt_into_parts(spark, monkeypatch):
     dealt, pairs = [], RV._short_pairs
     monkeypatch.setattr(RV, "_short_pairs", lambda left, *a: dealt.append(left) or pairs(left, *a))
